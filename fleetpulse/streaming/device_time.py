@@ -17,19 +17,19 @@ class DeviceClock(StatefulProcessor):
     """Keeps the latest occurrence a device has sent, and passes on messages that are not too far behind it."""
 
     def __init__(self, limit: dt.timedelta):
-        self._limit = limit
+        self._limit = limit // dt.timedelta(microseconds=1)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._latest = handle.getValueState("latest", T.StructType([T.StructField("time", T.TimestampType())]))
+        self._latest = handle.getValueState("latest", T.StructType([T.StructField("micros", T.LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[T.Row], timerValues) -> Iterator[T.Row]:
         # One device's share of a micro-batch, which the rate limit of the source bounds.
         arrived = sorted(rows, key=lambda row: (row.enqueuedUtcTime, row.sequenceNumber))
         latest = self._latest.get()[0] if self._latest.exists() else None
         for row in arrived:
-            if latest is None or latest - row.occurrenceUtcTime <= self._limit:
+            if latest is None or latest - row.occurredMicros <= self._limit:
                 yield row
-            latest = row.occurrenceUtcTime if latest is None else max(latest, row.occurrenceUtcTime)
+            latest = row.occurredMicros if latest is None else max(latest, row.occurredMicros)
         if latest is not None:
             self._latest.update((latest,))
 
@@ -39,10 +39,13 @@ class DeviceClock(StatefulProcessor):
 
 def drop_out_of_order_stream(telemetry: DataFrame, *, limit: dt.timedelta = OUT_OF_ORDER_AFTER) -> DataFrame:
     """drop_out_of_order on a stream. Messages without a time cannot be placed and are left out."""
-    timed = telemetry.filter(F.col("enqueuedUtcTime").isNotNull() & F.col("occurrenceUtcTime").isNotNull())
-    return timed.groupBy("deviceId", "partitionId").transformWithState(
+    timed = telemetry.filter(F.col("enqueuedUtcTime").isNotNull() & F.col("occurrenceUtcTime").isNotNull()).withColumn(
+        "occurredMicros", F.unix_micros("occurrenceUtcTime")
+    )
+    kept = timed.groupBy("deviceId", "partitionId").transformWithState(
         statefulProcessor=DeviceClock(limit),
-        outputStructType=telemetry.schema,
+        outputStructType=timed.schema,
         outputMode="Append",
         timeMode="None",
     )
+    return kept.drop("occurredMicros")
