@@ -40,14 +40,19 @@ def time_text(time: Column) -> Column:
     return F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
+def whole(value: Column, unit: int) -> Column:
+    """How many whole units a bigint holds, rounded down; exact where a double quotient would not be."""
+    return F.call_function("div", value - F.pmod(value, F.lit(unit)), F.lit(unit))
+
+
 def minute_of(time: Column) -> Column:
     """Minutes since the epoch; the difference of two of them counts minute boundaries crossed."""
-    return F.floor(F.unix_micros(time) / F.lit(60 * MICROS))
+    return whole(F.unix_micros(time), 60 * MICROS)
 
 
 def bin_of(time: Column, seconds: int) -> Column:
     """Number of the aligned time bin of the given width."""
-    return F.floor(F.unix_micros(time) / F.lit(seconds * MICROS))
+    return whole(F.unix_micros(time), seconds * MICROS)
 
 
 def position_part(position: Column, index: int) -> Column:

@@ -28,7 +28,7 @@ def pack(
     slots = F.collect_list(F.struct(F.col("place"), item.alias("item")))
     by_place = F.array_sort(slots, lambda a, b: F.signum(a["place"] - b["place"]).cast("int"))
     return (
-        numbered.groupBy(*keys, F.floor(F.col("place") / size).alias("batchNo"))
+        numbered.groupBy(*keys, fields.whole(F.col("place"), size).alias("batchNo"))
         .agg(F.count(F.lit(1)).alias("size"), by_place.alias("slots"))
         .select(*keys, "batchNo", "size", F.transform("slots", lambda slot: slot["item"]).alias("items"))
     )
@@ -40,7 +40,7 @@ def batch_by_count(messages: DataFrame, *, size: int = MESSAGES_PER_BATCH) -> Da
         nonempty_bodies(messages),
         size=size,
         keys=["partition"],
-        bin=F.floor(F.col("sequenceNumber") / _SEQUENCES_PER_BIN),
+        bin=fields.whole(F.col("sequenceNumber"), _SEQUENCES_PER_BIN),
         order=["sequenceNumber"],
         item=F.struct("sequenceNumber", "body", "properties"),
     )

@@ -33,11 +33,10 @@ def silent_minutes(telemetry: DataFrame, *, horizon: Column | None = None) -> Da
     """
     marked = telemetry.withColumn("minute", fields.minute_of(F.col("occurrenceUtcTime")))
     summary = marked.groupBy("deviceId", "partitionId", "minute").agg(
-        F.bool_or(F.col("sensorType") == fields.STATE_SENSOR).alias("hasState"),
-        F.max("occurrenceUtcTime").alias("lastSeen"),
+        F.bool_or(F.col("sensorType") == fields.STATE_SENSOR).alias("hasState")
     )
     later = W.partitionBy("deviceId", "partitionId").orderBy("minute").rangeBetween(_FIRST_MINUTE, _LAST_MINUTE)
-    end = summary.agg(F.max("lastSeen")).scalar() if horizon is None else horizon
+    end = _latest(telemetry) if horizon is None else horizon
     silent = (
         summary.withColumn("heard", F.count(F.lit(1)).over(later))
         .filter(F.col("hasState") & (F.col("heard") == 0))
@@ -59,7 +58,7 @@ def silent_gaps(telemetry: DataFrame, *, gap_seconds: int = _GAP_SECONDS, horizo
     )
     following = F.lead("firstSeen").over(W.partitionBy("deviceId").orderBy("bin"))
     deadline = F.col("lastSeen") + F.make_dt_interval(secs=F.lit(gap_seconds))
-    end = telemetry.agg(F.max("occurrenceUtcTime")).scalar() if horizon is None else horizon
+    end = _latest(telemetry) if horizon is None else horizon
     silent = (
         bins.withColumn("following", following)
         .filter(F.col("following").isNull() | (F.col("following") > deadline))
@@ -69,6 +68,10 @@ def silent_gaps(telemetry: DataFrame, *, gap_seconds: int = _GAP_SECONDS, horizo
     return states.join(silent, ["deviceId", "occurrenceUtcTime"], "left_semi")
 
 
+def _latest(telemetry: DataFrame) -> Column:
+    return telemetry.agg(F.max("occurrenceUtcTime")).scalar()
+
+
 def silence_alerts(silent: DataFrame, *, by_partition: bool) -> DataFrame:
     """Silent messages as alerts: their own temperature and times."""
     return silent.select(

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fleetpulse.operators.policy import OUT_OF_ORDER_AFTER
 
+# The processor travels to the executors with its code, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class DeviceClock(StatefulProcessor):
     """Keeps the latest occurrence a device has sent, and passes on messages that are not too far behind it."""

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable
+from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import IntegerType, LongType, Row, StringType, StructField, StructType
@@ -51,6 +53,57 @@ def json_append(path: str) -> BatchWriter:
     return write
 
 
+def fan_out(*writers: BatchWriter) -> BatchWriter:
+    """Gives one micro-batch, computed once, to several writers in turn."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for writer in writers:
+                writer(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def only(predicate: Column, writer: BatchWriter) -> BatchWriter:
+    """A writer that gets the rows of a route."""
+    return lambda batch, batch_id: writer(batch.filter(predicate), batch_id)
+
+
+class RowWriter(Protocol):
+    """Row-at-a-time output, for targets that offer nothing better."""
+
+    def open(self, partition_id: int, batch_id: int) -> bool:
+        """Whether this task's rows are wanted."""
+
+    def process(self, row: Row) -> None: ...
+
+    def close(self, error: BaseException | None) -> None: ...
+
+
+def row_by_row(make: Callable[[], RowWriter]) -> BatchWriter:
+    """Runs a RowWriter over each task's rows on the executors."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        def task(rows: Iterable[Row]) -> None:
+            writer, error = make(), None
+            try:
+                if writer.open(TaskContext.get().partitionId(), batch_id):
+                    for row in rows:
+                        writer.process(row)
+            except Exception as failure:
+                error = failure
+                raise
+            finally:
+                writer.close(error)
+
+        batch.foreachPartition(task)
+
+    return write
+
+
 def jdbc_append(url: str, table: str, *, rows_per_statement: int = 10_000, properties: dict | None = None) -> BatchWriter:
     """Bulk load into a database table that has a batch_id column.
 
@@ -113,10 +166,10 @@ def payload_append(path: str, *, size: int = ALERTS_PER_PAYLOAD) -> BatchWriter:
 
 
 class LatestPositions:
-    """One row per device, kept up to date by a stream (single writer).
+    """One row per device, kept up to date by a stream (single writer, compact_every fixed for its life).
 
-    Every micro-batch adds only its own latest rows; each `compact_every` batches they are merged into a snapshot. A read
-    merges the newest finished snapshot with the changes after it.
+    Every micro-batch adds only its own latest rows. The last batch of each run of `compact_every` merges the run into a
+    new snapshot, so a read takes the newest finished snapshot and the changes of at most one run.
     """
 
     def __init__(self, path: str, *, compact_every: int = 50):
@@ -124,27 +177,31 @@ class LatestPositions:
         self.compact_every = compact_every
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        latest_position(batch).write.mode("overwrite").parquet(self._changes(batch_id))
-        if (batch_id + 1) % self.compact_every == 0:
-            merged = self.read(spark, upto=batch_id)
-            merged.write.mode("overwrite").parquet(f"{self.path}/snapshot/{batch_id}")
-
-    def read(self, spark: SparkSession, *, upto: int | None = None) -> DataFrame:
-        """State after the newest batch, or after batch `upto`."""
-        changes = _finished(spark, f"{self.path}/changes")
-        # A replayed batch must not see a snapshot it wrote itself.
-        snapshots = [n for n in _finished(spark, f"{self.path}/snapshot") if upto is None or n < upto]
-        since = max(snapshots, default=-1)
-        paths = [self._changes(n) for n in changes if n > since and (upto is None or n <= upto)]
-        if since >= 0:
-            paths.append(f"{self.path}/snapshot/{since}")
+        run, place = divmod(batch_id, self.compact_every)
+        latest_position(batch).write.mode("overwrite").parquet(f"{self._run(run)}/{batch_id}")
+        if place == self.compact_every - 1:
+            # From the snapshot before this run, so that a replay gives the same result.
+            merged = self._merged(batch.sparkSession, snapshot=run - 1)
+            merged.write.mode("overwrite").parquet(self._snapshot(run))
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The latest positions so far."""
+        return self._merged(spark, snapshot=max(_finished(spark, f"{self.path}/snapshot"), default=-1))
+
+    def _merged(self, spark: SparkSession, *, snapshot: int) -> DataFrame:
+        run = self._run(snapshot + 1)
+        paths = [f"{run}/{batch_id}" for batch_id in _finished(spark, run)]
+        if snapshot >= 0:
+            paths.append(self._snapshot(snapshot))
         if not paths:
             return spark.createDataFrame([], POSITION)
         return latest_position(spark.read.schema(POSITION).parquet(*paths))
 
-    def _changes(self, batch_id: int) -> str:
-        return f"{self.path}/changes/{batch_id}"
+    def _run(self, run: int) -> str:
+        return f"{self.path}/changes/{run}"
+
+    def _snapshot(self, run: int) -> str:
+        return f"{self.path}/snapshot/{run}"
 
 
 def _finished(spark: SparkSession, folder: str) -> list[int]:

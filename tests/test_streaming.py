@@ -1,0 +1,303 @@
+"""Streams that stop and start again, replayed batches and pluggable outputs."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+from pathlib import Path
+
+import pytest
+from builders import EVENT, START, STATE, numbers, random_rows, telemetry
+from pyspark.sql import functions as F
+
+from fleetpulse.operators import decode, hot, policy, positions, silence
+from fleetpulse.plans import cold
+from fleetpulse.schemas import ALERT, HUB_MESSAGE, POSITION, TELEMETRY
+from fleetpulse.session import shared_dir, streaming_session
+from fleetpulse.sources.messages import alert_bus_stream, kafka_options, message_stream
+from fleetpulse.streaming import device_time, monitor, queries, sinks
+
+END = START + dt.timedelta(days=1)
+
+
+def message(row):
+    body = {
+        "occurrenceUtcTime": row["occurrenceUtcTime"].isoformat() + "Z",
+        **{k: row[k] for k in ("deviceId", "sensorType", "deliveryId", "temperature", "position", "flightStatus") if k in row},
+    }
+    return (bytearray(json.dumps(body), "utf-8"), row["enqueuedUtcTime"], row["partitionId"], row["sequenceNumber"], {})
+
+
+def sentinel(number, time):
+    return {
+        "sequenceNumber": -number, "partitionId": 0, "deviceId": "zz", "deliveryId": "zz", "sensorType": STATE,
+        "occurrenceUtcTime": time, "enqueuedUtcTime": time, "temperature": 0.0, "position": "", "flightStatus": "",
+    }
+
+
+class Inbox:
+    """A folder of message files, one micro-batch each."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path = spark, str(path)
+
+    def add(self, rows):
+        df = self.spark.createDataFrame([message(r) for r in rows], HUB_MESSAGE)
+        df.coalesce(1).write.mode("append").parquet(self.path)
+
+    def stream(self):
+        return message_stream(streaming_session(self.spark), self.path, files_per_trigger=1)
+
+    def run(self, build, sink, checkpoint):
+        """One run over what is there; a later one resumes from its checkpoint."""
+        frame = build(self.stream())
+        queries.start(queries.to_batches(frame, sink), checkpoint, available_now=True).awaitTermination()
+        return frame.schema
+
+
+def by_time(rows, name="occurrenceUtcTime"):
+    return sorted(rows, key=lambda r: (r[name], r["sequenceNumber"]))
+
+
+def alerts_of(df):
+    return sorted((r.deviceid, r.deliveryid, round(r.avgtemperature, 6), r.lastoccurrenceutctime) for r in df.collect())
+
+
+@pytest.mark.parametrize(
+    ("build", "batch"),
+    [
+        (queries.hot_alert_stream, hot.hot_windows_90),
+        (queries.throttled_hot_stream, lambda t: hot.throttle_hot_alerts(hot.hot_windows_180(t))),
+        (
+            queries.silence_alert_stream,
+            lambda t: silence.silence_alerts(silence.silent_gaps(t, horizon=F.lit(END)), by_partition=False),
+        ),
+        (
+            queries.silent_minutes_alert_stream,
+            lambda t: silence.silence_alerts(silence.silent_minutes(t, horizon=F.lit(END)), by_partition=True),
+        ),
+    ],
+    ids=["hot", "throttled", "gaps", "minutes"],
+)
+def test_restarted_stream_equals_batch(spark, tmp_path, build, batch):
+    rows = by_time(random_rows(150, seed=11))
+    inbox, out, checkpoint = Inbox(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    sink = sinks.table_append(out)
+    inbox.add(rows[:40])
+    inbox.add(rows[40:80])
+    inbox.run(build, sink, checkpoint)
+    inbox.add(rows[80:])
+    inbox.run(build, sink, checkpoint)
+    inbox.add([sentinel(1, END)])
+    inbox.add([sentinel(2, END + dt.timedelta(hours=12))])
+    schema = inbox.run(build, sink, checkpoint)
+    got = sinks.read_appended(spark, out, schema).filter("deviceid <> 'zz'")
+    expected = alerts_of(batch(telemetry(spark, rows)))
+    assert expected
+    assert alerts_of(got) == expected
+
+
+def test_device_clock_survives_a_restart(spark, tmp_path):
+    rows = by_time(random_rows(150, seed=12), "enqueuedUtcTime")
+    inbox, out, checkpoint = Inbox(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def build(messages):
+        return device_time.drop_out_of_order_stream(decode.decode_telemetry(messages))
+
+    for part in (rows[:50], rows[50:]):
+        inbox.add(part)
+        schema = inbox.run(build, sinks.table_append(out), checkpoint)
+    got = sinks.read_appended(spark, out, schema)
+    assert numbers(got) == numbers(policy.drop_out_of_order(telemetry(spark, rows)))
+    assert len(numbers(got)) < 150
+
+
+def test_latest_positions_over_restarts_and_snapshots(spark, tmp_path):
+    rows = [r for r in random_rows(160, seed=13) if r["sensorType"] == EVENT]
+    inbox, checkpoint = Inbox(spark, tmp_path / "in"), str(tmp_path / "checkpoint")
+    table = sinks.LatestPositions(str(tmp_path / "latest"), compact_every=2)
+    assert table.read(spark).count() == 0
+    for i in range(0, len(rows), 12):
+        inbox.add(rows[i : i + 12])
+        if i % 24 == 0:
+            inbox.run(queries.position_stream, table.write, checkpoint)
+    inbox.run(queries.position_stream, table.write, checkpoint)
+    expected, _ = positions.positions(telemetry(spark, rows))
+    assert sorted(table.read(spark).collect()) == sorted(positions.latest_position(expected).collect())
+    assert sinks._finished(spark, f"{table.path}/snapshot")
+
+
+def test_latest_positions_replay_is_harmless(spark, tmp_path):
+    table = sinks.LatestPositions(str(tmp_path), compact_every=2)
+
+    def batch(*rows):
+        return spark.createDataFrame([(d, START + dt.timedelta(seconds=s), 0.0, 0.0, s) for d, s in rows], POSITION)
+
+    batches = [batch(("a", 1), ("b", 5)), batch(("a", 3)), batch(("b", 4), ("c", 1)), batch(("c", 9))]
+    for n, rows in enumerate(batches):
+        table.write(rows, n)
+        table.write(rows, n)
+    assert sorted((r.deviceId, r.sequenceNumber) for r in table.read(spark).collect()) == [("a", 3), ("b", 5), ("c", 9)]
+
+
+def test_position_history_drops_repeats(spark, tmp_path):
+    row = next(r for r in random_rows(20, seed=14) if r["sensorType"] == EVENT)
+    again = {**row, "sequenceNumber": 999}
+    later = {**row, "sequenceNumber": 1000, "enqueuedUtcTime": row["enqueuedUtcTime"] + dt.timedelta(seconds=1)}
+    inbox, out, checkpoint = Inbox(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    for part in ([row, again], [again, later]):
+        inbox.add(part)
+        schema = inbox.run(queries.position_history_stream, sinks.table_append(out), checkpoint)
+    assert sinks.read_appended(spark, out, schema).count() == 2
+
+
+def test_replayed_append_leaves_one_copy(spark, tmp_path):
+    rows = spark.range(5)
+    write = sinks.table_append(str(tmp_path / "t"))
+    write(rows, 0)
+    write(rows, 1)
+    write(rows, 1)
+    assert sinks.read_appended(spark, str(tmp_path / "t"), rows.schema).count() == 10
+
+
+def test_retries_then_gives_up(spark):
+    calls = []
+
+    def failing(batch, batch_id):
+        calls.append(batch_id)
+        if len(calls) < 3:
+            raise OSError("busy")
+
+    sinks.with_retries(failing, wait_seconds=0)(None, 7)
+    assert calls == [7, 7, 7]
+    with pytest.raises(OSError):
+        sinks.with_retries(lambda *_: (_ for _ in ()).throw(OSError("down")), attempts=2, wait_seconds=0)(None, 1)
+
+
+def test_fan_out_and_routes(spark, tmp_path):
+    every, big = str(tmp_path / "every"), str(tmp_path / "big")
+    rows = spark.range(10)
+    sinks.fan_out(sinks.table_append(every), sinks.only(F.col("id") > 7, sinks.json_append(big)))(rows, 0)
+    assert sinks.read_appended(spark, every, rows.schema).count() == 10
+    assert spark.read.json(f"{big}/batch_id=0").count() == 2
+
+
+def test_row_writer(spark, tmp_path):
+    class FileWriter:
+        def __init__(self, folder):
+            self.folder = folder
+
+        def open(self, partition_id, batch_id):
+            self.file = open(f"{self.folder}/{batch_id}-{partition_id}", "w")
+            return True
+
+        def process(self, row):
+            self.file.write(f"{row.id}\n")
+
+        def close(self, error):
+            self.file.close()
+
+    sinks.row_by_row(lambda folder=str(tmp_path): FileWriter(folder))(spark.range(100), 3)
+    lines = [line for f in tmp_path.iterdir() for line in f.read_text().split()]
+    assert sorted(map(int, lines)) == list(range(100))
+    assert all(f.name.startswith("3-") for f in tmp_path.iterdir())
+
+
+def test_notifier_posts_every_alert_once(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def post(payload):
+        import uuid
+
+        Path(folder, uuid.uuid4().hex).write_text(payload)
+
+    times = [START + dt.timedelta(seconds=n) for n in range(230)]
+    alerts = spark.createDataFrame([("hotTemperature", 0, f"d{n}", "o", 76.0, t, t, t) for n, t in enumerate(times)], ALERT)
+    sinks.notifier(post)(alerts, 0)
+    payloads = [json.loads(f.read_text()) for f in tmp_path.iterdir()]
+    assert sorted(map(len, payloads)) == [30, 100, 100]
+    assert sorted(a["deviceid"] for p in payloads for a in p) == sorted(f"d{n}" for n in range(230))
+
+
+def test_bus_is_read_once_across_restarts(spark, tmp_path):
+    topic, out = str(tmp_path / "topic"), str(tmp_path / "out")
+    inbox = Inbox(spark, tmp_path / "in")
+    rows = by_time(random_rows(100, seed=15))
+    for part in (rows[:50], rows[50:], [sentinel(1, END)], [sentinel(2, END + dt.timedelta(hours=1))]):
+        inbox.add(part)
+        publish = sinks.bus_writer(queries.hot_alert_stream(inbox.stream()), topic)
+        queries.start(publish, str(tmp_path / "publish"), available_now=True).awaitTermination()
+        bus = decode.alert_projection(alert_bus_stream(streaming_session(spark), [topic]))
+        read = queries.to_batches(bus, sinks.table_append(out))
+        queries.start(read, str(tmp_path / "read"), available_now=True).awaitTermination()
+    got = sinks.read_appended(spark, out, bus.schema)
+    assert alerts_of(got) == alerts_of(hot.hot_windows_90(telemetry(spark, rows)))
+
+
+def test_cold_path_incrementally(spark, tmp_path):
+    rows = [r for r in random_rows(100, seed=16) if r["sensorType"] == EVENT]
+    inbox = Inbox(spark, tmp_path / "in")
+    out = str(tmp_path / "out")
+    for part in (rows[:20], rows[20:]):
+        inbox.add(part)
+        _, deliveries = cold.run_cold_path_incrementally(inbox.stream(), out)
+    batch = cold.run_cold_path(spark.read.schema(HUB_MESSAGE).parquet(inbox.path), str(tmp_path / "batch"))[1]
+    assert sorted(cold.preview(spark, deliveries).collect(), key=str) == sorted(cold.preview(spark, batch).collect(), key=str)
+    again = cold.run_cold_path(spark.read.schema(HUB_MESSAGE).parquet(inbox.path), str(tmp_path / "batch"))[1]
+    assert cold.preview(spark, again).count() == len({r["deliveryId"] for r in rows if r["flightStatus"] in "03"})
+
+
+def test_a_failing_metric_shipper_does_not_stop_the_stream(spark, tmp_path):
+    inbox = Inbox(spark, tmp_path / "in")
+    inbox.add(random_rows(10, seed=17))
+    good, session = [], streaming_session(spark)
+
+    def bad(metric):
+        raise OSError("no network")
+
+    reporters = [monitor.ProgressReporter(good.append, query_name="watched"), monitor.ProgressReporter(bad)]
+    for r in reporters:
+        session.streams.addListener(r)
+    try:
+        rows = message_stream(session, inbox.path).select("sequenceNumber")
+        writer = queries.to_batches(rows, sinks.table_append(str(tmp_path / "out")))
+        queries.start(writer, str(tmp_path / "checkpoint"), name="watched", available_now=True).awaitTermination()
+        monitor.settle(spark)
+    finally:
+        for r in reporters:
+            session.streams.removeListener(r)
+    frame = monitor.metric_frame(spark, good)
+    assert frame.filter("triggerExecution > 0 and procRowsPerSecond > 0").count() >= 1
+    assert set(json.loads(monitor.metric_json(good[0]))) == set(frame.columns)
+
+
+def test_late_rows_are_dropped_two_batches_later(spark, tmp_path):
+    def state(number, minute):
+        time = START + dt.timedelta(minutes=minute)
+        return {**sentinel(-number, time), "deviceId": "d", "temperature": 90.0}
+
+    inbox, out = Inbox(spark, tmp_path / "in"), str(tmp_path / "out")
+    for row in (state(1, 0), state(2, 60), state(3, 61), state(4, 0), state(5, 120), state(6, 180)):
+        inbox.add([row])
+    schema = inbox.run(queries.hot_alert_stream, sinks.table_append(out), str(tmp_path / "checkpoint"))
+    got = sinks.read_appended(spark, out, schema).filter("lastoccurrenceutctime < timestamp '2024-01-01 00:01:00'")
+    assert got.count() == 1
+
+
+def test_kafka_options():
+    assert kafka_options("h:9092", "t", group="g", max_offsets=120_000) == {
+        "kafka.bootstrap.servers": "h:9092",
+        "subscribe": "t",
+        "startingOffsets": "latest",
+        "kafka.group.id": "g",
+        "maxOffsetsPerTrigger": "120000",
+    }
+
+
+def test_shared_dir_is_the_named_one(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_telemetry_has_the_declared_schema(spark):
+    decoded = decode.decode_telemetry(spark.createDataFrame([], HUB_MESSAGE))
+    assert [(f.name, f.dataType) for f in decoded.schema] == [(f.name, f.dataType) for f in TELEMETRY]

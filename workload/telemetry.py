@@ -85,8 +85,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("flight_status").cast("int").alias("flightStatus"),
         )
     )
+    # Through a generator, so that filters on the body do not build it a second time.
     return _rows(spark, sf_dir).select(
-        F.encode(body, "utf-8").alias("body"),
+        F.explode(F.array(F.encode(body, "utf-8"))).alias("body"),
         F.col("enq").alias("enqueuedTime"),
         F.col("partition_id").alias("partition"),
         F.col("event_id").alias("sequenceNumber"),
