@@ -26,14 +26,20 @@ def running_before(
     order: Sequence[Column | str],
     value: Column,
     combine: Callable[[str], Column],
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Adds column `name`: `combine` of `value` over all earlier rows of the same keys, NULL for the first.
 
     `bin` must not decrease along `order`. `combine` has to be associative and commutative, as max and sum are.
+    `initial` holds one row (keys, value) per key for what came before all rows; no row may then have a NULL bin.
     """
     cells = [*keys, _BIN]
     marked = df.withColumns({_BIN: bin, _VALUE: value})
     totals = marked.groupBy(*cells).agg(combine(_VALUE).alias("__total"))
+    if initial is not None:
+        # NULL sorts before all bins.
+        start = initial.toDF(*keys, "__total").withColumn(_BIN, F.lit(None).cast("bigint"))
+        totals = totals.unionByName(start)
     earlier_bins = W.partitionBy(*keys).orderBy(_BIN).rowsBetween(W.unboundedPreceding, -1)
     carries = totals.select(
         *cells, combine("__total").over(earlier_bins).alias(_VALUE), F.lit(0).alias(_IS_ROW)

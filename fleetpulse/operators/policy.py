@@ -56,10 +56,12 @@ def drop_out_of_order(
     limit: dt.timedelta = OUT_OF_ORDER_AFTER,
     keys: Sequence[str] = ("deviceId", "partitionId"),
     bin_seconds: int = 300,
+    clocks: DataFrame | None = None,
 ) -> DataFrame:
     """Keeps messages that occurred at most `limit` before the latest occurrence their device had already sent.
 
-    Arrival order is (enqueued time, sequence number). bin_seconds only sets how finely a busy device is spread.
+    Arrival order is (enqueued time, sequence number). bin_seconds only sets how finely a busy device is spread. clocks
+    (keys, latest occurrence) holds what the devices had sent before these messages.
     """
     ahead = running_before(
         telemetry,
@@ -69,6 +71,7 @@ def drop_out_of_order(
         order=["enqueuedUtcTime", "sequenceNumber"],
         value=F.col("occurrenceUtcTime"),
         combine=F.max,
+        initial=clocks,
     )
     behind = F.col("latestBefore") - F.col("occurrenceUtcTime")
     return ahead.filter(behind.isNull() | (behind <= F.lit(limit))).drop("latestBefore")

@@ -8,7 +8,8 @@ than any other, and the work stays linear in the rows.
 A silence is only reported once its whole horizon lies before the latest event seen, because the end of the data is not
 the silence of a device.
 
-Streams keep their rows in state and outer-join them with later ones; see the functions ending in _stream.
+Streams keep messages in state until their horizon has passed and outer-join them with a summary of what was heard
+later; see the functions ending in _stream.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from fleetpulse.operators.policy import state_rows
 SILENCE_MESSAGE = "noTelemetry"
 _FIRST_MINUTE, _LAST_MINUTE = 2, 10
 _GAP_SECONDS = 300
+_STREAM_BIN_SECONDS = 60
 
 
 def silent_minutes(telemetry: DataFrame, *, horizon: Column | None = None) -> DataFrame:
@@ -93,68 +95,64 @@ def silent_gaps_stream(
     lateness: str = "10 seconds",
     later_lateness: str = "20 seconds",
 ) -> DataFrame:
-    """silent_gaps on a stream; a message is reported when the watermark has passed its deadline."""
+    """silent_gaps on a stream; a message is reported when the watermark has passed its deadline by a bin."""
     states = state_rows(telemetry)
-    return _unanswered(
-        states,
-        states,
-        keys=["deviceId"],
-        horizon_seconds=gap_seconds,
-        answers=F.expr(
-            "laterTime > occurrenceUtcTime AND "
-            f"laterTime <= occurrenceUtcTime + interval {gap_seconds} seconds"
-        ),
-        lateness=lateness,
-        later_lateness=later_lateness,
+    bins = -(-gap_seconds // _STREAM_BIN_SECONDS)
+    # The first message of a later bin answers if it is in time, the last of the message's own bin if it is later.
+    answers = F.expr(
+        "lastHeard > occurrenceUtcTime AND "
+        f"firstHeard <= occurrenceUtcTime + interval {gap_seconds} seconds"
     )
+    return _unanswered(states, states, ["deviceId"], range(bins + 1), answers, lateness, later_lateness)
 
 
 def silent_minutes_stream(
     telemetry: DataFrame, *, lateness: str = "10 seconds", later_lateness: str = "20 seconds"
 ) -> DataFrame:
     """silent_minutes on a stream; a message is reported when the watermark has passed its tenth minute."""
-    horizon = (_LAST_MINUTE + 1) * 60
-    distance = fields.minute_of(F.col("laterTime")) - fields.minute_of(F.col("occurrenceUtcTime"))
-    return _unanswered(
-        state_rows(telemetry),
-        telemetry,
-        keys=["deviceId", "partitionId"],
-        horizon_seconds=horizon,
-        answers=F.expr(
-            f"laterTime >= occurrenceUtcTime AND laterTime <= occurrenceUtcTime + interval {horizon} seconds"
-        )
-        & distance.between(_FIRST_MINUTE, _LAST_MINUTE),
-        lateness=lateness,
-        later_lateness=later_lateness,
-    )
+    minutes = range(_FIRST_MINUTE, _LAST_MINUTE + 1)
+    keys = ["deviceId", "partitionId"]
+    return _unanswered(state_rows(telemetry), telemetry, keys, minutes, F.lit(True), lateness, later_lateness)
 
 
 def _unanswered(
     messages: DataFrame,
     later: DataFrame,
-    *,
     keys: list[str],
-    horizon_seconds: int,
+    bins: range,
     answers: Column,
     lateness: str,
     later_lateness: str,
 ) -> DataFrame:
-    """Messages without an answering later one, as a stream-stream outer join.
+    """Messages that nothing in the given bins after them answers, as an outer join of two streams.
 
-    The join key includes a time bin as wide as the horizon, and every later message also counts for the bin before its
-    own, so a catch-up over hours of one busy device is spread over its bins instead of compared all with all.
+    The later messages are first reduced to one row per key and one-minute bin, each then offered to every earlier bin
+    it may answer. So a message meets at most one row per bin, however busy its device is, and the bin in the join key
+    spreads a busy device over the state partitions.
     """
     left = messages.withWatermark("occurrenceUtcTime", lateness).withColumn(
-        "bin", fields.bin_of(F.col("occurrenceUtcTime"), horizon_seconds)
+        "bin", fields.bin_of(F.col("occurrenceUtcTime"), _STREAM_BIN_SECONDS)
     )
-    own_bin = fields.bin_of(F.col("laterTime"), horizon_seconds)
-    right = (
-        later.select(*[F.col(k).alias(f"later_{k}") for k in keys], F.col("occurrenceUtcTime").alias("laterTime"))
-        .withWatermark("laterTime", later_lateness)
-        .withColumn("laterBin", F.explode(F.array(own_bin - 1, own_bin)))
+    heard = (
+        later.withWatermark("occurrenceUtcTime", later_lateness)
+        .groupBy(F.window("occurrenceUtcTime", f"{_STREAM_BIN_SECONDS} seconds"), *keys)
+        .agg(F.min("occurrenceUtcTime").alias("firstHeard"), F.max("occurrenceUtcTime").alias("lastHeard"))
+        .select(
+            *[F.col(key).alias(f"heard_{key}") for key in keys],
+            F.window_time("window").alias("heardUntil"),
+            "firstHeard",
+            "lastHeard",
+        )
     )
-    same = F.col("bin") == F.col("laterBin")
+    own_bin = fields.bin_of(F.col("heardUntil"), _STREAM_BIN_SECONDS)
+    right = heard.withColumn("answeredBin", F.explode(F.array(*[own_bin - n for n in bins])))
+    same = F.col("bin") == F.col("answeredBin")
     for key in keys:
-        same = same & (F.col(key) == F.col(f"later_{key}"))
-    joined = left.join(right, same & answers, "left_outer")
-    return joined.filter(F.col("laterTime").isNull()).select(*messages.columns)
+        same = same & (F.col(key) == F.col(f"heard_{key}"))
+    # Implied by the bins; tells the join how long to keep its rows.
+    in_time = F.expr(
+        "heardUntil >= occurrenceUtcTime AND "
+        f"heardUntil <= occurrenceUtcTime + interval {bins[-1] * _STREAM_BIN_SECONDS + _STREAM_BIN_SECONDS} seconds"
+    )
+    joined = left.join(right, same & in_time & answers, "left_outer")
+    return joined.filter(F.col("heardUntil").isNull()).select(*messages.columns)

@@ -95,6 +95,8 @@ POSITION = _struct(
     sequenceNumber=_LONG,
 )
 
+DEVICE_CLOCK = _struct(deviceId=_TEXT, partitionId=_INT, occurrenceUtcTime=_TIME)
+
 SQL_EVENT = _struct(deviceid=_TEXT, timestamp=_TIME, geo=_TEXT, json=_TEXT)
 
 PIPELINE_METRIC = _struct(

@@ -3,54 +3,42 @@
 from __future__ import annotations
 
 import datetime as dt
-import sys
-from collections.abc import Iterator
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from fleetpulse.operators.policy import OUT_OF_ORDER_AFTER
-
-# The processor travels to the executors with its code, so they need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-class DeviceClock(StatefulProcessor):
-    """Keeps the latest occurrence a device has sent, and passes on messages that are not too far behind it."""
-
-    def __init__(self, limit: dt.timedelta):
-        self._limit = limit // dt.timedelta(microseconds=1)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._latest = handle.getValueState("latest", T.StructType([T.StructField("micros", T.LongType())]))
-
-    def handleInputRows(self, key, rows: Iterator[T.Row], timerValues) -> Iterator[T.Row]:
-        # One device's share of a micro-batch, which the rate limit of the source bounds.
-        arrived = sorted(rows, key=lambda row: (row.enqueuedUtcTime, row.sequenceNumber))
-        latest = self._latest.get()[0] if self._latest.exists() else None
-        for row in arrived:
-            if latest is None or latest - row.occurredMicros <= self._limit:
-                yield row
-            latest = row.occurredMicros if latest is None else max(latest, row.occurredMicros)
-        if latest is not None:
-            self._latest.update((latest,))
-
-    def close(self) -> None:
-        pass
-
-
-def drop_out_of_order_stream(telemetry: DataFrame, *, limit: dt.timedelta = OUT_OF_ORDER_AFTER) -> DataFrame:
-    """drop_out_of_order on a stream. Messages without a time cannot be placed and are left out."""
-    timed = telemetry.filter(F.col("enqueuedUtcTime").isNotNull() & F.col("occurrenceUtcTime").isNotNull()).withColumn(
-        "occurredMicros", F.unix_micros("occurrenceUtcTime")
-    )
-    kept = timed.groupBy("deviceId", "partitionId").transformWithState(
-        statefulProcessor=DeviceClock(limit),
-        outputStructType=timed.schema,
-        outputMode="Append",
-        timeMode="None",
-    )
-    return kept.drop("occurredMicros")
+
+from fleetpulse.operators.policy import OUT_OF_ORDER_AFTER, drop_out_of_order
+from fleetpulse.schemas import DEVICE_CLOCK
+from fleetpulse.streaming.sinks import BatchWriter
+from fleetpulse.streaming.tables import KeyedTable
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("deviceId", "partitionId").agg(F.max("occurrenceUtcTime").alias("occurrenceUtcTime"))
+
+
+def device_clocks(path: str, *, compact_every: int = 50) -> KeyedTable:
+    """The latest occurrence every device has sent."""
+    return KeyedTable(path, DEVICE_CLOCK, _latest, compact_every=compact_every)
+
+
+def in_device_order(
+    keep: BatchWriter, clocks: KeyedTable, *, limit: dt.timedelta = OUT_OF_ORDER_AFTER
+) -> BatchWriter:
+    """drop_out_of_order on a stream of telemetry: passes on to `keep` what is not too far behind its device.
+
+    A micro-batch starts from the clocks before it and then moves them, all with the batch operators, so a busy device
+    is spread over tasks here too. Messages without a time cannot be placed and are left out.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        timed = batch.filter(F.col("enqueuedUtcTime").isNotNull() & F.col("occurrenceUtcTime").isNotNull())
+        before = clocks.read_before(batch.sparkSession, batch_id)
+        timed.persist()
+        try:
+            keep(drop_out_of_order(timed, limit=limit, clocks=before), batch_id)
+            clocks.write(timed, batch_id)
+        finally:
+            timed.unpersist()
+
+    return write

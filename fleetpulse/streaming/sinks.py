@@ -14,8 +14,6 @@ from pyspark.sql.types import IntegerType, LongType, Row, StringType, StructFiel
 
 from fleetpulse.operators.decode import alert_body
 from fleetpulse.operators.packing import ALERTS_PER_PAYLOAD, alert_payloads
-from fleetpulse.operators.positions import latest_position
-from fleetpulse.schemas import POSITION
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -165,53 +163,6 @@ def payload_append(path: str, *, size: int = ALERTS_PER_PAYLOAD) -> BatchWriter:
     return write
 
 
-class LatestPositions:
-    """One row per device, kept up to date by a stream (single writer, compact_every fixed for its life).
-
-    Every micro-batch adds only its own latest rows. The last batch of each run of `compact_every` merges the run into a
-    new snapshot, so a read takes the newest finished snapshot and the changes of at most one run.
-    """
-
-    def __init__(self, path: str, *, compact_every: int = 50):
-        self.path = path
-        self.compact_every = compact_every
-
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        run, place = divmod(batch_id, self.compact_every)
-        latest_position(batch).write.mode("overwrite").parquet(f"{self._run(run)}/{batch_id}")
-        if place == self.compact_every - 1:
-            # From the snapshot before this run, so that a replay gives the same result.
-            merged = self._merged(batch.sparkSession, snapshot=run - 1)
-            merged.write.mode("overwrite").parquet(self._snapshot(run))
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The latest positions so far."""
-        return self._merged(spark, snapshot=max(_finished(spark, f"{self.path}/snapshot"), default=-1))
-
-    def _merged(self, spark: SparkSession, *, snapshot: int) -> DataFrame:
-        run = self._run(snapshot + 1)
-        paths = [f"{run}/{batch_id}" for batch_id in _finished(spark, run)]
-        if snapshot >= 0:
-            paths.append(self._snapshot(snapshot))
-        if not paths:
-            return spark.createDataFrame([], POSITION)
-        return latest_position(spark.read.schema(POSITION).parquet(*paths))
-
-    def _run(self, run: int) -> str:
-        return f"{self.path}/changes/{run}"
-
-    def _snapshot(self, run: int) -> str:
-        return f"{self.path}/snapshot/{run}"
-
-
-def _finished(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers of the sub-folders whose write has committed."""
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{folder}/*/_SUCCESS")
-    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(int(status.getPath().getParent().getName()) for status in files.globStatus(pattern) or [])
-
-
 def read_appended(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A table written by table_append, without the batch column."""
     return spark.read.schema(schema).parquet(f"{path}/batch_id=*")

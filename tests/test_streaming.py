@@ -15,7 +15,7 @@ from fleetpulse.plans import cold
 from fleetpulse.schemas import ALERT, HUB_MESSAGE, POSITION, TELEMETRY
 from fleetpulse.session import shared_dir, streaming_session
 from fleetpulse.sources.messages import alert_bus_stream, kafka_options, message_stream
-from fleetpulse.streaming import device_time, monitor, queries, sinks
+from fleetpulse.streaming import device_time, monitor, queries, sinks, tables
 
 END = START + dt.timedelta(days=1)
 
@@ -97,25 +97,29 @@ def test_restarted_stream_equals_batch(spark, tmp_path, build, batch):
     assert alerts_of(got) == expected
 
 
-def test_device_clock_survives_a_restart(spark, tmp_path):
-    rows = by_time(random_rows(150, seed=12), "enqueuedUtcTime")
+def test_device_clocks_survive_restarts_and_replays(spark, tmp_path):
+    rows = by_time(random_rows(200, seed=12), "enqueuedUtcTime")
     inbox, out, checkpoint = Inbox(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    once = device_time.in_device_order(
+        sinks.table_append(out), device_time.device_clocks(str(tmp_path / "clocks"), compact_every=2)
+    )
 
-    def build(messages):
-        return device_time.drop_out_of_order_stream(decode.decode_telemetry(messages))
+    def twice(batch, batch_id):
+        once(batch, batch_id)
+        once(batch, batch_id)
 
-    for part in (rows[:50], rows[50:]):
-        inbox.add(part)
-        schema = inbox.run(build, sinks.table_append(out), checkpoint)
+    for i in range(0, 200, 40):
+        inbox.add(rows[i : i + 40])
+        schema = inbox.run(decode.decode_telemetry, twice, checkpoint)
     got = sinks.read_appended(spark, out, schema)
     assert numbers(got) == numbers(policy.drop_out_of_order(telemetry(spark, rows)))
-    assert len(numbers(got)) < 150
+    assert len(numbers(got)) < 200
 
 
 def test_latest_positions_over_restarts_and_snapshots(spark, tmp_path):
     rows = [r for r in random_rows(160, seed=13) if r["sensorType"] == EVENT]
     inbox, checkpoint = Inbox(spark, tmp_path / "in"), str(tmp_path / "checkpoint")
-    table = sinks.LatestPositions(str(tmp_path / "latest"), compact_every=2)
+    table = tables.latest_positions(str(tmp_path / "latest"), compact_every=2)
     assert table.read(spark).count() == 0
     for i in range(0, len(rows), 12):
         inbox.add(rows[i : i + 12])
@@ -124,11 +128,11 @@ def test_latest_positions_over_restarts_and_snapshots(spark, tmp_path):
     inbox.run(queries.position_stream, table.write, checkpoint)
     expected, _ = positions.positions(telemetry(spark, rows))
     assert sorted(table.read(spark).collect()) == sorted(positions.latest_position(expected).collect())
-    assert sinks._finished(spark, f"{table.path}/snapshot")
+    assert tables._finished(spark, f"{table.path}/snapshot")
 
 
 def test_latest_positions_replay_is_harmless(spark, tmp_path):
-    table = sinks.LatestPositions(str(tmp_path), compact_every=2)
+    table = tables.latest_positions(str(tmp_path), compact_every=2)
 
     def batch(*rows):
         return spark.createDataFrame([(d, START + dt.timedelta(seconds=s), 0.0, 0.0, s) for d, s in rows], POSITION)

@@ -16,7 +16,7 @@ from fleetpulse.plans import hot as hot_plan
 from fleetpulse.schemas import ALERT, PIPELINE_METRIC, SQL_EVENT
 from fleetpulse.session import streaming_session
 from fleetpulse.sources.messages import alert_bus_stream, captured_envelopes
-from fleetpulse.streaming import device_time, monitor, queries, sinks
+from fleetpulse.streaming import device_time, monitor, queries, sinks, tables
 from workload import staging
 from workload.telemetry import PROCESSED_AT, messages, telemetry
 
@@ -580,9 +580,12 @@ def substream_time(spark, sf_dir):
     schemas = []
 
     def writer(source, out):
-        kept = device_time.drop_out_of_order_stream(decode.decode_telemetry(source))
-        schemas.append(kept.schema)
-        return appended(kept, out)
+        rows = decode.decode_telemetry(source).select(
+            "sequenceNumber", "deviceId", "partitionId", "occurrenceUtcTime", "enqueuedUtcTime"
+        )
+        schemas.append(rows.schema)
+        clocks = device_time.device_clocks(f"{out}-clocks", compact_every=3)
+        return queries.to_batches(rows, device_time.in_device_order(sinks.table_append(out), clocks))
 
     out = run(spark, sf_dir, "substreams", writer, order="arrival")
     kept = without_sentinel(sinks.read_appended(spark, out, schemas[0]), "deviceId")
@@ -592,11 +595,11 @@ def substream_time(spark, sf_dir):
 @query
 def latest_position_stream(spark, sf_dir):
     def writer(source, out):
-        table = sinks.LatestPositions(out, compact_every=3)
+        table = tables.latest_positions(out, compact_every=3)
         return queries.to_batches(queries.position_stream(source), sinks.with_retries(table.write))
 
     out = run(spark, sf_dir, "latest", writer)
-    return shown(sinks.LatestPositions(out).read(spark))
+    return shown(tables.latest_positions(out, compact_every=3).read(spark))
 
 
 @query
