@@ -11,7 +11,7 @@ from builders import EVENT, START, STATE, numbers, random_rows, telemetry
 from pyspark.sql import functions as F
 
 from fleetpulse.operators import decode, hot, policy, positions, silence
-from fleetpulse.plans import cold
+from fleetpulse.plans import cold, warm
 from fleetpulse.schemas import ALERT, HUB_MESSAGE, POSITION, TELEMETRY
 from fleetpulse.session import shared_dir, streaming_session
 from fleetpulse.sources.messages import alert_bus_stream, kafka_options, message_stream
@@ -275,6 +275,28 @@ def test_a_failing_metric_shipper_does_not_stop_the_stream(spark, tmp_path):
     assert set(json.loads(monitor.metric_json(good[0]))) == set(frame.columns)
 
 
+def test_warm_ingest_of_a_stream(spark, tmp_path):
+    rows = random_rows(90, seed=18)
+    for row in rows[::9]:
+        row["position"] = "a|b|c"
+    as_of = START + dt.timedelta(seconds=1800)
+    inbox = Inbox(spark, tmp_path / "in")
+    folders = [str(tmp_path / name) for name in ("positions", "quarantined", "counters")]
+    write = warm.ingest_writer(*map(sinks.table_append, folders), now=lambda: as_of.replace(tzinfo=dt.timezone.utc))
+    for part in (rows[:50], rows[50:]):
+        inbox.add(part)
+        inbox.run(decode.decode_telemetry, write, str(tmp_path / "checkpoint"))
+    whole = warm.ingest(telemetry(spark, rows), as_of=F.lit(as_of))
+    stored = [spark.read.parquet(f"{folder}/batch_id=*") for folder in folders]
+    assert sorted(stored[0].collect()) == sorted(whole.positions.collect())
+    assert numbers(stored[1]) == numbers(whole.quarantined)
+    counters = stored[2].collect()
+    assert sum(r.received for r in counters) == 90
+    assert sum(r.created for r in counters) == whole.positions.count()
+    assert sum(r.dropped for r in counters) == whole.stale.count()
+    assert all(r.meanWriteMs > 0 for r in counters if r.created)
+
+
 def test_late_rows_are_dropped_two_batches_later(spark, tmp_path):
     def state(number, minute):
         time = START + dt.timedelta(minutes=minute)

@@ -14,7 +14,7 @@ from fleetpulse.operators import decode, deliveries, hot, monitoring, packing, p
 from fleetpulse.plans import cold
 from fleetpulse.plans import hot as hot_plan
 from fleetpulse.schemas import ALERT, PIPELINE_METRIC, SQL_EVENT
-from fleetpulse.session import streaming_session
+from fleetpulse.session import configure, streaming_session
 from fleetpulse.sources.messages import alert_bus_stream, captured_envelopes
 from fleetpulse.streaming import device_time, monitor, queries, sinks, tables
 from workload import staging
@@ -58,7 +58,10 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
+    def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return f(configure(spark), sf_dir)
+
+    QUERIES[f.__name__] = configured
     return f
 
 
