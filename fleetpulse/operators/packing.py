@@ -21,7 +21,10 @@ _SEQUENCES_PER_BIN = 1 << 20
 def pack(
     df: DataFrame, *, size: int, keys: Sequence[str], bin: Column, order: Sequence[str], item: Column
 ) -> DataFrame:
-    """(keys, batchNo, size, items): `item` of every row, `size` rows to a batch, in order within the keys."""
+    """(keys, batchNo, size, items): `item` of every row, `size` rows to a batch, in order within the keys.
+
+    Reads df twice, the first time only its keys and order; store df first if it is expensive to compute.
+    """
     if size < 1:
         raise ValueError("size must be at least 1")
     numbered = position_in_order(df, name="place", keys=keys, bin=bin, order=order)

@@ -138,7 +138,11 @@ def notifier(post: Callable[[str], None], *, size: int = ALERTS_PER_PAYLOAD) ->
             post(row["payload"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        alert_payloads(batch, size=size).select("payload").foreachPartition(send)
+        batch.persist()
+        try:
+            alert_payloads(batch, size=size).select("payload").foreachPartition(send)
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -158,7 +162,11 @@ def payload_append(path: str, *, size: int = ALERTS_PER_PAYLOAD) -> BatchWriter:
     append = table_append(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append(alert_payloads(batch, size=size), batch_id)
+        batch.persist()
+        try:
+            append(alert_payloads(batch, size=size), batch_id)
+        finally:
+            batch.unpersist()
 
     return write
 

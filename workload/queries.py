@@ -409,7 +409,7 @@ def batch_by_count(spark, sf_dir):
 
 @query
 def alert_payload_pack(spark, sf_dir):
-    return packing.alert_payloads(rounded_bus(spark, sf_dir))
+    return packing.alert_payloads(staging.stored(spark, rounded_bus(spark, sf_dir), "bus"))
 
 
 # Monitoring

@@ -89,6 +89,13 @@ def stream(spark: SparkSession, streaming: SparkSession, sf_dir: str, *, order:
     return message_stream(streaming, folder, files_per_trigger=files)
 
 
+def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a written table, for an operator that reads its input twice."""
+    folder = scratch(spark, purpose)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def staged_capture(spark: SparkSession, sf_dir: str) -> str:
     """A capture folder hub/partition/date/hour of envelopes."""
 
