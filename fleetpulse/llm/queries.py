@@ -7,17 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import quality_rules
+from fleetpulse.llm import mixing, packing, quality_rules
 from fleetpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), packing.word_tokenizer())
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, plan = mixing.mix(table(spark, sf_dir, "documents"))
+    sources = spark.createDataFrame(
+        [(s, size, target) for s, (size, target) in plan.sources.items()], "source string, source_size long, target double"
+    )
+    rows = rows.withColumn("_source", F.col("sources")[0]).join(
+        F.broadcast(sources), F.col("_source").eqNullSafe(F.col("source"))
+    )
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality_rules.train(documents, table(spark, sf_dir, "labels"))
     return quality_rules.score(documents, model)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op9_quality_rules,)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_best_fit_packing, op6_mix_sources, op9_quality_rules)}
 ORACLES: dict[str, str] = {}
