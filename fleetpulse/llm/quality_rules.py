@@ -112,8 +112,8 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     rows["quality"].slice(a, b - a),
-                    pa.array([np.concatenate(c) for c in columns], pa.list_(pa.int64())),
-                    pa.array([np.concatenate(v) for v in values], pa.list_(pa.float64())),
+                    pa.array([np.concatenate(c) for c in columns], pa.list_(pa.int32())),
+                    pa.array([np.concatenate(v) for v in values], pa.list_(pa.float32())),
                 ],
                 ["quality", "columns", "values"],
             )
@@ -128,7 +128,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
         rows,
     )
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
-    found = texts.mapInArrow(_sparse, "quality int, columns array<long>, values array<double>").toArrow()
+    found = texts.mapInArrow(_sparse, "quality int, columns array<int>, values array<float>").toArrow()
     y = found["quality"].to_numpy().astype(float)
     if not (0 < y.sum() < len(y)):
         return None
