@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import mixing, packing, quality_rules
+from fleetpulse.llm import mixing, packing, quality_rules, warc
 from fleetpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,11 +29,30 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.captures(spark, folder, blocks=False).select(
+        "page_id", "response.payload_bytes", "response.payload_digest", "response.record_type",
+        F.col("refers_to_page").alias("refers_to"),
+    )
+
+
+OP7_SQL = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+     held AS (SELECT html, max(page_id) AS last FROM page WHERE n >= 1000 GROUP BY html)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN h.html IS NOT NULL AND p.page_id IS DISTINCT FROM h.last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id IS DISTINCT FROM h.last THEN h.last END AS refers_to
+FROM page p LEFT JOIN held h ON p.html = h.html
+"""
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality_rules.train(documents, table(spark, sf_dir, "labels"))
     return quality_rules.score(documents, model)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_best_fit_packing, op6_mix_sources, op9_quality_rules)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_best_fit_packing, op6_mix_sources, op7_warc, op9_quality_rules)}
+ORACLES: dict[str, str] = {"op7_warc": OP7_SQL}
