@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import mixing, packing, quality_rules, toxicity, warc
+from fleetpulse.llm import line_dedup, mixing, packing, quality_rules, toxicity, warc
 from fleetpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "deleted_lines", "text")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), packing.word_tokenizer())
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -59,5 +63,5 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(documents, model)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_toxicity, op5_best_fit_packing, op6_mix_sources, op7_warc, op9_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_toxicity, op4_line_dedup, op5_best_fit_packing, op6_mix_sources, op7_warc, op9_quality_rules)}
 ORACLES: dict[str, str] = {"op7_warc": OP7_SQL}
