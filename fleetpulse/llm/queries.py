@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import line_dedup, mixing, packing, quality_rules, toxicity, warc
+from fleetpulse.llm import line_dedup, mixing, order_minhash, packing, quality_rules, toxicity, warc
 from fleetpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,5 +63,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(documents, model)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_toxicity, op4_line_dedup, op5_best_fit_packing, op6_mix_sources, op7_warc, op9_quality_rules)}
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.class_ids(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_toxicity, op4_line_dedup, op5_best_fit_packing, op6_mix_sources, op7_warc, op9_quality_rules, op10_order_minhash)}
 ORACLES: dict[str, str] = {"op7_warc": OP7_SQL}
