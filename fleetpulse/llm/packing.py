@@ -26,22 +26,25 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import ship_package, slices, stored
+from fleetpulse.llm.text import Batch
 
 CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker remembers, at most.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 1_200_000
 #: Pieces in a hash shard of one length, about.
 SHARD_ROWS = 100_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
-_SPACES = re.compile(r"[\x20\x09-\x0D]+")
 
 
 class Encoder:
     """Token ids of whole texts by a tokenizer file that treats white space as a separator and drops it.
 
-    Such a tokenizer gives a text the ids of its words one after the other, so that each word is encoded once and
-    remembered. Texts with one of the tokenizer's special strings are encoded as they are.
+    Such a tokenizer gives a text the ids of its words one after the other, so that each distinct word is encoded once
+    and remembered, by the 64-bit hash of its bytes. A word of plain letters, with or without full stops and commas
+    after it, goes to the tokenizer's model at once; its normalizer and splitter, whose outcome is known for such words,
+    take most of its time. All other words go through the whole tokenizer, and texts with one of its special strings
+    are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -50,62 +53,128 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, list[int]] = {}
-
-    def words(self, words: list[str]) -> list[list[int]]:
-        known = self.known
-        missing = list({w for w in words if w not in known})
-        if missing:
-            if len(known) + len(missing) > REMEMBERED_WORDS:
-                known.clear()
-                missing = list(set(words))
-            for word, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                known[word] = found.ids
-        return [known[w] for w in words]
-
-    def texts(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text and the end id."""
-        out: list[np.ndarray | None] = [None] * len(texts)
-        for i, text in enumerate(texts):
-            if any(s in text for s in self.special):
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                out[i] = np.array([*ids, END_ID], np.uint32)
-        plain = [i for i in range(len(texts)) if out[i] is None]
-        split = [[w for w in _SPACES.split(texts[i]) if w] for i in plain]
-        ids = iter(self.words(list(chain.from_iterable(split))))
-        for i, words in zip(plain, split):
-            found = list(chain.from_iterable(next(ids) for _ in words))
-            found.append(END_ID)
-            out[i] = np.array(found, np.uint32)
+        # How the splitter spells each letter, asked of itself; letters that it does not take in lower case are not plain.
+        letters = [chr(c) for c in range(0x250) if chr(c).isalpha() and chr(c).islower()]
+        self.spelling = {}
+        for c in letters:
+            split = self.tokenizer.pre_tokenizer.pre_tokenize_str(c)
+            if len(split) == 1 and self.tokenizer.normalizer.normalize_str(c) == c and self._whole(c * 2) == self._model(split[0][0] * 2):
+                self.spelling[ord(c)] = split[0][0]
+        plain = "".join(map(chr, self.spelling))
+        upper = "".join(c.upper() for c in plain if len(c.upper()) == 1 and c.upper().lower() == c and c.upper() != c)
+        upper = "".join(c for c in upper if self.tokenizer.normalizer.normalize_str(c) == c.lower())
+        self.plain = re.compile(f"([{plain}{upper}]+)([.,]*)") if plain else re.compile("(?!)")
+        self._forget()
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _model(self, spelled: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(spelled)]
+
+    def _forget(self) -> None:
+        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.starts, self.lengths = np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.pool = np.array([END_ID], np.uint32)  # place 0: the end id
+        self.parts: dict[str, list[int]] = {}
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        out: list = [None] * len(words)
+        odd = []
+        for i, word in enumerate(words):
+            match = self.plain.fullmatch(word)
+            if match is None:
+                odd.append(i)
+                continue
+            letters, tail = match.group(1).lower(), match.group(2)
+            ids = self.parts.get(letters)
+            if ids is None:
+                ids = self.parts[letters] = self._model(letters.translate(self.spelling))
+            if tail:
+                end = self.parts.get(tail)
+                if end is None:
+                    end = self.parts[tail] = self._whole(tail)
+                ids = ids + end
+            out[i] = ids
+        if odd:
+            for i, found in zip(odd, self.tokenizer.encode_batch_fast([words[i] for i in odd], add_special_tokens=False)):
+                out[i] = found.ids
         return out
 
+    def _places(self, hashes: np.ndarray, word_of) -> np.ndarray:
+        """Where the ids of each word are, after words not yet known have been encoded; word_of gives one's text."""
+        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) + len(distinct) > REMEMBERED_WORDS:
+            self._forget()
+        at = np.searchsorted(self.hashes, distinct)
+        there = np.zeros(len(distinct), bool)
+        inside = at < len(self.hashes)
+        there[inside] = self.hashes[at[inside]] == distinct[inside]
+        new = np.flatnonzero(~there)
+        if len(new):
+            found = self._encode([word_of(i) for i in first[new]])
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            places = len(self.starts) + np.arange(len(new))
+            self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(sizes) - sizes))
+            self.lengths = np.concatenate((self.lengths, sizes))
+            self.pool = np.concatenate((self.pool, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))))
+            self.hashes = np.insert(self.hashes, at[new], distinct[new])
+            self.places = np.insert(self.places, at[new], places)
+            at = np.searchsorted(self.hashes, distinct)
+        return self.places[at][inverse]
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the end id after it, and the bounds of each text among them."""
+        batch = Batch(texts)
+        data = batch.data.tobytes()
+        places = self._places(batch.word_hashes(), lambda i: data[batch.starts[i] : batch.ends[i]].decode("utf-8"))
+        places = np.insert(places, batch.word_bounds[1:], 0)
+        bounds = batch.word_bounds + np.arange(batch.rows + 1)
+        sizes = self.lengths[places]
+        ends = np.cumsum(sizes)
+        ids = self.pool[np.repeat(self.starts[places] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate(([0], ends))[bounds]
+        if any(s.encode() in data for s in self.special):
+            each = [
+                np.array([*self._whole(t), END_ID], np.uint32) if any(s in t for s in self.special) else ids[bounds[i] : bounds[i + 1]]
+                for i, t in enumerate(t or "" for t in texts.to_pylist())
+            ]
+            bounds = np.cumsum([0, *map(len, each)])
+            ids = np.concatenate(each)
+        return ids, bounds
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, which later tasks use again with what it remembers."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
 
 def _tokenizing(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
         for rows in batches:
             for a, b in slices(rows["text"]):
-                texts = [t or "" for t in rows["text"].slice(a, b - a).to_pylist()]
-                docs, pieces, starts, crcs, ids = [], [], [], [], []
-                for doc_id, found in zip(rows["doc_id"].slice(a, b - a).to_pylist(), encoder.texts(texts)):
-                    for k, start in enumerate(range(0, len(found), capacity)):
-                        piece = found[start : start + capacity]
-                        docs.append(doc_id)
-                        pieces.append(k)
-                        starts.append(start)
-                        crcs.append(zlib.crc32(piece.astype("<u4").tobytes()))
-                        ids.append(piece)
-                lengths = np.array([len(i) for i in ids], np.int64)
-                offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-                flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
+                ids, bounds = encoder(path).texts(rows["text"].slice(a, b - a))
+                counts = -(-np.diff(bounds) // capacity)
+                row = np.repeat(np.arange(b - a), counts)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                first = bounds[row] + piece * capacity
+                last = np.minimum(first + capacity, bounds[row + 1])
+                raw = ids.astype("<u4").view(np.uint8)
+                crcs = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(first.tolist(), last.tolist())]
+                offsets = np.concatenate((first, bounds[-1:])).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(docs, pa.int64()),
-                        pa.array(pieces, pa.int32()),
-                        pa.array(starts, pa.int64()),
-                        pa.array(lengths),
+                        rows["doc_id"].slice(a, b - a).take(pa.array(row)),
+                        pa.array(piece.astype(np.int32)),
+                        pa.array(piece * capacity),
+                        pa.array(last - first),
                         pa.array(crcs, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.view(np.int32))),
                     ],
                     ["doc_id", "piece", "start", "length", "ids_crc32", "ids"],
                 )
