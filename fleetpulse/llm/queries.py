@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import line_dedup, mixing, order_minhash, packing, quality_rules, site_quality, toxicity, warc
+from fleetpulse.llm import licenses, line_dedup, mixing, order_minhash, packing, quality_rules, site_quality, toxicity, warc
 from fleetpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return licenses.scan(documents, licenses.train(documents))
+
+
 def op2_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A document's source is its host, the languages of a source are its paths.
     return site_quality.judge_by(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -72,5 +77,5 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.class_ids(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_site_quality, op3_toxicity, op4_line_dedup, op5_best_fit_packing, op6_mix_sources, op7_warc, op9_quality_rules, op10_order_minhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_site_quality, op3_toxicity, op4_line_dedup, op5_best_fit_packing, op6_mix_sources, op7_warc, op9_quality_rules, op10_order_minhash)}
 ORACLES: dict[str, str] = {"op7_warc": OP7_SQL}

@@ -54,6 +54,14 @@ class Batch:
         self.rows = len(texts)
         self._split()
 
+    @classmethod
+    def of(cls, data: np.ndarray, doc_bounds: np.ndarray) -> Batch:
+        """From bytes and the bounds of the texts among them."""
+        self = cls.__new__(cls)
+        self.data, self.doc_bounds, self.rows = data, doc_bounds, len(doc_bounds) - 1
+        self._split()
+        return self
+
     def _split(self) -> None:
         word = ~SPACE[self.data]
         first = np.zeros(len(word) + 1, bool)  # where a text begins, and so a word may
