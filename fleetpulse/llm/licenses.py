@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import hash_sample, ship_package, slices
 from fleetpulse.llm.linear import fit_logistic, fit_platt, sigmoid
-from fleetpulse.llm.text import Batch
+from fleetpulse.llm.text import FOLD, Batch
 
 WINDOW = 64
 MIN_PROBABILITY = 0.5
@@ -129,12 +129,6 @@ OTHER_SENSES = [
     "The lesser of the two evils is to modify the form.",
     "All reserved seats are distributed at the door.",
 ]
-_TABLE = np.arange(256, dtype=np.uint8)
-for _c in range(128):
-    if chr(_c).isupper():
-        _TABLE[_c] = ord(chr(_c).lower())
-    elif not chr(_c).isalnum() and _c not in (9, 10, 11, 12, 13, 32):
-        _TABLE[_c] = 32
 RESULT = (
     "doc_id long, family string, probability double, similarity double, confirmed boolean, "
     "findings array<struct<line:int,family:string,probability:double,similarity:double,confirmed:boolean,text:string>>"
@@ -143,7 +137,7 @@ RESULT = (
 
 def words_of(text: str) -> list[str]:
     """The words of a unit, as the arrays see them."""
-    return _TABLE[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-8", "replace").split()
+    return FOLD[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-8", "replace").split()
 
 
 def _pairs(words: list[str]) -> set[tuple[str, str]]:
@@ -298,7 +292,7 @@ def scan(documents: DataFrame, model: Model, min_probability: float = MIN_PROBAB
         for rows in batches:
             for a, b in slices(rows["text"]):
                 plain = Batch(rows["text"].slice(a, b - a))
-                batch = Batch.of(_TABLE[plain.data], plain.doc_bounds)
+                batch = Batch.of(FOLD[plain.data], plain.doc_bounds)
                 hashes = batch.word_hashes()
                 found = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
                 weight = np.where(table[found] == hashes, most[found], 0.0)

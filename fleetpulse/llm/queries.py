@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import licenses, line_dedup, mixing, order_minhash, packing, quality_rules, site_quality, toxicity, warc
+from fleetpulse.llm import licenses, line_dedup, mixing, order_minhash, packing, quality_rules, search, site_quality, toxicity, warc
 from fleetpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,12 @@ FROM page p LEFT JOIN held h ON p.html = h.html
 """
 
 
+def op8_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    queries = documents.where(search.every_twentieth(F.col("doc_id"))).select(F.col("doc_id").alias("query_id"), "text")
+    return search.search(search.index(documents), queries)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality_rules.train(documents, table(spark, sf_dir, "labels"))
@@ -77,5 +83,19 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.class_ids(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_site_quality, op3_toxicity, op4_line_dedup, op5_best_fit_packing, op6_mix_sources, op7_warc, op9_quality_rules, op10_order_minhash)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_license_scan,
+        op2_site_quality,
+        op3_toxicity,
+        op4_line_dedup,
+        op5_best_fit_packing,
+        op6_mix_sources,
+        op7_warc,
+        op8_bm25_search,
+        op9_quality_rules,
+        op10_order_minhash,
+    )
+}
 ORACLES: dict[str, str] = {"op7_warc": OP7_SQL}

@@ -42,6 +42,15 @@ def _power(which: str, n: int) -> np.ndarray:
     return _powers[which][:n]
 
 
+#: ASCII letters in lower case, ASCII punctuation as blanks.
+FOLD = np.arange(256, dtype=np.uint8)
+for _c in range(128):
+    if chr(_c).isupper():
+        FOLD[_c] = ord(chr(_c).lower())
+    elif not chr(_c).isalnum() and not SPACE[_c]:
+        FOLD[_c] = 32
+
+
 class Batch:
     """Texts of an Arrow array (null: empty) as bytes, words and hashes."""
 
