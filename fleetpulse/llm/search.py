@@ -5,11 +5,12 @@ task indexes the documents it reads in shards of bounded size: for each term the
 Term counts over all shards, the number of documents and their mean length are global, so that a score does not depend
 on the shard.
 
-A shard answers a block of queries as follows. Its documents lie in blocks. Terms in few of its documents are added up
-over their postings. Terms in many of them have, for each block, the most that they add to any document in it; a
-document whose rare terms and its block's maxima do not reach the k-th best score known so far is skipped, and only the
-others get their exact score. Every shard returns its k best, and the best k of all shards are the result. Scores are
-rounded to nine decimals, ties go to the smaller id.
+A shard answers queries as follows. Its documents lie in blocks. Terms in few of its documents are added up over their
+postings. Terms in many of them have, for each block, the most that they add to any document in it. A k-th best score
+to begin with comes from the documents with the most from rare terms; a block whose best document cannot reach it is
+skipped for that query, and only the others get their exact scores, for many queries in one product. Every shard
+returns its k best, and the best k of all shards are the result. Scores are rounded to nine decimals, ties go to the
+smaller id.
 
 The work of all queries is queries times documents, less what is skipped: where queries grow with the documents it grows
 with their product. Null or empty text: a document that no query finds, a query that finds nothing. Null doc_id: a
@@ -29,17 +30,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import ship_package, slices, stored
-from fleetpulse.llm.text import FOLD, Batch
+from fleetpulse.llm.text import FOLD, U64, Batch, mix
 
 K = 10
 K1, B = 1.2, 0.75
 SHARD_DOCS = 16_384
 SHARD_POSTINGS = 4_000_000
-BLOCK_DOCS = 64
+BLOCK_DOCS = 128
+BLOCKS_TOGETHER = 16
 #: Terms in more than one of so many documents of a shard have block maxima.
-COMMON = 32
+COMMON = 16
 QUERY_BLOCK = 4096
+#: Queries whose scores a task holds at once.
+TOGETHER = 128
 _NO_ID = -(2**63)
+_ROW = U64(0xD6E8FEB86659FD93)
 SHARD = "shard string, ids array<long>, lengths array<int>, terms array<long>, counts array<int>, docs array<int>, freqs array<int>"
 ANSWER = "query_id long, hits array<struct<minus:double,doc:bigint>>"
 
@@ -52,10 +57,9 @@ def term_batch(texts: pa.Array) -> Batch:
 def term_counts(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, term and frequency of each distinct term of each text, in order of text."""
     hashes, rows = batch.word_hashes(), batch.word_row
-    order = np.lexsort((hashes, rows))
-    h, r = hashes[order], rows[order]
-    new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (r[1:] != r[:-1])))) if len(h) else np.zeros(0, int)
-    return r[new], h[new].view(np.int64), np.diff(np.concatenate((new, [len(h)])))
+    _, first, counts = np.unique(mix(hashes + rows.astype(U64) * _ROW), return_index=True, return_counts=True)
+    order = np.argsort(rows[first], kind="stable")
+    return rows[first][order], hashes[first][order].view(np.int64), counts[order]
 
 
 def _lists(values: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -131,12 +135,13 @@ class Shard:
             dense[docs[bounds[t] : bounds[t + 1]], c] = impact[bounds[t] : bounds[t + 1]]
         # Documents alike in their common terms share blocks: order by the main direction of those terms.
         along = np.ones(len(common))
-        centred = dense - dense.mean(0) if self.n else dense
         along[: len(common) // 2] = -1
+        mean = dense.mean(0) if self.n else along
         for _ in range(4):
-            along = centred.T @ (centred @ along)
+            projected = dense @ along - mean @ along
+            along = projected @ dense - projected.sum() * mean
             along /= np.linalg.norm(along) + 1e-12
-        order = np.argsort(centred @ along, kind="stable")
+        order = np.argsort(dense @ along, kind="stable")
         place = np.empty(self.n, np.int64)
         place[order] = np.arange(self.n)
         self.ids, self.dense = self.ids[order], dense[order]
@@ -144,39 +149,55 @@ class Shard:
         self.column = np.full(len(self.terms), -1)
         self.column[common] = np.arange(len(common))
         self.starts = np.arange(0, self.n, BLOCK_DOCS)
-        self.block = np.arange(self.n) // BLOCK_DOCS
         self.most = np.maximum.reduceat(self.dense, self.starts) if self.n else self.dense
 
     def best(self, terms: np.ndarray, weights: np.ndarray, bounds: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each query (its range of terms) the scores and ids of its k best documents."""
         at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
         there = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        column = np.where(there, self.column[at] if len(self.terms) else -1, -1)
-        for low, high in zip(bounds[:-1], bounds[1:]):
-            t, w = at[low:high], weights[low:high]
-            is_common = column[low:high] >= 0
-            rare = there[low:high] & ~is_common
-            start, size = self.bounds[t[rare]], self.bounds[t[rare] + 1] - self.bounds[t[rare]]
+        column = np.where(there, self.column[at], -1) if len(self.terms) else np.full(len(terms), -1)
+        for first in range(0, len(bounds) - 1, TOGETHER):
+            limits = bounds[first : first + TOGETHER + 1]
+            part = slice(limits[0], limits[-1])
+            query = np.repeat(np.arange(len(limits) - 1), np.diff(limits))
+            yield from self._some(query, len(limits) - 1, at[part], there[part], column[part], weights[part], k)
+
+    def _some(self, query, number, at, there, column, weight, k) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        rare = there & (column < 0)
+        scores = np.zeros((number, self.n))
+        for q in range(number):
+            low, high = np.searchsorted(query, (q, q + 1))
+            use = rare[low:high]
+            start, size = self.bounds[at[low:high][use]], self.bounds[at[low:high][use] + 1] - self.bounds[at[low:high][use]]
             ends = np.cumsum(size)
-            total = int(ends[-1]) if len(ends) else 0
-            posting = np.repeat(start - ends + size, size) + np.arange(total)
-            score = np.bincount(self.docs[posting], self.impact[posting] * np.repeat(w[rare], size), self.n)
-            use, weight = column[low:high][is_common], w[is_common]
-            if len(use):
-                limit = self.most[:, use] @ weight
-                bound = score + limit[self.block]
-                # The k best bounds give a first k-th best score; then only documents whose bound reaches it remain.
-                first = np.argpartition(-bound, k)[:k] if self.n > k else np.arange(self.n)
-                least = (score[first] + self.dense[np.ix_(first, use)] @ weight).min() if self.n > k else -1.0
-                left = np.flatnonzero(bound >= least - 1e-7)
-                score, ids = score[left] + self.dense[np.ix_(left, use)] @ weight, self.ids[left]
-            else:
-                left = np.flatnonzero(score > 0)
-                score, ids = score[left], self.ids[left]
-            score = np.round(score, 9)
-            order = np.lexsort((ids, -score))[:k]
-            order = order[score[order] > 0]
-            yield score[order], ids[order]
+            posting = np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+            scores[q] = np.bincount(self.docs[posting], self.impact[posting] * np.repeat(weight[low:high][use], size), self.n)
+        common = np.zeros((number, self.dense.shape[1]))
+        common[query[column >= 0], column[column >= 0]] = weight[column >= 0]
+        # What a document of each block can reach at most, and a k-th best score to reach: that of the k documents with
+        # the most from rare terms.
+        reach = np.maximum.reduceat(scores, self.starts, axis=1) + common @ self.most.T
+        least = np.full(number, -1.0)
+        if self.n > k:
+            top = np.argpartition(-scores, k, axis=1)[:, :k]
+            for q in range(number):
+                least[q] = (scores[q, top[q]] + self.dense[top[q]] @ common[q]).min()
+        active = reach >= least[:, None] - 1e-7
+        # One product for some blocks at a time, for the queries that none of them lets skip.
+        for b in range(0, len(self.starts), BLOCKS_TOGETHER):
+            some = np.flatnonzero(active[:, b : b + BLOCKS_TOGETHER].any(1))
+            start, end = b * BLOCK_DOCS, min((b + BLOCKS_TOGETHER) * BLOCK_DOCS, self.n)
+            if len(some):
+                scores[some, start:end] += common[some] @ self.dense[start:end].T
+        skipped = np.repeat(~active, BLOCK_DOCS, axis=1)[:, : self.n]
+        scores[skipped] = 0
+        np.round(scores, 9, out=scores)
+        for q in range(number):
+            row = scores[q]
+            floor = np.partition(row, self.n - k)[self.n - k] if self.n > k else 0.0
+            left = np.flatnonzero((row >= floor) & (row > 0))
+            order = np.lexsort((self.ids[left], -row[left]))[:k]
+            yield row[left][order], self.ids[left][order]
 
 
 def _answering(mean_length: float, k: int):
