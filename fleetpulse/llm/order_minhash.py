@@ -11,9 +11,9 @@ is a connected component of links.
 
 A bucket's pairs are not listed. Equal texts are one node. Each bucket has a hub, the member with the fullest buckets,
 which every member is aligned with; members linked so are one. Only buckets that still hold several components are
-looked at again, in blocks: a pair of different components is aligned if its sketches agree enough and if what both have
-in common with the hub, and outside it, leaves room for the threshold. No pair that shares a band and could reach the
-threshold is left out.
+looked at again, in blocks: a pair of different components is aligned if its sketches agree enough and if the k-mers
+that both share with the hub, and those they share outside it, reach the threshold as sets. No pair that shares a band
+and could reach the threshold is left out, and hardly any other is listed.
 
 Null or empty text: a class of its own. Texts of fewer than five words: one k-mer, so equal texts only. Null doc_id:
 before all others; equal ids are told apart by their text; rows that agree in both are one node. Very long texts are
@@ -39,6 +39,8 @@ THRESHOLD = 0.8
 SKETCHES = 32
 #: Sketches of 32 that candidates share at least: texts at the threshold share 20 on average, with a deviation of 2.7.
 MIN_SHARED = 8
+#: A member is aligned with its hub if neither has more than four times the k-mers of the other.
+HUB_LENGTHS = 0.25
 #: Members of a block of a large bucket.
 BLOCK = 1024
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=U64) * U64(0xA0761D6478BD642F)) | U64(1)
@@ -125,8 +127,8 @@ def _labelling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([rows["d"].slice(a, b - a), rows["h"].slice(a, b - a), lists], ["d", "h", "ids"])
 
 
-def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[bool, np.ndarray]:
-    """Whether two sequences of labels reach the threshold, and the places in a of all labels they share.
+def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[bool, np.ndarray, np.ndarray]:
+    """Whether two sequences of labels reach the threshold, and the places of all labels they share, in a and in b.
 
     An alignment of enough labels leaves at most so many unmatched, and so stays within a band of that width.
     """
@@ -135,11 +137,11 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[bool, np.nd
     order = np.argsort(at)
     at, to = at[order], to[order]
     if len(at) < needed:
-        return False, at
+        return False, at, to
     inside = np.abs(at - to) <= len(a) + len(b) - 2 * needed + 1
     path = to[inside]
     kept = len(path) if (np.diff(path) > 0).all() else len(increasing(path.tolist()))
-    return kept >= needed, at
+    return kept >= needed, at, to
 
 
 def _aligning(threshold: float):
@@ -151,14 +153,14 @@ def _aligning(threshold: float):
             linked, shared, outside = [], [], []
             for i in range(rows.num_rows):
                 a, b = la[oa[i] : oa[i + 1]], lb[ob[i] : ob[i + 1]]
-                yes, at = aligned(a, b, threshold)
+                yes, at, to = aligned(a, b, threshold)
                 bits = np.zeros(len(a), bool)
                 bits[at] = True
                 linked.append(yes)
                 shared.append(np.packbits(bits).tobytes())
-                outside.append(len(b) - len(at))
+                outside.append(np.sort(np.delete(b, to).astype(np.int32)).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [rows["a"], rows["b"], pa.array(linked), pa.array(shared, pa.binary()), pa.array(outside, pa.int32())],
+                [rows["a"], rows["b"], pa.array(linked), pa.array(shared, pa.binary()), pa.array(outside, pa.binary())],
                 ["a", "b", "linked", "shared", "outside"],
             )
 
@@ -169,18 +171,15 @@ _NODE = "struct<d:bigint,h:bigint>"
 
 
 def align(pairs: DataFrame, sequences: DataFrame, threshold: float) -> DataFrame:
-    """For pairs of the structs a and b: linked, the places in a that b shares as bits, labels of b outside a."""
+    """For pairs of the structs a and b: linked, the places in a that b shares as bits, and the labels of b outside a (32
+    bits of each, in order)."""
     rows = (
         pairs.select("a", "b")
         .join(sequences.select(F.col("node").alias("b"), F.col("ids").alias("b_ids")), "b")
         .join(sequences.select(F.col("node").alias("a"), F.col("ids").alias("a_ids")), "a")
         .select("a", "b", "a_ids", "b_ids")
     )
-    return rows.mapInArrow(_aligning(threshold), f"a {_NODE}, b {_NODE}, linked boolean, shared binary, outside int")
-
-
-def _shared_sketches(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    return rows.mapInArrow(_aligning(threshold), f"a {_NODE}, b {_NODE}, linked boolean, shared binary, outside binary")
 
 
 def _length_fits(a: str, b: str, threshold: float) -> Column:
@@ -188,43 +187,51 @@ def _length_fits(a: str, b: str, threshold: float) -> Column:
 
 
 def _crossing(threshold: float):
-    """Pairs of different components within a block, or between two, that may reach the threshold."""
+    """Pairs of different components within a block, or between two, that may reach the threshold; each pair only in the
+    first band it shares."""
+
+    def pairs(members: dict, band: int, across: bool) -> Iterator[tuple[int, int]]:
+        size, label, side = (np.array(members[c]) for c in ("n", "label", "side"))
+        sketch = np.array(members["sketch"])
+        known = np.array([x is not None for x in members["shared"]])
+        width = max((len(x) for x in members["shared"] if x is not None), default=0)
+        bits = np.zeros((len(size), width), np.uint8)
+        for k in np.flatnonzero(known):
+            bits[k, : len(members["shared"][k])] = np.frombuffer(members["shared"][k], np.uint8)
+        bits = np.unpackbits(bits, axis=1).astype(np.float32)
+        outside = [np.frombuffer(x or b"", np.int32) for x in members["outside"]]
+        extra = np.array([len(x) for x in outside])
+        for k in range(len(size) - 1):
+            later = np.arange(k + 1, len(size))
+            later = later[(label[later] != label[k]) & ((side[later] != side[k]) | (not across))]
+            later = later[np.minimum(size[later], size[k]) >= (threshold - 1e-9) * np.maximum(size[later], size[k])]
+            if not len(later):
+                continue
+            same = sketch[later] == sketch[k]
+            first = (same & np.roll(same, -1, axis=1)).argmax(1)
+            later = later[(same.sum(1) >= MIN_SHARED) & (first == band)]
+            needed = threshold / (1 + threshold) * (size[later] + size[k]) - 1e-6
+            through_hub = bits[later] @ bits[k]
+            unknown = ~known[later] | ~known[k]
+            maybe = unknown | (through_hub + np.minimum(extra[later], extra[k]) >= needed)
+            for x, most, least, is_open in zip(later[maybe], through_hub[maybe], needed[maybe], unknown[maybe]):
+                if is_open or most + np.intersect1d(outside[k], outside[x]).size >= least:
+                    yield k, x
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             a, b = [], []
+            bands, lows, highs = (rows[c].to_pylist() for c in ("j", "low", "high"))
             for i in range(rows.num_rows):
-                members = rows["members"][i].as_py()
-                members.sort(key=lambda m: (m["node"]["d"], m["node"]["h"]))
-                size = np.array([m["n"] for m in members])
-                label = np.unique([f"{m['label']['d']},{m['label']['h']}" for m in members], return_inverse=True)[1]
-                side = np.array([m["side"] for m in members])
-                sketch = np.array([m["sketch"] for m in members])
-                hub = np.array([m["shared"] is None for m in members])
-                width = max([len(m["shared"]) for m in members if m["shared"] is not None], default=0)
-                bits = np.zeros((len(members), width), np.uint8)
-                for k, m in enumerate(members):
-                    if m["shared"] is not None:
-                        bits[k, : len(m["shared"])] = np.frombuffer(m["shared"], np.uint8)
-                bits = np.unpackbits(bits, axis=1).astype(np.float32)
-                outside = np.array([m["outside"] or 0 for m in members])
-                across = rows["low"][i].as_py() != rows["high"][i].as_py()
-                for k in range(len(members) - 1):
-                    later = np.arange(k + 1, len(members))
-                    later = later[(label[later] != label[k]) & ((side[later] != side[k]) | (not across))]
-                    small, large = np.minimum(size[later], size[k]), np.maximum(size[later], size[k])
-                    later = later[small >= (threshold - 1e-9) * large]
-                    if not len(later):
-                        continue
-                    later = later[(sketch[later] == sketch[k]).sum(1) >= MIN_SHARED]
-                    if not len(later):
-                        continue
-                    most = bits[later] @ bits[k] + np.minimum(outside[later], outside[k])
-                    unknown = hub[later] | hub[k]
-                    fits = unknown | (most >= threshold / (1 + threshold) * (size[later] + size[k]) - 1e-6)
-                    for x in later[fits]:
-                        a.append(members[k]["node"])
-                        b.append(members[x]["node"])
+                found = rows["members"][i].values
+                members = {c: found.field(c).to_pylist() for c in ("n", "sketch", "shared", "outside", "side")}
+                nodes = found.field("node").to_pylist()
+                numbers = {}
+                members["label"] = [numbers.setdefault((x["d"], x["h"]), len(numbers)) for x in found.field("label").to_pylist()]
+                for x, y in pairs(members, bands[i], lows[i] != highs[i]):
+                    u, v = sorted((nodes[x], nodes[y]), key=lambda n: (n["d"], n["h"]))
+                    a.append(u)
+                    b.append(v)
             node = pa.struct([("d", pa.int64()), ("h", pa.int64())])
             yield pa.RecordBatch.from_arrays([pa.array(a, node), pa.array(b, node)], ["a", "b"])
 
@@ -248,7 +255,7 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.sequence(F.lit(0), F.lit(SKETCHES - 1)),
         lambda j: F.xxhash64(j, F.get("sketch", j), F.get("sketch", (j + 1) % SKETCHES)),
     )
-    rows = sketched.select("node", "n", F.explode(bands).alias("band"))
+    rows = sketched.select("node", "n", F.posexplode(bands).alias("j", "band"))
     full = rows.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(rows.join(full, "band"), "members")
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
@@ -261,13 +268,10 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     members = stored(members.join(hubs, "band"), "members")
     sketch = nodes.select("node", "sketch")
     pairs = (
-        members.where((F.col("hub") != F.col("node")) & _length_fits("n", "hub_n", threshold))
+        # A hub is aligned with members of another length, too: what they share with it tells members apart.
+        members.where((F.col("hub") != F.col("node")) & _length_fits("n", "hub_n", HUB_LENGTHS))
         .select(F.col("hub").alias("a"), F.col("node").alias("b"))
         .distinct()
-        .join(sketch.select(F.col("node").alias("b"), F.col("sketch").alias("b_sketch")), "b")
-        .join(sketch.select(F.col("node").alias("a"), F.col("sketch").alias("a_sketch")), "a")
-        .where(_shared_sketches("a_sketch", "b_sketch") >= MIN_SHARED)
-        .select("a", "b")
     )
     # A member that fails here may still be like another member: all members' labels are kept at hand.
     wanted = members.select("node").distinct()
@@ -303,7 +307,7 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         open_members.select("*", other)
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
-        .groupBy("band", "low", "high")
+        .groupBy("band", "j", "low", "high")
         .agg(
             F.collect_list(
                 F.struct("node", "label", "n", "sketch", "shared", "outside", F.col("block").alias("side"))
@@ -311,7 +315,7 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         )
         .where(F.size("members") > 1)
     )
-    crossing = blocks.mapInArrow(_crossing(threshold), f"a {_NODE}, b {_NODE}").distinct()
+    crossing = blocks.mapInArrow(_crossing(threshold), f"a {_NODE}, b {_NODE}")
     more = stored(align(crossing, sequences, threshold).where("linked").select("a", "b"), "cross")
     labels = components(links.unionByName(more))
     first = nodes.join(labels, "node", "left").select("one", "two", F.coalesce("label", "node").alias("first"))
