@@ -177,15 +177,16 @@ def dedup_lines(documents: DataFrame, rare_words: int = RARE_WORDS, min_block_wo
     """The documents with all their columns, the text without the deleted blocks, and deleted_lines (their number)."""
     spans = stored(deletions(documents, rare_words, min_block_words), "deletions")
     spans = spans.select(F.struct("d", "h").alias("_key"), F.col("spans").alias("_spans"))
-    names = [c for c in documents.columns if c.lower() != "deleted_lines"]
-    joined = documents.withColumn("_key", row_key()).join(spans, "_key", "left")
-    parts = F.split("text", "\n", -1)
+    rows = documents.select(F.struct("*").alias("_whole"), F.col("text").alias("_text"), row_key().alias("_key"))
     gone = F.array_distinct(F.flatten(F.transform("_spans", lambda s: F.sequence(s[0], s[1]))))
-    kept = F.filter(parts, lambda _, i: ~F.array_contains(F.col("_gone"), i))
+    kept = F.filter(F.split("_text", "\n", -1), lambda _, i: ~F.array_contains(F.col("_gone"), i))
+    left = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n"))
+    names = [c for c in documents.columns if c.lower() != "deleted_lines"]
     return (
-        joined.withColumn("_gone", F.when(F.col("_spans").isNotNull(), gone))
-        .withColumn("deleted_lines", F.coalesce(F.size("_gone"), F.lit(0)))
-        .withColumn("deleted_lines", F.greatest("deleted_lines", F.lit(0)))
-        .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-        .select(*names, "deleted_lines")
+        rows.join(spans, "_key", "left")
+        .withColumn("_gone", F.when(F.col("_spans").isNotNull(), gone))
+        .select(
+            *[left.alias(c) if c == "text" else F.col("_whole")[c].alias(c) for c in names],
+            F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("deleted_lines"),
+        )
     )

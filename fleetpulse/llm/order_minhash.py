@@ -337,8 +337,9 @@ def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The first document of each class, with all its columns; of repeated rows one."""
     found = stored(classes(documents, threshold), "classes")
     drop = found.where("node <> first").select("node").distinct()
-    kept = documents.withColumn("_key", row_key()).join(drop, F.col("_key") == F.col("node"), "left_anti")
+    rows = documents.select(F.struct("*").alias("whole"), row_key().alias("_key"))
+    kept = rows.join(drop, F.col("_key") == F.col("node"), "left_anti")
     again = found.where("node = first").groupBy("node").agg(F.count("*").alias("times")).where("times > 1").select("node")
     once = kept.join(again, F.col("_key") == F.col("node"), "left_anti")
     several = kept.join(again, F.col("_key") == F.col("node"), "left_semi").dropDuplicates(["_key"])
-    return once.unionByName(several).drop("_key")
+    return once.unionByName(several).select("whole.*")
