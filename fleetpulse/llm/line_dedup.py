@@ -183,7 +183,8 @@ def dedup_lines(documents: DataFrame, rare_words: int = RARE_WORDS, min_block_wo
     left = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n"))
     names = [c for c in documents.columns if c.lower() != "deleted_lines"]
     return (
-        rows.join(spans, "_key", "left")
+        # The spans grow with the documents: the same join at every size, and no broadcast.
+        rows.join(spans.hint("merge"), "_key", "left")
         .withColumn("_gone", F.when(F.col("_spans").isNotNull(), gone))
         .select(
             *[left.alias(c) if c == "text" else F.col("_whole")[c].alias(c) for c in names],
