@@ -5,8 +5,7 @@ case without ASCII punctuation. For each family a sparse logistic regression (si
 zero by l1) is trained on notices of that family, cut, thinned and embedded at random, against the notices of the others,
 sentences about licences in another sense, shuffled notices, and lines of a bounded sample of documents. The best
 family's score is calibrated on examples that the fit left out: below `MIN_PROBABILITY` a unit is of the unknown class.
-A prediction is confirmed if enough of the unit's word pairs are pairs of one template of the family, or of the
-template's are the unit's.
+A prediction is confirmed if the unit has enough of one template's word pairs, or a stretch that is mostly such pairs.
 
 A unit that has too little weight in its words for any family cannot be predicted; this bound is taken over all units in
 arrays, and only the others are scored one by one. No unit is left out.
@@ -30,9 +29,12 @@ from fleetpulse.llm.common import hash_sample, ship_package, slices
 from fleetpulse.llm.linear import fit_logistic, fit_platt, sigmoid
 from fleetpulse.llm.text import FOLD, Batch
 
-WINDOW = 64
+WINDOW = 32
+PART = 16
 MIN_PROBABILITY = 0.5
 MIN_SIMILARITY = 0.6
+#: Word pairs of a template that a stretch must have at least, if the template has as many.
+MIN_PAIRS = 5
 #: Documents whose lines serve as background, at most, and lines of them.
 BACKGROUND_ROWS = 300
 BACKGROUND_LINES = 3000
@@ -144,6 +146,29 @@ def _pairs(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:])) or {(w, "") for w in words}
 
 
+def similarity(words: list[str], template: set[tuple[str, str]]) -> float:
+    """How much of the template a unit has, or how much of a stretch of the unit, with enough pairs, is the template's."""
+    pairs = list(zip(words, words[1:])) or [(w, "") for w in words]
+    hits = [i for i, p in enumerate(pairs) if p in template]
+    if not hits:
+        return 0.0
+    whole = len({pairs[i] for i in hits}) / len(template)
+    if len(hits) < min(MIN_PAIRS, len(template)):
+        return whole
+    # The stretch that has the most pairs of the template more than others.
+    best, begin, total = 0.0, 0, 0
+    for i, p in enumerate(pairs):
+        total += 1 if p in template else -1
+        if total <= 0:
+            begin, total = i + 1, 0
+        elif total >= min(MIN_PAIRS, len(template)) - 1:
+            stretch = pairs[begin : i + 1]
+            inside = sum(x in template for x in stretch)
+            if inside >= min(MIN_PAIRS, len(template)):
+                best = max(best, inside / len(stretch))
+    return max(whole, best)
+
+
 @dataclass
 class Model:
     families: list[str]
@@ -163,13 +188,13 @@ class Model:
         return total
 
     def judge(self, words: list[str]) -> tuple[str, float, float]:
-        """Family, calibrated probability, and similarity to the family's nearest template."""
-        scores = self.scores(words)
+        """Family, calibrated probability, and similarity to the family's nearest template: of the unit, or of the part
+        of `PART` words that scores best."""
+        parts = [words, *(words[i : i + PART] for i in range(0, max(len(words) - PART, 0) + 3, PART // 4) if len(words) > PART)]
+        scores = max((self.scores(part) for part in parts), key=np.max)
         k = int(np.argmax(scores))
         probability = float(sigmoid(self.slope * scores[k] + self.intercept))
-        own = _pairs(words)
-        similarity = max(max(len(own & t) / len(own), len(own & t) / len(t)) for t in self.templates[k]) if own else 0.0
-        return self.families[k], probability, similarity
+        return self.families[k], probability, max(similarity(words, t) for t in self.templates[k])
 
     def least_score(self, min_probability: float) -> float:
         """The score that a unit must reach to be predicted at all."""
@@ -191,9 +216,12 @@ def _examples(draw: random.Random, background: list[list[str]], families: list[s
             for _ in range(30):
                 part = cut(words, max(5, 2 * len(words) // 3))
                 out.append(([w for w in part if draw.random() > 0.05] or part, k))
-            for _ in range(20):
-                before, after = cut(draw.choice(background), 2)[:12], cut(draw.choice(background), 2)[:12]
-                out.append((before + words[:WINDOW] + after, k))
+            for _ in range(40):
+                # Within other text, up to a whole window of it.
+                inside = cut(words, max(5, min(len(words), 16)))[:WINDOW]
+                around = [w for _ in range(4) for w in draw.choice(background)][: draw.randint(0, WINDOW - len(inside))]
+                spot = draw.randint(0, len(around))
+                out.append((around[:spot] + inside + around[spot:], k))
             for _ in range(8):
                 mixed = words[:]
                 draw.shuffle(mixed)
@@ -298,12 +326,12 @@ def scan(documents: DataFrame, model: Model, min_probability: float = MIN_PROBAB
                 weight = np.where(table[found] == hashes, most[found], 0.0)
                 begin, end, line = _units(batch)
                 sums = np.concatenate(([0.0], np.cumsum(weight)))
-                bound = (sums[end] - sums[begin]) / np.sqrt(np.maximum(end - begin, 1))
+                bound = (sums[end] - sums[begin]) / np.sqrt(np.clip(end - begin, 1, PART))
                 data, raw = batch.data.tobytes(), plain.data.tobytes()
                 each: list[list[dict]] = [[] for _ in range(batch.rows)]
                 for u in np.flatnonzero(bound >= least - 1e-9):
                     x, y = int(batch.starts[begin[u]]), int(batch.ends[end[u] - 1])
-                    family, probability, similarity = m.judge(data[x:y].decode("utf-8", "replace").split())
+                    family, probability, alike = m.judge(data[x:y].decode("utf-8", "replace").split())
                     if probability < min_probability:
                         continue
                     each[int(batch.word_row[begin[u]])].append(
@@ -311,8 +339,8 @@ def scan(documents: DataFrame, model: Model, min_probability: float = MIN_PROBAB
                             "line": int(line[u]),
                             "family": family,
                             "probability": probability,
-                            "similarity": similarity,
-                            "confirmed": similarity >= min_similarity,
+                            "similarity": alike,
+                            "confirmed": alike >= min_similarity,
                             "text": raw[x:y].decode("utf-8", "replace"),
                         }
                     )

@@ -336,10 +336,12 @@ def class_ids(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The first document of each class, with all its columns; of repeated rows one."""
     found = stored(classes(documents, threshold), "classes")
-    drop = found.where("node <> first").select("node").distinct()
+    # What becomes of a row: others than the first go, and of rows that repeat the first one stays.
+    fate = found.groupBy(F.col("node").alias("_key")).agg(
+        F.when(F.first(F.col("node") != F.col("first")), "goes").when(F.count("*") > 1, "once").alias("fate")
+    )
     rows = documents.select(F.struct("*").alias("whole"), row_key().alias("_key"))
-    kept = rows.join(drop, F.col("_key") == F.col("node"), "left_anti")
-    again = found.where("node = first").groupBy("node").agg(F.count("*").alias("times")).where("times > 1").select("node")
-    once = kept.join(again, F.col("_key") == F.col("node"), "left_anti")
-    several = kept.join(again, F.col("_key") == F.col("node"), "left_semi").dropDuplicates(["_key"])
+    joined = rows.join(fate.where("fate is not null").hint("merge"), "_key", "left")
+    once = joined.where("fate is null").select("whole", "_key")
+    several = joined.where("fate = 'once'").select("whole", "_key").dropDuplicates(["_key"])
     return once.unionByName(several).select("whole.*")
