@@ -35,6 +35,11 @@ def to_number(text: Column) -> Column:
     return text.try_cast("double")
 
 
+def to_whole(text: Column) -> Column:
+    """Number text to int, its fraction cut off ('3.0' and '3.9' are 3); NULL if malformed or out of range."""
+    return text.try_cast("double").try_cast("int")
+
+
 def time_text(time: Column) -> Column:
     """Timestamp to text with a fixed six-digit fraction, so that text order is time order."""
     return F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -74,7 +79,7 @@ def position_problem(latitude: Column, longitude: Column) -> Column:
 
 def flight_status(code: Column) -> Column:
     """Status name of a zero-based code; NULL outside the list."""
-    return F.get(F.array(*[F.lit(name) for name in FLIGHT_STATUS_CODES]), code.try_cast("int"))
+    return F.get(F.array(*[F.lit(name) for name in FLIGHT_STATUS_CODES]), to_whole(code.cast("string")))
 
 
 def wkt_point(longitude: Column, latitude: Column) -> Column:

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 Ring = list[tuple[float, float]]
 
-# Beyond this many edges the predicate loops over a literal array, so that generated code stays small.
-_UNROLLED_EDGES = 64
-
-
 def ring_from_wkt(wkt: str) -> Ring:
     """Outer ring of a 'POLYGON((lon lat, ...))' text as a closed list of (lon, lat)."""
     inner = re.fullmatch(r"\s*POLYGON\s*\(\(([^()]*)\)\)\s*", wkt, re.IGNORECASE)
@@ -22,28 +18,21 @@ def ring_from_wkt(wkt: str) -> Ring:
     return ring if ring[0] == ring[-1] else [*ring, ring[0]]
 
 
-def rectangle(sw_lon: float, sw_lat: float, ne_lon: float, ne_lat: float) -> Ring:
-    """Closed ring north-east, north-west, south-west, south-east, north-east."""
-    return [(ne_lon, ne_lat), (sw_lon, ne_lat), (sw_lon, sw_lat), (ne_lon, sw_lat), (ne_lon, ne_lat)]
-
-
 def in_box(longitude: Column, latitude: Column, sw_lon: float, sw_lat: float, ne_lon: float, ne_lat: float) -> Column:
     """Inside or on the edge of a box; comparisons with literals, so a parquet scan can skip row groups by them."""
     return (longitude >= sw_lon) & (longitude <= ne_lon) & (latitude >= sw_lat) & (latitude <= ne_lat)
 
 
 def in_ring(longitude: Column, latitude: Column, ring: Ring) -> Column:
-    """Inside a polygon: an eastward ray crosses its edges an odd number of times. Cheap box test first."""
+    """Inside a polygon: an eastward ray crosses its edges an odd number of times. Cheap box test first.
+
+    The edges are a literal array, so that the generated code does not grow with the ring.
+    """
     lons, lats = [lon for lon, _ in ring], [lat for _, lat in ring]
     edges = list(zip(ring, ring[1:]))
     box = in_box(longitude, latitude, min(lons), min(lats), max(lons), max(lats))
-    if len(edges) <= _UNROLLED_EDGES:
-        crossings = sum((_crosses(longitude, latitude, *map(F.lit, (*a, *b))) for a, b in edges), F.lit(0))
-    else:
-        table = F.array(*[F.array(*map(F.lit, (*a, *b))) for a, b in edges])
-        crossings = F.aggregate(
-            table, F.lit(0), lambda n, e: n + _crosses(longitude, latitude, *[e[i] for i in range(4)])
-        )
+    table = F.array(*[F.array(*map(F.lit, (*a, *b))) for a, b in edges])
+    crossings = F.aggregate(table, F.lit(0), lambda n, e: n + _crosses(longitude, latitude, *[e[i] for i in range(4)]))
     return box & (crossings % 2 == 1)
 
 

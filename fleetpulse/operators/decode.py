@@ -144,7 +144,7 @@ def alert_projection(bus: DataFrame, *, processed_at: Column | None = None) -> D
         (F.current_timestamp() if processed_at is None else processed_at).alias("processedutctime"),
     ).withColumns(
         {
-            "partitionid": F.col("partitionid").try_cast("int"),
+            "partitionid": fields.to_whole(F.col("partitionid").cast("string")),
             "avgtemperature": F.col("avgtemperature").try_cast("double"),
         }
     )
@@ -168,7 +168,7 @@ def decode_alert_payloads(payloads: DataFrame, column: str = "payload") -> tuple
     alerts = parsed.select(*kept, F.explode("items").alias("item")).select(
         *kept,
         value("message").alias("message"),
-        value("partitionid").try_cast("int").alias("partitionid"),
+        fields.to_whole(value("partitionid")).alias("partitionid"),
         value("deviceid").alias("deviceid"),
         value("deliveryid").alias("deliveryid"),
         value("avgtemperature").try_cast("double").alias("avgtemperature"),

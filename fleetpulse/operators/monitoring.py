@@ -49,9 +49,10 @@ def ingest_counters(
     )
 
 
-def ingest_log(telemetry: DataFrame, *, as_of: Column, max_age: dt.timedelta = STALE_AFTER) -> DataFrame:
-    """(timestamp, message) log rows of an ingest: stale drops and messages that could not be processed."""
-    stale = is_stale(F.col("enqueuedUtcTime"), as_of, max_age)
+def ingest_log(telemetry: DataFrame, *, as_of: Column, max_age: dt.timedelta | None = STALE_AFTER) -> DataFrame:
+    """(timestamp, message) log rows of an ingest: stale drops (none if max_age is None) and messages that could not be
+    processed."""
+    stale = F.lit(False) if max_age is None else is_stale(F.col("enqueuedUtcTime"), as_of, max_age)
     failed = (F.col("sensorType") == fields.EVENT_SENSOR) & F.col("problem").isNotNull()
     message = F.when(
         stale, F.concat(F.lit("Dropping late message. Sequence number = "), F.col("sequenceNumber").cast("string"))

@@ -45,9 +45,22 @@ def drop_stale(
     return df.filter(~stale), df.filter(stale)
 
 
+def split_untimed(telemetry: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(timed, untimed): messages with both times, and those without, which cannot be placed."""
+    timed = F.col("enqueuedUtcTime").isNotNull() & F.col("occurrenceUtcTime").isNotNull()
+    return telemetry.filter(timed), telemetry.filter(~timed)
+
+
+def split_late(telemetry: DataFrame, *, limit: dt.timedelta = LATE_AFTER) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(kept, late, untimed): late messages arrived more than `limit` after they occurred."""
+    timed, untimed = split_untimed(telemetry)
+    late = F.col("enqueuedUtcTime") - F.col("occurrenceUtcTime") > F.lit(limit)
+    return timed.filter(~late), timed.filter(late), untimed
+
+
 def drop_late(telemetry: DataFrame, *, limit: dt.timedelta = LATE_AFTER) -> DataFrame:
-    """Keeps messages that arrived at most `limit` after they occurred."""
-    return telemetry.filter(F.col("enqueuedUtcTime") - F.col("occurrenceUtcTime") <= F.lit(limit))
+    """The kept part of split_late."""
+    return split_late(telemetry, limit=limit)[0]
 
 
 def drop_out_of_order(
@@ -58,13 +71,28 @@ def drop_out_of_order(
     bin_seconds: int = 300,
     clocks: DataFrame | None = None,
 ) -> DataFrame:
-    """Keeps messages that occurred at most `limit` before the latest occurrence their device had already sent.
+    """The kept part of split_out_of_order."""
+    options = {"limit": limit, "keys": keys, "bin_seconds": bin_seconds, "clocks": clocks}
+    return split_out_of_order(telemetry, **options)[0]
+
+
+def split_out_of_order(
+    telemetry: DataFrame,
+    *,
+    limit: dt.timedelta = OUT_OF_ORDER_AFTER,
+    keys: Sequence[str] = ("deviceId", "partitionId"),
+    bin_seconds: int = 300,
+    clocks: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(kept, dropped, untimed): dropped messages occurred more than `limit` before the latest occurrence that their
+    device had already sent.
 
     Arrival order is (enqueued time, sequence number). bin_seconds only sets how finely a busy device is spread. clocks
     (keys, latest occurrence) holds what the devices had sent before these messages.
     """
+    timed, untimed = split_untimed(telemetry)
     ahead = running_before(
-        telemetry,
+        timed,
         name="latestBefore",
         keys=keys,
         bin=fields.bin_of(F.col("enqueuedUtcTime"), bin_seconds),
@@ -73,8 +101,8 @@ def drop_out_of_order(
         combine=F.max,
         initial=clocks,
     )
-    behind = F.col("latestBefore") - F.col("occurrenceUtcTime")
-    return ahead.filter(behind.isNull() | (behind <= F.lit(limit))).drop("latestBefore")
+    behind = F.coalesce(F.col("latestBefore") - F.col("occurrenceUtcTime") > F.lit(limit), F.lit(False))
+    return ahead.filter(~behind).drop("latestBefore"), ahead.filter(behind).drop("latestBefore"), untimed
 
 
 def with_position(telemetry: DataFrame) -> DataFrame:

@@ -39,13 +39,14 @@ def raw_positions(telemetry: DataFrame) -> DataFrame:
 def latest_position(located: DataFrame) -> DataFrame:
     """One POSITION per device: the latest enqueued, then the highest sequence number.
 
-    Grouped by device with one row per device and task before the shuffle.
+    A hash aggregation, one row per device and task before the shuffle: time and sequence number are one decimal, whose
+    buffer has a fixed width, where that of a struct would have the rows sorted. Rows that agree in both are one message.
     """
-    newest_first = F.struct("eventTime", "sequenceNumber", "latitude", "longitude")
-    return (
-        located.groupBy("deviceId")
-        .agg(F.max(newest_first).alias("newest"))
-        .select("deviceId", "newest.eventTime", "newest.latitude", "newest.longitude", "newest.sequenceNumber")
+    micros = F.unix_micros("eventTime").cast("decimal(38,0)")
+    age = micros * F.lit(str(2**63)).cast("decimal(20,0)") + F.coalesce("sequenceNumber", F.lit(-1)).cast("decimal(19,0)")
+    newest = located.withColumn("newest", age.cast("decimal(38,0)"))
+    return newest.groupBy("deviceId").agg(
+        *[F.max_by(c, "newest").alias(c) for c in ("eventTime", "latitude", "longitude", "sequenceNumber")]
     )
 
 

@@ -97,13 +97,15 @@ def silent_gaps_stream(
 ) -> DataFrame:
     """silent_gaps on a stream; a message is reported when the watermark has passed its deadline by a bin."""
     states = state_rows(telemetry)
-    bins = -(-gap_seconds // _STREAM_BIN_SECONDS)
+    # With bins no wider than the gap, a message after the deadline is never in the message's own bin.
+    width = min(gap_seconds, _STREAM_BIN_SECONDS)
+    bins = -(-gap_seconds // width)
     # The first message of a later bin answers if it is in time, the last of the message's own bin if it is later.
     answers = F.expr(
         "lastHeard > occurrenceUtcTime AND "
         f"firstHeard <= occurrenceUtcTime + interval {gap_seconds} seconds"
     )
-    return _unanswered(states, states, ["deviceId"], range(bins + 1), answers, lateness, later_lateness)
+    return _unanswered(states, states, ["deviceId"], range(bins + 1), width, answers, lateness, later_lateness)
 
 
 def silent_minutes_stream(
@@ -112,7 +114,7 @@ def silent_minutes_stream(
     """silent_minutes on a stream; a message is reported when the watermark has passed its tenth minute."""
     minutes = range(_FIRST_MINUTE, _LAST_MINUTE + 1)
     keys = ["deviceId", "partitionId"]
-    return _unanswered(state_rows(telemetry), telemetry, keys, minutes, F.lit(True), lateness, later_lateness)
+    return _unanswered(state_rows(telemetry), telemetry, keys, minutes, 60, F.lit(True), lateness, later_lateness)
 
 
 def _unanswered(
@@ -120,22 +122,23 @@ def _unanswered(
     later: DataFrame,
     keys: list[str],
     bins: range,
+    width: int,
     answers: Column,
     lateness: str,
     later_lateness: str,
 ) -> DataFrame:
     """Messages that nothing in the given bins after them answers, as an outer join of two streams.
 
-    The later messages are first reduced to one row per key and one-minute bin, each then offered to every earlier bin
+    The later messages are first reduced to one row per key and bin of `width` seconds, each then offered to every earlier bin
     it may answer. So a message meets at most one row per bin, however busy its device is, and the bin in the join key
     spreads a busy device over the state partitions.
     """
     left = messages.withWatermark("occurrenceUtcTime", lateness).withColumn(
-        "bin", fields.bin_of(F.col("occurrenceUtcTime"), _STREAM_BIN_SECONDS)
+        "bin", fields.bin_of(F.col("occurrenceUtcTime"), width)
     )
     heard = (
         later.withWatermark("occurrenceUtcTime", later_lateness)
-        .groupBy(F.window("occurrenceUtcTime", f"{_STREAM_BIN_SECONDS} seconds"), *keys)
+        .groupBy(F.window("occurrenceUtcTime", f"{width} seconds"), *keys)
         .agg(F.min("occurrenceUtcTime").alias("firstHeard"), F.max("occurrenceUtcTime").alias("lastHeard"))
         .select(
             *[F.col(key).alias(f"heard_{key}") for key in keys],
@@ -144,7 +147,7 @@ def _unanswered(
             "lastHeard",
         )
     )
-    own_bin = fields.bin_of(F.col("heardUntil"), _STREAM_BIN_SECONDS)
+    own_bin = fields.bin_of(F.col("heardUntil"), width)
     right = heard.withColumn("answeredBin", F.explode(F.array(*[own_bin - n for n in bins])))
     same = F.col("bin") == F.col("answeredBin")
     for key in keys:
@@ -152,7 +155,7 @@ def _unanswered(
     # Implied by the bins; tells the join how long to keep its rows.
     in_time = F.expr(
         "heardUntil >= occurrenceUtcTime AND "
-        f"heardUntil <= occurrenceUtcTime + interval {bins[-1] * _STREAM_BIN_SECONDS + _STREAM_BIN_SECONDS} seconds"
+        f"heardUntil <= occurrenceUtcTime + interval {(bins[-1] + 1) * width} seconds"
     )
     joined = left.join(right, same & in_time & answers, "left_outer")
     return joined.filter(F.col("heardUntil").isNull()).select(*messages.columns)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job of this library expects. Sizes (executors, memory, shuffle partitions) belong to the
@@ -25,9 +23,6 @@ STATE_SETTINGS = {
     "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 
-_local_dirs: dict[str, str] = {}
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Apply SETTINGS to a running session."""
     for key, value in SETTINGS.items():
@@ -51,7 +46,7 @@ def streaming_session(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder visible to every executor, for written tables and stream checkpoints.
 
-    Taken from ``spark.checkpoint.dir``. Only a local-mode session may run without it.
+    Taken from ``spark.checkpoint.dir``. Only a local-mode session may run without it; its folder is in the warehouse.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -59,6 +54,4 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="fleetpulse-")
-    return _local_dirs[context.applicationId]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared/{context.applicationId}"

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.operators.policy import OUT_OF_ORDER_AFTER, drop_out_of_order
+from fleetpulse.operators.policy import OUT_OF_ORDER_AFTER, split_out_of_order, split_untimed
 from fleetpulse.schemas import DEVICE_CLOCK
 from fleetpulse.streaming.sinks import BatchWriter
 from fleetpulse.streaming.tables import KeyedTable
@@ -23,22 +23,30 @@ def device_clocks(path: str, *, compact_every: int = 50) -> KeyedTable:
 
 
 def in_device_order(
-    keep: BatchWriter, clocks: KeyedTable, *, limit: dt.timedelta = OUT_OF_ORDER_AFTER
+    keep: BatchWriter,
+    clocks: KeyedTable,
+    *,
+    limit: dt.timedelta = OUT_OF_ORDER_AFTER,
+    quarantine: BatchWriter | None = None,
 ) -> BatchWriter:
-    """drop_out_of_order on a stream of telemetry: passes on to `keep` what is not too far behind its device.
+    """split_out_of_order on a stream of telemetry: passes on to `keep` what is not too far behind its device, and to
+    `quarantine` the rest, messages without a time included, with the column reason.
 
     A micro-batch starts from the clocks before it and then moves them, all with the batch operators, so a busy device
-    is spread over tasks here too. Messages without a time cannot be placed and are left out.
+    is spread over tasks here too.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        timed = batch.filter(F.col("enqueuedUtcTime").isNotNull() & F.col("occurrenceUtcTime").isNotNull())
         before = clocks.read_before(batch.sparkSession, batch_id)
-        timed.persist()
+        batch.persist()
         try:
-            keep(drop_out_of_order(timed, limit=limit, clocks=before), batch_id)
-            clocks.write(timed, batch_id)
+            kept, dropped, untimed = split_out_of_order(batch, limit=limit, clocks=before)
+            keep(kept, batch_id)
+            if quarantine is not None:
+                behind = dropped.withColumn("reason", F.lit("out_of_order"))
+                quarantine(behind.unionByName(untimed.withColumn("reason", F.lit("untimed"))), batch_id)
+            clocks.write(split_untimed(batch)[0], batch_id)
         finally:
-            timed.unpersist()
+            batch.unpersist()
 
     return write

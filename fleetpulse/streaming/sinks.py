@@ -1,4 +1,5 @@
-"""Stream sinks. Each is safe to replay: a micro-batch that runs again writes the same place again."""
+"""Stream sinks. Those that write files are safe to replay: a micro-batch that runs again writes the same place again.
+jdbc_append, notifier and row_by_row deliver at least once."""
 
 from __future__ import annotations
 

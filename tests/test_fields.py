@@ -132,13 +132,14 @@ def test_ring_from_wkt():
         geo.ring_from_wkt("POINT (1 2)")
 
 
-def test_rectangle_is_closed():
-    ring = geo.rectangle(-123.0, 47.0, -122.0, 48.0)
-    assert ring[0] == ring[-1] == (-122.0, 48.0)
-    assert len(ring) == 5
-
-
 def test_time_text_is_ordered(spark):
     at = dt.datetime(2024, 1, 1, 0, 0, 0, 100000)
     got = spark.createDataFrame([(at,)], "t timestamp").select(fields.time_text(F.col("t"))).first()[0]
     assert got == "2024-01-01 00:00:00.100000"
+
+
+def test_whole_numbers_cut_their_fraction(spark):
+    texts = ["3", "3.0", "3.9", "-1.5", "x", "", None, "1e10"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(fields.to_whole(F.col("t"))).collect()] == [3, 3, 3, -1, None, None, None, None]
+    assert [r[0] for r in df.select(fields.flight_status(F.col("t"))).collect()][:3] == ["DOP"] * 3

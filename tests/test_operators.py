@@ -233,6 +233,38 @@ def test_stale_late_and_no_limit(spark):
     assert numbers(policy.drop_late(df)) == [0, 1, 2, 3]
 
 
+def test_every_row_has_an_output(spark):
+    rows = random_rows(300, seed=21)
+    for n, row in enumerate(rows):
+        if n % 17 == 0:
+            row["occurrenceUtcTime"] = None
+        if n % 23 == 0:
+            row["enqueuedUtcTime"] = None
+    df = telemetry(spark, rows)
+    for kept, dropped, untimed in (
+        policy.split_late(df, limit=dt.timedelta(seconds=3)),
+        policy.split_out_of_order(df),
+    ):
+        assert numbers(kept) and numbers(dropped) and len(numbers(untimed)) == 31
+        assert sorted(numbers(kept) + numbers(dropped) + numbers(untimed)) == sorted(r["sequenceNumber"] for r in rows)
+        assert kept.columns == dropped.columns == untimed.columns == df.columns
+
+
+def test_log_without_an_age_limit(spark):
+    rows = [{"sequenceNumber": 1, "occurrenceUtcTime": START, "enqueuedUtcTime": START, "sensorType": "x"}]
+    df = telemetry(spark, rows)
+    assert monitoring.ingest_log(df, as_of=at(10_000)).count() == 1
+    assert monitoring.ingest_log(df, as_of=at(10_000), max_age=None).count() == 0
+
+
+def test_latest_position_has_no_sort(spark):
+    rows = [("a", START, 1.0, 2.0, 3), ("a", START, 4.0, 5.0, 7), ("b", START, 6.0, 7.0, None), ("b", START, 8.0, 9.0, 0)]
+    df = spark.createDataFrame(rows, "deviceId string, eventTime timestamp, latitude double, longitude double, sequenceNumber long")
+    newest = positions.latest_position(df)
+    assert sorted((r.deviceId, r.latitude, r.sequenceNumber) for r in newest.collect()) == [("a", 4.0, 7), ("b", 8.0, 0)]
+    assert "Sort" not in newest._jdf.queryExecution().executedPlan().toString()
+
+
 def test_routes_may_overlap_or_miss(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "x int")
     routed = policy.route(df, {"all": F.lit(True), "big": F.col("x") > 2, "none": F.col("x") > 9, "unknown": F.lit(None).cast("boolean")})

@@ -5,8 +5,7 @@ from __future__ import annotations
 import pytest
 from builders import plan
 
-import __spark_entry__ as entry
-from workload.queries import BOX
+from workload.queries import BOX, QUERIES
 from fleetpulse.functions import geo
 from fleetpulse.operators import positions
 from pyspark.sql import functions as F
@@ -15,23 +14,23 @@ STAGED = {
     "raw_envelope_scan", "table_preview", "cold_tables_overwrite", "sql_event_load", "pipeline_metrics",
     "alert_payload_pack", "alert_bus_sink", "document_insert_sink", "notification_sink", "dstream_positions", "substream_time",
 }
-BATCH = [n for n in entry.queries() if n not in STAGED and not n.endswith("_stream")]
+BATCH = [n for n in QUERIES if n not in STAGED and not n.endswith("_stream")]
 
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_and_no_cross_products(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert operator not in text
 
 
 def test_top_k_is_not_a_global_sort(spark, sf_dir):
-    assert "TakeOrderedAndProject" in plan(entry.queries()["recent_in_bbox"](spark, sf_dir))
+    assert "TakeOrderedAndProject" in plan(QUERIES["recent_in_bbox"](spark, sf_dir))
 
 
 @pytest.mark.parametrize("name", ["hot_tumbling_180", "hot_tumbling_90"])
 def test_windows_combine_before_their_only_shuffle(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     assert text.count("Exchange") == 1
     assert "partial_avg" in text
     assert "position" not in text
@@ -39,7 +38,7 @@ def test_windows_combine_before_their_only_shuffle(spark, sf_dir, name):
 
 @pytest.mark.parametrize("name", ["no_telemetry_gap_5m", "no_telemetry_minute_2_10"])
 def test_silence_never_compares_rows_with_rows(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     assert "LeftAnti" not in text
     assert "LeftSemi" in text
     # The join key has the time in it, not the device alone.
@@ -49,7 +48,7 @@ def test_silence_never_compares_rows_with_rows(spark, sf_dir, name):
 
 @pytest.mark.parametrize(("name", "keys"), [("out_of_order_filter", "deviceId"), ("batch_by_count", "partition")])
 def test_rows_are_windowed_by_key_and_bin(spark, sf_dir, name, keys):
-    text = plan(entry.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     rows = next(line for line in shuffles if "__bin" in line)
     assert keys in rows
@@ -57,7 +56,7 @@ def test_rows_are_windowed_by_key_and_bin(spark, sf_dir, name, keys):
 
 def test_box_filter_reaches_the_scan(spark, sf_dir, tmp_path):
     path = str(tmp_path / "history")
-    located = entry.queries()["position_history"](spark, sf_dir)
+    located = QUERIES["position_history"](spark, sf_dir)
     located.write.parquet(path)
     text = plan(positions.in_box(spark.read.parquet(path), *BOX).select("deviceId"))
     assert "GreaterThanOrEqual(longitude" in text and "LessThanOrEqual(latitude" in text
@@ -65,12 +64,12 @@ def test_box_filter_reaches_the_scan(spark, sf_dir, tmp_path):
 
 
 def test_position_is_parsed_once(spark, sf_dir):
-    text = plan(entry.queries()["points_in_polygon"](spark, sf_dir))
+    text = plan(QUERIES["points_in_polygon"](spark, sf_dir))
     assert text.count("regexp_extract") == 1
 
 
 def test_body_is_parsed_once(spark, sf_dir):
-    text = plan(entry.queries()["delivery_summary"](spark, sf_dir))
+    text = plan(QUERIES["delivery_summary"](spark, sf_dir))
     assert text.count("from_json") == 1
 
 

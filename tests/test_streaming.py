@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 from builders import EVENT, START, STATE, numbers, random_rows, telemetry
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetpulse.operators import decode, hot, policy, positions, silence
 from fleetpulse.plans import cold, warm
@@ -22,7 +23,7 @@ END = START + dt.timedelta(days=1)
 
 def message(row):
     body = {
-        "occurrenceUtcTime": row["occurrenceUtcTime"].isoformat() + "Z",
+        "occurrenceUtcTime": row["occurrenceUtcTime"] and row["occurrenceUtcTime"].isoformat() + "Z",
         **{k: row[k] for k in ("deviceId", "sensorType", "deliveryId", "temperature", "position", "flightStatus") if k in row},
     }
     return (bytearray(json.dumps(body), "utf-8"), row["enqueuedUtcTime"], row["partitionId"], row["sequenceNumber"], {})
@@ -63,9 +64,23 @@ def alerts_of(df):
     return sorted((r.deviceid, r.deliveryid, round(r.avgtemperature, 6), r.lastoccurrenceutctime) for r in df.collect())
 
 
+def gap_case(seconds):
+    """Silence of that many seconds, as a stream and as a batch."""
+    return (
+        lambda s: silence.silence_alerts(
+            silence.silent_gaps_stream(decode.decode_telemetry(s), gap_seconds=seconds), by_partition=False
+        ),
+        lambda t: silence.silence_alerts(
+            silence.silent_gaps(t, gap_seconds=seconds, horizon=F.lit(END)), by_partition=False
+        ),
+    )
+
+
 @pytest.mark.parametrize(
     ("build", "batch"),
     [
+        gap_case(30),
+        gap_case(90),
         (queries.hot_alert_stream, hot.hot_windows_90),
         (queries.throttled_hot_stream, lambda t: hot.throttle_hot_alerts(hot.hot_windows_180(t))),
         (
@@ -77,7 +92,7 @@ def alerts_of(df):
             lambda t: silence.silence_alerts(silence.silent_minutes(t, horizon=F.lit(END)), by_partition=True),
         ),
     ],
-    ids=["hot", "throttled", "gaps", "minutes"],
+    ids=["gap30", "gap90", "hot", "throttled", "gaps", "minutes"],
 )
 def test_restarted_stream_equals_batch(spark, tmp_path, build, batch):
     rows = by_time(random_rows(150, seed=11))
@@ -99,9 +114,14 @@ def test_restarted_stream_equals_batch(spark, tmp_path, build, batch):
 
 def test_device_clocks_survive_restarts_and_replays(spark, tmp_path):
     rows = by_time(random_rows(200, seed=12), "enqueuedUtcTime")
+    for row in rows[::50]:
+        row["occurrenceUtcTime"] = None
+    aside = str(tmp_path / "aside")
     inbox, out, checkpoint = Inbox(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
     once = device_time.in_device_order(
-        sinks.table_append(out), device_time.device_clocks(str(tmp_path / "clocks"), compact_every=2)
+        sinks.table_append(out),
+        device_time.device_clocks(str(tmp_path / "clocks"), compact_every=2),
+        quarantine=sinks.table_append(aside),
     )
 
     def twice(batch, batch_id):
@@ -114,6 +134,10 @@ def test_device_clocks_survive_restarts_and_replays(spark, tmp_path):
     got = sinks.read_appended(spark, out, schema)
     assert numbers(got) == numbers(policy.drop_out_of_order(telemetry(spark, rows)))
     assert len(numbers(got)) < 200
+    reasons = T.StructType([*schema.fields, T.StructField("reason", T.StringType())])
+    rest = sinks.read_appended(spark, aside, reasons)
+    assert {r["reason"] for r in rest.collect()} == {"out_of_order", "untimed"}
+    assert sorted(numbers(got) + numbers(rest)) == sorted(r["sequenceNumber"] for r in rows)
 
 
 def test_latest_positions_over_restarts_and_snapshots(spark, tmp_path):
@@ -144,15 +168,18 @@ def test_latest_positions_replay_is_harmless(spark, tmp_path):
     assert sorted((r.deviceId, r.sequenceNumber) for r in table.read(spark).collect()) == [("a", 3), ("b", 5), ("c", 9)]
 
 
-def test_position_history_drops_repeats(spark, tmp_path):
+def test_position_history_keeps_late_rows_and_reads_repeats_once(spark, tmp_path):
     row = next(r for r in random_rows(20, seed=14) if r["sensorType"] == EVENT)
     again = {**row, "sequenceNumber": 999}
-    later = {**row, "sequenceNumber": 1000, "enqueuedUtcTime": row["enqueuedUtcTime"] + dt.timedelta(seconds=1)}
+    later = {**row, "sequenceNumber": 1000, "enqueuedUtcTime": row["enqueuedUtcTime"] + dt.timedelta(hours=5)}
+    slow = {**row, "sequenceNumber": 1001, "deviceId": "slow"}
     inbox, out, checkpoint = Inbox(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
-    for part in ([row, again], [again, later]):
+    for part in ([row, again], [again, later], [slow]):
         inbox.add(part)
         schema = inbox.run(queries.position_history_stream, sinks.table_append(out), checkpoint)
-    assert sinks.read_appended(spark, out, schema).count() == 2
+    stored = sinks.read_appended(spark, out, schema)
+    assert stored.count() == 5
+    assert positions.position_history(stored).count() == 3
 
 
 def test_replayed_append_leaves_one_copy(spark, tmp_path):

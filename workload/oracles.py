@@ -20,7 +20,9 @@ def iso(time: str) -> str:
 
 M = f"""
 m AS (
-  SELECT event_id AS seq, CAST(user_id % 4 AS INT) AS part, 'drone-' || user_id AS device,
+  SELECT event_id AS seq, CAST(user_id % 4 AS INT) AS part,
+         'drone-' || user_id || CASE WHEN user_id % 5 = 0 AND off BETWEEN 1200000000 AND 2399999999
+                                THEN '-spare' ELSE '' END AS device,
          'dlv-' || user_id || '-' || (off // 600000000) AS delivery,
          CASE WHEN event_type IN ('error', 'view') THEN 'drone-state-sensor;v1'
               WHEN event_type IN ('click', 'purchase') THEN 'drone-event-sensor;v1'
@@ -42,7 +44,6 @@ m AS (
          TIMESTAMP '{PROCESSED_AT}' AS proc
   FROM (SELECT *, (epoch_us(ts) - 1704067200000000) // 720 AS off,
                6000 + CAST(round(value * 100) AS BIGINT) % 2100 AS h FROM events)
-  WHERE NOT (user_id % 5 = 0 AND off BETWEEN 1200000000 AND 2399999999)
 )"""
 
 # Valid positions of the flight sensor; checked has every message with its problem.

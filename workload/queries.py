@@ -26,11 +26,7 @@ STALE_AS_OF = "2024-01-01 00:30:00"
 TTL_AS_OF = "2024-01-01 01:00:00"
 TTL = dt.timedelta(seconds=1800)
 BOX = (-123.0, 47.5, -122.0, 48.5)
-POLYGON = (
-    "POLYGON((-126.76132982479679 48.653521290469634,-113.22617357479679 53.19181405420174,"
-    "-110.06211107479679 43.602985324081914,-125.61875169979679 41.46610732362125,"
-    "-126.76132982479679 48.653521290469634))"
-)
+POLYGON = "POLYGON((-124.5 47.25,-122.75 49.75,-121.5 48.5,-122.25 46.5,-124.5 47.25))"
 ALERT_COLUMNS = ALERT.fieldNames()
 # Streams stamp alerts with the time of the trigger, which no oracle knows.
 STREAM_ALERT_COLUMNS = [c for c in ALERT_COLUMNS if c != "lastprocessedutctime"]
@@ -615,7 +611,7 @@ def position_history_stream(spark, sf_dir):
         return appended(history, out)
 
     out = run(spark, sf_dir, "history", writer)
-    return shown(sinks.read_appended(spark, out, schemas[0]))
+    return shown(positions.position_history(sinks.read_appended(spark, out, schemas[0])))
 
 
 @query
