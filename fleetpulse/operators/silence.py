@@ -23,7 +23,7 @@ from fleetpulse.operators.policy import state_rows
 
 SILENCE_MESSAGE = "noTelemetry"
 _FIRST_MINUTE, _LAST_MINUTE = 2, 10
-_GAP_SECONDS = 300
+GAP_SECONDS = 300
 _STREAM_BIN_SECONDS = 60
 
 
@@ -48,7 +48,7 @@ def silent_minutes(telemetry: DataFrame, *, horizon: Column | None = None) -> Da
     return state_rows(marked).join(silent, ["deviceId", "partitionId", "minute"], "left_semi").drop("minute")
 
 
-def silent_gaps(telemetry: DataFrame, *, gap_seconds: int = _GAP_SECONDS, horizon: Column | None = None) -> DataFrame:
+def silent_gaps(telemetry: DataFrame, *, gap_seconds: int = GAP_SECONDS, horizon: Column | None = None) -> DataFrame:
     """State messages not followed by another state message of their device within the gap.
 
     A message with the same time does not follow. With bins as wide as the gap only the last time of a bin can be silent,
@@ -91,7 +91,7 @@ def silence_alerts(silent: DataFrame, *, by_partition: bool) -> DataFrame:
 def silent_gaps_stream(
     telemetry: DataFrame,
     *,
-    gap_seconds: int = _GAP_SECONDS,
+    gap_seconds: int = GAP_SECONDS,
     lateness: str = "10 seconds",
     later_lateness: str = "20 seconds",
 ) -> DataFrame:

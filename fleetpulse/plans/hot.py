@@ -17,6 +17,7 @@ class WindowedAlerts(NamedTuple):
     silent: DataFrame
     silence_alerts: DataFrame
     hot_documents: DataFrame
+    silence_documents: DataFrame
 
 
 def windowed_alerts(telemetry: DataFrame) -> WindowedAlerts:
@@ -28,6 +29,7 @@ def windowed_alerts(telemetry: DataFrame) -> WindowedAlerts:
         silent_rows,
         hot.throttle_silence_alerts(silent_rows),
         deliveries.latest_alert_by_delivery(hot_rows.drop("eventTime")),
+        deliveries.latest_alert_by_delivery(silent_rows),
     )
 
 

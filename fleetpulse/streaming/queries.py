@@ -28,9 +28,10 @@ def throttled_hot_stream(messages: DataFrame, *, lateness: str = HOT_LATENESS) -
     return hot.throttle_hot_alerts(hot.hot_windows_180(decode_telemetry(messages), lateness=lateness))
 
 
-def silence_alert_stream(messages: DataFrame) -> DataFrame:
-    """Alerts for devices without a state message within five minutes."""
-    return silence.silence_alerts(silence.silent_gaps_stream(decode_telemetry(messages)), by_partition=False)
+def silence_alert_stream(messages: DataFrame, *, gap_seconds: int = silence.GAP_SECONDS) -> DataFrame:
+    """Alerts for devices without a state message within the gap."""
+    silent = silence.silent_gaps_stream(decode_telemetry(messages), gap_seconds=gap_seconds)
+    return silence.silence_alerts(silent, by_partition=False)
 
 
 def silent_minutes_alert_stream(messages: DataFrame) -> DataFrame:
@@ -38,6 +39,11 @@ def silent_minutes_alert_stream(messages: DataFrame) -> DataFrame:
     return silence.silence_alerts(silence.silent_minutes_stream(decode_telemetry(messages)), by_partition=True)
 
 
+def throttled_silence_stream(messages: DataFrame) -> DataFrame:
+    """Silent minutes, then the first per device and partition and five minutes: an outer join and an aggregation."""
+    return hot.throttle_silence_alerts(silent_minutes_alert_stream(messages))
+
+
 def notification_stream(bus: DataFrame, *, lateness: str = NOTIFICATION_LATENESS) -> DataFrame:
     """First alert per device, delivery, message and 150 s of the alert bus."""
     alerts = alert_projection(bus)

@@ -116,6 +116,10 @@ SILENT_GAPS = silent(
     "silent_gaps", False, f"{_NO_GAP} AND l.occ + INTERVAL 5 MINUTE <= (SELECT max(occ) FROM m)"
 )
 SILENT_GAPS_ALL = silent("silent_gaps", False, _NO_GAP)
+SILENT_30S_ALL = silent("silent_gaps", False, _NO_GAP.replace("5 MINUTE", "30 SECOND"))
+SILENT_FIRST = """(SELECT * FROM silent_minutes QUALIFY row_number() OVER (
+      PARTITION BY deviceid, partitionid, epoch_us(lastoccurrenceutctime) // 300000000
+      ORDER BY lastoccurrenceutctime, deliveryid) = 1)"""
 
 ALERT_NAMES = (
     "message, partitionid, deviceid, deliveryid, avgtemperature, "
@@ -270,9 +274,7 @@ ORACLES: dict[str, str] = {
       FROM checked""",
     "hot_alert_isfirst_5m": ctes(M, HOT180) + alerts(HOT_FIRST),
     "no_telemetry_alert_isfirst_5m": ctes(M, SILENT_MINUTES)
-    + alerts("""(SELECT * FROM silent_minutes QUALIFY row_number() OVER (
-      PARTITION BY deviceid, partitionid, epoch_us(lastoccurrenceutctime) // 300000000
-      ORDER BY lastoccurrenceutctime, deliveryid) = 1)"""),
+    + alerts(SILENT_FIRST),
     "points_in_bbox": ctes(M, CHECKED) + f"SELECT {POINT}, seq AS sequenceNumber FROM v WHERE {INSIDE_BOX}",
     "points_in_polygon": ctes(M, CHECKED) + f"SELECT {POINT}, seq AS sequenceNumber FROM v WHERE {_inside()}",
     "recent_in_bbox": ctes(M, CHECKED)
@@ -289,6 +291,10 @@ ORACLES: dict[str, str] = {
     "hot_document_by_delivery": ctes(M, HOT180)
     + alerts("""(SELECT * FROM hot180 QUALIFY row_number() OVER (
       PARTITION BY deliveryid ORDER BY lastoccurrenceutctime DESC, partitionid DESC, deviceid DESC) = 1)"""),
+    "silence_document_by_delivery": ctes(M, SILENT_MINUTES)
+    + alerts("""(SELECT * FROM silent_minutes QUALIFY row_number() OVER (
+      PARTITION BY deliveryid ORDER BY lastoccurrenceutctime DESC, partitionid DESC, deviceid DESC,
+      avgtemperature DESC, lastenqueuedutctime DESC) = 1)"""),
     "batch_by_count": ctes(M)
     + """SELECT part AS partition, place // 20 AS batchNo, count(*) AS size,
       string_agg(CAST(seq AS VARCHAR), ',' ORDER BY place) AS sequenceNumbers
@@ -314,6 +320,9 @@ ORACLES: dict[str, str] = {
     "isfirst_stream": ctes(M, HOT180) + alerts(HOT_FIRST, processed=False),
     "no_telemetry_stream": ctes(M, SILENT_GAPS_ALL) + alerts("silent_gaps", processed=False),
     "no_telemetry_minute_stream": ctes(M, SILENT_MINUTES_ALL) + alerts("silent_minutes", processed=False),
+    "silence_30s_stream": ctes(M, SILENT_30S_ALL) + alerts("silent_gaps", processed=False),
+    "silence_isfirst_stream": ctes(M, SILENT_MINUTES_ALL) + alerts(SILENT_FIRST, processed=False),
+    "silence_document_sink": ctes(M, SILENT_GAPS_ALL) + alerts("silent_gaps", processed=False),
     "document_insert_sink": HOT_STREAM,
     "alert_bus_sink": ctes(M, HOT90, SILENT_GAPS_ALL, BUS) + alerts("bus", processed=False),
     "alert_stream": NOTIFICATIONS_STREAM,

@@ -387,6 +387,11 @@ def hot_document_by_delivery(spark, sf_dir):
     return shown(hot_plan.windowed_alerts(telemetry(spark, sf_dir)).hot_documents)
 
 
+@query
+def silence_document_by_delivery(spark, sf_dir):
+    return shown(hot_plan.windowed_alerts(telemetry(spark, sf_dir)).silence_documents)
+
+
 @query
 def cold_tables_overwrite(spark, sf_dir):
     enriched, _ = cold.run_cold_path(messages(spark, sf_dir), staging.scratch(spark, "cold"))
@@ -519,15 +524,36 @@ def no_telemetry_minute_stream(spark, sf_dir):
 
 
 @query
-def document_insert_sink(spark, sf_dir):
+def silence_30s_stream(spark, sf_dir):
+    return stream_alerts(spark, sf_dir, "silence-30s", lambda s: queries.silence_alert_stream(s, gap_seconds=30))
+
+
+@query
+def silence_isfirst_stream(spark, sf_dir):
+    return stream_alerts(spark, sf_dir, "silence-isfirst", queries.throttled_silence_stream)
+
+
+def documents(spark, sf_dir, purpose, build):
+    """Alerts of a stream as the documents that its sink has stored."""
+
     def writer(source, out):
-        documents = decode.alert_record(queries.hot_alert_stream(source))
-        return queries.to_batches(documents, sinks.with_retries(sinks.json_append(out)))
+        return queries.to_batches(decode.alert_record(build(source)), sinks.with_retries(sinks.json_append(out)))
 
-    out = run(spark, sf_dir, "documents", writer)
+    out = run(spark, sf_dir, purpose, writer)
     record = T.StructType([T.StructField(f.name, f.dataType if f.name in ("partitionid", "avgtemperature")
                                          else T.StringType()) for f in ALERT.fields])
-    return shown(spark.read.schema(record).json(f"{out}/batch_id=*"), *STREAM_ALERT_COLUMNS)
+    return spark.read.schema(record).json(f"{out}/batch_id=*")
+
+
+@query
+def document_insert_sink(spark, sf_dir):
+    return shown(documents(spark, sf_dir, "documents", queries.hot_alert_stream), *STREAM_ALERT_COLUMNS)
+
+
+@query
+def silence_document_sink(spark, sf_dir):
+    rows = documents(spark, sf_dir, "silence-documents", queries.silence_alert_stream)
+    return shown(without_sentinel(rows), *STREAM_ALERT_COLUMNS)
 
 
 def publish_bus(spark, sf_dir):
