@@ -190,7 +190,8 @@ class Model:
     def judge(self, words: list[str]) -> tuple[str, float, float]:
         """Family, calibrated probability, and similarity to the family's nearest template: of the unit, or of the part
         of `PART` words that scores best."""
-        parts = [words, *(words[i : i + PART] for i in range(0, max(len(words) - PART, 0) + 3, PART // 4) if len(words) > PART)]
+        last = len(words) - PART
+        parts = [words, *(words[i : i + PART] for i in sorted({*range(0, last, PART // 4), last}) if last > 0)]
         scores = max((self.scores(part) for part in parts), key=np.max)
         k = int(np.argmax(scores))
         probability = float(sigmoid(self.slope * scores[k] + self.intercept))
@@ -241,7 +242,12 @@ def _examples(draw: random.Random, background: list[list[str]], families: list[s
 def train(documents: DataFrame, rows: int = BACKGROUND_ROWS) -> Model:
     """Fit on the templates, with lines of at most so many documents as background."""
     texts = hash_sample(documents.select("doc_id", "text").where("text is not null"), "doc_id", rows).select("text")
-    lines = sorted({line for r in texts.collect() for line in r["text"].split("\n")})
+    return fit([r["text"] for r in texts.collect()])
+
+
+def fit(texts: list[str]) -> Model:
+    """The model, with the lines of these texts as background."""
+    lines = sorted({line for text in texts for line in text.split("\n")})
     families = list(TEMPLATES)
     templates = [[_pairs(words_of(t)) for t in TEMPLATES[f]] for f in families]
     every = set().union(*[t for f in templates for t in f])
@@ -293,6 +299,50 @@ def _units(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return begin, np.minimum(np.where(parts[which] == 1, last[which], begin + WINDOW), last[which]), number[which]
 
 
+class Reach:
+    """Which units could be predicted: for each family, the positive weights of a unit's words and of its pairs as they
+    stand, over the root of the shortest part that may hold them, against the score to reach."""
+
+    def __init__(self, model: Model, min_probability: float):
+        words = sorted({w for gram in model.weights for w in gram.split()})
+        hashes = Batch(pa.array([" ".join(words)])).word_hashes()
+        order = np.argsort(hashes)
+        self.table = hashes[order]
+        number = {words[k]: i for i, k in enumerate(order)}
+        size = len(model.families)
+        self.alone = np.zeros((len(words), size), np.float32)
+        pairs = {}
+        for gram, weight in model.weights.items():
+            first, *second = gram.split()
+            if second:
+                pairs[number[first] * len(words) + number[second[0]]] = np.maximum(weight, 0)
+            else:
+                self.alone[number[first]] = np.maximum(weight, 0)
+        self.pairs = np.array(sorted(pairs), np.int64)
+        self.together = np.array([pairs[p] for p in self.pairs], np.float32).reshape(len(pairs), size)
+        self.least = (model.least_score(min_probability) - model.bias).astype(np.float32)
+
+    def may(self, hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        place = np.minimum(np.searchsorted(self.table, hashes), len(self.table) - 1)
+        place = np.where(self.table[place] == hashes, place, -1)
+        sums = np.zeros((len(begin), len(self.least)), np.float32)
+        known = np.flatnonzero(place >= 0)
+        self._add(sums, known, self.alone[place[known]], begin, end)
+        both = known[(known + 1 < len(place)) & (place[np.minimum(known + 1, len(place) - 1)] >= 0)]
+        pair = place[both] * len(self.table) + place[both + 1] if len(both) else both
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        hit = self.pairs[at] == pair
+        self._add(sums, both[hit], self.together[at[hit]], begin, end)
+        root = np.sqrt(np.clip(end - begin, 1, PART)).astype(np.float32)
+        return ((sums / root[:, None]) >= self.least - 1e-3).any(1)
+
+    @staticmethod
+    def _add(sums: np.ndarray, at: np.ndarray, weights: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        """Add up the weights, given by place, over each unit."""
+        total = np.concatenate((np.zeros((1, weights.shape[1])), np.cumsum(weights, axis=0, dtype=np.float64)))
+        sums += total[np.searchsorted(at, end)] - total[np.searchsorted(at, begin)]
+
+
 def scan(documents: DataFrame, model: Model, min_probability: float = MIN_PROBABILITY, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
     """One row per document: its licence family (null: none), that of its best confirmed finding, and all findings."""
     ship_package(documents.sparkSession)
@@ -303,33 +353,15 @@ def scan(documents: DataFrame, model: Model, min_probability: float = MIN_PROBAB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
-        words = sorted({w for g in m.weights for w in g.split()})
-        coded = Batch(pa.array([" ".join(words)]))
-        order = np.argsort(coded.word_hashes())
-        table = coded.word_hashes()[order]
-        # The most that a word can add to any family: alone, and as the first of a pair.
-        alone, leading = np.zeros(len(words)), np.zeros(len(words))
-        at = {w: i for i, w in enumerate(words)}
-        for gram, weight in m.weights.items():
-            first, *rest = gram.split()
-            kind = leading if rest else alone
-            kind[at[first]] = max(kind[at[first]], weight.max())
-        most = alone + leading
-        most = most[order]
-        least = m.least_score(min_probability) - m.bias.max()
+        reach = Reach(m, min_probability)
         for rows in batches:
             for a, b in slices(rows["text"]):
                 plain = Batch(rows["text"].slice(a, b - a))
                 batch = Batch.of(FOLD[plain.data], plain.doc_bounds)
-                hashes = batch.word_hashes()
-                found = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
-                weight = np.where(table[found] == hashes, most[found], 0.0)
                 begin, end, line = _units(batch)
-                sums = np.concatenate(([0.0], np.cumsum(weight)))
-                bound = (sums[end] - sums[begin]) / np.sqrt(np.clip(end - begin, 1, PART))
                 data, raw = batch.data.tobytes(), plain.data.tobytes()
                 each: list[list[dict]] = [[] for _ in range(batch.rows)]
-                for u in np.flatnonzero(bound >= least - 1e-9):
+                for u in np.flatnonzero(reach.may(batch.word_hashes(), begin, end)):
                     x, y = int(batch.starts[begin[u]]), int(batch.ends[end[u] - 1])
                     family, probability, alike = m.judge(data[x:y].decode("utf-8", "replace").split())
                     if probability < min_probability:
