@@ -17,8 +17,8 @@ import bisect
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ from fleetpulse.llm.text import Batch
 CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker remembers, at most.
-REMEMBERED_WORDS = 1_200_000
+REMEMBERED_WORDS = 600_000
 #: Pieces in a hash shard of one length, about.
 SHARD_ROWS = 100_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
@@ -72,13 +72,18 @@ class Encoder:
     def _model(self, spelled: str) -> list[int]:
         return [t.id for t in self.tokenizer.model.tokenize(spelled)]
 
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return array("I", ids).tobytes()
+
     def _forget(self) -> None:
-        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.starts, self.lengths = np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.starts, self.lengths = np.zeros(1, np.int64), np.ones(1, np.int32)
         self.pool = np.array([END_ID], np.uint32)  # place 0: the end id
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def _encode(self, words: list[str]) -> list[list[int]]:
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, four bytes each."""
         out: list = [None] * len(words)
         odd = []
         for i, word in enumerate(words):
@@ -89,16 +94,16 @@ class Encoder:
             letters, tail = match.group(1).lower(), match.group(2)
             ids = self.parts.get(letters)
             if ids is None:
-                ids = self.parts[letters] = self._model(letters.translate(self.spelling))
+                ids = self.parts[letters] = self._packed(self._model(letters.translate(self.spelling)))
             if tail:
                 end = self.parts.get(tail)
                 if end is None:
-                    end = self.parts[tail] = self._whole(tail)
+                    end = self.parts[tail] = self._packed(self._whole(tail))
                 ids = ids + end
             out[i] = ids
         if odd:
             for i, found in zip(odd, self.tokenizer.encode_batch_fast([words[i] for i in odd], add_special_tokens=False)):
-                out[i] = found.ids
+                out[i] = self._packed(found.ids)
         return out
 
     def _places(self, hashes: np.ndarray, word_of) -> np.ndarray:
@@ -113,11 +118,11 @@ class Encoder:
         new = np.flatnonzero(~there)
         if len(new):
             found = self._encode([word_of(i) for i in first[new]])
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            places = len(self.starts) + np.arange(len(new))
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            places = (len(self.starts) + np.arange(len(new))).astype(np.int32)
             self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(sizes) - sizes))
-            self.lengths = np.concatenate((self.lengths, sizes))
-            self.pool = np.concatenate((self.pool, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))))
+            self.lengths = np.concatenate((self.lengths, sizes.astype(np.int32)))
+            self.pool = np.concatenate((self.pool, np.frombuffer(b"".join(found), np.uint32)))
             self.hashes = np.insert(self.hashes, at[new], distinct[new])
             self.places = np.insert(self.places, at[new], places)
             at = np.searchsorted(self.hashes, distinct)
@@ -130,7 +135,7 @@ class Encoder:
         places = self._places(batch.word_hashes(), lambda i: data[batch.starts[i] : batch.ends[i]].decode("utf-8"))
         places = np.insert(places, batch.word_bounds[1:], 0)
         bounds = batch.word_bounds + np.arange(batch.rows + 1)
-        sizes = self.lengths[places]
+        sizes = self.lengths[places].astype(np.int64)
         ends = np.cumsum(sizes)
         ids = self.pool[np.repeat(self.starts[places] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
         bounds = np.concatenate(([0], ends))[bounds]
