@@ -241,7 +241,9 @@ def _examples(draw: random.Random, background: list[list[str]], families: list[s
 
 def train(documents: DataFrame, rows: int = BACKGROUND_ROWS) -> Model:
     """Fit on the templates, with lines of at most so many documents as background."""
-    texts = hash_sample(documents.select("doc_id", "text").where("text is not null"), "doc_id", rows).select("text")
+    # The ids are chosen first: each task sends the driver its candidates, and texts would add up.
+    chosen = hash_sample(documents.where("doc_id is not null and text is not null").select("doc_id"), "doc_id", rows)
+    texts = documents.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id").select("text").limit(rows)
     return fit([r["text"] for r in texts.collect()])
 
 
