@@ -20,12 +20,16 @@ KEY = "struct<d:bigint,h:bigint>"
 _NULL_ID = -(2**63)
 
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 1000
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Give this package to the executors' Python, which may not have it installed: once per application, as a zip file
-    in the shared folder."""
+    in the shared folder. Also bounds the session's Arrow batches."""
+    # Rows are whole texts: few to a batch, so that a batch stays small in the executor and in its Python worker.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

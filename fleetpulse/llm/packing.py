@@ -31,7 +31,7 @@ from fleetpulse.llm.text import Batch
 CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker remembers, at most.
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 300_000
 #: Pieces in a hash shard of one length, about.
 SHARD_ROWS = 100_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
