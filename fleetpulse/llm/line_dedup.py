@@ -1,13 +1,14 @@
 """Line dedup by pairwise alignment: what a document shares with an earlier one, in aligned blocks, is deleted from it.
 
-A line (as rare as its words: at least `rare_words` of them) is known by its hash and its number among equal lines of
-the document; a shorter line is common by itself and is known together with the long line before it (or else after it).
-The first document that has a line, by id, holds it. Each document is paired with the holders of its lines, so that the
-pairs grow with the lines and not with the square of a group, and every shared line has a pair that shows it. A pair's
-common lines are aligned by patience: unique on both sides, their longest increasing sequence is kept; runs of it that
-are adjacent in both documents are blocks, and blocks of at least `min_block_words` words are deleted from the later
-document. What is left is aligned again, so that moved blocks go too. Blank lines do not break a block and go with it.
-The holder keeps its lines, so that one copy of everything stays.
+A line is known by its runs: from each line on, and up to each line, the shortest run of lines that has `min_block_words`
+words. A run is known by the hash of its lines and its number among equal runs of the document; the lines around it do
+not matter, so that lines of any length count. Any block of that many words which two documents share is made up of such
+runs. The first document that has a run, by id, holds it. Each document is paired with the holders of its runs, so that
+the pairs grow with the lines (two runs for each at most) and not with the square of a group, and every shared block is
+shown whole, each run of it by its own holder. A pair's common runs are aligned by patience: their longest increasing
+sequence is kept, and runs that meet in both documents are one block. What is left is aligned again, so that moved
+blocks go too. The blocks are deleted from the later document, with the blank lines in them and between neighbouring
+ones; blank lines do not break a block. The holder keeps its lines, so that one copy of everything stays.
 
 Null or empty text: no lines, left as it is. Null doc_id: before all others. Equal ids: in order of the text's hash; rows
 that agree in both id and text are one document and get the same result. Very long texts are split as any other. Extra
@@ -19,19 +20,19 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import WORD, row_key, ship_package, stored
+from fleetpulse.llm.text import occurrence, range_hashes
 
-RARE_WORDS = 8
 MIN_BLOCK_WORDS = 20
 
 
-def _lines(documents: DataFrame, rare_words: int) -> DataFrame:
-    """Each line that has words: the key of its document, its place among all lines and among lines with words, its
-    words, and what it is known by."""
+def _lines(documents: DataFrame) -> DataFrame:
+    """Per document its key and its lines that have words: place among all lines, hash and number of words."""
     parts = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
     rows = documents.select(
         row_key().alias("_key"),
@@ -45,48 +46,44 @@ def _lines(documents: DataFrame, rare_words: int) -> DataFrame:
     return rows.where(F.size("_lines") > 0)
 
 
-def _known(rare_words: int):
-    """Per document: the line, rank, words and identity of each line with words."""
+def shortest_runs(words: np.ndarray, bounds: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last line of the shortest runs of enough words that begin or end at a line and stay in its document."""
+    total = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
+    at, size = np.arange(len(words)), np.diff(bounds)
+    begin, end = np.repeat(bounds[:-1], size), np.repeat(bounds[1:], size)
+    last = np.searchsorted(total, total[:-1] + min_words) - 1
+    first = np.searchsorted(total, total[1:] - min_words, side="right") - 1
+    onward, back = last < end, first >= begin
+    runs = np.unique(np.concatenate((at[onward] * len(words) + last[onward], first[back] * len(words) + at[back])))
+    return runs // max(len(words), 1), runs % max(len(words), 1)
+
+
+def _known(min_words: int):
+    """Per document: the runs of its lines, where they lie and what they are known by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            keys, hashes = rows["_key"].field("d").to_pylist(), rows["_key"].field("h").to_pylist()
-            out: list[tuple] = []
-            for d, h, lines in zip(keys, hashes, rows["_lines"].to_pylist()):
-                times: dict[tuple, int] = {}
-                context, pending = 0, []
-                found = []
-                for rank, x in enumerate(lines):
-                    if x["words"] >= rare_words:
-                        context = x["h"]
-                        for p in pending:  # short lines before the first long one
-                            found[p][4] = context
-                        pending = []
-                        near = 0
-                    else:
-                        near = context
-                        if not context:
-                            pending.append(rank)
-                    found.append([x["line"], rank, x["words"], x["h"], near])
-                for line, rank, words, own, near in found:
-                    n = times[own, near] = times.get((own, near), 0) + 1
-                    out.append((d, h, line, rank, words, own, near, n))
-                if len(out) > 50_000:
-                    yield _batch(out)
-                    out = []
-            yield _batch(out)
+            d, h = (rows["_key"].field(name).to_numpy(zero_copy_only=False) for name in "dh")
+            bounds = rows["_lines"].offsets.to_numpy().astype(np.int64)
+            bounds -= bounds[0]
+            lines = rows["_lines"].flatten()
+            line, own, words = (lines.field(name).to_numpy(zero_copy_only=False) for name in ("line", "h", "words"))
+            first, last = shortest_runs(words, bounds, min_words)
+            row = np.searchsorted(bounds, first, side="right") - 1
+            known = range_hashes(own, first, last + 1)
+            n = occurrence(known, row)
+            rank = first - bounds[row]
+            columns = [d[row], h[row], line[first], line[last], rank, last - first + 1, known.view(np.int64), n]
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES)], _NAMES)
+            for start in range(0, max(out.num_rows, 1), 50_000):
+                yield out.slice(start, 50_000)
 
     return run
 
 
-_KNOWN = "d long, h long, line int, rank int, words int, own long, near long, n int"
-_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
-_NAMES = ["d", "h", "line", "rank", "words", "own", "near", "n"]
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*rows) if rows else [[] for _ in _NAMES]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES)], _NAMES)
+_KNOWN = "d long, h long, line int, last_line int, rank int, size int, run long, n int"
+_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+_NAMES = ["d", "h", "line", "last_line", "rank", "size", "run", "n"]
 
 
 def increasing(values: list[int]) -> list[int]:
@@ -107,75 +104,69 @@ def increasing(values: list[int]) -> list[int]:
     return out[::-1]
 
 
-def common_blocks(matches: list[tuple[int, int, int]], min_words: int) -> list[tuple[int, int]]:
-    """Blocks (first and last rank in the later document) of enough words, from (rank, rank in the earlier document,
-    words) of the common lines, each unique on both sides."""
-    left, blocks = sorted(matches), []
+def common_blocks(matches: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Blocks (first and last rank in the later document) from (rank, rank in the earlier document, lines) of the common
+    runs."""
+    left, blocks = sorted(set(matches), key=lambda m: (m[0], -m[1], m[2])), []
     while left:
-        chain = [left[i] for i in increasing([m[1] for m in left])]
-        found, run = set(), [chain[0]]
-        for before, m in zip(chain, [*chain[1:], (-1, -1, 0)]):
-            if m[0] == before[0] + 1 and m[1] == before[1] + 1:
-                run.append(m)
-                continue
-            if sum(x[2] for x in run) >= min_words:
-                blocks.append((run[0][0], run[-1][0]))
-                found.update(x[0] for x in run)
-            run = [m]
-        if not found:
-            break
-        left = [m for m in left if m[0] not in found]
+        chosen = increasing([m[1] for m in left])
+        first, held, last = left[chosen[0]][0], left[chosen[0]][1], left[chosen[0]][0] - 1
+        for rank, held_rank, size in (left[i] for i in chosen):
+            if rank > last + 1 or held_rank - rank != held - first:
+                blocks.append((first, last))
+                first, held, last = rank, held_rank, rank - 1
+            last = max(last, rank + size - 1)
+        blocks.append((first, last))
+        taken = set(chosen)
+        left = [m for i, m in enumerate(left) if i not in taken]
     return blocks
 
 
-def _aligning(min_words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            d, h, deleted = [], [], []
-            for a, b, matches in zip(rows["d"].to_pylist(), rows["h"].to_pylist(), rows["matches"].to_pylist()):
-                pairs: dict[tuple, list] = {}
-                line_of: dict[int, int] = {}
-                for m in matches:
-                    pairs.setdefault((m["hd"], m["hh"]), []).append((m["rank"], m["held_rank"], m["words"]))
-                    line_of[m["rank"]] = m["line"]
-                spans = []
-                for pair in pairs.values():
-                    spans += [[line_of[x], line_of[y]] for x, y in common_blocks(pair, min_words)]
-                if spans:
-                    d.append(a)
-                    h.append(b)
-                    deleted.append(sorted(spans))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(d, pa.int64()), pa.array(h, pa.int64()), pa.array(deleted, pa.list_(pa.list_(pa.int32())))],
-                ["d", "h", "spans"],
-            )
-
-    return run
+def _aligning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in batches:
+        deleted = []
+        for matches in rows["matches"].to_pylist():
+            pairs: dict[tuple, list] = {}
+            line_of: dict[int, int] = {}
+            for m in matches:
+                pairs.setdefault((m["hd"], m["hh"]), []).append((m["rank"], m["held_rank"], m["size"]))
+                line_of[m["rank"]] = m["line"]
+                line_of[m["rank"] + m["size"] - 1] = m["last_line"]
+            spans: list[list[int]] = []
+            # Blocks that overlap or are neighbours, of whatever pair, go as one.
+            for x, y in sorted(block for pair in pairs.values() for block in common_blocks(pair)):
+                if spans and x <= spans[-1][1] + 1:
+                    spans[-1][1] = max(spans[-1][1], y)
+                else:
+                    spans.append([x, y])
+            deleted.append([[line_of[x], line_of[y]] for x, y in spans])
+        yield pa.RecordBatch.from_arrays(
+            [rows["d"], rows["h"], pa.array(deleted, pa.list_(pa.list_(pa.int32())))], ["d", "h", "spans"]
+        )
 
 
-def deletions(documents: DataFrame, rare_words: int = RARE_WORDS, min_block_words: int = MIN_BLOCK_WORDS) -> DataFrame:
+def deletions(documents: DataFrame, min_block_words: int = MIN_BLOCK_WORDS) -> DataFrame:
     """For each document that loses lines its key and the spans (first and last line) to delete."""
     ship_package(documents.sparkSession)
-    lines = stored(_lines(documents, rare_words).mapInArrow(_known(rare_words), _KNOWN), "lines")
-    identity = ["own", "near", "n"]
-    holder = F.struct("d", "h", "rank")
+    runs = stored(_lines(documents).mapInArrow(_known(min_block_words), _KNOWN), "runs")
+    identity = ["run", "n"]
     held = (
-        lines.groupBy(*identity)
-        .agg(F.min(holder).alias("first"), F.max(F.struct("d", "h")).alias("last"))
+        runs.groupBy(*identity)
+        .agg(F.min(F.struct("d", "h", "rank")).alias("first"), F.max(F.struct("d", "h")).alias("last"))
         .where("first.d < last.d or first.h < last.h")
         .select(*identity, F.col("first.d").alias("hd"), F.col("first.h").alias("hh"), F.col("first.rank").alias("held_rank"))
     )
-    matches = lines.join(held, identity).where("d <> hd or h <> hh").select("d", "h", "line", "rank", "words", "hd", "hh", "held_rank")
-    # A document's own matches lie on one row: as many as it has lines.
+    matches = runs.join(held, identity).where("d <> hd or h <> hh")
+    # A document's own matches lie on one row: at most twice as many as it has lines.
     each = matches.groupBy("d", "h").agg(
-        F.collect_set(F.struct("line", "rank", "words", "hd", "hh", "held_rank")).alias("matches")
+        F.collect_set(F.struct("line", "last_line", "rank", "size", "hd", "hh", "held_rank")).alias("matches")
     )
-    return each.mapInArrow(_aligning(min_block_words), "d long, h long, spans array<array<int>>")
+    return each.mapInArrow(_aligning, "d long, h long, spans array<array<int>>")
 
 
-def dedup_lines(documents: DataFrame, rare_words: int = RARE_WORDS, min_block_words: int = MIN_BLOCK_WORDS) -> DataFrame:
+def dedup_lines(documents: DataFrame, min_block_words: int = MIN_BLOCK_WORDS) -> DataFrame:
     """The documents with all their columns, the text without the deleted blocks, and deleted_lines (their number)."""
-    spans = stored(deletions(documents, rare_words, min_block_words), "deletions")
+    spans = stored(deletions(documents, min_block_words), "deletions")
     spans = spans.select(F.struct("d", "h").alias("_key"), F.col("spans").alias("_spans"))
     rows = documents.select(F.struct("*").alias("_whole"), F.col("text").alias("_text"), row_key().alias("_key"))
     gone = F.array_distinct(F.flatten(F.transform("_spans", lambda s: F.sequence(s[0], s[1]))))

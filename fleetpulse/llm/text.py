@@ -112,6 +112,13 @@ class Batch:
         return starts, ends, rows, words
 
 
+def range_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each range of items, given by their hashes."""
+    sums = np.zeros(len(hashes) + 1, U64)
+    np.cumsum(mix(hashes) * _power("up", len(hashes)), out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _power("down", len(hashes) + 1)[starts] + (ends - starts).astype(U64))
+
+
 def windows(hashes: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each window of consecutive words of one text, and the index of its first word."""
     n = len(hashes) - size + 1

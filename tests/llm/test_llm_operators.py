@@ -131,6 +131,58 @@ def test_op4_blocks_moved_short_and_within(spark):
     assert found == {1: rows[0][1], 2: f"new\n{c}\n", 3: rows[2][1], 4: rows[3][1], 5: f"{b}\n{c}"}
 
 
+def shared_runs(texts, least=line_dedup.MIN_BLOCK_WORDS):
+    """Per document the lines, by rank, in a run of enough words that any earlier document has: over all pairs."""
+    lines = {i: [x for x in texts[i].split("\n") if x.strip()] for i in sorted(texts)}
+    places, out = {}, {}
+    for i, mine in lines.items():
+        out[i] = set()
+        for k, line in enumerate(mine):
+            for j, q in places.get(line, ()):
+                if k and q and mine[k - 1] == lines[j][q - 1]:
+                    continue
+                n = 1
+                while k + n < len(mine) and q + n < len(lines[j]) and mine[k + n] == lines[j][q + n]:
+                    n += 1
+                if sum(len(WORD.findall(x)) for x in mine[k : k + n]) >= least:
+                    out[i].update(range(k, k + n))
+        for k, line in enumerate(mine):
+            places.setdefault(line, []).append((i, k))
+    return lines, out
+
+
+def check_shared_runs(texts, found):
+    lines, gone = shared_runs(texts)
+    for i, mine in lines.items():
+        if len(set(mine)) == len(mine):  # how many copies stay is another question
+            assert [x for x in found[i].split("\n") if x.strip()] == [x for k, x in enumerate(mine) if k not in gone[i]]
+    return sum(map(len, gone.values()))
+
+
+def test_op4_runs_of_lines_over_all_pairs(spark, texts):
+    passage = [" ".join(f"p{k}w{i}" for i in range(12)) for k in range(6)]
+    apart = lambda own, lines: "\n".join(x for k, line in enumerate(lines) for x in (f"{own} {k}", line))
+    rows = {
+        1: apart("one", passage[::2]),
+        2: apart("two", passage[1::2]),  # the lines of the passage are held in turn
+        3: "\n".join(["three", *passage, "end"]),
+        4: "\n".join(["four", *passage, "last"]),
+    }
+    draw = random.Random(4)
+    stock = [" ".join(f"s{k}w{i}" for i in range(draw.randint(1, 24))) for k in range(14)]
+    for i in range(5, 120):
+        parts = draw.sample(stock, draw.randint(2, 14))
+        if draw.random() < 0.8:
+            parts = [*parts[: draw.randint(0, 4)], *stock[(k := draw.randint(0, 10)) : k + draw.randint(2, 6)]]
+        rows[i] = "\n".join(dict.fromkeys(x for line in parts for x in ([line, ""] if draw.random() < 0.2 else [line])))
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs).collect()}
+    assert found[3] == rows[3] and found[4] == "four\nlast"
+    assert check_shared_runs(rows, found) > 300
+    whole = {r["doc_id"]: r["text"] for r in queries.op4_line_dedup(spark, SF).collect()}
+    assert check_shared_runs(texts, whole) > 300
+
+
 def test_op4_patience():
     for seed in range(40):
         draw = random.Random(seed)
