@@ -183,6 +183,19 @@ def test_op4_runs_of_lines_over_all_pairs(spark, texts):
     assert check_shared_runs(texts, whole) > 300
 
 
+def test_op4_short_lines_among_different_ones(spark):
+    verse = "\n".join(" ".join(f"v{k}w{i}" for i in range(7)) for k in range(12))
+    menu = "\n".join(f"dish{k}\n" for k in range(30))
+    around = lambda i, text: "\n".join([" ".join(f"d{i}b{k}" for k in range(9)), text, " ".join(f"d{i}a{k}" for k in range(9))])
+    rows = [(1, around(1, verse)), (2, around(2, verse)), (3, verse), (4, around(4, menu)), (5, around(5, menu)), (6, "dish1\ndish2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.dedup_lines(docs).collect()}
+    before, after = (lambda i: rows[i - 1][1].split("\n")[0]), (lambda i: rows[i - 1][1].split("\n")[-1])
+    assert all(found[i] == rows[i - 1][1].split("\n") for i in (1, 4, 6))
+    assert found[2] == [before(2), after(2)] and found[3] == [""]
+    assert [x for x in found[5] if x] == [before(5), after(5)]
+
+
 def test_op4_patience():
     for seed in range(40):
         draw = random.Random(seed)
