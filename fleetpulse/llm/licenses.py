@@ -1,7 +1,8 @@
 """Licence scan: a paragraph classifier over word n-grams names the family, and a comparison with templates confirms it.
 
-A text is read in units: its lines, longer ones in windows of `WINDOW` words that overlap by half. Words are in lower
-case without ASCII punctuation. For each family a sparse logistic regression (single words and pairs, weights shrunk to
+A text is read in units: its lines, longer ones in windows of `WINDOW` words that overlap by half, and such windows over
+whole paragraphs (lines up to one without words) where they cross a line break. A unit has the line number of its first
+word; a notice may be in several. Words are in lower case without ASCII punctuation. For each family a sparse logistic regression (single words and pairs, weights shrunk to
 zero by l1) is trained on notices of that family, cut, thinned and embedded at random, against the notices of the others,
 sentences about licences in another sense, shuffled notices, and lines of a bounded sample of documents. The best
 family's score is calibrated on examples that the fit left out: below `MIN_PROBABILITY` a unit is of the unknown class.
@@ -286,19 +287,35 @@ def fit(texts: list[str]) -> Model:
     return Model(families, kept, bias, slope, intercept, templates)
 
 
+def _windows(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word and end word of the windows over each range of words, and the number of the range."""
+    step = WINDOW // 2
+    parts = np.where(last - first <= WINDOW, 1, -(-(last - first - WINDOW) // step) + 1)
+    which = np.repeat(np.arange(len(first)), parts)
+    k = np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
+    begin = first[which] + k * step
+    return begin, np.minimum(begin + WINDOW, last[which]), which
+
+
 def _units(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, end word and line number of each unit of a batch."""
+    """First word, end word and line number of the first word of each unit of a batch, in order."""
     starts, ends, rows, _ = batch.lines()
     first, last = np.searchsorted(batch.starts, starts), np.searchsorted(batch.starts, ends)
     number = np.arange(len(rows)) - np.searchsorted(rows, rows)
     full = last > first
+    # A paragraph begins with a text and after a line without words.
+    opens = full & np.concatenate(([True], (rows[1:] != rows[:-1]) | ~full[:-1]))[: len(full)]
+    paragraph = np.cumsum(opens)[full] - 1
     first, last, number = first[full], last[full], number[full]
-    step = WINDOW // 2
-    parts = np.where(last - first <= WINDOW, 1, -(-(last - first - WINDOW) // step) + 1)
-    which = np.repeat(np.arange(len(first)), parts)
-    k = np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
-    begin = first[which] + k * step
-    return begin, np.minimum(np.where(parts[which] == 1, last[which], begin + WINDOW), last[which]), number[which]
+    begin, end, line = _windows(first, last)
+    head = np.flatnonzero(np.diff(paragraph, prepend=-1))
+    tail = np.append(head[1:], len(first))[: len(head)] - 1
+    wide, close, _ = _windows(first[head], last[tail])
+    at = np.searchsorted(last, wide, side="right")  # the line of the first word
+    across = close > last[at] if len(at) else np.zeros(0, bool)
+    begin, end, line = (np.concatenate(x) for x in ((begin, wide[across]), (end, close[across]), (line, at[across])))
+    order = np.lexsort((end, begin))
+    return begin[order], end[order], number[line[order]]
 
 
 class Reach:

@@ -52,6 +52,34 @@ def test_op1_notices_in_other_words_and_in_long_lines(spark):
     assert found == {1: "mit", 2: "apache-2.0", 3: None, 4: "cc-by-sa"}
 
 
+def test_op1_notices_wrapped_at_every_word(spark):
+    notices = {
+        "apache-2.0": "Licensed under the Apache License, Version 2.0.",
+        "mit": "Released under the MIT License.",
+        "gpl": "This work is licensed under the GNU General Public License, version 3.",
+        "bsd": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    }
+    before, after = (" ".join(f"{x}{i}" for i in range(20)) for x in ("before", "after"))
+    expected, rows = {}, []
+    for family, notice in notices.items():
+        words = notice.split()
+        for k in range(1, len(words)):
+            head, tail = " ".join(words[:k]), " ".join(words[k:])
+            for text in (f"{head}\n{tail}", f"// {before}\n// {head}\n// {tail}\n// {after}", f"> {before} {head}\r\n> {tail} {after}"):
+                expected[len(rows)] = family
+                rows.append((len(rows), text))
+        for width in (1, 2, 3):
+            lines = [" ".join(words[i : i + width]) for i in range(0, len(words), width)]
+            expected[len(rows)] = family
+            rows.append((len(rows), "\n".join(["", "own words", "", *lines, "", *lines[:1]])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in licenses.scan(docs, licenses.train(table(spark, SF, "documents"))).collect()}
+    assert {i: r["family"] for i, r in found.items()} == expected
+    # The unit begins after the blank line and ends before the next.
+    last = [f for f in found[len(rows) - 1]["findings"] if f["confirmed"]]
+    assert [(f["line"], f["text"].split()) for f in last] == [(3, notices["bsd"].rstrip(".").split())]
+
+
 def test_op2_accuracy_and_shrinkage(spark):
     rows = queries.op2_site_quality(spark, "/root/testdata/sf0.1")
     labelled = table(spark, "/root/testdata/sf0.1", "labels").join(rows, "doc_id")
