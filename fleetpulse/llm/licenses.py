@@ -6,7 +6,9 @@ word; a notice may be in several. Words are in lower case without ASCII punctuat
 zero by l1) is trained on notices of that family, cut, thinned and embedded at random, against the notices of the others,
 sentences about licences in another sense, shuffled notices, and lines of a bounded sample of documents. The best
 family's score is calibrated on examples that the fit left out: below `MIN_PROBABILITY` a unit is of the unknown class.
-A prediction is confirmed if the unit has enough of one template's word pairs, or a stretch that is mostly such pairs.
+What a family's template accounts for is then set aside and the rest of the unit is read again, so that a unit has a
+finding for each family with a notice in it. A finding is confirmed if the unit has enough of one template's word pairs,
+or a stretch that is mostly such pairs.
 
 A unit that has too little weight in its words for any family cannot be predicted; this bound is taken over all units in
 arrays, and only the others are scored one by one. No unit is left out.
@@ -170,6 +172,27 @@ def similarity(words: list[str], template: set[tuple[str, str]]) -> float:
     return max(whole, best)
 
 
+def _parts(begin: int, end: int) -> list[tuple[int, int]]:
+    """A range of words and its parts of `PART` words."""
+    last = end - PART
+    return [(begin, end), *((i, i + PART) for i in sorted({*range(begin, last, PART // 4), last}) if last > begin)]
+
+
+def _stretch(words: list[str], template: set[tuple[str, str]]) -> tuple[int, int, int]:
+    """The stretch of words that has the most pairs of the template more than others, each pair once, as another notice
+    may begin with the same words: how many more, begin and end."""
+    best, begin, total = (0, 0, 0), 0, 0
+    seen: set[tuple[str, str]] = set()
+    for i, p in enumerate(zip(words, words[1:])):
+        total += 1 if p in template and p not in seen else -1
+        seen.add(p)
+        if total <= 0:
+            begin, total, seen = i + 1, 0, set()
+        elif total > best[0]:
+            best = (total, begin, i + 2)
+    return best
+
+
 @dataclass
 class Model:
     families: list[str]
@@ -188,15 +211,38 @@ class Model:
                 total = total + np.sum(found, 0) / np.sqrt(len(words))
         return total
 
-    def judge(self, words: list[str]) -> tuple[str, float, float]:
-        """Family, calibrated probability, and similarity to the family's nearest template: of the unit, or of the part
-        of `PART` words that scores best."""
-        last = len(words) - PART
-        parts = [words, *(words[i : i + PART] for i in sorted({*range(0, last, PART // 4), last}) if last > 0)]
-        scores = max((self.scores(part) for part in parts), key=np.max)
-        k = int(np.argmax(scores))
-        probability = float(sigmoid(self.slope * scores[k] + self.intercept))
-        return self.families[k], probability, max(similarity(words, t) for t in self.templates[k])
+    def judge(self, words: list[str], min_probability: float) -> list[tuple[str, float, float]]:
+        """Each family found, the best first, with its calibrated probability and the unit's similarity to the family's
+        nearest template. The score is that of the unit, or of its part of `PART` words that scores best. The stretch of
+        that part which a template of the family accounts for is set aside, and what is left is read again."""
+        found: dict[int, float] = {}
+        left = np.ones(len(words), bool)
+        while left.any():
+            edges = np.flatnonzero(np.diff(left, prepend=False, append=False)).reshape(-1, 2).tolist()
+            parts = [part for x, y in edges for part in _parts(x, y)]
+            scores = np.array([self.scores(words[x:y]) for x, y in parts])
+            best, k = divmod(int(np.argmax(scores)), len(self.families))
+            probability = float(sigmoid(self.slope * scores[best, k] + self.intercept))
+            if probability < min_probability:
+                break
+            found.setdefault(k, probability)
+            begin, end = next((x, y) for x, y in edges if x <= parts[best][0] < y)
+            x, y = self._account(words[begin:end], k, min_probability)
+            x, y = (begin + x, begin + y) if y else parts[best]
+            left[x:y] = False
+        return [(self.families[k], p, max(similarity(words, t) for t in self.templates[k])) for k, p in found.items()]
+
+    def _account(self, words: list[str], k: int, min_probability: float) -> tuple[int, int]:
+        """Begin and end of the stretch that a template of the family accounts for, one that is of the family by itself
+        before others: read from either side, as a like notice of another family may stand beside it."""
+        least, n, options = self.least_score(min_probability), len(words), [(False, 0, 0, 0)]
+        for t in self.templates[k]:
+            total, x, y = _stretch(words, t)
+            back, u, v = _stretch(words[::-1], {p[::-1] for p in t})
+            for more, i, j in ((total, x, y), (back, n - v, n - u)):
+                if more > 0:
+                    options.append((bool(self.scores(words[i:j])[k] >= least), more, i, j))
+        return max(options)[2:]
 
     def least_score(self, min_probability: float) -> float:
         """The score that a unit must reach to be predicted at all."""
@@ -382,19 +428,17 @@ def scan(documents: DataFrame, model: Model, min_probability: float = MIN_PROBAB
                 each: list[list[dict]] = [[] for _ in range(batch.rows)]
                 for u in np.flatnonzero(reach.may(batch.word_hashes(), begin, end)):
                     x, y = int(batch.starts[begin[u]]), int(batch.ends[end[u] - 1])
-                    family, probability, alike = m.judge(data[x:y].decode("utf-8", "replace").split())
-                    if probability < min_probability:
-                        continue
-                    each[int(batch.word_row[begin[u]])].append(
-                        {
-                            "line": int(line[u]),
-                            "family": family,
-                            "probability": probability,
-                            "similarity": alike,
-                            "confirmed": alike >= min_similarity,
-                            "text": raw[x:y].decode("utf-8", "replace"),
-                        }
-                    )
+                    for family, probability, alike in m.judge(data[x:y].decode("utf-8", "replace").split(), min_probability):
+                        each[int(batch.word_row[begin[u]])].append(
+                            {
+                                "line": int(line[u]),
+                                "family": family,
+                                "probability": probability,
+                                "similarity": alike,
+                                "confirmed": alike >= min_similarity,
+                                "text": raw[x:y].decode("utf-8", "replace"),
+                            }
+                        )
                 best = [max(f, key=lambda r: (r["confirmed"], r["probability"]), default=None) for f in each]
                 best = [r if r and r["confirmed"] else None for r in best]
                 pick = lambda name: [r and r[name] for r in best]

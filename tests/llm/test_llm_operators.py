@@ -80,6 +80,31 @@ def test_op1_notices_wrapped_at_every_word(spark):
     assert [(f["line"], f["text"].split()) for f in last] == [(3, notices["bsd"].rstrip(".").split())]
 
 
+def test_op1_several_notices_in_one_line(spark):
+    notices = {
+        "apache-2.0": "Licensed under the Apache License, Version 2.0.",
+        "mit": "Released under the MIT License.",
+        "all-rights-reserved": "All rights reserved.",
+        "gpl": "This work is licensed under the GNU General Public License, version 3.",
+        "cc-by": "Licensed under CC BY 4.0.",
+        "cc-by-sa": "Licensed under CC BY-SA 4.0.",
+    }
+    cases = [((f,), notices[f]) for f in notices]
+    for pair in itertools.permutations(notices, 2):
+        cases.append((pair, " ".join(notices[f] for f in pair)))
+    cases.append((("mit", "apache-2.0"), "Licensed under the MIT License or the Apache License, Version 2.0."))
+    cases.append((("mit", "apache-2.0", "all-rights-reserved"), " ".join(notices[f] for f in ("mit", "all-rights-reserved", "apache-2.0"))))
+    # What two families say alike is no second notice.
+    cases += [((f,), licenses.TEMPLATES[f][0]) for f in ("lgpl", "agpl", "cc-by-nc", "isc")]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(cases)], "doc_id long, text string")
+    for r in licenses.scan(docs, licenses.train(table(spark, SF, "documents"))).collect():
+        expected, text = cases[r["doc_id"]]
+        whole = [f for f in r["findings"] if f["confirmed"] and f["text"].split() == text.rstrip(".").split()]
+        if len(text.split()) <= licenses.WINDOW:
+            assert sorted(f["family"] for f in whole) == sorted(expected), text
+        assert {f["family"] for f in r["findings"] if f["confirmed"]} == set(expected), text
+
+
 def test_op2_accuracy_and_shrinkage(spark):
     rows = queries.op2_site_quality(spark, "/root/testdata/sf0.1")
     labelled = table(spark, "/root/testdata/sf0.1", "labels").join(rows, "doc_id")
