@@ -5,12 +5,14 @@ whole paragraphs (lines up to one without words) where they cross a line break.
 word; a notice may be in several. Words are in lower case without ASCII punctuation. For each family a sparse logistic regression (single words and pairs, weights shrunk to
 zero by l1) is trained on notices of that family, cut, thinned and embedded at random, against the notices of the others,
 sentences about licences in another sense, shuffled notices, and lines of a bounded sample of documents. The best
-family's score is calibrated on examples that the fit left out: below `MIN_PROBABILITY` a unit is of the unknown class.
+family's score is calibrated on examples that the fit left out. A unit below `MIN_PROBABILITY` for each family that
+reaches it for any licence at all, by a score and a calibration of its own, has a finding of family "unknown", never
+confirmed, unless a named one overlaps it; other units have none.
 What a family's template accounts for is then set aside and the rest of the unit is read again, so that a unit has a
 finding for each family with a notice in it. A finding is confirmed if the unit has enough of one template's word pairs,
 or a stretch that is mostly such pairs.
 
-A unit that has too little weight in its words for any family cannot be predicted; this bound is taken over all units in
+A unit that has too little weight in its words for any family or licence cannot be predicted; this bound is taken over all units in
 arrays, and only the others are scored one by one. No unit is left out.
 
 Null or empty text: no units, no licence. Null doc_id: passed on. Repeated rows: each is scanned. Very long texts are read
@@ -35,6 +37,8 @@ from fleetpulse.llm.text import FOLD, Batch
 WINDOW = 32
 PART = 16
 MIN_PROBABILITY = 0.5
+#: The family of a unit that reads as a licence, but as none with a template.
+UNKNOWN = "unknown"
 MIN_SIMILARITY = 0.6
 #: Word pairs of a template that a stretch must have at least, if the template has as many.
 MIN_PAIRS = 5
@@ -172,6 +176,10 @@ def similarity(words: list[str], template: set[tuple[str, str]]) -> float:
     return max(whole, best)
 
 
+def _least(slope: float, intercept: float, probability: float) -> float:
+    return (np.log(probability / (1 - probability)) - intercept) / slope if slope > 0 else -np.inf
+
+
 def _parts(begin: int, end: int) -> list[tuple[int, int]]:
     """A range of words and its parts of `PART` words."""
     last = end - PART
@@ -196,10 +204,12 @@ def _stretch(words: list[str], template: set[tuple[str, str]]) -> tuple[int, int
 @dataclass
 class Model:
     families: list[str]
-    weights: dict[str, np.ndarray]  # word or pair -> one weight per family
+    weights: dict[str, np.ndarray]  # word or pair -> one weight per family, and one for any licence
     bias: np.ndarray
     slope: float
     intercept: float
+    any_slope: float
+    any_intercept: float
     templates: list[list[set[tuple[str, str]]]]
 
     def scores(self, words: list[str]) -> np.ndarray:
@@ -220,7 +230,7 @@ class Model:
         while left.any():
             edges = np.flatnonzero(np.diff(left, prepend=False, append=False)).reshape(-1, 2).tolist()
             parts = [part for x, y in edges for part in _parts(x, y)]
-            scores = np.array([self.scores(words[x:y]) for x, y in parts])
+            scores = np.array([self.scores(words[x:y])[:-1] for x, y in parts])
             best, k = divmod(int(np.argmax(scores)), len(self.families))
             probability = float(sigmoid(self.slope * scores[best, k] + self.intercept))
             if probability < min_probability:
@@ -244,12 +254,20 @@ class Model:
                     options.append((bool(self.scores(words[i:j])[k] >= least), more, i, j))
         return max(options)[2:]
 
+    def unknown(self, words: list[str]) -> tuple[str, float, float]:
+        """The calibrated probability of any licence at all, and the similarity to the nearest template of any family."""
+        score = max(self.scores(words[x:y])[-1] for x, y in _parts(0, len(words)))
+        alike = max(similarity(words, t) for family in self.templates for t in family)
+        return UNKNOWN, float(sigmoid(self.any_slope * score + self.any_intercept)), alike
+
     def least_score(self, min_probability: float) -> float:
         """The score that a unit must reach to be predicted at all."""
-        if self.slope <= 0:
-            return -np.inf
-        odds = np.log(min_probability / (1 - min_probability))
-        return (odds - self.intercept) / self.slope
+        return _least(self.slope, self.intercept, min_probability)
+
+    def least_scores(self, min_probability: float) -> np.ndarray:
+        """The same for each family and for any licence."""
+        any_licence = _least(self.any_slope, self.any_intercept, min_probability)
+        return np.array([*[self.least_score(min_probability)] * len(self.families), any_licence])
 
 
 def _examples(draw: random.Random, background: list[list[str]], families: list[str]) -> list[tuple[list[str], int]]:
@@ -321,16 +339,17 @@ def fit(texts: list[str]) -> Model:
     held = np.arange(len(examples)) % 4 == 3
     place = np.cumsum(~held) - 1
     fit = ~held[row]
-    weights, bias = np.zeros((len(number), len(families))), np.zeros(len(families))
-    for k in range(len(families)):
-        y = (label[~held] == k).astype(float)
+    weights, bias = np.zeros((len(number), len(families) + 1)), np.zeros(len(families) + 1)
+    for k in range(len(families) + 1):
+        y = (label[~held] == k if k < len(families) else label[~held] >= 0).astype(float)
         weights[:, k], bias[k] = fit_logistic(place[row[fit]], column[fit], value[fit], y, len(number), l1=2e-4, l2=1e-5, steps=150)
     scores = np.tile(bias, (len(examples), 1))
     np.add.at(scores, row, weights[column] * value[:, None])
-    best = scores.argmax(1)
-    slope, intercept = fit_platt(scores.max(1)[held], (best == label)[held].astype(float))
+    best = scores[:, :-1].argmax(1)
+    slope, intercept = fit_platt(scores[:, :-1].max(1)[held], (best == label)[held].astype(float))
+    any_licence = fit_platt(scores[held, -1], (label >= 0)[held].astype(float))
     kept = {g: weights[i] for g, i in number.items() if np.any(weights[i])}
-    return Model(families, kept, bias, slope, intercept, templates)
+    return Model(families, kept, bias, slope, intercept, *any_licence, templates)
 
 
 def _windows(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -374,7 +393,7 @@ class Reach:
         order = np.argsort(hashes)
         self.table = hashes[order]
         number = {words[k]: i for i, k in enumerate(order)}
-        size = len(model.families)
+        size = len(model.bias)
         self.alone = np.zeros((len(words), size), np.float32)
         pairs = {}
         for gram, weight in model.weights.items():
@@ -385,7 +404,7 @@ class Reach:
                 self.alone[number[first]] = np.maximum(weight, 0)
         self.pairs = np.array(sorted(pairs), np.int64)
         self.together = np.array([pairs[p] for p in self.pairs], np.float32).reshape(len(pairs), size)
-        self.least = (model.least_score(min_probability) - model.bias).astype(np.float32)
+        self.least = (model.least_scores(min_probability) - model.bias).astype(np.float32)
 
     def may(self, hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         place = np.minimum(np.searchsorted(self.table, hashes), len(self.table) - 1)
@@ -426,16 +445,27 @@ def scan(documents: DataFrame, model: Model, min_probability: float = MIN_PROBAB
                 begin, end, line = _units(batch)
                 data, raw = batch.data.tobytes(), plain.data.tobytes()
                 each: list[list[dict]] = [[] for _ in range(batch.rows)]
-                for u in np.flatnonzero(reach.may(batch.word_hashes(), begin, end)):
+                chosen = np.flatnonzero(reach.may(batch.word_hashes(), begin, end))
+                judged = []
+                named = np.zeros(len(batch.starts), bool)
+                for u in chosen:
                     x, y = int(batch.starts[begin[u]]), int(batch.ends[end[u] - 1])
-                    for family, probability, alike in m.judge(data[x:y].decode("utf-8", "replace").split(), min_probability):
+                    words = data[x:y].decode("utf-8", "replace").split()
+                    judged.append((u, x, y, words, m.judge(words, min_probability)))
+                    if judged[-1][-1]:
+                        named[begin[u] : end[u]] = True
+                for u, x, y, words, families in judged:
+                    # A piece of a notice that another unit has whole is not of an unknown licence.
+                    if not families and not named[begin[u] : end[u]].any():
+                        families = [f for f in [m.unknown(words)] if f[1] >= min_probability]
+                    for family, probability, alike in families:
                         each[int(batch.word_row[begin[u]])].append(
                             {
                                 "line": int(line[u]),
                                 "family": family,
                                 "probability": probability,
                                 "similarity": alike,
-                                "confirmed": alike >= min_similarity,
+                                "confirmed": family != UNKNOWN and alike >= min_similarity,
                                 "text": raw[x:y].decode("utf-8", "replace"),
                             }
                         )

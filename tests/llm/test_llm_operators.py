@@ -105,6 +105,23 @@ def test_op1_several_notices_in_one_line(spark):
         assert {f["family"] for f in r["findings"] if f["confirmed"]} == set(expected), text
 
 
+def test_op1_licence_without_template_is_unknown(spark):
+    texts = [
+        "Released under the Artistic License 2.0.",
+        "This software is distributed under the Boost Software License, Version 1.0.",
+        "Licensed under the Microsoft Public License.",
+        "The river was high and nobody went to the market that day.",
+        "She renewed her driver's license, version two of the form.",
+        "Licensed under the Apache\nLicense, Version 2.0.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in licenses.scan(docs, licenses.train(table(spark, SF, "documents"))).collect()}
+    found = [[(f["family"], f["confirmed"]) for f in rows[i]["findings"]] for i in range(len(texts))]
+    assert found[:5] == [[("unknown", False)]] * 3 + [[], []]
+    assert {f for f, _ in found[5]} == {"apache-2.0"}  # no piece of a known notice is unknown
+    assert all(rows[i]["family"] is None for i in range(5))
+
+
 def test_op2_accuracy_and_shrinkage(spark):
     rows = queries.op2_site_quality(spark, "/root/testdata/sf0.1")
     labelled = table(spark, "/root/testdata/sf0.1", "labels").join(rows, "doc_id")
