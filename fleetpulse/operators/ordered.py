@@ -1,9 +1,14 @@
 """Running values over long ordered groups, without sorting a whole group in one task.
 
-A window over (keys) puts all rows of a key into one task. Here each key is cut into bins along its order. One narrow
-aggregation, combined before its shuffle, reduces every bin to a single value; a window over those few values gives each
-bin the value carried in from earlier bins; the rows then meet their carry in a window over (keys, bin). The rows are
-shuffled once, and a key that holds a third of them is spread over as many tasks as it has bins.
+A window over (keys) puts all rows of a key into one task, and cutting a key at fixed times helps only as far as its
+rows are spread evenly over time. Here the rows are cut where they lie: Spark samples (keys, order) and cuts it into
+ranges of about equal depth, however the rows are spread over keys or along the order. A narrow pass reads off each
+range's lower bound and reduces every (keys, range) to one value; a window over those few values gives each range the
+value carried in from the ranges before it. A row finds its range among the bounds, which are a constant of the plan, by
+binary search; rows and carries are then dealt one range to a task and meet in a window over (keys, range). The rows are
+shuffled once, whole keys and parts of keys alike, and because the bounds are fixed a lost task is computed again alike.
+
+Rows equal in (keys, order) are in one range, so the order should tell rows apart. Null sorts first.
 """
 
 from __future__ import annotations
@@ -13,52 +18,94 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
+
+from fleetpulse.session import written
+
+_RANGE, _VALUE, _IS_ROW, _AT, _TOTAL = "__range", "__value", "__is_row", "__at", "__total"
+_JSON = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timeZone": "UTC"}
+
+
+def _range_of(at: Column, bounds: Column, count: int) -> Column:
+    """How many of the ascending bounds are at most `at`, less one: by halving steps."""
+    steps = [1 << i for i in reversed(range(max(count, 1).bit_length()))]
 
-_BIN, _VALUE, _IS_ROW = "__bin", "__value", "__is_row"
+    def further(found: Column, step: Column) -> Column:
+        return F.when(F.get(bounds, found + step - 1) <= at, found + step).otherwise(found)
 
+    return F.greatest(F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), further) - 1, F.lit(0))
 
-def running_before(
+
+def _cut(marked: DataFrame, keys: Sequence[str], order: Sequence[str], total: Column, ranges: int) -> tuple[Column, DataFrame]:
+    """The range of a row, and the total of each (keys, range): one written row per range and key in it."""
+    narrow = marked.select(F.struct(*keys, *order).alias(_AT), *keys, _VALUE)
+    parts = narrow.repartitionByRange(ranges, _AT).groupBy(F.spark_partition_id().alias("__part"), *keys)
+    cells = written(parts.agg(F.min(_AT).alias(_AT), total.alias(_TOTAL)), "ranges")
+    # One bound per range reaches the driver, as text, and comes back as a constant.
+    lows = cells.groupBy("__part").agg(F.min(_AT).alias(_AT))
+    text = lows.agg(F.to_json(F.sort_array(F.collect_list(_AT)), _JSON)).first()[0]
+    bounds = F.from_json(F.lit(text), ArrayType(narrow.schema[_AT].dataType), _JSON)
+    return _range_of(F.struct(*keys, *order), bounds, ranges), cells.withColumn(_RANGE, _range_of(F.col(_AT), bounds, ranges))
+
+
+def in_ranges(
     df: DataFrame,
     *,
     name: str,
     keys: Sequence[str],
-    bin: Column,
-    order: Sequence[Column | str],
+    order: Sequence[str],
     value: Column,
     combine: Callable[[str], Column],
     initial: DataFrame | None = None,
-) -> DataFrame:
+    ranges: int | None = None,
+) -> tuple[DataFrame, str]:
+    """running_before, dealt to one task per range, and the column that holds the number of the range: rows of the same
+    keys and range are in the same task, so grouping by them moves nothing."""
+    order = [c for c in order if c not in keys]
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marked = df.withColumn(_VALUE, value)
+    range_of, cells = _cut(marked, keys, order, combine(_VALUE), ranges)
+    totals = cells.select(*keys, _RANGE, _TOTAL)
+    if initial is not None:
+        # NULL sorts before all ranges.
+        totals = totals.unionByName(initial.toDF(*keys, _TOTAL).withColumn(_RANGE, F.lit(None).cast("int")))
+    earlier_ranges = W.partitionBy(*keys).orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
+    carries = totals.select(
+        *keys, _RANGE, combine(_TOTAL).over(earlier_ranges).alias(_VALUE), F.lit(0).alias(_IS_ROW)
+    ).filter(F.col(_VALUE).isNotNull() & F.col(_RANGE).isNotNull())
+    rows = marked.withColumns({_RANGE: range_of, _IS_ROW: F.lit(1)})
+    dealt = rows.unionByName(carries, allowMissingColumns=True).repartitionById(ranges, F.col(_RANGE))
+    earlier_rows = W.partitionBy(*keys, _RANGE).orderBy(_IS_ROW, *order).rowsBetween(W.unboundedPreceding, -1)
+    running = (
+        dealt.withColumn(name, combine(_VALUE).over(earlier_rows)).filter(F.col(_IS_ROW) == 1).drop(_VALUE, _IS_ROW)
+    )
+    return running, _RANGE
+
+
+def running_before(df: DataFrame, **options) -> DataFrame:
     """Adds column `name`: `combine` of `value` over all earlier rows of the same keys, NULL for the first.
 
-    `bin` must not decrease along `order`. `combine` has to be associative and commutative, as max and sum are.
-    `initial` holds one row (keys, value) per key for what came before all rows; no row may then have a NULL bin.
+    Options are those of in_ranges. `combine` has to be associative and commutative, as max and sum are. `initial` holds
+    one row (keys, value) per key for what came before all rows. `ranges` defaults to the number of shuffle partitions.
+    The keys, the order and the value of df are read once more than its rows, when this function is called.
     """
-    cells = [*keys, _BIN]
-    marked = df.withColumns({_BIN: bin, _VALUE: value})
-    totals = marked.groupBy(*cells).agg(combine(_VALUE).alias("__total"))
-    if initial is not None:
-        # NULL sorts before all bins.
-        start = initial.toDF(*keys, "__total").withColumn(_BIN, F.lit(None).cast("bigint"))
-        totals = totals.unionByName(start)
-    earlier_bins = W.partitionBy(*keys).orderBy(_BIN).rowsBetween(W.unboundedPreceding, -1)
-    carries = totals.select(
-        *cells, combine("__total").over(earlier_bins).alias(_VALUE), F.lit(0).alias(_IS_ROW)
-    ).filter(F.col(_VALUE).isNotNull())
-    rows = marked.withColumn(_IS_ROW, F.lit(1))
-    earlier_rows = W.partitionBy(*cells).orderBy(_IS_ROW, *order).rowsBetween(W.unboundedPreceding, -1)
-    return (
-        rows.unionByName(carries, allowMissingColumns=True)
-        .withColumn(name, combine(_VALUE).over(earlier_rows))
-        .filter(F.col(_IS_ROW) == 1)
-        .drop(_BIN, _VALUE, _IS_ROW)
+    running, number = in_ranges(df, **options)
+    return running.drop(number)
+
+
+def numbered_in_ranges(
+    df: DataFrame, *, name: str, keys: Sequence[str], order: Sequence[str], ranges: int | None = None
+) -> tuple[DataFrame, str]:
+    """position_in_order, and the column of the range as in in_ranges."""
+    numbered, number = in_ranges(
+        df, name=name, keys=keys, order=order, value=F.lit(1).cast("bigint"), combine=F.sum, ranges=ranges
     )
+    return numbered.withColumn(name, F.coalesce(name, F.lit(0))), number
 
 
 def position_in_order(
-    df: DataFrame, *, name: str, keys: Sequence[str], bin: Column, order: Sequence[Column | str]
+    df: DataFrame, *, name: str, keys: Sequence[str], order: Sequence[str], ranges: int | None = None
 ) -> DataFrame:
     """Adds column `name`: the zero-based place of each row among the rows of the same keys."""
-    numbered = running_before(
-        df, name=name, keys=keys, bin=bin, order=order, value=F.lit(1).cast("bigint"), combine=F.sum
-    )
-    return numbered.withColumn(name, F.coalesce(name, F.lit(0)))
+    numbered, number = numbered_in_ranges(df, name=name, keys=keys, order=order, ranges=ranges)
+    return numbered.drop(number)

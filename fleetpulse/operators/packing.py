@@ -9,31 +9,35 @@ from pyspark.sql import functions as F
 
 from fleetpulse.functions import fields
 from fleetpulse.operators.decode import alert_record, nonempty_bodies
-from fleetpulse.operators.ordered import position_in_order
+from fleetpulse.operators.ordered import numbered_in_ranges
 
 MESSAGES_PER_BATCH = 10
 ALERTS_PER_PAYLOAD = 100
 
-# Sequence numbers are dense within a partition, so this also bounds the rows one task numbers.
-_SEQUENCES_PER_BIN = 1 << 20
-
 
 def pack(
-    df: DataFrame, *, size: int, keys: Sequence[str], bin: Column, order: Sequence[str], item: Column
+    df: DataFrame, *, size: int, keys: Sequence[str], order: Sequence[str], item: Column, ranges: int | None = None
 ) -> DataFrame:
     """(keys, batchNo, size, items): `item` of every row, `size` rows to a batch, in order within the keys.
 
-    Reads df twice, the first time only its keys and order; store df first if it is expensive to compute.
+    Rows are dealt once, by ranges of equal depth. A batch inside a range is put together where its rows are; only the
+    pieces of batches that cross the edge of a range are moved again. Reads keys and order once more than the rows: store
+    df first if it is expensive to compute.
     """
     if size < 1:
         raise ValueError("size must be at least 1")
-    numbered = position_in_order(df, name="place", keys=keys, bin=bin, order=order)
+    numbered, number = numbered_in_ranges(df, name="place", keys=keys, order=order, ranges=ranges)
     slots = F.collect_list(F.struct(F.col("place"), item.alias("item")))
-    by_place = F.array_sort(slots, lambda a, b: F.signum(a["place"] - b["place"]).cast("int"))
-    return (
-        numbered.groupBy(*keys, fields.whole(F.col("place"), size).alias("batchNo"))
-        .agg(F.count(F.lit(1)).alias("size"), by_place.alias("slots"))
-        .select(*keys, "batchNo", "size", F.transform("slots", lambda slot: slot["item"]).alias("items"))
+    batch_no = fields.whole(F.col("place"), size)
+    pieces = numbered.groupBy(*keys, number, batch_no.alias("batchNo")).agg(slots.alias("slots")).drop(number)
+    whole = pieces.filter(F.size("slots") == size)
+    split = pieces.filter(F.size("slots") < size).groupBy(*keys, "batchNo").agg(F.flatten(F.collect_list("slots")).alias("slots"))
+    by_place = F.array_sort("slots", lambda a, b: F.signum(a["place"] - b["place"]).cast("int"))
+    return whole.unionByName(split).select(
+        *keys,
+        "batchNo",
+        F.size("slots").cast("bigint").alias("size"),
+        F.transform(by_place, lambda slot: slot["item"]).alias("items"),
     )
 
 
@@ -43,7 +47,6 @@ def batch_by_count(messages: DataFrame, *, size: int = MESSAGES_PER_BATCH) -> Da
         nonempty_bodies(messages),
         size=size,
         keys=["partition"],
-        bin=fields.whole(F.col("sequenceNumber"), _SEQUENCES_PER_BIN),
         order=["sequenceNumber"],
         item=F.struct("sequenceNumber", "body", "properties"),
     )
@@ -59,7 +62,6 @@ def alert_payloads(alerts: DataFrame, *, size: int = ALERTS_PER_PAYLOAD) -> Data
         record.withColumn("at", F.col("lastoccurrenceutctime").cast("timestamp")),
         size=size,
         keys=["partitionid"],
-        bin=fields.bin_of(F.col("at"), 300),
         order=["at", *[c for c in record.columns if c != "lastoccurrenceutctime"]],
         item=F.struct(*record.columns),
     )

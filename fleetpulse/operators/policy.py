@@ -68,11 +68,11 @@ def drop_out_of_order(
     *,
     limit: dt.timedelta = OUT_OF_ORDER_AFTER,
     keys: Sequence[str] = ("deviceId", "partitionId"),
-    bin_seconds: int = 300,
+    ranges: int | None = None,
     clocks: DataFrame | None = None,
 ) -> DataFrame:
     """The kept part of split_out_of_order."""
-    options = {"limit": limit, "keys": keys, "bin_seconds": bin_seconds, "clocks": clocks}
+    options = {"limit": limit, "keys": keys, "ranges": ranges, "clocks": clocks}
     return split_out_of_order(telemetry, **options)[0]
 
 
@@ -81,13 +81,13 @@ def split_out_of_order(
     *,
     limit: dt.timedelta = OUT_OF_ORDER_AFTER,
     keys: Sequence[str] = ("deviceId", "partitionId"),
-    bin_seconds: int = 300,
+    ranges: int | None = None,
     clocks: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kept, dropped, untimed): dropped messages occurred more than `limit` before the latest occurrence that their
     device had already sent.
 
-    Arrival order is (enqueued time, sequence number). bin_seconds only sets how finely a busy device is spread. clocks
+    Arrival order is (enqueued time, sequence number). ranges only sets over how many tasks the messages are spread. clocks
     (keys, latest occurrence) holds what the devices had sent before these messages.
     """
     timed, untimed = split_untimed(telemetry)
@@ -95,11 +95,11 @@ def split_out_of_order(
         timed,
         name="latestBefore",
         keys=keys,
-        bin=fields.bin_of(F.col("enqueuedUtcTime"), bin_seconds),
         order=["enqueuedUtcTime", "sequenceNumber"],
         value=F.col("occurrenceUtcTime"),
         combine=F.max,
         initial=clocks,
+        ranges=ranges,
     )
     behind = F.coalesce(F.col("latestBefore") - F.col("occurrenceUtcTime") > F.lit(limit), F.lit(False))
     return ahead.filter(~behind).drop("latestBefore"), ahead.filter(behind).drop("latestBefore"), untimed

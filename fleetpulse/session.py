@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this library expects. Sizes (executors, memory, shuffle partitions) belong to the
 # deployment; these only switch on run-time re-planning and pin what results depend on.
@@ -55,3 +57,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared/{context.applicationId}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The table written to the shared folder and read again: computed once, with no lineage, and safe from lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/fleetpulse/{purpose}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

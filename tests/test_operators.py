@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import pytest
 from builders import EVENT, START, STATE, at, numbers, random_rows, telemetry
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import fields
@@ -68,8 +69,8 @@ def test_gap_of_exactly_the_limit_is_an_answer(spark):
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("bin_seconds", [1, 60, 100_000])
-def test_out_of_order(spark, seed, bin_seconds):
+@pytest.mark.parametrize("ranges", [1, 5, 64])
+def test_out_of_order(spark, seed, ranges):
     rows = random_rows(200, seed=seed)
     expected, latest = [], {}
     for r in sorted(rows, key=lambda r: (r["enqueuedUtcTime"], r["sequenceNumber"])):
@@ -77,17 +78,63 @@ def test_out_of_order(spark, seed, bin_seconds):
         if key not in latest or latest[key] - seconds(r) <= 5:
             expected.append(r["sequenceNumber"])
         latest[key] = max(latest.get(key, 0), seconds(r))
-    kept = policy.drop_out_of_order(telemetry(spark, rows), bin_seconds=bin_seconds)
+    kept = policy.drop_out_of_order(telemetry(spark, rows), ranges=ranges)
     assert numbers(kept) == sorted(expected)
     assert kept.columns == telemetry(spark, rows).columns
 
 
 def test_running_before_treats_null_keys_as_one(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), (None, 200)], "k string, v bigint")
-    got = ordered.position_in_order(df, name="n", keys=["k"], bin=fields.whole(F.col("v"), 100), order=["v"])
+    got = ordered.position_in_order(df, name="n", keys=["k"], order=["v"])
     assert sorted((r.k or "", r.v, r.n) for r in got.collect()) == [("", 1, 0), ("", 2, 1), ("", 200, 2), ("a", 3, 0)]
 
 
+def rows_per_task(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+
+@pytest.mark.parametrize("count", [20_000, 200_000])
+def test_numbering_gives_every_task_as_many_rows(spark, count):
+    # A third of the rows has one key, half of the others one second; the rest are spread evenly.
+    n = F.col("id")
+    df = spark.range(count).select(
+        F.when(n % 3 == 0, 0).otherwise(1 + n % 50).alias("k"),
+        F.when(n % 2 == 0, F.lit(START)).otherwise(F.lit(START) + F.make_dt_interval(secs=n)).alias("t"),
+        n.alias("v"),
+    )
+    numbered = ordered.position_in_order(df, name="n", keys=["k"], order=["t", "v"], ranges=16)
+    tasks = rows_per_task(numbered)
+    assert sum(tasks) == count and len(tasks) == 16
+    assert tasks[-1] <= 2 * tasks[8]
+    expected = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t", "v")).cast("bigint") - 1)
+    assert numbered.select("k", "v", "n").exceptAll(expected.select("k", "v", "n")).count() == 0
+
+
+def test_a_bus_of_one_key_is_numbered_by_all_tasks(spark):
+    # All alerts are in partition 0 and within one minute.
+    for count in (5_000, 50_000):
+        df = spark.range(count).select(F.lit(0).alias("k"), (F.lit(START) + F.make_dt_interval(secs=F.col("id") % 60)).alias("t"), "id")
+        tasks = rows_per_task(ordered.position_in_order(df, name="n", keys=["k"], order=["t", "id"], ranges=8))
+        assert len(tasks) == 8 and tasks[-1] <= 2 * tasks[4]
+
+
+def test_running_value_after_ties_strings_and_null_order(spark):
+    rows = [(k, s, v) for k in ("a", None) for s, v in [(None, 1), ('q"uo\te', 2), ("é", 3), ("z", 4), ("z", 5)]]
+    df = spark.createDataFrame(rows, "k string, s string, v bigint")
+    for ranges in (1, 3, 10):
+        got = ordered.running_before(
+            df, name="m", keys=["k"], order=["s", "v"], value=F.col("v"), combine=F.max, ranges=ranges
+        ).collect()
+        order = sorted(rows, key=lambda r: (r[1] is not None, (r[1] or "").encode(), r[2]))
+        for k in ("a", None):
+            mine, most = [r for r in order if r[0] == k], None
+            for _, s, v in mine:
+                assert [r["m"] for r in got if (r["k"], r["s"], r["v"]) == (k, s, v)] == [most]
+                most = max(most or 0, v)
+    empty = ordered.position_in_order(df.limit(0), name="n", keys=["k"], order=["v"])
+    assert empty.count() == 0
+
+
 @pytest.mark.parametrize("size", [1, 7, 100])
 def test_batches_keep_every_message_in_order(spark, size):
     rows = [

@@ -46,12 +46,16 @@ def test_silence_never_compares_rows_with_rows(spark, sf_dir, name):
     assert "occurrenceUtcTime" in join or "minute" in join
 
 
-@pytest.mark.parametrize(("name", "keys"), [("out_of_order_filter", "deviceId"), ("batch_by_count", "partition")])
-def test_rows_are_windowed_by_key_and_bin(spark, sf_dir, name, keys):
+@pytest.mark.parametrize("name", ["out_of_order_filter", "batch_by_count"])
+def test_rows_are_dealt_by_range_and_only_once(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
-    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
-    rows = next(line for line in shuffles if "__bin" in line)
-    assert keys in rows
+    shuffles = [line for line in text.splitlines() if "Exchange" in line]
+    dealt = [line for line in shuffles if "direct_shuffle_partition_id" in line]
+    assert dealt and all("__range" in line for line in dealt)
+    # Windows and batches use the rows where they are: other shuffles are of written totals and of pieces at edges.
+    windows = [line for line in text.splitlines() if "Window " in line and "__is_row" in line]
+    assert windows and all("__range" in line for line in windows)
+    assert not [line for line in shuffles if "__range" in line and "direct_shuffle_partition_id" not in line]
 
 
 def test_box_filter_reaches_the_scan(spark, sf_dir, tmp_path):
