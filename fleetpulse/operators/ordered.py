@@ -36,16 +36,21 @@ def _range_of(at: Column, bounds: Column, count: int) -> Column:
     return F.greatest(F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), further) - 1, F.lit(0))
 
 
-def _cut(marked: DataFrame, keys: Sequence[str], order: Sequence[str], total: Column, ranges: int) -> tuple[Column, DataFrame]:
-    """The range of a row, and the total of each (keys, range): one written row per range and key in it."""
+def _cut(
+    marked: DataFrame, keys: Sequence[str], order: Sequence[str], total: Column, ranges: int | None
+) -> tuple[Column, DataFrame, int]:
+    """The range of a row, the total of each (keys, range) as a written table, and the number of ranges: the one given, or
+    as many as adaptive execution makes of the narrow rows by their size, shuffle partitions at most."""
     narrow = marked.select(F.struct(*keys, *order).alias(_AT), *keys, _VALUE)
-    parts = narrow.repartitionByRange(ranges, _AT).groupBy(F.spark_partition_id().alias("__part"), *keys)
+    dealt = narrow.repartitionByRange(ranges, _AT) if ranges else narrow.repartitionByRange(_AT)
+    parts = dealt.groupBy(F.spark_partition_id().alias("__part"), *keys)
     cells = written(parts.agg(F.min(_AT).alias(_AT), total.alias(_TOTAL)), "ranges")
     # One bound per range reaches the driver, as text, and comes back as a constant.
     lows = cells.groupBy("__part").agg(F.min(_AT).alias(_AT))
-    text = lows.agg(F.to_json(F.sort_array(F.collect_list(_AT)), _JSON)).first()[0]
+    text, count = lows.agg(F.to_json(F.sort_array(F.collect_list(_AT)), _JSON), F.count(F.lit(1))).first()
     bounds = F.from_json(F.lit(text), ArrayType(narrow.schema[_AT].dataType), _JSON)
-    return _range_of(F.struct(*keys, *order), bounds, ranges), cells.withColumn(_RANGE, _range_of(F.col(_AT), bounds, ranges))
+    cells = cells.withColumn(_RANGE, _range_of(F.col(_AT), bounds, count))
+    return _range_of(F.struct(*keys, *order), bounds, count), cells, max(count, 1)
 
 
 def in_ranges(
@@ -62,9 +67,8 @@ def in_ranges(
     """running_before, dealt to one task per range, and the column that holds the number of the range: rows of the same
     keys and range are in the same task, so grouping by them moves nothing."""
     order = [c for c in order if c not in keys]
-    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     marked = df.withColumn(_VALUE, value)
-    range_of, cells = _cut(marked, keys, order, combine(_VALUE), ranges)
+    range_of, cells, count = _cut(marked, keys, order, combine(_VALUE), ranges)
     totals = cells.select(*keys, _RANGE, _TOTAL)
     if initial is not None:
         # NULL sorts before all ranges.
@@ -74,7 +78,7 @@ def in_ranges(
         *keys, _RANGE, combine(_TOTAL).over(earlier_ranges).alias(_VALUE), F.lit(0).alias(_IS_ROW)
     ).filter(F.col(_VALUE).isNotNull() & F.col(_RANGE).isNotNull())
     rows = marked.withColumns({_RANGE: range_of, _IS_ROW: F.lit(1)})
-    dealt = rows.unionByName(carries, allowMissingColumns=True).repartitionById(ranges, F.col(_RANGE))
+    dealt = rows.unionByName(carries, allowMissingColumns=True).repartitionById(count, F.col(_RANGE))
     earlier_rows = W.partitionBy(*keys, _RANGE).orderBy(_IS_ROW, *order).rowsBetween(W.unboundedPreceding, -1)
     running = (
         dealt.withColumn(name, combine(_VALUE).over(earlier_rows)).filter(F.col(_IS_ROW) == 1).drop(_VALUE, _IS_ROW)
@@ -86,7 +90,7 @@ def running_before(df: DataFrame, **options) -> DataFrame:
     """Adds column `name`: `combine` of `value` over all earlier rows of the same keys, NULL for the first.
 
     Options are those of in_ranges. `combine` has to be associative and commutative, as max and sum are. `initial` holds
-    one row (keys, value) per key for what came before all rows. `ranges` defaults to the number of shuffle partitions.
+    one row (keys, value) per key for what came before all rows. `ranges` defaults to what suits the size of keys and order.
     The keys, the order and the value of df are read once more than its rows, when this function is called.
     """
     running, number = in_ranges(df, **options)

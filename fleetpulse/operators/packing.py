@@ -41,7 +41,7 @@ def pack(
     )
 
 
-def batch_by_count(messages: DataFrame, *, size: int = MESSAGES_PER_BATCH) -> DataFrame:
+def batch_by_count(messages: DataFrame, *, size: int = MESSAGES_PER_BATCH, ranges: int | None = None) -> DataFrame:
     """Hub messages with a body, packed per partition in sequence order; bodies and properties are kept."""
     return pack(
         nonempty_bodies(messages),
@@ -49,6 +49,7 @@ def batch_by_count(messages: DataFrame, *, size: int = MESSAGES_PER_BATCH) -> Da
         keys=["partition"],
         order=["sequenceNumber"],
         item=F.struct("sequenceNumber", "body", "properties"),
+        ranges=ranges,
     )
 
 

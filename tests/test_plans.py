@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 from builders import plan
 
+from workload import telemetry as telemetry_rows
 from workload.queries import BOX, QUERIES
 from fleetpulse.functions import geo
-from fleetpulse.operators import positions
+from fleetpulse.operators import packing, policy, positions
 from pyspark.sql import functions as F
 
 STAGED = {
@@ -48,7 +49,10 @@ def test_silence_never_compares_rows_with_rows(spark, sf_dir, name):
 
 @pytest.mark.parametrize("name", ["out_of_order_filter", "batch_by_count"])
 def test_rows_are_dealt_by_range_and_only_once(spark, sf_dir, name):
-    text = plan(QUERIES[name](spark, sf_dir))
+    if name == "batch_by_count":
+        text = plan(packing.batch_by_count(telemetry_rows.messages(spark, sf_dir), ranges=4))
+    else:
+        text = plan(policy.drop_out_of_order(telemetry_rows.telemetry(spark, sf_dir), ranges=4))
     shuffles = [line for line in text.splitlines() if "Exchange" in line]
     dealt = [line for line in shuffles if "direct_shuffle_partition_id" in line]
     assert dealt and all("__range" in line for line in dealt)
