@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import licenses, line_dedup, mixing, order_minhash, packing, quality_rules, search, site_quality, toxicity, warc
+from fleetpulse.llm import licenses, line_dedup, mixing, order_minhash, packing, quality_rules, search, site_quality, toxicity, warc, winnowing
 from fleetpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,10 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.class_ids(table(spark, sf_dir, "documents"))
 
 
+def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compare_next(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -96,6 +100,7 @@ QUERIES: dict[str, Query] = {
         op8_bm25_search,
         op9_quality_rules,
         op10_order_minhash,
+        op13_winnowing,
     )
 }
 ORACLES: dict[str, str] = {"op7_warc": OP7_SQL}
