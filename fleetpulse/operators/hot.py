@@ -132,3 +132,29 @@ def notifications(alerts: DataFrame, *, lateness: str | None = None) -> DataFram
         keys=["deviceid", "deliveryid", "message"],
         order=["lastoccurrenceutctime"],
     )
+
+
+def first_at_arrival(
+    alerts: DataFrame, *, time: str, bucket_seconds: int, keys: Sequence[str], lateness_seconds: int
+) -> DataFrame:
+    """On a stream, the first alert to arrive of every (keys, aligned time bucket), with the bucket's start; it leaves in
+    the trigger it arrives in, where first_in_bucket waits until the watermark has passed the bucket and then gives the
+    earliest in time.
+
+    The keys of a bucket are remembered until the watermark, lateness_seconds and a bucket behind the latest alert, has
+    passed them. Alerts older than the watermark are dropped.
+    """
+    start = F.timestamp_seconds(fields.bin_of(F.col(time), bucket_seconds) * bucket_seconds)
+    placed = alerts.withWatermark(time, f"{bucket_seconds + lateness_seconds} seconds").withColumn("bucketStart", start)
+    return placed.dropDuplicatesWithinWatermark([*keys, "bucketStart"])
+
+
+def notifications_at_arrival(alerts: DataFrame, *, lateness_seconds: int = 10) -> DataFrame:
+    """notifications, each sent as soon as the first alert of its group arrives."""
+    return first_at_arrival(
+        alerts,
+        time="lastoccurrenceutctime",
+        bucket_seconds=150,
+        keys=["deviceid", "deliveryid", "message"],
+        lateness_seconds=lateness_seconds,
+    )

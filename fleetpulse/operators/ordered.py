@@ -98,11 +98,17 @@ def running_before(df: DataFrame, **options) -> DataFrame:
 
 
 def numbered_in_ranges(
-    df: DataFrame, *, name: str, keys: Sequence[str], order: Sequence[str], ranges: int | None = None
+    df: DataFrame,
+    *,
+    name: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    initial: DataFrame | None = None,
+    ranges: int | None = None,
 ) -> tuple[DataFrame, str]:
-    """position_in_order, and the column of the range as in in_ranges."""
+    """position_in_order, and the column of the range as in in_ranges. initial: (keys, number of rows) that went before."""
     numbered, number = in_ranges(
-        df, name=name, keys=keys, order=order, value=F.lit(1).cast("bigint"), combine=F.sum, ranges=ranges
+        df, name=name, keys=keys, order=order, value=F.lit(1).cast("bigint"), combine=F.sum, initial=initial, ranges=ranges
     )
     return numbered.withColumn(name, F.coalesce(name, F.lit(0))), number
 

@@ -32,15 +32,20 @@ def pack(
     pieces = numbered.groupBy(*keys, number, batch_no.alias("batchNo")).agg(slots.alias("slots")).drop(number)
     whole = pieces.filter(F.size("slots") == size)
     split = pieces.filter(F.size("slots") < size).groupBy(*keys, "batchNo").agg(F.flatten(F.collect_list("slots")).alias("slots"))
-    by_place = F.array_sort("slots", lambda a, b: F.signum(a["place"] - b["place"]).cast("int"))
     return whole.unionByName(split).select(
         *keys,
         "batchNo",
         F.size("slots").cast("bigint").alias("size"),
-        F.transform(by_place, lambda slot: slot["item"]).alias("items"),
+        in_place("slots").alias("items"),
     )
 
 
+def in_place(slots: str) -> Column:
+    """The items of (place, item) slots in order of place."""
+    by_place = F.array_sort(slots, lambda a, b: F.signum(a["place"] - b["place"]).cast("int"))
+    return F.transform(by_place, lambda slot: slot["item"])
+
+
 def batch_by_count(messages: DataFrame, *, size: int = MESSAGES_PER_BATCH, ranges: int | None = None) -> DataFrame:
     """Hub messages with a body, packed per partition in sequence order; bodies and properties are kept."""
     return pack(

@@ -95,8 +95,31 @@ POSITION = _struct(
     sequenceNumber=_LONG,
 )
 
+HISTORY = _struct(deviceId=_TEXT, eventTime=_TIME, latitude=_DOUBLE, longitude=_DOUBLE)
+
 DEVICE_CLOCK = _struct(deviceId=_TEXT, partitionId=_INT, occurrenceUtcTime=_TIME)
 
+# An open window of a device, or (windowStart missing) its clock in lastOccurred and until when it has been alerted.
+DEVICE_WINDOW = _struct(
+    deviceId=_TEXT,
+    partitionId=_INT,
+    deliveryId=_TEXT,
+    windowStart=_TIME,
+    count=_LONG,
+    total=_DOUBLE,
+    lastEnqueued=_TIME,
+    lastOccurred=_TIME,
+    lastProcessed=_TIME,
+    alertedUntil=_TIME,
+)
+
+# How many messages a partition has sent, and those of its unfinished batch with their places.
+BATCH_REMAINDER = _struct(
+    partition=_INT,
+    sent=_LONG,
+    slots=T.ArrayType(_struct(place=_LONG, item=_struct(sequenceNumber=_LONG, body=T.BinaryType(), properties=_PROPERTIES))),
+)
+
 SQL_EVENT = _struct(deviceid=_TEXT, timestamp=_TIME, geo=_TEXT, json=_TEXT)
 
 PIPELINE_METRIC = _struct(

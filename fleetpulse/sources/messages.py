@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.schemas import CAPTURED_ENVELOPE, HUB_MESSAGE
+from fleetpulse.sources.files import Store
 
 
 def captured_envelopes(spark: SparkSession, path: str, *, file_format: str = "avro") -> DataFrame:
@@ -18,13 +20,81 @@ def captured_envelopes(spark: SparkSession, path: str, *, file_format: str = "av
     return reader.format(file_format).load(path)
 
 
+def capture_range(
+    spark: SparkSession,
+    path: str,
+    *,
+    hub: str | None = None,
+    partitions: Sequence[int] | None = None,
+    first_day: dt.date | None = None,
+    last_day: dt.date | None = None,
+    file_format: str = "avro",
+) -> DataFrame:
+    """Envelopes of some hubs, partitions and days of a capture folder laid out as hub/partition/year/month/day/..., with
+    the columns hub, hubPartition and day taken from the path.
+
+    Folders outside the range are neither listed nor read: the day's three levels are walked only as far as they match.
+    """
+    store = Store(spark)
+    found = []
+    for h in [n for n in store.names(path) if hub is None or n == hub]:
+        for p in [n for n in store.names(f"{path}/{h}") if n.isdecimal() and (partitions is None or int(n) in partitions)]:
+            found += _days(store, f"{path}/{h}/{p}", first_day, last_day)
+    reader = spark.read.schema(CAPTURED_ENVELOPE).option("recursiveFileLookup", True).format(file_format)
+    if file_format == "avro":
+        reader = reader.option("ignoreExtension", True)
+    if not found:
+        read = spark.createDataFrame([], CAPTURED_ENVELOPE).withColumn("__at", F.lit(""))
+    else:
+        read = reader.load(found).withColumn("__at", F.col("_metadata.file_path"))
+    # hub/partition/year/month/day, the first five names below the capture folder.
+    below = F.split(F.regexp_extract("__at", _BELOW, 0), "/")
+    return read.select(
+        *CAPTURED_ENVELOPE.fieldNames(),
+        F.get(below, F.lit(1)).alias("hub"),
+        F.get(below, F.lit(2)).try_cast("int").alias("hubPartition"),
+        F.concat_ws("-", F.slice(below, 4, 3)).try_cast("date").alias("day"),
+    )
+
+
+# The names from the hub's to the file's in a capture path, with the slash before them.
+_BELOW = r"/[^/]+/[0-9]+/[0-9]{4}/[0-9]{2}/[0-9]{2}/"
+
+
+def _days(store: Store, folder: str, first: dt.date | None, last: dt.date | None) -> list[str]:
+    """Day folders below a partition's within the range."""
+    low, high = (first or dt.date.min).timetuple()[:3], (last or dt.date.max).timetuple()[:3]
+
+    def within(*parts: int) -> bool:
+        return low[: len(parts)] <= parts <= high[: len(parts)]
+
+    def numbers(at: str) -> list[tuple[str, int]]:
+        return [(n, int(n)) for n in store.names(at) if n.isdecimal()]
+
+    return [
+        f"{folder}/{y}/{m}/{d}"
+        for y, year in numbers(folder) if within(year)
+        for m, month in numbers(f"{folder}/{y}") if within(year, month)
+        for d, day in numbers(f"{folder}/{y}/{m}") if within(year, month, day)
+    ]
+
+
 def message_stream(
-    spark: SparkSession, path: str, *, file_format: str = "parquet", files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    *,
+    file_format: str = "parquet",
+    files_per_trigger: int | None = None,
+    bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Hub messages as they land in a folder. files_per_trigger bounds a micro-batch."""
+    """Hub messages as they land in a folder. files_per_trigger or bytes_per_trigger bounds a micro-batch."""
+    if files_per_trigger is not None and bytes_per_trigger is not None:
+        raise ValueError("give one limit")
     reader = spark.readStream.schema(HUB_MESSAGE).format(file_format)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.load(path)
 
 

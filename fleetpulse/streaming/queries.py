@@ -44,24 +44,31 @@ def throttled_silence_stream(messages: DataFrame) -> DataFrame:
     return hot.throttle_silence_alerts(silent_minutes_alert_stream(messages))
 
 
-def notification_stream(bus: DataFrame, *, lateness: str = NOTIFICATION_LATENESS) -> DataFrame:
-    """First alert per device, delivery, message and 150 s of the alert bus."""
+def bus_alerts(bus: DataFrame) -> DataFrame:
+    """Alerts of the bus as they were published."""
     alerts = alert_projection(bus)
-    return hot.notifications(
-        alerts.select(
-            "message",
-            "partitionid",
-            "deviceid",
-            "deliveryid",
-            "avgtemperature",
-            "lastenqueuedutctime",
-            "lastoccurrenceutctime",
-            F.col("processedutctime").alias("lastprocessedutctime"),
-        ),
-        lateness=lateness,
+    return alerts.select(
+        "message",
+        "partitionid",
+        "deviceid",
+        "deliveryid",
+        "avgtemperature",
+        "lastenqueuedutctime",
+        "lastoccurrenceutctime",
+        F.col("processedutctime").alias("lastprocessedutctime"),
     )
 
 
+def notification_stream(bus: DataFrame, *, lateness: str = NOTIFICATION_LATENESS) -> DataFrame:
+    """First alert per device, delivery, message and 150 s of the alert bus: the earliest, once its bucket is over."""
+    return hot.notifications(bus_alerts(bus), lateness=lateness)
+
+
+def prompt_notification_stream(bus: DataFrame) -> DataFrame:
+    """First alert per device, delivery, message and 150 s of the alert bus: the first to arrive, at once."""
+    return hot.notifications_at_arrival(bus_alerts(bus))
+
+
 def position_stream(messages: DataFrame) -> DataFrame:
     """Valid positions of a message stream."""
     valid, _ = positions.positions(decode_telemetry(messages))

@@ -103,6 +103,38 @@ def row_by_row(make: Callable[[], RowWriter]) -> BatchWriter:
     return write
 
 
+def dead_letter(make: Callable[[], RowWriter], failed: BatchWriter, *, schema: StructType) -> BatchWriter:
+    """row_by_row where a row that cannot be written does not stop the others: rows whose `process` raises go to `failed`,
+    with the column reason. `schema` is that of the batches.
+
+    Rows are processed once per attempt of their task; a task that runs again, or a failure of open or close, which stops
+    the query, has its rows processed again.
+    """
+    refused = StructType([*schema.fields, StructField("reason", StringType())])
+    names = schema.fieldNames()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        def task(rows: Iterable[Row]) -> Iterable[tuple]:
+            writer, error = make(), None
+            try:
+                if writer.open(TaskContext.get().partitionId(), batch_id):
+                    for row in rows:
+                        try:
+                            writer.process(row)
+                        except Exception as failure:
+                            yield (*row, f"{type(failure).__name__}: {failure}")
+            except Exception as failure:
+                error = failure
+                raise
+            finally:
+                writer.close(error)
+
+        rows = batch.select(*names).rdd.mapPartitions(task)
+        failed(batch.sparkSession.createDataFrame(rows, refused, verifySchema=False), batch_id)
+
+    return write
+
+
 def jdbc_append(url: str, table: str, *, rows_per_statement: int = 10_000, properties: dict | None = None) -> BatchWriter:
     """Bulk load into a database table that has a batch_id column.
 

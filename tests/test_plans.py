@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 STAGED = {
     "raw_envelope_scan", "table_preview", "cold_tables_overwrite", "sql_event_load", "pipeline_metrics",
-    "alert_payload_pack", "alert_bus_sink", "document_insert_sink", "silence_document_sink", "notification_sink", "dstream_positions", "substream_time",
+    "alert_payload_pack", "alert_bus_sink", "document_insert_sink", "silence_document_sink", "notification_sink", "dstream_positions", "substream_time", "row_writer_sink", "dead_letter_sink", "capture_range_scan", "cold_tables_incremental",
 }
 BATCH = [n for n in QUERIES if n not in STAGED and not n.endswith("_stream")]
 

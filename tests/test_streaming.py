@@ -11,12 +11,13 @@ from builders import EVENT, START, STATE, numbers, random_rows, telemetry
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetpulse.operators import decode, hot, policy, positions, silence
+from fleetpulse.operators import decode, hot, packing, policy, positions, silence
 from fleetpulse.plans import cold, warm
-from fleetpulse.schemas import ALERT, HUB_MESSAGE, POSITION, TELEMETRY
+from fleetpulse.schemas import ALERT, CAPTURED_ENVELOPE, HUB_MESSAGE, POSITION, TELEMETRY
 from fleetpulse.session import shared_dir, streaming_session
-from fleetpulse.sources.messages import alert_bus_stream, kafka_options, message_stream
-from fleetpulse.streaming import device_time, monitor, queries, sinks, tables
+from fleetpulse.sources.messages import alert_bus_stream, capture_range, kafka_options, message_stream
+from fleetpulse.streaming import batching, device_time, monitor, queries, sinks, tables
+from fleetpulse.sources.files import Store
 
 END = START + dt.timedelta(days=1)
 
@@ -120,7 +121,7 @@ def test_device_clocks_survive_restarts_and_replays(spark, tmp_path):
     inbox, out, checkpoint = Inbox(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
     once = device_time.in_device_order(
         sinks.table_append(out),
-        device_time.device_clocks(str(tmp_path / "clocks"), compact_every=2),
+        device_time.device_clocks(str(tmp_path / "clocks"), buckets=3),
         quarantine=sinks.table_append(aside),
     )
 
@@ -143,7 +144,7 @@ def test_device_clocks_survive_restarts_and_replays(spark, tmp_path):
 def test_latest_positions_over_restarts_and_snapshots(spark, tmp_path):
     rows = [r for r in random_rows(160, seed=13) if r["sensorType"] == EVENT]
     inbox, checkpoint = Inbox(spark, tmp_path / "in"), str(tmp_path / "checkpoint")
-    table = tables.latest_positions(str(tmp_path / "latest"), compact_every=2)
+    table = tables.latest_positions(str(tmp_path / "latest"), buckets=3)
     assert table.read(spark).count() == 0
     for i in range(0, len(rows), 12):
         inbox.add(rows[i : i + 12])
@@ -152,11 +153,11 @@ def test_latest_positions_over_restarts_and_snapshots(spark, tmp_path):
     inbox.run(queries.position_stream, table.write, checkpoint)
     expected, _ = positions.positions(telemetry(spark, rows))
     assert sorted(table.read(spark).collect()) == sorted(positions.latest_position(expected).collect())
-    assert tables._finished(spark, f"{table.path}/snapshot")
+    assert len(Store(spark).names(f"{table.path}/manifest")) == 2
 
 
 def test_latest_positions_replay_is_harmless(spark, tmp_path):
-    table = tables.latest_positions(str(tmp_path), compact_every=2)
+    table = tables.latest_positions(str(tmp_path), buckets=3)
 
     def batch(*rows):
         return spark.createDataFrame([(d, START + dt.timedelta(seconds=s), 0.0, 0.0, s) for d, s in rows], POSITION)
@@ -168,6 +169,288 @@ def test_latest_positions_replay_is_harmless(spark, tmp_path):
     assert sorted((r.deviceId, r.sequenceNumber) for r in table.read(spark).collect()) == [("a", 3), ("b", 5), ("c", 9)]
 
 
+def positions_at(spark, *rows):
+    return spark.createDataFrame([(d, START + dt.timedelta(seconds=s), 0.0, 0.0, s) for d, s in rows], POSITION)
+
+
+def test_a_trigger_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+    table = tables.latest_positions(str(tmp_path), buckets=16)
+    table.write(positions_at(spark, *[(f"d{n}", n) for n in range(200)]), 0)
+    like = positions_at(spark, ("d7", 500))
+    files = table.read_before(spark, 1, like=like).inputFiles()
+    assert len({f.rpartition("/")[0] for f in files}) == 1
+    table.write(like, 1)
+    # One bucket has a new version, the others are where they were.
+    manifest = table.files.manifest(spark)
+    assert sorted(manifest.versions.values()) == [[0]] * (len(manifest.versions) - 1) + [[1]]
+    assert table.read(spark).count() == 200 and table.read(spark).filter("sequenceNumber = 500").count() == 1
+
+
+def test_folders_do_not_grow_with_triggers(spark, tmp_path):
+    table = tables.latest_positions(str(tmp_path), buckets=4)
+    expected = {}
+    for n in range(200):
+        rows = [(f"d{n % 7}", n), (f"d{n % 11}", n)] if n % 10 else [(f"d{m}", n) for m in range(11)]
+        if n % 20 > 1 and n % 10:
+            # Most triggers only commit; a few write, and are replayed.
+            table.files.replace(positions_at(spark), n, [])
+            continue
+        for _ in range(2):
+            table.write(positions_at(spark, *rows), n)
+        expected |= dict(rows)
+        folders = [p for p in Path(tmp_path).rglob("*") if p.is_dir()]
+        assert len(folders) <= 2 + 2 * 4 * 2
+    assert {r.deviceId: r.sequenceNumber for r in table.read(spark).collect()} == expected
+    assert len(Store(spark).names(f"{table.path}/manifest")) == 2
+
+
+def state_row(number, device, minute, second=0, *, behind=0, temperature=80.0, delivery="o"):
+    """A hot message of a device whose clock is `behind` minutes behind arrival."""
+    arrived = START + dt.timedelta(minutes=minute, seconds=second)
+    return {
+        "sequenceNumber": number, "partitionId": 0, "deviceId": device, "deliveryId": delivery, "sensorType": STATE,
+        "occurrenceUtcTime": arrived - dt.timedelta(minutes=behind), "enqueuedUtcTime": arrived,
+        "temperature": temperature, "position": "", "flightStatus": "",
+    }
+
+
+def device_time_run(spark, tmp_path, triggers, **options):
+    """(alerts by trigger, quarantined rows, state) of some triggers, each of which is replayed."""
+    state = device_time.window_state(str(tmp_path / "state"), buckets=4)
+    out, aside = str(tmp_path / "out"), str(tmp_path / "aside")
+    write = device_time.hot_windows_in_device_time(
+        sinks.table_append(out), state, quarantine=sinks.table_append(aside), **options
+    )
+    seen = []
+    for n, rows in enumerate(triggers):
+        for _ in range(2):
+            write(telemetry(spark, rows), n)
+        seen.append(sorted((r.deviceid, r.eventTime, round(r.avgtemperature, 6)) for r in spark.read.parquet(f"{out}/batch_id={n}").collect()))
+    return seen, [r for n in range(len(triggers)) for r in spark.read.parquet(f"{aside}/batch_id={n}").collect()], state
+
+
+def test_a_device_ten_minutes_behind_keeps_its_windows(spark, tmp_path):
+    # Two devices send every 30 s for half an hour, one of them ten minutes behind; a trigger every five minutes.
+    rows = [state_row(2 * n + k, f"d{k}", n / 2, behind=10 * k) for n in range(60) for k in (0, 1)]
+    triggers = [[r for r in rows if (r["sequenceNumber"] // 20) == t] for t in range(6)]
+    end = [[{**state_row(999, "zz", 24 * 60), "temperature": 0.0}]]
+    seen, aside, state = device_time_run(spark, tmp_path, triggers + end)
+    assert aside == []
+    expected = hot.hot_windows_180(telemetry(spark, rows)).collect()
+    got = [a for alerts in seen for a in alerts]
+    assert sorted(got) == sorted((r.deviceid, r.eventTime, round(r.avgtemperature, 6)) for r in expected)
+    assert len([a for a in got if a[0] == "d1"]) == 10 + 1
+    # Every device's windows close on its way, not at the end.
+    assert [len([a for a in alerts if a[0] == "d0"]) for alerts in seen] == [1, 2, 1, 2, 2, 1, 1]
+    # One watermark for all drops what is behind.
+    assert state.rows(spark, state.manifest(spark)).filter("deviceId <> 'zz'").count() == 0
+
+
+def test_late_and_untimed_messages_go_aside(spark, tmp_path):
+    untimed = {**state_row(8, "d", 7), "occurrenceUtcTime": None}
+    triggers = [
+        [state_row(1, "d", 0), state_row(2, "d", 2)],
+        [state_row(3, "d", 4), state_row(4, "d", 3.02, behind=1)],  # its window ends at minute 3: still open
+        [state_row(5, "d", 4.1, behind=2), untimed],  # closed by minute 4
+        [state_row(6, "other", 30)],  # arrival closes what is left
+        [state_row(7, "d", 31, behind=26)],
+    ]
+    seen, aside, _ = device_time_run(spark, tmp_path, triggers)
+    assert sorted((r.sequenceNumber, r.reason) for r in aside) == [(5, "late"), (7, "late"), (8, "untimed")]
+    ends = [[(d, round((t - START).total_seconds())) for d, t, _ in alerts] for alerts in seen]
+    assert ends == [[], [("d", 180)], [], [("d", 360)], []]
+
+
+def test_idle_devices_leave_no_state_to_read(spark, tmp_path):
+    idle = [state_row(n, f"idle{n}", 0) for n in range(300)]
+    busy = [[state_row(1000 + t, "busy", 1 + 4 * t)] for t in range(6)]
+    state = device_time.window_state(str(tmp_path / "state"), buckets=4)
+    write = device_time.hot_windows_in_device_time(sinks.table_append(str(tmp_path / "out")), state)
+    left = []
+    for n, rows in enumerate([idle, *busy]):
+        write(telemetry(spark, rows), n)
+        left.append(state.rows(spark, state.manifest(spark)).count())
+    # Each has a window and a clock; when arrival is 15 minutes past the window, both go.
+    assert left[0] == 600 and left[-1] <= 3
+    assert spark.read.parquet(f"{tmp_path}/out/batch_id=*").filter("deviceid like 'idle%'").count() == 300
+    # While they are there, a trigger reads the busy device's bucket only.
+    touched = state.touched(telemetry(spark, busy[0]))
+    assert len(touched) == 1
+
+
+def test_first_alert_of_a_bucket_goes_out_in_its_own_trigger(spark, tmp_path):
+    rows = random_rows(240, seed=21, hot_share=0.6)
+    rows = [{**r, "enqueuedUtcTime": r["occurrenceUtcTime"], "temperature": r["temperature"] + 10} for r in by_time(rows)]
+    triggers = [rows[i : i + 30] for i in range(0, 240, 30)] + [[{**state_row(999, "zz", 24 * 60), "temperature": 0.0}]]
+    seen, aside, _ = device_time_run(spark, tmp_path, triggers, throttle_seconds=300)
+    assert aside == []
+    expected = hot.throttle_hot_alerts(hot.hot_windows_180(telemetry(spark, rows))).collect()
+    got = sorted(a for alerts in seen for a in alerts)
+    assert got == sorted((r.deviceid, r.eventTime, round(r.avgtemperature, 6)) for r in expected)
+    # They go out on the way: an alert is out once its device has sent something 5 s past its window.
+    for n, alerts in enumerate(seen[:-1]):
+        newest = max(r["occurrenceUtcTime"] for r in triggers[n])
+        assert all(t < newest for _, t, _ in alerts)
+    assert sum(bool(alerts) for alerts in seen) > 3
+
+
+@pytest.mark.parametrize("cut", [1, 7, 20, 45])
+def test_batches_go_on_over_triggers_and_replays(spark, tmp_path, cut):
+    rows = [(bytearray(f"b{n}", "ascii"), START, n % 3 if n % 10 else None, n, {"n": str(n)}) for n in range(90)]
+    rows += [(None, START, 0, 1000, {})]
+    out, state = str(tmp_path / "out"), batching.remainder_state(str(tmp_path / "state"), buckets=2)
+    write = batching.batches_across_triggers(sinks.table_append(out), state, size=8)
+    for batch_id, at in enumerate(range(0, len(rows), cut)):
+        if batch_id > 12:
+            cut = len(rows)
+        for _ in range(1 + batch_id % 2):
+            write(spark.createDataFrame(rows[at : at + cut], HUB_MESSAGE), batch_id)
+        if cut == len(rows):
+            break
+    got = sinks.read_appended(spark, out, packing.batch_by_count(spark.createDataFrame([], HUB_MESSAGE)).schema)
+    assert all(r["size"] == 8 for r in got.collect())
+    both = got.unionByName(batching.unfinished(spark, state, size=8))
+    expected = packing.batch_by_count(spark.createDataFrame(rows, HUB_MESSAGE), size=8)
+    assert sorted(both.collect(), key=str) == sorted(expected.collect(), key=str)
+
+
+def test_first_alert_is_out_in_its_own_trigger_and_once(spark, tmp_path):
+    def alert(device, seconds):
+        time = (START + dt.timedelta(seconds=seconds)).strftime("%Y-%m-%d %H:%M:%S")
+        return json.dumps({"message": "hotTemperature", "deviceid": device, "deliveryid": "o", "lastoccurrenceutctime": time})
+
+    topic, out, checkpoint = str(tmp_path / "topic"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    triggers = [[("a", 10), ("b", 20)], [("a", 140), ("b", 160)], [("a", 5), ("a", 300)], [("b", 150)], [("a", 9_000)]]
+    for rows in triggers:
+        bus = spark.createDataFrame([(alert(*r), START) for r in rows], "body string, enqueuedTime timestamp")
+        bus.coalesce(1).write.mode("append").json(topic)
+        stream = queries.prompt_notification_stream(alert_bus_stream(streaming_session(spark), [topic]))
+        # Each run is a restart.
+        queries.start(queries.to_batches(stream, sinks.table_append(out)), checkpoint, available_now=True).awaitTermination()
+    sent = spark.read.parquet(out).select("batch_id", "deviceid", F.unix_seconds("lastoccurrenceutctime").alias("t"))
+    start = int(START.replace(tzinfo=dt.timezone.utc).timestamp())
+    by_batch = {}
+    for r in sent.collect():
+        by_batch.setdefault(r["batch_id"], []).append((r["deviceid"], r["t"] - start))
+    # The second trigger has the first of b's next bucket at once, the third and fourth nothing that was sent before.
+    assert [sorted(v) for _, v in sorted(by_batch.items())] == [[("a", 10), ("b", 20)], [("b", 160)], [("a", 300)], [("a", 9_000)]]
+
+
+def test_dead_letters_stop_nobody_else(spark, tmp_path):
+    class Picky:
+        def open(self, partition_id, batch_id):
+            self.file = open(tmp_path / f"{batch_id}-{partition_id}", "w")
+            return True
+
+        def process(self, row):
+            if row.id % 5 == 3:
+                raise OSError(f"no {row.id}")
+            self.file.write(f"{row.id}\n")
+
+        def close(self, error):
+            self.file.close()
+
+    rows, failed = spark.range(40).withColumn("t", F.lit(START)), str(tmp_path / "failed")
+    sinks.dead_letter(Picky, sinks.table_append(failed), schema=rows.schema)(rows, 3)
+    written = [int(line) for f in tmp_path.glob("3-*") for line in f.read_text().split()]
+    refused = spark.read.parquet(f"{failed}/batch_id=3").collect()
+    assert sorted(written + [r.id for r in refused]) == list(range(40)) and not set(written) & {r.id for r in refused}
+    assert {(r.id, r.t, r.reason) for r in refused} == {(n, START, f"OSError: no {n}") for n in range(3, 40, 5)}
+
+
+def test_expired_days_leave_the_history_and_its_folder(spark, tmp_path):
+    history = tables.DailyHistory(str(tmp_path), ttl_days=3, compact_after=2)
+
+    def seen(day, *devices):
+        time = dt.datetime(2024, 1, day, 12)
+        return spark.createDataFrame([(d, time, 1.0, 2.0, n) for n, d in enumerate(devices)], POSITION)
+
+    triggers = [seen(1, "a", "b"), seen(1, "a"), seen(2, "a"), seen(1, "b", "c"), seen(3, "a", "a"), seen(5, "d"), seen(1, "late")]
+    for n, rows in enumerate(triggers):
+        history.write(rows, n)
+        history.write(rows, n)
+    def days():
+        return {p.name.removeprefix("__part=") for p in Path(tmp_path).glob("data/*/*") if p.is_dir()}
+
+    assert days() == {"2024-01-02", "2024-01-03", "2024-01-05"}
+    got = sorted((r.deviceId, r.eventTime.day) for r in history.read(spark).collect())
+    assert got == [("a", 2), ("a", 3), ("d", 5)]
+    assert history.read(spark, ["2024-01-03"]).inputFiles() and all("2024-01-03" in f for f in history.read(spark, ["2024-01-03"]).inputFiles())
+    # A day written again and again is compacted, without repeats.
+    for n in range(len(triggers), len(triggers) + 5):
+        history.write(seen(5, "d", "d"), n)
+    assert len(history.files.manifest(spark).versions["2024-01-05"]) <= 2
+    assert history.read(spark).filter("deviceId = 'd'").count() == 1
+
+
+def test_a_second_cold_run_touches_only_its_days_and_deliveries(spark, tmp_path):
+    def flight(number, delivery, day, status):
+        time = dt.datetime(2024, 1, day, 8, 0, number)
+        return {"sequenceNumber": number, "partitionId": 0, "deviceId": "d", "deliveryId": delivery, "sensorType": EVENT,
+                "occurrenceUtcTime": time, "enqueuedUtcTime": time, "position": "1|2|3", "flightStatus": status}
+
+    inbox, out = Inbox(spark, tmp_path / "in"), str(tmp_path / "out")
+    runs = [[flight(n, f"o{n % 40}", 1 + n % 3, "03"[n % 2]) for n in range(59)], [flight(59, "o7", 3, "3")], [flight(58, "o8", 2, "0")]]
+    kept = []
+    for rows in runs:
+        inbox.add(rows)
+        enriched, deliveries = cold.run_cold_path_incrementally(inbox.stream(), out, buckets=16)
+        kept.append({str(p.relative_to(out)): p.stat().st_mtime_ns for p in Path(out).rglob("part-*.parquet")})
+    first, second = kept[:2]
+    new = [p for p in second if first.get(p) != second[p]]
+    # One day got a file, and one bucket of deliveries was rewritten; nothing else was.
+    assert sorted(p.split("/")[0] for p in new) == ["deliveries", "enriched"]
+    assert all("2024-01-03" in p for p in new if p.startswith("enriched"))
+    assert {p for p in first if p.startswith("enriched")} <= second.keys()
+    everything = spark.read.schema(HUB_MESSAGE).parquet(inbox.path)
+    whole = cold.run_cold_path(everything, str(tmp_path / "whole"))
+    assert sorted(cold.preview(spark, deliveries).collect()) == sorted(cold.preview(spark, whole[1]).collect())
+    assert sorted(cold.read_enriched(spark, enriched).collect(), key=str) == sorted(cold.read_enriched(spark, whole[0]).collect(), key=str)
+
+
+def test_a_bad_time_makes_no_folder(spark, tmp_path):
+    body = json.dumps({"sensorType": EVENT, "occurrenceUtcTime": "../x", "deliveryId": "o", "flightStatus": 0, "deviceId": "d"})
+    messages = spark.createDataFrame([(bytearray(body, "utf-8"), START, 0, 1, {})], HUB_MESSAGE)
+    enriched, deliveries = cold.run_cold_path(messages, str(tmp_path))
+    assert [r.day for r in cold.read_enriched(spark, enriched).collect()] == [None]
+    assert [tuple(r) for r in cold.preview(spark, deliveries).collect()] == [("o", "../x", None)]
+
+
+def test_limits_of_a_trigger(spark, tmp_path):
+    inbox = Inbox(spark, tmp_path / "in")
+    for n in range(4):
+        inbox.add(random_rows(20, seed=30 + n))
+    sizes = {p.stat().st_size for p in (tmp_path / "in").glob("part-*.parquet")}
+    session = streaming_session(spark)
+    for options, triggers in (({"bytes_per_trigger": max(sizes) + 1}, 4), ({"files_per_trigger": 2}, 2), ({}, 1)):
+        seen = []
+        stream = message_stream(session, inbox.path, **options)
+        writer = queries.to_batches(stream, lambda batch, n: seen.append(batch.count()))
+        queries.start(writer, str(tmp_path / f"c{triggers}"), available_now=True).awaitTermination()
+        assert len(seen) == triggers and sum(seen) == 80
+    with pytest.raises(ValueError):
+        message_stream(session, inbox.path, files_per_trigger=1, bytes_per_trigger=1)
+
+
+def test_capture_range_reads_only_its_folders(spark, tmp_path):
+    folder = tmp_path / "capture"
+    cells = [(h, p, m, d) for h in ("east", "west") for p in (0, 1) for m, d in ((1, 30), (1, 31), (2, 1))]
+    for n, (h, p, m, d) in enumerate(cells):
+        row = spark.createDataFrame([(f"2024-{m:02}-{d:02}", {}, {"sequenceNumber": str(n)}, bytearray(b"x"))], CAPTURED_ENVELOPE)
+        row.coalesce(1).write.parquet(f"{folder}/{h}/{p}/2024/{m:02}/{d:02}/08/15")
+    some = capture_range(
+        spark, str(folder), hub="west", partitions=[1], first_day=dt.date(2024, 1, 31), last_day=dt.date(2024, 2, 1), file_format="parquet"
+    )
+    assert {f.partition("/capture/")[2].rpartition("/")[0] for f in some.inputFiles()} == {"west/1/2024/01/31/08/15", "west/1/2024/02/01/08/15"}
+    assert sorted((r.hub, r.hubPartition, str(r.day), r.EnqueuedTimeUtc) for r in some.collect()) == [
+        ("west", 1, "2024-01-31", "2024-01-31"), ("west", 1, "2024-02-01", "2024-02-01")
+    ]
+    assert capture_range(spark, str(folder), file_format="parquet").count() == 12
+    assert capture_range(spark, str(folder), last_day=dt.date(2024, 1, 30), file_format="parquet").count() == 4
+    for none in (capture_range(spark, str(folder), hub="north", file_format="parquet"), capture_range(spark, f"{folder}/no")):
+        assert none.count() == 0 and none.columns == some.columns
+
+
 def test_position_history_keeps_late_rows_and_reads_repeats_once(spark, tmp_path):
     row = next(r for r in random_rows(20, seed=14) if r["sensorType"] == EVENT)
     again = {**row, "sequenceNumber": 999}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.queries import BOX, POLYGON, PROCESSED_AT, STALE_AS_OF, TTL_AS_OF
+from workload.queries import BOX, DEVICE_TIME_ROWS, POLYGON, PROCESSED_AT, STALE_AS_OF, TTL_AS_OF
 
 NUMBER = r"([-+]?[0-9]*\.?[0-9]+)"
 PATTERN = rf"{NUMBER}\|{NUMBER}\|{NUMBER}"
@@ -196,10 +196,27 @@ HOT_FIRST = """(SELECT * FROM hot180 QUALIFY row_number() OVER (
   PARTITION BY deviceid, partitionid, epoch_us(windowend) // 300000000 ORDER BY windowend, deliveryid) = 1)"""
 HISTORY = f"SELECT DISTINCT {POINT} FROM v"
 
+# Messages whose 180 s window was still open when their trigger began. Triggers have DEVICE_TIME_ROWS messages in order of
+# arrival; windows close 5 s behind their device's clock or 900 s behind arrival.
+ON_TIME = f"""
+trig AS (SELECT *, (row_number() OVER (ORDER BY enq, seq) - 1) // {DEVICE_TIME_ROWS} AS trig FROM m),
+arrived AS (
+  SELECT trig, max(enq) OVER (ORDER BY trig ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 900 SECOND AS floor
+  FROM (SELECT trig, max(enq) AS enq FROM trig GROUP BY trig)),
+clocks AS (
+  SELECT a.trig, t.device, t.part, max(t.occ) - INTERVAL 5 SECOND AS clock
+  FROM (SELECT trig, device, part, max(occ) AS occ FROM trig GROUP BY ALL) t JOIN arrived a ON t.trig < a.trig GROUP BY ALL),
+on_time AS (
+  SELECT t.* FROM trig t LEFT JOIN arrived a ON a.trig = t.trig
+  LEFT JOIN clocks c ON c.trig = t.trig AND c.device = t.device AND c.part = t.part
+  WHERE (epoch_us(t.occ) // 180000000 + 1) * 180000000 > greatest(coalesce(epoch_us(a.floor), 0), coalesce(epoch_us(c.clock), 0)))"""
+HOT_ON_TIME = HOT180.replace("FROM m ", "FROM on_time ")
+
 ORACLES: dict[str, str] = {
     "raw_envelope_scan": ctes(M)
     + f"SELECT seq AS sequenceNumber, part AS partition, {text('enq')} AS enqueuedTime, {BODY} AS telemetryJson FROM m",
     "table_preview": ctes(M, ENRICHED) + SUMMARY,
+    "cold_tables_incremental": ctes(M, ENRICHED) + SUMMARY,
     "body_decode": ctes(M) + f"SELECT seq AS sequenceNumber, {BODY} AS telemetryJson FROM m",
     "state_projection": ctes(M)
     + f"""SELECT {text('occ')} AS occurrenceUtcTime, {text('enq')} AS enqueuedUtcTime, {text('proc')} AS processedUtcTime,
@@ -327,10 +344,28 @@ ORACLES: dict[str, str] = {
     "alert_bus_sink": ctes(M, HOT90, SILENT_GAPS_ALL, BUS) + alerts("bus", processed=False),
     "alert_stream": NOTIFICATIONS_STREAM,
     "notification_sink": NOTIFICATIONS_STREAM,
+    "prompt_alert_stream": ctes(M, HOT90, SILENT_GAPS_ALL, BUS)
+    + f"""SELECT DISTINCT deviceid, deliveryid, message,
+      {text('make_timestamp(epoch_us(lastoccurrenceutctime) // 150000000 * 150000000)')} AS bucketStart FROM bus""",
+    "row_writer_sink": ctes(M)
+    + f"SELECT seq AS sequenceNumber, device AS deviceId, CASE WHEN seq % 17 <> 0 THEN {text('occ')} END AS occurred FROM m",
+    "dead_letter_sink": ctes(M)
+    + """SELECT seq AS sequenceNumber, CASE WHEN seq % 17 = 0 THEN 'untimed' WHEN seq % 13 = 0 THEN 'ValueError: refused'
+      ELSE 'written' END AS fate FROM m""",
+    "capture_range_scan": ctes(M)
+    + f"""SELECT seq AS sequenceNumber, part AS partition, {text('enq')} AS enqueuedTime, 'hub1' AS hub,
+      part AS hubPartition, '2024-01-01' AS day FROM m
+      WHERE seq % 2 = 1 AND part IN (0, 2) AND CAST(enq AS DATE) = DATE '2024-01-01'""",
+    "pipeline_metrics": ctes(M)
+    + f"""SELECT (count(*) + {DEVICE_TIME_ROWS - 1}) // {DEVICE_TIME_ROWS} + 2 AS triggers, count(*) + 2 AS rows,
+      CAST(0 AS BIGINT) AS untimed, least(count(*), {DEVICE_TIME_ROWS}) AS most FROM m""",
     "substream_time": ctes(M, IN_ORDER) + "SELECT seq AS sequenceNumber, device AS deviceId FROM in_order",
+    "device_time_hot_stream": ctes(M, ON_TIME, HOT_ON_TIME) + alerts("hot180", processed=False),
+    "device_time_isfirst_stream": ctes(M, ON_TIME, HOT_ON_TIME) + alerts(HOT_FIRST, processed=False),
     "latest_position_stream": ctes(M, CHECKED, NEWEST) + f"SELECT {POINT}, seq AS sequenceNumber FROM newest",
     "position_history_stream": ctes(M, CHECKED) + HISTORY,
 }
+ORACLES["batch_by_count_stream"] = ORACLES["batch_by_count"]
 ORACLES["cold_tables_overwrite"] = ORACLES["enrich_telemetry"].replace(
     "SELECT occurrenceUtcTime, deviceId", "SELECT substr(occurrenceUtcTime, 1, 10) AS day, occurrenceUtcTime, deviceId", 1
 )

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import json
 from collections.abc import Callable
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,10 +16,10 @@ from fleetpulse.functions import fields, geo
 from fleetpulse.operators import decode, deliveries, hot, monitoring, packing, policy, positions, silence
 from fleetpulse.plans import cold
 from fleetpulse.plans import hot as hot_plan
-from fleetpulse.schemas import ALERT, PIPELINE_METRIC, SQL_EVENT
+from fleetpulse.schemas import ALERT, HUB_MESSAGE, PIPELINE_METRIC, SQL_EVENT, TELEMETRY
 from fleetpulse.session import configure, streaming_session
-from fleetpulse.sources.messages import alert_bus_stream, captured_envelopes
-from fleetpulse.streaming import device_time, monitor, queries, sinks, tables
+from fleetpulse.sources.messages import alert_bus_stream, capture_range, captured_envelopes
+from fleetpulse.streaming import batching, device_time, monitor, queries, sinks, tables
 from workload import staging
 from workload.telemetry import PROCESSED_AT, messages, telemetry
 
@@ -27,6 +30,10 @@ TTL_AS_OF = "2024-01-01 01:00:00"
 TTL = dt.timedelta(seconds=1800)
 BOX = (-123.0, 47.5, -122.0, 48.5)
 POLYGON = "POLYGON((-124.5 47.25,-122.75 49.75,-121.5 48.5,-122.25 46.5,-124.5 47.25))"
+# Of the keyed tables that streams keep.
+BUCKETS = 8
+# Messages per trigger of the streams whose results depend on where triggers begin.
+DEVICE_TIME_ROWS = 2_500
 ALERT_COLUMNS = ALERT.fieldNames()
 # Streams stamp alerts with the time of the trigger, which no oracle knows.
 STREAM_ALERT_COLUMNS = [c for c in ALERT_COLUMNS if c != "lastprocessedutctime"]
@@ -84,6 +91,18 @@ def table_preview(spark, sf_dir):
     return cold.preview(spark, summary)
 
 
+@query
+def capture_range_scan(spark, sf_dir):
+    folder = staging.staged_capture(spark, sf_dir)
+    day = dt.date(2024, 1, 1)
+    rows = capture_range(
+        spark, folder, hub="hub1", partitions=[0, 2], first_day=day, last_day=day, file_format="parquet"
+    )
+    found = decode.envelope_to_messages(rows).select("sequenceNumber", "partition", "enqueuedTime")
+    path = rows.select(F.col("SystemProperties")["sequenceNumber"].cast("long").alias("sequenceNumber"), "hub", "hubPartition", F.col("day").cast("string").alias("day"))
+    return shown(found.join(path, "sequenceNumber"))
+
+
 # Decoding and scalar functions
 
 
@@ -398,6 +417,14 @@ def cold_tables_overwrite(spark, sf_dir):
     return shown(cold.read_enriched(spark, enriched))
 
 
+@query
+def cold_tables_incremental(spark, sf_dir):
+    out = staging.scratch(spark, "cold-incremental")
+    source = staging.stream(spark, streaming_session(spark), sf_dir)
+    _, summary = cold.run_cold_path_incrementally(source, out, buckets=BUCKETS)
+    return cold.preview(spark, summary)
+
+
 # Packing
 
 
@@ -447,10 +474,10 @@ def pipeline_metric_filter(spark, sf_dir):
 # Streams. Each runs over all staged messages until nothing is left, then its sink is read back.
 
 
-def run(spark, sf_dir, purpose, build, *, order="occurrence"):
+def run(spark, sf_dir, purpose, build, **staged):
     """Starts `build(messages, out)` (a stream writer) and waits for it; returns the sink folder."""
     out = staging.scratch(spark, purpose)
-    source = staging.stream(spark, streaming_session(spark), sf_dir, order=order)
+    source = staging.stream(spark, streaming_session(spark), sf_dir, **staged)
     queries.start(build(source, out), f"{out}-checkpoint", available_now=True).awaitTermination()
     return out
 
@@ -572,6 +599,100 @@ def alert_bus_sink(spark, sf_dir):
     return shown(without_sentinel(decode.alert_projection(bus)), *STREAM_ALERT_COLUMNS)
 
 
+@query
+def prompt_alert_stream(spark, sf_dir):
+    """The groups that are notified of at the first arrival; which of a group's alerts that is depends on the order of
+    reading, the groups do not."""
+    out = staging.scratch(spark, "prompt")
+    bus = alert_bus_stream(streaming_session(spark), list(publish_bus(spark, sf_dir)))
+    alerts = queries.prompt_notification_stream(bus)
+    queries.start(appended(alerts, out), f"{out}-checkpoint", available_now=True).awaitTermination()
+    sent = without_sentinel(sinks.read_appended(spark, out, alerts.schema))
+    return shown(sent, "deviceid", "deliveryid", "message", "bucketStart")
+
+
+class JsonLines:
+    """A row writer that leaves each task's rows in a file of the shared folder, as JSON, and refuses some."""
+
+    def __init__(self, folder: str, refused: int | None = None):
+        self.folder, self.refused = folder, refused
+
+    def open(self, partition_id: int, batch_id: int) -> bool:
+        files, place = fs.FileSystem.from_uri(self.folder)
+        files.create_dir(place, recursive=True)
+        # A task that runs again writes the same place again.
+        self.file = files.open_output_stream(f"{place}/{batch_id}-{partition_id}.json")
+        return True
+
+    def process(self, row) -> None:
+        if self.refused is not None and row["sequenceNumber"] % self.refused == 0:
+            raise ValueError("refused")
+        self.file.write((json.dumps(row.asDict()) + "\n").encode())
+
+    def close(self, error) -> None:
+        self.file.close()
+
+
+def uri(folder: str) -> str:
+    return folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+
+
+def row_stream(source):
+    """Messages to write row by row: those divisible by 17 have no time."""
+    rows = decode.decode_telemetry(source).filter(F.col("deviceId") != staging.SENTINEL_DEVICE)
+    time = F.when(F.col("sequenceNumber") % 17 != 0, fields.time_text(F.col("occurrenceUtcTime")))
+    return rows.select("sequenceNumber", "deviceId", time.alias("occurred"))
+
+
+@query
+def row_writer_sink(spark, sf_dir):
+    def writer(source, out):
+        make = functools.partial(JsonLines, uri(out))
+        return queries.to_batches(row_stream(source), sinks.row_by_row(make))
+
+    out = run(spark, sf_dir, "rows", writer)
+    return spark.read.schema("sequenceNumber long, deviceId string, occurred string").json(f"{out}/*.json")
+
+
+@query
+def dead_letter_sink(spark, sf_dir):
+    """Where every message ends up: written, refused by the row writer, or set aside for want of a time."""
+    schema = T.StructType.fromDDL("sequenceNumber long, deviceId string, occurred string")
+    failed = T.StructType([*schema.fields, T.StructField("reason", T.StringType())])
+
+    def writer(source, out):
+        refuse = sinks.dead_letter(
+            functools.partial(JsonLines, uri(f"{out}/written"), 13), sinks.table_append(f"{out}/failed"), schema=schema
+        )
+        timed = F.col("occurred").isNotNull()
+        untimed = sinks.table_append(f"{out}/untimed")
+        return queries.to_batches(row_stream(source), sinks.fan_out(sinks.only(timed, refuse), sinks.only(~timed, untimed)))
+
+    out = run(spark, sf_dir, "dead-letters", writer)
+    written = spark.read.schema(schema).json(f"{out}/written/*.json").select("sequenceNumber", F.lit("written").alias("fate"))
+    refused = sinks.read_appended(spark, f"{out}/failed", failed).select("sequenceNumber", F.col("reason").alias("fate"))
+    untimed = sinks.read_appended(spark, f"{out}/untimed", schema).select("sequenceNumber", F.lit("untimed").alias("fate"))
+    return written.unionByName(refused).unionByName(untimed)
+
+
+@query
+def batch_by_count_stream(spark, sf_dir):
+    """Batches that go on from trigger to trigger, and the short ones that are left at the end."""
+    names = ["partition", "batchNo", "size", "items"]
+    schema = packing.batch_by_count(spark.createDataFrame([], HUB_MESSAGE)).select(*names).schema
+
+    def writer(source, out):
+        state = batching.remainder_state(f"{out}-state", buckets=2)
+        write = batching.batches_across_triggers(sinks.table_append(out), state, size=20)
+        return queries.to_batches(source.filter("sequenceNumber >= 0"), sinks.with_retries(write))
+
+    out = run(spark, sf_dir, "batches", writer, rows_per_trigger=DEVICE_TIME_ROWS + 7)
+    state = batching.remainder_state(f"{out}-state", buckets=2)
+    batches = sinks.read_appended(spark, out, schema).unionByName(batching.unfinished(spark, state, size=20))
+    numbers = F.transform("items", lambda item: item["sequenceNumber"].cast("string"))
+    return batches.select("partition", "batchNo", "size", F.array_join(numbers, ",").alias("sequenceNumbers"))
+
+
 def run_notifications(spark, sf_dir, purpose, sink):
     """The notification query over the published bus, closed by a far-future alert on a topic of its own."""
     hot_topic, silence_topic = publish_bus(spark, sf_dir)
@@ -609,7 +730,7 @@ def substream_time(spark, sf_dir):
             "sequenceNumber", "deviceId", "partitionId", "occurrenceUtcTime", "enqueuedUtcTime"
         )
         schemas.append(rows.schema)
-        clocks = device_time.device_clocks(f"{out}-clocks", compact_every=3)
+        clocks = device_time.device_clocks(f"{out}-clocks", buckets=BUCKETS)
         return queries.to_batches(rows, device_time.in_device_order(sinks.table_append(out), clocks))
 
     out = run(spark, sf_dir, "substreams", writer, order="arrival")
@@ -617,39 +738,60 @@ def substream_time(spark, sf_dir):
     return kept.select("sequenceNumber", "deviceId")
 
 
+def device_time_alerts(spark, sf_dir, purpose, **options):
+    """Hot windows closed by each device's own clock, over messages in order of arrival."""
+    schema = hot.hot_windows_180(spark.createDataFrame([], TELEMETRY)).select("eventTime", *ALERT_COLUMNS).schema
+
+    def writer(source, out):
+        write = device_time.hot_windows_in_device_time(
+            sinks.table_append(out), device_time.window_state(f"{out}-state", buckets=BUCKETS), **options
+        )
+        return queries.to_batches(decode.decode_telemetry(source), sinks.with_retries(write))
+
+    out = run(spark, sf_dir, purpose, writer, order="arrival", rows_per_trigger=DEVICE_TIME_ROWS)
+    return shown(without_sentinel(sinks.read_appended(spark, out, schema)), *STREAM_ALERT_COLUMNS)
+
+
+@query
+def device_time_hot_stream(spark, sf_dir):
+    return device_time_alerts(spark, sf_dir, "device-time")
+
+
+@query
+def device_time_isfirst_stream(spark, sf_dir):
+    return device_time_alerts(spark, sf_dir, "device-time-first", throttle_seconds=300)
+
+
 @query
 def latest_position_stream(spark, sf_dir):
     def writer(source, out):
-        table = tables.latest_positions(out, compact_every=3)
+        table = tables.latest_positions(out, buckets=BUCKETS)
         return queries.to_batches(queries.position_stream(source), sinks.with_retries(table.write))
 
     out = run(spark, sf_dir, "latest", writer)
-    return shown(tables.latest_positions(out, compact_every=3).read(spark))
+    return shown(tables.latest_positions(out, buckets=BUCKETS).read(spark))
 
 
 @query
 def position_history_stream(spark, sf_dir):
-    schemas = []
-
     def writer(source, out):
-        history = queries.position_history_stream(source)
-        schemas.append(history.schema)
-        return appended(history, out)
+        history = tables.DailyHistory(out, ttl_days=3, compact_after=2)
+        return queries.to_batches(queries.position_history_stream(source), sinks.with_retries(history.write))
 
-    out = run(spark, sf_dir, "history", writer)
-    return shown(positions.position_history(sinks.read_appended(spark, out, schemas[0])))
+    return shown(tables.DailyHistory(run(spark, sf_dir, "history", writer)).read(spark))
 
 
 @query
 def pipeline_metrics(spark, sf_dir):
-    """Metric records of one run over all messages; their values are timings, so there is no oracle."""
+    """Metric records of one run over all messages, which are timings, as what holds of them: one record for each trigger,
+    each with its time and its rates."""
     records = []
     source_session = streaming_session(spark)
     reporter = monitor.ProgressReporter(records.append, query_name="metered")
     source_session.streams.addListener(reporter)
     try:
         out = staging.scratch(spark, "metered")
-        source = staging.stream(spark, source_session, sf_dir)
+        source = staging.stream(spark, source_session, sf_dir, rows_per_trigger=DEVICE_TIME_ROWS)
         rows = decode.decode_telemetry(source).select("sequenceNumber", "deviceId")
         queries.start(
             appended(rows, out), f"{out}-checkpoint", name="metered", available_now=True
@@ -657,4 +799,13 @@ def pipeline_metrics(spark, sf_dir):
         monitor.settle(spark)
     finally:
         source_session.streams.removeListener(reporter)
-    return monitor.metric_frame(spark, records)
+    metrics = monitor.metric_frame(spark, records)
+    # Rows of a trigger: its rate of processing times its time, which the record has in milliseconds.
+    counted = F.round(F.col("procRowsPerSecond") * F.col("triggerExecution") / 1000).cast("bigint")
+    busy = metrics.filter("procRowsPerSecond > 0").withColumn("rows", counted)
+    return busy.agg(
+        F.count(F.lit(1)).alias("triggers"),
+        F.sum("rows").alias("rows"),
+        F.count_if(F.col("triggerExecution") <= 0).alias("untimed"),
+        F.max("rows").alias("most"),
+    )

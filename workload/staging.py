@@ -6,22 +6,24 @@ Everything is derived from the driver's tables by Spark and written to the share
 from __future__ import annotations
 
 import datetime as dt
-import math
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetpulse.functions import fields
+from fleetpulse.operators.ordered import position_in_order
 from fleetpulse.schemas import HUB_MESSAGE
 from fleetpulse.session import shared_dir
+from fleetpulse.sources.files import Store
 from fleetpulse.sources.messages import message_stream
 from workload.telemetry import messages
 
 SENTINEL_DEVICE = "zz"
 _SENTINELS = ("2024-01-02T00:00:00.000000Z", "2024-01-02T12:00:00.000000Z")
-# Ends of the compressed hour's quarters; each is one micro-batch of the streams.
-_SLICE_ENDS = ("2024-01-01 00:15:00", "2024-01-01 00:30:00", "2024-01-01 00:45:00")
-_FILE_BYTES = 256 << 20
+# Rows of a staged file, and so of a micro-batch of the streams that read it.
+ROWS_PER_TRIGGER = 25_000
 
 _done: dict[tuple, object] = {}
 
@@ -38,12 +40,6 @@ def _once(spark: SparkSession, key: tuple, make):
     return _done[key]
 
 
-def _table_bytes(spark: SparkSession, path: str) -> int:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.getContentSummary(target).getLength()
-
-
 def _sentinel(spark: SparkSession, occurred: str) -> DataFrame:
     """A cold state message of a device of its own, far in the future, that moves the watermark."""
     body = (
@@ -54,39 +50,59 @@ def _sentinel(spark: SparkSession, occurred: str) -> DataFrame:
     return spark.createDataFrame([(bytearray(body, "utf-8"), enqueued, 0, -1, {})], HUB_MESSAGE)
 
 
-def staged_stream(spark: SparkSession, sf_dir: str, *, order: str = "occurrence") -> tuple[str, int]:
-    """(folder, files per slice): hub messages in four time slices in order of occurrence or arrival, then two sentinels.
+def staged_stream(
+    spark: SparkSession, sf_dir: str, *, order: str = "occurrence", rows_per_trigger: int = ROWS_PER_TRIGGER
+) -> str:
+    """Hub messages in order of occurrence or arrival, in files of a fixed number of rows, then two files of a sentinel.
 
-    Every slice is written after the one before, and a file source reads files in the order of their times.
+    The files are written at once and then dated one second after the other, as a file source reads them by their times.
+    So the number of micro-batches grows with the table, and their size does not.
     """
 
-    def make() -> tuple[str, int]:
+    def make() -> str:
         folder = scratch(spark, f"messages-by-{order}")
-        size = _table_bytes(spark, f"{sf_dir}/events.parquet")
-        files = max(1, math.ceil(size / (len(_SLICE_ENDS) + 1) / _FILE_BYTES))
         source = messages(spark, sf_dir)
         if order == "occurrence":
             occurred = F.get_json_object(F.col("body").cast("string"), "$.occurrenceUtcTime")
-            time = F.try_to_timestamp(occurred)
+            at = F.try_to_timestamp(occurred)
         else:
-            time = F.col("enqueuedTime")
-        for start, end in zip((None, *_SLICE_ENDS), (*_SLICE_ENDS, None)):
-            inside = F.lit(True)
-            if start is not None:
-                inside = inside & (time >= F.lit(start).cast("timestamp"))
-            if end is not None:
-                inside = inside & (time < F.lit(end).cast("timestamp"))
-            source.filter(inside).repartition(files).write.mode("append").parquet(folder)
-        for occurred in _SENTINELS:
-            _sentinel(spark, occurred).coalesce(1).write.mode("append").parquet(folder)
-        return folder, files
+            at = F.col("enqueuedTime")
+        placed = position_in_order(
+            source.withColumn("at", at), name="place", keys=[], order=["at", "sequenceNumber"]
+        )
+        rows = placed.select(*HUB_MESSAGE.fieldNames(), fields.whole(F.col("place"), rows_per_trigger).cast("int").alias("file"))
+        count = rows.agg(F.max("file")).first()[0]
+        dealt = rows.repartitionById(1 if count is None else count + 1, F.col("file"))
+        dealt.write.partitionBy("file").parquet(folder)
+        number = -1 if count is None else count
+        for n, occurred in enumerate(_SENTINELS, number + 1):
+            _sentinel(spark, occurred).coalesce(1).write.parquet(f"{folder}/file={n}")
+        _date_files(spark, folder)
+        return folder
+
+    return _once(spark, ("stream", sf_dir, order, rows_per_trigger), make)
 
-    return _once(spark, ("stream", sf_dir, order), make)
 
+def _date_files(spark: SparkSession, folder: str) -> None:
+    """Sets the times of the files so that they follow each other by their folder's number."""
+    store = Store(spark)
+    start = int(time.time()) - 10_000_000
+    for part in store.names(folder):
+        if part.startswith("file="):
+            for name in store.names(f"{folder}/{part}"):
+                store.set_time(f"{folder}/{part}/{name}", start + int(part.removeprefix("file=")))
 
-def stream(spark: SparkSession, streaming: SparkSession, sf_dir: str, *, order: str = "occurrence") -> DataFrame:
-    folder, files = staged_stream(spark, sf_dir, order=order)
-    return message_stream(streaming, folder, files_per_trigger=files)
+
+def stream(
+    spark: SparkSession,
+    streaming: SparkSession,
+    sf_dir: str,
+    *,
+    order: str = "occurrence",
+    rows_per_trigger: int = ROWS_PER_TRIGGER,
+) -> DataFrame:
+    folder = staged_stream(spark, sf_dir, order=order, rows_per_trigger=rows_per_trigger)
+    return message_stream(streaming, f"{folder}/file=*", files_per_trigger=1)
 
 
 def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
@@ -97,7 +113,7 @@ def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
 
 
 def staged_capture(spark: SparkSession, sf_dir: str) -> str:
-    """A capture folder hub/partition/date/hour of envelopes."""
+    """A capture folder hub/partition/year/month/day/hour of envelopes, in plain folders without column names."""
 
     def make() -> str:
         folder = scratch(spark, "capture")
@@ -107,11 +123,26 @@ def staged_capture(spark: SparkSession, sf_dir: str) -> str:
             F.col("properties").alias("Properties"),
             F.create_map(F.lit("partitionId"), partition, F.lit("sequenceNumber"), number).alias("SystemProperties"),
             F.col("body").alias("Body"),
-            F.lit("hub").alias("hub"),
-            "partition",
-            F.date_format("enqueuedTime", "yyyy-MM-dd").alias("date"),
+            F.concat(F.lit("hub"), F.col("sequenceNumber") % 2).alias("hub"),
+            F.col("partition").alias("part"),
+            F.date_format("enqueuedTime", "yyyy").alias("year"),
+            F.date_format("enqueuedTime", "MM").alias("month"),
+            F.date_format("enqueuedTime", "dd").alias("day"),
             F.date_format("enqueuedTime", "HH").alias("hour"),
-        ).write.partitionBy("hub", "partition", "date", "hour").parquet(folder)
+        ).write.partitionBy(*_LEVELS).parquet(folder)
+        _plain_names(Store(spark), folder, _LEVELS)
         return folder
 
     return _once(spark, ("capture", sf_dir), make)
+
+
+_LEVELS = ["hub", "part", "year", "month", "day", "hour"]
+
+
+def _plain_names(store: Store, folder: str, levels: list[str]) -> None:
+    """Takes the column names off partition folders, as a hub's capture has none."""
+    for name in store.names(folder):
+        if levels and name.startswith(f"{levels[0]}="):
+            plain = name.removeprefix(f"{levels[0]}=")
+            store.rename(f"{folder}/{name}", f"{folder}/{plain}")
+            _plain_names(store, f"{folder}/{plain}", levels[1:])
