@@ -35,7 +35,7 @@ from fleetpulse.llm.linear import fit_logistic, fit_platt, sigmoid
 from fleetpulse.llm.text import FOLD, Batch
 
 WINDOW = 32
-PART = 16
+PART = 12
 MIN_PROBABILITY = 0.5
 #: The family of a unit that reads as a licence, but as none with a template.
 UNKNOWN = "unknown"
@@ -153,6 +153,11 @@ def _pairs(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:])) or {(w, "") for w in words}
 
 
+def _grams(words: list[str]) -> list[str]:
+    """The distinct words and pairs of a unit: a word that is repeated says no more than once."""
+    return list(dict.fromkeys([*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))]))
+
+
 def similarity(words: list[str], template: set[tuple[str, str]]) -> float:
     """How much of the template a unit has, or how much of a stretch of the unit, with enough pairs, is the template's."""
     pairs = list(zip(words, words[1:])) or [(w, "") for w in words]
@@ -215,8 +220,7 @@ class Model:
     def scores(self, words: list[str]) -> np.ndarray:
         total = self.bias.copy()
         if words:
-            grams = [*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))]
-            found = [self.weights[g] for g in grams if g in self.weights]
+            found = [self.weights[g] for g in _grams(words) if g in self.weights]
             if found:
                 total = total + np.sum(found, 0) / np.sqrt(len(words))
         return total
@@ -329,7 +333,7 @@ def fit(texts: list[str]) -> Model:
     number = {g: i for i, g in enumerate(sorted(known))}
     row, column, value = [], [], []
     for i, (words, _) in enumerate(examples):
-        for g in [*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))]:
+        for g in _grams(words):
             if g in number:
                 row.append(i)
                 column.append(number[g])
