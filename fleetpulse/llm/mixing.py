@@ -12,7 +12,6 @@ together on the cut. An empty table gives an empty mix. Extra columns are passed
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -28,7 +27,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_REPEATS = 2
 SEED = 20240607
-#: Totals solved on the driver, at most; more distinct sets of sources are refused, not dropped.
+#: Totals solved on the driver, at most (tested: that many of twelve sources in a minute); more are refused, not dropped.
 MAX_PATTERNS = 100_000
 #: Documents in a hash bucket, about.
 BUCKET_ROWS = 4096
@@ -50,6 +49,7 @@ class Plan:
     sources: dict[str | None, tuple[int, float]]
     cuts: DataFrame
     edge: DataFrame
+    most: int
 
 
 def order_of(source: str | None) -> tuple:
@@ -77,49 +77,107 @@ def targets(sizes: dict[str | None, int], total: float, weights: Sequence[float]
 
 def route(patterns: Sequence[tuple[int, Sequence]], quotas: dict, most: int) -> list[int]:
     """Words to take from each pattern (size, sources): a largest flow to the quotas, of least cost, where the r-th pass
-    over a text costs 2r - 1 a word. Successive shortest paths over the totals."""
-    names = list(quotas)
-    index = {s: 1 + len(patterns) + i for i, s in enumerate(names)}
-    sink, graph = 1 + len(patterns) + len(names), [[] for _ in range(2 + len(patterns) + len(names))]
-
-    def arc(a: int, b: int, room: int, cost: int) -> None:
-        graph[a].append([b, room, cost, len(graph[b])])
-        graph[b].append([a, 0, -cost, len(graph[a]) - 1])
-
-    for p, (size, members) in enumerate(patterns):
-        for r in range(most):
-            arc(0, 1 + p, size, 2 * r + 1)
-        for s in members:
-            arc(1 + p, index[s], most * size, 0)
-    for s in names:
-        arc(index[s], sink, quotas[s], 0)
-    potential = [0] * len(graph)
-    while True:
-        far, came = [math.inf] * len(graph), [None] * len(graph)
-        far[0], heap = 0, [(0, 0)]
-        while heap:
-            d, a = heapq.heappop(heap)
-            if d > far[a]:
+    over a text costs 2r - 1 a word.
+
+    Only passes cost anything, so the paths of least cost are those of the first pass as long as there are any, then those
+    of the second, and so on; a path never takes back what a pattern sends. All paths of one cost are found together, as a
+    largest flow by blocking flows over shortest paths: a few rounds over the arcs for each pass, whatever their number.
+    """
+    number = {s: i for i, s in enumerate(quotas)}
+    room = list(quotas.values())
+    members = [[number[s] for s in sources] for _, sources in patterns]
+    through = [dict.fromkeys(m, 0) for m in members]  # what each pattern sends to each source
+    back: list[dict[int, None]] = [{} for _ in room]  # patterns that send something to a source
+    sent = [0] * len(patterns)
+    for turn in range(most):
+        left = [size for size, _ in patterns]
+        while True:
+            # Layers: patterns with words left, sources they reach, patterns whose words those could give up, and so on.
+            layer_p, layer_s = [-1] * len(patterns), [-1] * len(room)
+            front = [p for p, words in enumerate(left) if words]
+            for p in front:
+                layer_p[p] = 0
+            depth, last = 0, False
+            while front and not last:
+                reached = []
+                for p in front:
+                    for s in members[p]:
+                        if layer_s[s] < 0:
+                            layer_s[s] = depth
+                            reached.append(s)
+                last = any(room[s] for s in reached)
+                front = []
+                if not last:
+                    depth += 1
+                    for s in reached:
+                        for p in back[s]:
+                            if layer_p[p] < 0:
+                                layer_p[p] = depth
+                                front.append(p)
+            if not last:
+                break
+            _block_flow(left, room, members, through, back, layer_p, layer_s, depth)
+        sent = [a + size - rest for a, (size, _), rest in zip(sent, patterns, left)]
+    return sent
+
+
+def _block_flow(left, room, members, through, back, layer_p, layer_s, depth) -> None:
+    """Sends words along paths of pattern, source, pattern, ..., source through the layers until each is blocked."""
+    next_s = [0] * len(members)
+    givers: dict[int, list[int]] = {}
+    next_p: dict[int, int] = {}
+    for start in range(len(left)):
+        if layer_p[start] != 0 or not left[start]:
+            continue
+        path = [start]  # alternately patterns and sources
+        while path and left[start]:
+            if len(path) % 2:
+                p = path[-1]
+                step = next((i for i in range(next_s[p], len(members[p])) if layer_s[members[p][i]] == layer_p[p]), None)
+                if step is None:
+                    next_s[p] = len(members[p])
+                    path.pop()
+                    if path:
+                        next_p[path[-1]] += 1
+                    continue
+                next_s[p] = step
+                path.append(members[p][step])
+                continue
+            s = path[-1]
+            if layer_s[s] == depth:
+                amount = min(left[start], room[s], *[through[path[i]][path[i - 1]] for i in range(2, len(path), 2)])
+                if amount:
+                    left[start] -= amount
+                    room[s] -= amount
+                    for i in range(0, len(path), 2):
+                        through[path[i]][path[i + 1]] += amount
+                        back[path[i + 1]][path[i]] = None
+                        if i:
+                            through[path[i]][path[i - 1]] -= amount
+                    # On from the first place that is exhausted.
+                    cut = next((i for i in range(2, len(path), 2) if not through[path[i]][path[i - 1]]), None)
+                    if cut is not None:
+                        next_p[path[cut - 1]] += 1
+                        path = path[:cut]
+                        continue
+                    if room[s]:
+                        continue
+                path.pop()
+                next_s[path[-1]] += 1
                 continue
-            for k, (b, room, cost, _) in enumerate(graph[a]):
-                step = d + cost + potential[a] - potential[b]
-                if room > 0 and step < far[b]:
-                    far[b], came[b] = step, (a, k)
-                    heapq.heappush(heap, (step, b))
-        if came[sink] is None:
-            break
-        potential = [p + min(f, far[sink]) for p, f in zip(potential, far)]
-        path, at = [], sink
-        while at:
-            a, k = came[at]
-            path.append(graph[a][k])
-            at = a
-        flow = min(e[1] for e in path)
-        for e in path:
-            e[1] -= flow
-            graph[e[0]][e[3]][1] += flow
-    # What has gone through an arc is the room of its reverse.
-    return [sum(room for to, room, _, _ in graph[1 + p] if to == 0) for p in range(len(patterns))]
+            if s not in givers:
+                givers[s] = [p for p in back[s] if layer_p[p] == layer_s[s] + 1 and through[p][s]]
+                next_p[s] = 0
+            while next_p[s] < len(givers[s]) and not through[givers[s][next_p[s]]][s]:
+                next_p[s] += 1
+            if next_p[s] < len(givers[s]):
+                path.append(givers[s][next_p[s]])
+            else:
+                path.pop()
+                next_s[path[-1]] += 1
+    for s, held in enumerate(back):
+        for p in [p for p in held if not through[p][s]]:
+            del held[p]
 
 
 def pattern_of(memberships: Column) -> Column:
@@ -188,7 +246,7 @@ def plan(
         .groupBy("pattern")
         .applyInPandas(_fit, "pattern string, _d long, _h long")
     )
-    return Plan({s: (sizes[s], goal[s]) for s in order}, cut, edge)
+    return Plan({s: (sizes[s], goal[s]) for s in order}, cut, edge, most)
 
 
 def _fit(rows: pd.DataFrame) -> pd.DataFrame:
@@ -224,7 +282,9 @@ def copies(rows: DataFrame, decided: Plan) -> DataFrame:
         .join(chosen, ["pattern", "_key"], "left")
         .withColumn("_copies", F.col("passes") + F.coalesce(F.col("_one"), F.lit(0)))
     )
-    return off.select(*names, "_copies").unionByName(on.select(*names, "_copies"))
+    both = off.select(*names, "_copies").unionByName(on.select(*names, "_copies"))
+    # Documents without words add nothing to any cut, and so may lie on either side of it.
+    return both.withColumn("_copies", F.least("_copies", F.lit(decided.most).cast("long")))
 
 
 def mix(documents: DataFrame, memberships: Column | None = None, seed: int = SEED, **options) -> tuple[DataFrame, Plan]:
