@@ -5,12 +5,17 @@ task indexes the documents it reads in shards of bounded size: for each term the
 Term counts over all shards, the number of documents and their mean length are global, so that a score does not depend
 on the shard.
 
-A shard answers queries as follows. Its documents lie in blocks. Terms in few of its documents are added up over their
-postings. Terms in many of them have, for each block, the most that they add to any document in it. A k-th best score
-to begin with comes from the documents with the most from rare terms; a block whose best document cannot reach it is
-skipped for that query, and only the others get their exact scores, for many queries in one product. Every shard
-returns its k best, and the best k of all shards are the result. Scores are rounded to nine decimals, ties go to the
-smaller id.
+A shard answers a block of queries as follows. Its documents lie in blocks. Terms in few of its documents are added up over
+their postings. Terms in many of them have, for each block, the most that they add to any document in it; with what the
+rare terms add there, that bounds the block for a query. Groups of blocks are read in order of falling bounds, and only
+for the queries whose bound for them reaches their k-th best score so far, which rises from group to group; it begins
+with the documents that have the most from rare terms. Every shard returns its k best, and the best k of all shards are
+the result. Scores are rounded to nine decimals, ties go to the smaller id. This is the pruning of block-max WAND by block
+instead of by document: there is no pivot, as the queries of a batch share the order in which they read.
+
+Queries are sent to the executors in blocks of bounded size (BLOCK_TERMS terms, or a single longer query), once for each
+worker, one job for each block; shards stay where they are read. A worker holds one shard, one block and the scores of
+TOGETHER queries.
 
 The work of all queries is queries times documents, less what is skipped: where queries grow with the documents it grows
 with their product. Null or empty text: a document that no query finds, a query that finds nothing. Null doc_id: a
@@ -20,27 +25,30 @@ Extra columns are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import ship_package, slices, stored
+from fleetpulse.llm.common import BATCH_ROWS, ship_package, slices, stored
 from fleetpulse.llm.text import FOLD, U64, Batch, mix
+from fleetpulse.session import shared_dir
 
 K = 10
 K1, B = 1.2, 0.75
-SHARD_DOCS = 16_384
-SHARD_POSTINGS = 4_000_000
-BLOCK_DOCS = 128
-BLOCKS_TOGETHER = 16
+SHARD_DOCS = 8192
+SHARD_POSTINGS = 1_500_000
+BLOCK_DOCS = 64
+BLOCKS_TOGETHER = 8
 #: Terms in more than one of so many documents of a shard have block maxima.
 COMMON = 16
-QUERY_BLOCK = 4096
+#: Terms of all queries of a block, about; a longer query is a block of its own or shares one.
+BLOCK_TERMS = 1_000_000
 #: Queries whose scores a task holds at once.
 TOGETHER = 128
 _NO_ID = -(2**63)
@@ -144,7 +152,11 @@ class Shard:
         order = np.argsort(dense @ along, kind="stable")
         place = np.empty(self.n, np.int64)
         place[order] = np.arange(self.n)
-        self.ids, self.dense = self.ids[order], dense[order]
+        self.ids = self.ids[order]
+        self.dense = dense[order]
+        del dense
+        #: Documents, over all queries, whose common terms were added up, and those that were skipped.
+        self.read = self.skipped = 0
         self.docs, self.impact, self.bounds = place[docs], impact, bounds
         self.column = np.full(len(self.terms), -1)
         self.column[common] = np.arange(len(common))
@@ -174,7 +186,7 @@ class Shard:
             scores[q] = np.bincount(self.docs[posting], self.impact[posting] * np.repeat(weight[low:high][use], size), self.n)
         common = np.zeros((number, self.dense.shape[1]))
         common[query[column >= 0], column[column >= 0]] = weight[column >= 0]
-        # What a document of each block can reach at most, and a k-th best score to reach: that of the k documents with
+        # What a document of each block can reach at most, and a k-th best score to begin with: that of the k documents with
         # the most from rare terms.
         reach = np.maximum.reduceat(scores, self.starts, axis=1) + common @ self.most.T
         least = np.full(number, -1.0)
@@ -182,15 +194,22 @@ class Shard:
             top = np.argpartition(-scores, k, axis=1)[:, :k]
             for q in range(number):
                 least[q] = (scores[q, top[q]] + self.dense[top[q]] @ common[q]).min()
-        active = reach >= least[:, None] - 1e-7
-        # One product for some blocks at a time, for the queries that none of them lets skip.
-        for b in range(0, len(self.starts), BLOCKS_TOGETHER):
-            some = np.flatnonzero(active[:, b : b + BLOCKS_TOGETHER].any(1))
-            start, end = b * BLOCK_DOCS, min((b + BLOCKS_TOGETHER) * BLOCK_DOCS, self.n)
-            if len(some):
-                scores[some, start:end] += common[some] @ self.dense[start:end].T
-        skipped = np.repeat(~active, BLOCK_DOCS, axis=1)[:, : self.n]
-        scores[skipped] = 0
+        groups = np.arange(0, len(self.starts), BLOCKS_TOGETHER)
+        bound = np.maximum.reduceat(reach, groups, axis=1)
+        best = np.full((number, k), -1.0)  # of the groups read so far
+        for g in np.argsort(-bound.sum(0), kind="stable"):
+            start, end = groups[g] * BLOCK_DOCS, min((groups[g] + BLOCKS_TOGETHER) * BLOCK_DOCS, self.n)
+            enough = bound[:, g] >= least - 1e-7
+            some = np.flatnonzero(enough)
+            self.read += len(some) * (end - start)
+            self.skipped += (number - len(some)) * (end - start)
+            scores[~enough, start:end] = 0
+            if not len(some):
+                continue
+            scores[some, start:end] += common[some] @ self.dense[start:end].T
+            seen = np.concatenate((best[some], scores[some, start:end]), axis=1)
+            best[some] = np.partition(seen, seen.shape[1] - k, axis=1)[:, -k:]
+            least[some] = np.maximum(least[some], best[some].min(1))
         np.round(scores, 9, out=scores)
         for q in range(number):
             row = scores[q]
@@ -200,20 +219,18 @@ class Shard:
             yield row[left][order], self.ids[left][order]
 
 
-def _answering(mean_length: float, k: int):
+def _answering(block: Broadcast, mean_length: float, k: int):
+    """The k best of each shard for each query of a block: query ids, the bounds of their terms, the terms and weights."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit = pa.struct([("minus", pa.float64()), ("doc", pa.int64())])
+        ids, bounds, terms, weights = block.value
         for rows in batches:
             for i in range(rows.num_rows):
                 value = lambda name: rows[name][i].values.to_numpy()
                 shard = Shard({c: value(c) for c in ("ids", "lengths", "terms", "counts", "docs", "freqs")}, mean_length)
-                queries = rows["queries"][i].values
-                bounds = queries.field("terms").offsets.to_numpy()
-                bounds, base = bounds - bounds[0], bounds[0]
-                flat = queries.field("terms").values.slice(base, bounds[-1])
-                ids = queries.field("query_id")
                 scores, docs, sizes = [], [], []
-                for s, d in shard.best(flat.field("term").to_numpy(), flat.field("idf").to_numpy(), bounds, k):
+                for s, d in shard.best(terms, weights, bounds, k):
                     scores.append(-s)
                     docs.append(d)
                     sizes.append(len(s))
@@ -221,11 +238,27 @@ def _answering(mean_length: float, k: int):
                 found = pa.StructArray.from_arrays(
                     [pa.array(np.concatenate(scores)), pa.array(np.concatenate(docs))], fields=list(hit)
                 )
-                yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(offsets), found)], ["query_id", "hits"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids), pa.ListArray.from_arrays(pa.array(offsets), found)], ["query_id", "hits"]
+                )
 
     return run
 
 
+def _blocks(weighed: DataFrame) -> tuple[DataFrame, int]:
+    """Queries (query_id, terms with their weights) in a written table with a folder for each block."""
+    packed = stored(
+        weighed.groupBy("query_id").agg(F.sort_array(F.collect_list("t")).alias("terms")).select(
+            "query_id", F.col("terms.term").alias("terms"), F.col("terms.idf").alias("weights")
+        ),
+        "queries",
+    )
+    total = packed.agg(F.sum(F.size("terms"))).first()[0] or 0
+    count = -(-total // BLOCK_TERMS)
+    block = F.pmod(F.xxhash64("query_id"), F.lit(max(count, 1))).cast("int")
+    return packed.withColumn("block", block), count
+
+
 def search(shards: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank, doc_id and score of the k best documents of each query (query_id, text)."""
     spark = shards.sparkSession
@@ -244,25 +277,25 @@ def search(shards: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     )
     idf = F.log(1 + (totals["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighed = terms.join(counts, "term").select("query_id", F.struct("term", idf.alias("idf")).alias("t"))
-    packed = weighed.groupBy("query_id").agg(F.sort_array(F.collect_list("t")).alias("terms"))
-    packed = stored(packed, "queries")
-    blocks = -(-packed.count() // QUERY_BLOCK)
-    if not blocks:
+    packed, count = _blocks(weighed)
+    if not count:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-    # Blocks of at most about QUERY_BLOCK queries, each one row that every shard gets.
-    rows = stored(
-        packed.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block")).agg(
-            F.collect_list(F.struct("query_id", "terms")).alias("queries")
-        ),
-        "query-blocks",
-    )
-    run = _answering(totals["words"] / totals["n"], k)
-    answers = None
-    for block in range(blocks):
-        one = rows.where(F.col("block") == block).withColumn("block", F.lit(block))
-        found = shards.withColumn("block", F.lit(block)).join(F.broadcast(one), "block").drop("block", "shard").mapInArrow(run, ANSWER)
-        answers = found if answers is None else answers.unionByName(found)
-    best = answers.groupBy("query_id").agg(
+    answers = f"{shared_dir(spark)}/llm/answers-{uuid.uuid4().hex}"
+    try:
+        # One shard to a batch: a worker holds no other.
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+        for number in range(count):
+            block = _shipped_block(packed.where(F.col("block") == number))
+            try:
+                if not len(block.value[0]):
+                    continue
+                run = _answering(block, totals["words"] / totals["n"], k)
+                shards.drop("shard").mapInArrow(run, ANSWER).write.mode("append").parquet(answers)
+            finally:
+                block.destroy()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    best = spark.read.schema(ANSWER).parquet(answers).groupBy("query_id").agg(
         F.slice(F.array_sort(F.flatten(F.collect_list("hits"))), 1, k).alias("hits")
     )
     return best.select("query_id", F.posexplode("hits").alias("rank", "hit")).select(
@@ -273,6 +306,16 @@ def search(shards: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     )
 
 
+def _shipped_block(packed: DataFrame) -> Broadcast:
+    """One block of queries, of bounded size, as arrays for every worker."""
+    found = packed.select("query_id", "terms", "weights").toArrow().combine_chunks()
+    lists = found["terms"].combine_chunks()
+    bounds = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)))
+    weights = found["weights"].combine_chunks().flatten().to_numpy()
+    arrays = (found["query_id"].to_numpy(), bounds, lists.flatten().to_numpy(), weights)
+    return packed.sparkSession.sparkContext.broadcast(arrays)
+
+
 def every_twentieth(doc_id: Column) -> Column:
     """The stated query set."""
     return doc_id % 20 == 0
