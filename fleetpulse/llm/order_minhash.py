@@ -11,9 +11,13 @@ is a connected component of links.
 
 A bucket's pairs are not listed. Equal texts are one node. Each bucket has a hub, the member with the fullest buckets,
 which every member is aligned with; members linked so are one. Only buckets that still hold several components are
-looked at again, in blocks: a pair of different components is aligned if its sketches agree enough and if the k-mers
-that both share with the hub, and those they share outside it, reach the threshold as sets. No pair that shares a band
-and could reach the threshold is left out, and hardly any other is listed.
+looked at again: a pair of different components is aligned if its sketches agree enough and if the k-mers that both share
+with the hub, and those they share outside it, reach the threshold as sets. No pair that shares a band and could reach the
+threshold is left out, and hardly any other is listed. A large open bucket, such as all pages with one passage in common,
+is first split by two further sketches: the sketches besides a band's two lie in five groups, so a pair that agrees in
+MIN_SHARED sketches agrees in two of one group, and meets in the part of the bucket that holds the texts alike in these.
+A bucket whose parts would have more pairs than itself, as its texts are alike in most sketches, stays whole. What is
+large then is taken in blocks.
 
 Null or empty text: a class of its own. Texts of fewer than five words: one k-mer, so equal texts only. Null doc_id:
 before all others; equal ids are told apart by their text; rows that agree in both are one node. Very long texts are
@@ -41,8 +45,11 @@ SKETCHES = 32
 MIN_SHARED = 8
 #: A member is aligned with its hub if neither has more than four times the k-mers of the other.
 HUB_LENGTHS = 0.25
-#: Members of a block of a large bucket.
+#: Members of a block of a large bucket, or part of one.
 BLOCK = 1024
+#: Pairs of sketches that split a large bucket, by their distance from the band's first: those of five groups of six. Of
+#: MIN_SHARED agreeing sketches six are no band's, and two of them in one group.
+SPLITS = [(x, y) for g in range(2, SKETCHES, 6) for x in range(g, g + 6) for y in range(x + 1, g + 6)]
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=U64) * U64(0xA0761D6478BD642F)) | U64(1)
 _MOST = U64(2**64 - 1)
 
@@ -190,7 +197,7 @@ def _crossing(threshold: float):
     """Pairs of different components within a block, or between two, that may reach the threshold; each pair only in the
     first band it shares."""
 
-    def pairs(members: dict, band: int, across: bool) -> Iterator[tuple[int, int]]:
+    def pairs(members: dict, band: int, split: int, across: bool) -> Iterator[tuple[int, int]]:
         size, label, side = (np.array(members[c]) for c in ("n", "label", "side"))
         sketch = np.array(members["sketch"])
         known = np.array([x is not None for x in members["shared"]])
@@ -209,7 +216,12 @@ def _crossing(threshold: float):
                 continue
             same = sketch[later] == sketch[k]
             first = (same & np.roll(same, -1, axis=1)).argmax(1)
-            later = later[(same.sum(1) >= MIN_SHARED) & (first == band)]
+            once = (same.sum(1) >= MIN_SHARED) & (first == band)
+            if split >= 0:
+                # In the part of the first splitting pair of sketches that both agree in.
+                both = [same[:, [(band + s[i]) % SKETCHES for s in SPLITS]] for i in (0, 1)]
+                once &= (both[0] & both[1]).argmax(1) == split
+            later = later[once]
             needed = threshold / (1 + threshold) * (size[later] + size[k]) - 1e-6
             through_hub = bits[later] @ bits[k]
             unknown = ~known[later] | ~known[k]
@@ -221,14 +233,14 @@ def _crossing(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             a, b = [], []
-            bands, lows, highs = (rows[c].to_pylist() for c in ("j", "low", "high"))
+            bands, splits, lows, highs = (rows[c].to_pylist() for c in ("j", "split", "low", "high"))
             for i in range(rows.num_rows):
                 found = rows["members"][i].values
                 members = {c: found.field(c).to_pylist() for c in ("n", "sketch", "shared", "outside", "side")}
                 nodes = found.field("node").to_pylist()
                 numbers = {}
                 members["label"] = [numbers.setdefault((x["d"], x["h"]), len(numbers)) for x in found.field("label").to_pylist()]
-                for x, y in pairs(members, bands[i], lows[i] != highs[i]):
+                for x, y in pairs(members, bands[i], splits[i], lows[i] != highs[i]):
                     u, v = sorted((nodes[x], nodes[y]), key=lambda n: (n["d"], n["h"]))
                     a.append(u)
                     b.append(v)
@@ -238,6 +250,30 @@ def _crossing(threshold: float):
     return run
 
 
+def _parts(members: DataFrame) -> DataFrame:
+    """Members of open buckets with the part they are in: the whole bucket (split -1), or, of a large one that has fewer
+    pairs so, one part for each splitting pair of sketches that has several components. `size` becomes the part's."""
+    whole = members.withColumns({"split": F.lit(-1), "value": F.lit(0).cast("long")})
+    large = members.where(F.col("size") > BLOCK)
+    # Few columns first: most parts hold one text, and need no more.
+    value = lambda s: F.get("sketch", (F.col("j") + s) % SKETCHES)
+    values = F.array(*[F.xxhash64(value(x), value(y)) for x, y in SPLITS])
+    placed = large.select("band", "size", "node", "label", F.posexplode(values).alias("split", "value"))
+    parts = (
+        placed.groupBy("band", "split", "value")
+        .agg(F.min("label").alias("from_label"), F.max("label").alias("to_label"), F.count("*").alias("held"), F.first("size").alias("size"))
+        .where("from_label <> to_label")
+    )
+    pairs = F.col("held").cast("double") * F.col("held")
+    divided = parts.groupBy("band").agg((F.sum(pairs) < F.first("size").cast("double") * F.first("size")).alias("divided"))
+    # A large bucket without any part of several components has no pair to look at.
+    kept = whole.join(divided, "band", "left").where((F.col("size") <= BLOCK) | ~F.coalesce("divided", F.lit(True)))
+    wanted = parts.join(divided.where("divided"), "band").select("band", "split", "value", "held")
+    meeting = placed.select("band", "node", "split", "value").join(wanted, ["band", "split", "value"])
+    split = large.join(meeting, ["band", "node"]).withColumn("size", F.col("held"))
+    return kept.select(*whole.columns).unionByName(split.select(*whole.columns))
+
+
 def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: its key (node) and that of its class's first document (first)."""
     ship_package(documents.sparkSession)
@@ -299,15 +335,16 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         labelled.join(open_buckets, "band")
         .join(sketch, "node")
         .join(star.select(F.col("a").alias("hub"), F.col("b").alias("node"), "shared", "outside"), ["hub", "node"], "left")
-        .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    )
+    blocked = _parts(open_members).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     blocks = (
-        open_members.select("*", other)
+        blocked.select("*", other)
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
-        .groupBy("band", "j", "low", "high")
+        .groupBy("band", "j", "split", "value", "low", "high")
         .agg(
             F.collect_list(
                 F.struct("node", "label", "n", "sketch", "shared", "outside", F.col("block").alias("side"))
