@@ -1,7 +1,14 @@
 """From raw documents to packed training sequences: each stage works on what the one before it kept.
 
 STAGES are run one after the other, each on the written result of the last. All but the last return the columns of
-documents; the last returns a row per piece with its place in a sequence.
+documents; the last returns a row per piece with its place in a sequence. What a stage stores on the way is deleted when
+its result is written.
+
+Nulls in any column, empty and very long texts, repeated rows and extra columns of any name: as in the operators. Documents
+without words are rejected by the quality rules; where a later stage is given some, line dedup and near-dedup leave them,
+each a class of its own by its text, the mix takes them as often as their neighbours and packing gives each a piece of one
+token. Without labels the quality rules keep all that pass the base rules. An empty table gives an empty result at every
+stage.
 """
 
 from __future__ import annotations
@@ -10,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.llm import line_dedup, mixing, order_minhash, packing, quality_rules
-from fleetpulse.llm.common import stored, table
+from fleetpulse.llm.common import stored_alone, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,5 +68,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored_alone(lambda given=docs, stage=stage: stage(spark, given, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -74,10 +74,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     and it outlives any executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    for made in _made:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_made: list[list[str]] = []
+
+
+def stored_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The table that `make` describes, stored; what it has stored on the way, and only itself reads, is deleted."""
+    made: list[str] = []
+    _made.append(made)
+    try:
+        result = stored(make(), name)
+    finally:
+        _made.pop()
+    spark = result.sparkSession
+    for path in made[:-1]:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return result
+
+
 def slices(texts: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows with at most max_bytes of text each, or of one row that is longer: bounds temporary arrays."""
     lengths = pc.binary_length(texts).to_pylist()

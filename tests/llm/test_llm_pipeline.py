@@ -1,13 +1,15 @@
 """Each stage of the pipeline works on what the one before it kept, and its decisions take effect."""
 
 import collections
+from pathlib import Path
 
 import pytest
+from odd_rows import empty_documents, labels, odd_documents
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fleetpulse.llm import quality_rules
-from fleetpulse.llm.common import stored, table
+from fleetpulse.llm.common import stored, stored_alone, table
 from fleetpulse.llm.line_dedup import MIN_BLOCK_WORDS
 from test_llm_operators import WORD, near_classes
 
@@ -75,3 +77,46 @@ def test_packing(stages):
 def test_run(spark, stages):
     result = corpus_pipeline.run(spark, SF)
     assert result.columns == stages[-1][2].columns and result.count() == stages[-1][2].count()
+
+
+def odd_folder(spark, path, docs):
+    docs.write.parquet(f"{path}/documents.parquet")
+    labels(spark).write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def test_stages_take_odd_rows_without_labels(spark, tmp_path):
+    docs = odd_documents(spark)
+    folder = odd_folder(spark, tmp_path, docs)
+    given = {r["text"] for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        result = stage(spark, docs, folder)
+        assert result.columns == docs.columns, name
+        times = collections.Counter((r["doc_id"], r["text"]) for r in result.collect())
+        kept = {text for _, text in times}
+        if name == "quality_rules":
+            # No labels: what passes the base rules.
+            assert {i for i, _ in times} == {5}
+        elif name == "mix_sources":
+            assert kept <= given and max(n for (i, _), n in times.items() if i != 1) <= 2
+        else:
+            assert kept == given, name
+    packed = corpus_pipeline.pack(spark, docs, folder)
+    assert packed.where("piece = 0").count() == docs.count()
+    # The whole of it.
+    pieces = corpus_pipeline.run(spark, folder)
+    assert {r["doc_id"] for r in pieces.collect()} <= {5}
+
+
+def test_stages_take_an_empty_table(spark, tmp_path):
+    folder = odd_folder(spark, tmp_path, empty_documents(spark))
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty_documents(spark), folder).count() == 0, name
+    assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_what_a_stage_stores_on_the_way_is_deleted(spark):
+    kept = stored_alone(lambda: stored(stored(spark.range(5).toDF("n"), "a").selectExpr("n + 1 as n"), "b"), "c")
+    assert sorted(r[0] for r in kept.collect()) == [1, 2, 3, 4, 5]
+    folder = Path(kept.inputFiles()[0].removeprefix("file:")).parents[1]
+    assert not list(folder.glob("a-*")) and not list(folder.glob("b-*"))
