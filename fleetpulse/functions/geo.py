@@ -32,8 +32,13 @@ def in_ring(longitude: Column, latitude: Column, ring: Ring) -> Column:
     edges = list(zip(ring, ring[1:]))
     box = in_box(longitude, latitude, min(lons), min(lats), max(lons), max(lats))
     table = F.array(*[F.array(*map(F.lit, (*a, *b))) for a, b in edges])
-    crossings = F.aggregate(table, F.lit(0), lambda n, e: n + _crosses(longitude, latitude, *[e[i] for i in range(4)]))
-    return box & (crossings % 2 == 1)
+    return box & crosses_odd(longitude, latitude, table)
+
+
+def crosses_odd(longitude: Column, latitude: Column, edges: Column) -> Column:
+    """Whether an eastward ray crosses an odd number of edges, given as an array of (lon, lat, lon, lat)."""
+    crossings = F.aggregate(edges, F.lit(0), lambda n, e: n + _crosses(longitude, latitude, *[e[i] for i in range(4)]))
+    return crossings % 2 == 1
 
 
 def _crosses(lon: Column, lat: Column, lon_a: Column, lat_a: Column, lon_b: Column, lat_b: Column) -> Column:

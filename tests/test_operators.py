@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import random
 from collections import defaultdict
 
 import pytest
@@ -11,9 +13,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import fields
-from fleetpulse.operators import decode, deliveries, hot, monitoring, ordered, packing, policy, positions, silence
+from fleetpulse.operators import decode, deliveries, fences, hot, monitoring, ordered, packing, policy, positions, silence
 from fleetpulse.plans import warm
-from fleetpulse.schemas import ALERT, HUB_MESSAGE
+from fleetpulse.schemas import ALERT, HUB_MESSAGE, POSITION
 
 SEEDS = [1, 2, 3]
 
@@ -376,3 +378,45 @@ def test_log_search_ignores_case_and_sorts(spark):
     rows = [(START, "Starting upserts with 1"), (START + dt.timedelta(seconds=1), "Starting Upserts with 2"), (START, "x Starting Upserts with ")]
     log = spark.createDataFrame(rows, "timestamp timestamp, message string")
     assert [r.message[-1] for r in monitoring.log_search(log, "Starting Upserts with ").collect()] == ["2", "1"]
+
+
+def random_ring(rnd, corners):
+    """A star-shaped area with straight edges, some along the grid."""
+    angles = sorted(rnd.uniform(0, 2 * math.pi) for _ in range(corners))
+    ring = [(-122 + rnd.uniform(0.2, 1.5) * math.cos(a), 48 + rnd.uniform(0.2, 1.5) * math.sin(a)) for a in angles]
+    ring = [(round(x, 1), round(y, 1)) if rnd.random() < 0.3 else (x, y) for x, y in ring]
+    return [*ring, ring[0]]
+
+
+@pytest.mark.parametrize("size", [0.05, 0.3, 2.0])
+def test_fences_equal_the_plain_test(spark, size):
+    rnd = random.Random(7)
+    points = [(f"d{n}", START, rnd.uniform(46, 50), rnd.uniform(-124, -120), n) for n in range(1500)]
+    # On the lines and corners of the grid too.
+    points += [("g", START, 46 + 0.05 * (n % 70), -124 + 0.1 * (n // 70), 2000 + n) for n in range(1500)]
+    located = spark.createDataFrame(points, POSITION)
+    rings = {f"f{n}": random_ring(rnd, 3 + n) for n in range(6)}
+    got = {(r.fence, r.sequenceNumber) for r in fences.within_fences(located, rings, size=size).collect()}
+    expected = {(name, r.sequenceNumber) for name, ring in rings.items() for r in positions.in_polygon(located, ring).collect()}
+    assert got == expected and len(got) > 500
+
+
+def test_fences_with_too_many_cells_are_refused():
+    ring = [(-180.0, -90.0), (180.0, -90.0), (180.0, 90.0), (-180.0, 90.0), (-180.0, -90.0)]
+    with pytest.raises(ValueError):
+        fences.cover(ring, 0.1)
+    inside = [edges for edges in fences.cover(ring, 10).values() if edges is None]
+    assert len(inside) == 34 * 16
+
+
+def test_a_fence_reads_only_its_folders(spark, tmp_path):
+    rows = [(f"d{n}", START, 40 + (n % 20) + 0.5, -130 + (n // 20) + 0.25, n) for n in range(400)]
+    located = spark.createDataFrame(rows, POSITION)
+    fences.write_by_cell(located, str(tmp_path))
+    ring = [(-125.9, 45.1), (-123.1, 45.1), (-123.1, 46.9), (-125.9, 45.1)]
+    found = fences.read_fence(spark, str(tmp_path), POSITION, ring)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [area" in text
+    opened = {r[0].rsplit("/", 2)[1] for r in found.select(F.input_file_name()).collect()}
+    assert len(fences.cover(ring, 1.0)) <= 10 and opened <= {f"area={c}_{r}" for c, r in fences.cover(ring, 1.0)}
+    assert sorted(found.collect()) == sorted(positions.in_polygon(located, ring).collect())

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 STAGED = {
     "raw_envelope_scan", "table_preview", "cold_tables_overwrite", "sql_event_load", "pipeline_metrics",
-    "alert_payload_pack", "alert_bus_sink", "document_insert_sink", "silence_document_sink", "notification_sink", "dstream_positions", "substream_time", "row_writer_sink", "dead_letter_sink", "capture_range_scan", "cold_tables_incremental",
+    "alert_payload_pack", "alert_bus_sink", "document_insert_sink", "silence_document_sink", "notification_sink", "dstream_positions", "substream_time", "row_writer_sink", "dead_letter_sink", "capture_range_scan", "stored_points_in_polygon", "cold_tables_incremental",
 }
 BATCH = [n for n in QUERIES if n not in STAGED and not n.endswith("_stream")]
 
@@ -85,3 +85,8 @@ def test_long_rings_do_not_grow_the_generated_code(spark):
     ring = [(float(x), float(x % 7)) for x in range(500)] + [(0.0, 0.0)]
     df = spark.range(1).select(F.lit(1.0).alias("lon"), (F.col("id") + 0.5).alias("lat"))
     assert plan(df.filter(geo.in_ring(F.col("lon"), F.col("lat"), ring))).count("CASE") < 5
+
+
+def test_fences_meet_positions_in_one_equal_join(spark, sf_dir):
+    text = plan(QUERIES["points_in_fences"](spark, sf_dir))
+    assert text.count("HashJoin") + text.count("SortMergeJoin") == 1 and "[cell" in text

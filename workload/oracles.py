@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.queries import BOX, DEVICE_TIME_ROWS, POLYGON, PROCESSED_AT, STALE_AS_OF, TTL_AS_OF
+from workload.queries import BOX, DEVICE_TIME_ROWS, FENCES, POLYGON, PROCESSED_AT, STALE_AS_OF, TTL_AS_OF
 
 NUMBER = r"([-+]?[0-9]*\.?[0-9]+)"
 PATTERN = rf"{NUMBER}\|{NUMBER}\|{NUMBER}"
@@ -154,13 +154,13 @@ ALERT_JSON = f"""to_json({{'message': message, 'partitionid': partitionid, 'devi
   'lastoccurrenceutctime': {text('lastoccurrenceutctime')}, 'lastprocessedutctime': {text('lastprocessedutctime')}}})"""
 
 
-def _ring() -> list[tuple[float, float]]:
-    pairs = POLYGON.removeprefix("POLYGON((").removesuffix("))").split(",")
+def _ring(polygon: str = POLYGON) -> list[tuple[float, float]]:
+    pairs = polygon.removeprefix("POLYGON((").removesuffix("))").split(",")
     return [tuple(map(float, pair.split())) for pair in pairs]
 
 
-def _inside() -> str:
-    ring = _ring()
+def _inside(polygon: str = POLYGON) -> str:
+    ring = _ring(polygon)
     crossings = " + ".join(
         f"CASE WHEN (({ya!r} > lat) <> ({yb!r} > lat)) AND lon < ({xb!r}::DOUBLE - {xa!r}::DOUBLE) * (lat - {ya!r}::DOUBLE)"
         f" / ({yb!r}::DOUBLE - {ya!r}::DOUBLE) + {xa!r}::DOUBLE THEN 1 ELSE 0 END"
@@ -294,6 +294,11 @@ ORACLES: dict[str, str] = {
     + alerts(SILENT_FIRST),
     "points_in_bbox": ctes(M, CHECKED) + f"SELECT {POINT}, seq AS sequenceNumber FROM v WHERE {INSIDE_BOX}",
     "points_in_polygon": ctes(M, CHECKED) + f"SELECT {POINT}, seq AS sequenceNumber FROM v WHERE {_inside()}",
+    "points_in_fences": ctes(M, CHECKED)
+    + " UNION ALL ".join(
+        f"SELECT {POINT}, seq AS sequenceNumber, '{name}' AS fence FROM v WHERE {_inside(wkt)}" for name, wkt in FENCES.items()
+    ),
+    "stored_points_in_polygon": ctes(M, CHECKED) + f"SELECT {POINT}, seq AS sequenceNumber FROM v WHERE {_inside()}",
     "recent_in_bbox": ctes(M, CHECKED)
     + f"""SELECT {POINT}, seq AS sequenceNumber FROM v WHERE {INSIDE_BOX}
       ORDER BY enq DESC, device, seq LIMIT 10000""",
@@ -357,8 +362,8 @@ ORACLES: dict[str, str] = {
       part AS hubPartition, '2024-01-01' AS day FROM m
       WHERE seq % 2 = 1 AND part IN (0, 2) AND CAST(enq AS DATE) = DATE '2024-01-01'""",
     "pipeline_metrics": ctes(M)
-    + f"""SELECT (count(*) + {DEVICE_TIME_ROWS - 1}) // {DEVICE_TIME_ROWS} + 2 AS triggers, count(*) + 2 AS rows,
-      CAST(0 AS BIGINT) AS untimed, least(count(*), {DEVICE_TIME_ROWS}) AS most FROM m""",
+    + f"""SELECT (count(*) + {DEVICE_TIME_ROWS - 1}) // {DEVICE_TIME_ROWS} + 2 AS triggers, CAST(0 AS BIGINT) AS untimed,
+      count(*) + 2 AS written, true AS accounted FROM m""",
     "substream_time": ctes(M, IN_ORDER) + "SELECT seq AS sequenceNumber, device AS deviceId FROM in_order",
     "device_time_hot_stream": ctes(M, ON_TIME, HOT_ON_TIME) + alerts("hot180", processed=False),
     "device_time_isfirst_stream": ctes(M, ON_TIME, HOT_ON_TIME) + alerts(HOT_FIRST, processed=False),

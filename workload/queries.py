@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetpulse.functions import fields, geo
-from fleetpulse.operators import decode, deliveries, hot, monitoring, packing, policy, positions, silence
+from fleetpulse.operators import decode, deliveries, fences, hot, monitoring, packing, policy, positions, silence
 from fleetpulse.plans import cold
 from fleetpulse.plans import hot as hot_plan
-from fleetpulse.schemas import ALERT, HUB_MESSAGE, PIPELINE_METRIC, SQL_EVENT, TELEMETRY
+from fleetpulse.schemas import ALERT, HUB_MESSAGE, PIPELINE_METRIC, POSITION, SQL_EVENT, TELEMETRY
 from fleetpulse.session import configure, streaming_session
 from fleetpulse.sources.messages import alert_bus_stream, capture_range, captured_envelopes
 from fleetpulse.streaming import batching, device_time, monitor, queries, sinks, tables
@@ -34,6 +34,11 @@ POLYGON = "POLYGON((-124.5 47.25,-122.75 49.75,-121.5 48.5,-122.25 46.5,-124.5 4
 BUCKETS = 8
 # Messages per trigger of the streams whose results depend on where triggers begin.
 DEVICE_TIME_ROWS = 2_500
+FENCES = {
+    "north": POLYGON,
+    "triangle": "POLYGON((-123.5 47.1,-121.2 47.3,-122.4 49.2,-123.5 47.1))",
+    "notch": "POLYGON((-124 47.5,-122 47.5,-122 48.5,-122.9 48.5,-122.9 47.9,-123.1 47.9,-123.1 48.5,-124 48.5,-124 47.5))",
+}
 ALERT_COLUMNS = ALERT.fieldNames()
 # Streams stamp alerts with the time of the trigger, which no oracle knows.
 STREAM_ALERT_COLUMNS = [c for c in ALERT_COLUMNS if c != "lastprocessedutctime"]
@@ -370,6 +375,19 @@ def points_in_polygon(spark, sf_dir):
     return shown(positions.in_polygon(located(spark, sf_dir), geo.ring_from_wkt(POLYGON)))
 
 
+@query
+def points_in_fences(spark, sf_dir):
+    rings = {name: geo.ring_from_wkt(wkt) for name, wkt in FENCES.items()}
+    return shown(fences.within_fences(located(spark, sf_dir), rings))
+
+
+@query
+def stored_points_in_polygon(spark, sf_dir):
+    path = staging.scratch(spark, "cells")
+    fences.write_by_cell(located(spark, sf_dir), path)
+    return shown(fences.read_fence(spark, path, POSITION, geo.ring_from_wkt(POLYGON)))
+
+
 @query
 def recent_in_bbox(spark, sf_dir):
     return shown(positions.newest_in_box(located(spark, sf_dir), *BOX))
@@ -800,12 +818,16 @@ def pipeline_metrics(spark, sf_dir):
     finally:
         source_session.streams.removeListener(reporter)
     metrics = monitor.metric_frame(spark, records)
-    # Rows of a trigger: its rate of processing times its time, which the record has in milliseconds.
-    counted = F.round(F.col("procRowsPerSecond") * F.col("triggerExecution") / 1000).cast("bigint")
-    busy = metrics.filter("procRowsPerSecond > 0").withColumn("rows", counted)
-    return busy.agg(
+    # Rows of a trigger: its rate of processing times its time, which the record has in milliseconds, and so about right.
+    busy = metrics.filter("procRowsPerSecond > 0").withColumn(
+        "rows", F.col("procRowsPerSecond") * F.col("triggerExecution") / 1000
+    )
+    written = sinks.read_appended(spark, out, rows.schema).agg(F.count(F.lit(1)).alias("written"))
+    summed = busy.agg(
         F.count(F.lit(1)).alias("triggers"),
-        F.sum("rows").alias("rows"),
         F.count_if(F.col("triggerExecution") <= 0).alias("untimed"),
-        F.max("rows").alias("most"),
+        F.sum("rows").alias("rows"),
+    )
+    return summed.withColumn("written", written.scalar()).select(
+        "triggers", "untimed", "written", (F.abs(F.col("rows") - F.col("written")) <= 0.05 * F.col("written")).alias("accounted")
     )
