@@ -1,6 +1,7 @@
 """Toxicity by a support vector machine over a gapped subsequence kernel of words, with Nystroem landmarks.
 
-A string is a word in lower case without ASCII punctuation, so that dots or dashes put between letters go. Its features
+A string is a word in lower case without ASCII punctuation, so that dots or dashes put between letters go; letters that
+stand alone, with blanks put between them, are one word. Its features
 are subsequences of three and of four characters (word ends count as characters) within a window, weighted by a decay for
 each character skipped; the kernel of two strings is the product of these vectors, each divided by a norm that depends on
 the string's length. An insult with a character put in keeps most of its subsequences.
@@ -10,8 +11,10 @@ on the worst words of toxic texts (chosen anew in each round) against the worst
 among them; in their Nystroem space the machine is linear, and its decision function adds up to one weight per
 subsequence, so that scoring is one pass over all windows of a text, in arrays.
 
-Null or empty text: no words, the lowest margin, hence a score near 0. Null doc_id: passed on, not held out. Repeated
-rows: each is scored. No labels, or one class only: all scores are 0. Extra columns are ignored.
+Null or empty text: no words, the lowest margin, hence a score near 0. Very long texts: scored whole, one at a time, in
+some hundred bytes of memory per character. Null doc_id: passed on, not held out. Repeated rows: each is scored. Ties of
+the worst word: any of them, as only its margin counts. No labels, or one class only: all scores are 0. Extra columns are
+ignored. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from fleetpulse.llm.common import hash_sample, ship_package, slices
 from fleetpulse.llm.linear import fit_platt, sigmoid
 
-#: Labelled texts to fit on, at most, of each class; a third of them calibrates.
+#: Labelled texts to fit on, at most, of each class.
 TRAINING_ROWS = 1500
 LANDMARKS = 160
 ROUNDS = 4
@@ -58,7 +61,7 @@ class Model:
 class Strings:
     """The words of some texts in one array of code points, each between two blanks."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], joined: bool = True):
         lower = [t.lower() for t in texts]
         codes = np.frombuffer(" ".join(["", *lower, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
         bounds = np.cumsum([0, *[len(t) + 1 for t in lower]])  # the blank before each text
@@ -71,10 +74,17 @@ class Strings:
         first = blank & ~np.concatenate(([False], blank[:-1]))
         use = first | ~blank
         self.codes = np.where(blank[use], 32, codes[kept[use]]).astype(np.uint32)
+        place = np.searchsorted(kept[use], bounds[:-1], side="right") - 1
+        # Letters that stand alone, one after the other in a text, are one word.
         self.blanks = np.flatnonzero(self.codes == 32)
+        alone = np.diff(self.blanks) == 2
+        within = np.setdiff1d(self.blanks[1:-1][alone[:-1] & alone[1:]], place)
+        if joined and len(within):
+            self.codes = np.delete(self.codes, within)
+            place = place - np.searchsorted(within, place)
+            self.blanks = np.flatnonzero(self.codes == 32)
         self.words = len(self.blanks) - 1
         self.lengths = np.diff(self.blanks) - 1
-        place = np.searchsorted(kept[use], bounds[:-1], side="right") - 1
         # Words of text i: from the blank at or before its beginning.
         self.first_word = np.searchsorted(self.blanks, place)
         self.norms = np.sqrt(np.maximum((DECAY ** (2 * _GAPS) * np.maximum(self.lengths[:, None] + 3 - _SPANS, 0)).sum(1), 1e-9))
@@ -139,13 +149,13 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """The kernel of each word with each landmark."""
-    lrow, lcol, lval = Strings([" ".join(landmarks)]).features()
+    lrow, lcol, lval = Strings([" ".join(landmarks)], joined=False).features()
     known, place = np.unique(lcol, return_inverse=True)
     table = np.zeros((len(known), len(landmarks)), np.float32)
     np.add.at(table, (place, lrow), lval)
     out = np.zeros((len(words), len(landmarks)), np.float32)
     for a in range(0, len(words), 1000):
-        row, col, val = Strings([" ".join(words[a : a + 1000])]).features()
+        row, col, val = Strings([" ".join(words[a : a + 1000])], joined=False).features()
         at = np.minimum(np.searchsorted(known, col), len(known) - 1)
         hit = known[at] == col
         np.add.at(out, a + row[hit], table[at[hit]] * val[hit, None].astype(np.float32))
@@ -167,22 +177,47 @@ def _machine(z: np.ndarray, y: np.ndarray, share: np.ndarray, steps: int = 300)
 
 
 def fit(bags: list[list[str]], labels: np.ndarray, landmarks: int = LANDMARKS) -> Model | None:
-    """The machine from labelled bags of strings."""
+    """The machine from labelled bags of strings: taught by all of them, and calibrated on the margins that each third gets
+    from a machine taught by the others, so that few labels go a long way."""
     labels = np.asarray(labels)
     full = np.array([bool(b) for b in bags], bool)
-    if not (labels[full] > 0).any() or not (labels[full] <= 0).any():
+    if not _both(labels[full]):
         return None
+    vocabulary = sorted(set().union(*[bags[i] for i in np.flatnonzero(full)]))
+    number = {w: i for i, w in enumerate(vocabulary)}
+    coded = [np.array([number[w] for w in b], np.int64) for b in bags]
+    strings = Strings([" ".join(vocabulary)], joined=False)
+
+    def worst(of: tuple[np.ndarray, float], rows: np.ndarray) -> np.ndarray:
+        margins = strings.margins(of[0]) + of[1]
+        return np.array([margins[coded[i]].max() if len(coded[i]) else _LOWEST for i in rows])
+
     fold = np.zeros(len(bags), int)
     for c in (0, 1):
         at = np.flatnonzero((labels > 0) == bool(c))
         fold[at] = np.arange(len(at)) % 3
-    teach = full & (fold < 2)
-    if not (labels[teach] > 0).any() or not (labels[teach] <= 0).any():
-        teach = full
-    vocabulary = sorted(set().union(*[bags[i] for i in np.flatnonzero(full)]))
-    number = {w: i for i, w in enumerate(vocabulary)}
-    coded = [np.array([number[w] for w in b], np.int64) for b in bags]
-    strings = Strings([" ".join(vocabulary)])
+    left_out = np.full(len(bags), np.nan)
+    for f in range(3):
+        teach = full & (fold != f)
+        others = np.flatnonzero(fold == f)
+        machine = _taught(strings, vocabulary, coded, labels, teach, landmarks) if _both(labels[teach]) else None
+        if machine is not None:
+            left_out[others] = worst(machine, others)
+    machine = _taught(strings, vocabulary, coded, labels, full, landmarks)
+    if machine is None:
+        return None
+    known = ~np.isnan(left_out)
+    if not _both(labels[known]):
+        known, left_out = np.ones(len(bags), bool), worst(machine, np.arange(len(bags)))
+    return Model(machine[0], float(machine[1]), *fit_platt(left_out[known], labels[known].astype(float)))
+
+
+def _both(labels: np.ndarray) -> bool:
+    return bool((labels > 0).any() and (labels <= 0).any())
+
+
+def _taught(strings: Strings, vocabulary: list[str], coded: list[np.ndarray], labels: np.ndarray, teach: np.ndarray, landmarks: int) -> tuple[np.ndarray, float] | None:
+    """Weights and bias learned from some of the bags."""
     toxic = [coded[i] for i in np.flatnonzero(teach & (labels > 0))]
     clean = [coded[i] for i in np.flatnonzero(teach & (labels <= 0))]
     in_toxic = np.bincount(np.concatenate(toxic), minlength=len(vocabulary))
@@ -197,8 +232,8 @@ def fit(bags: list[list[str]], labels: np.ndarray, landmarks: int = LANDMARKS) -
         good += np.bincount(feature[at], in_clean[word[at]], 1 << BITS)
     odds = np.log((bad / len(toxic) + 0.5 / len(toxic)) / (good / len(clean) + 0.5 / len(toxic)))
     weights, bias = np.maximum(np.where(bad >= 3, odds, 0), 0).astype(np.float32), 0.0
-    only_clean = np.flatnonzero((in_clean > 0))
-    model = None
+    only_clean = np.flatnonzero(in_clean > 0)
+    found = None
     for _ in range(ROUNDS):
         margins = strings.margins(weights)
         witness = np.array([b[np.argmax(margins[b])] for b in toxic])
@@ -223,13 +258,10 @@ def fit(bags: list[list[str]], labels: np.ndarray, landmarks: int = LANDMARKS) -
         share = np.concatenate((0.5 * times / times.sum(), np.full(len(negative), 0.5 / len(negative))))
         w, bias = _machine(z, y, share)
         beta = whiten @ w
-        row, col, val = Strings([" ".join(marks)]).features()
+        row, col, val = Strings([" ".join(marks)], joined=False).features()
         weights = np.bincount(col, beta[row] * val, 1 << BITS).astype(np.float32)
-        margins = strings.margins(weights) + bias
-        worst = np.array([margins[b].max() if len(b) else _LOWEST for b in coded])
-        check = ~teach if (labels[~teach] > 0).any() and (labels[~teach] <= 0).any() else teach
-        model = Model(weights, float(bias), *fit_platt(worst[check], labels[check].astype(float)))
-    return model
+        found = weights, bias
+    return found
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model | None:

@@ -142,6 +142,58 @@ def test_op2_accuracy_and_shrinkage(spark):
     assert spread[0] <= spread[1] + 1e-3
 
 
+def plain_posteriors(rows):
+    """The same shrinkage, one document at a time: rows are (host, path, evidence)."""
+    clip = lambda p: min(max(p, 1e-4), 1 - 1e-4)
+    logit = lambda p: math.log(clip(p) / (1 - clip(p)))
+    prior = sum(e for *_, e in rows) / len(rows)
+
+    def sums(key):
+        out = collections.defaultdict(lambda: [0, 0.0])
+        for row in rows:
+            out[key(row)][0] += 1
+            out[key(row)][1] += row[2]
+        return out
+
+    def worth(sites, above):
+        spread = sum(n * (s / n - above(k)) ** 2 for k, (n, s) in sites.items())
+        chance = sum(above(k) * (1 - above(k)) for k in sites)
+        total = sum(n for n, _ in sites.values())
+        unit = sum(n * above(k) * (1 - above(k)) for k, (n, _) in sites.items()) / total
+        between = max(spread - chance, 0.0) / total
+        return min(max(unit / between - 1 if between > 1e-9 else 1e6, 1.0), 1e6)
+
+    hosts, paths = sums(lambda r: r[0]), sums(lambda r: r[:2])
+    k_host = worth(hosts, lambda _: prior)
+    k_path = worth(paths, lambda p: (hosts[p[0]][1] + k_host * prior) / (hosts[p[0]][0] + k_host))
+    out = []
+    for host, path, e in rows:
+        (hn, hs), (pn, ps) = hosts[host], paths[host, path]
+        over = (hs - e + k_host * prior) / (hn - 1 + k_host)
+        own = (ps - e + k_path * over) / (pn - 1 + k_path)
+        out.append((over, own, 1 / (1 + math.exp(-(logit(e) + logit(own) - logit(prior))))))
+    return out
+
+
+def test_op2_posteriors_against_plain_sums(spark):
+    from fleetpulse.llm import site_quality
+
+    for seed in range(3):
+        draw = random.Random(seed)
+        rates = {f"h{h}": draw.random() for h in range(6)}
+        rows = []
+        for _ in range(300):
+            host = f"h{min(int(draw.expovariate(0.6)), 5)}"
+            rows.append((host, f"p{draw.randrange(4)}", min(max(draw.gauss(rates[host], 0.2), 0.001), 0.999)))
+        found = spark.createDataFrame(
+            [(i, h, f"{h}/{p}", e) for i, (h, p, e) in enumerate(rows)], "doc_id long, host string, path string, evidence double"
+        )
+        got = site_quality.posteriors(found).orderBy("doc_id").collect()
+        for r, expected in zip(got, plain_posteriors(rows)):
+            assert (r["host_posterior"], r["path_posterior"], r["probability"]) == pytest.approx(expected, abs=1e-9)
+            assert r["kept"] == (r["probability"] >= 0.5)
+
+
 def test_op2_sparse_sites_go_to_the_prior(spark):
     from fleetpulse.llm import site_quality
 
@@ -167,6 +219,15 @@ def test_op3_on_texts_it_never_saw(spark):
     area = (rank[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2) / (toxic.sum() * (~toxic).sum())
     assert area > 0.92
     assert (held.predicted == held.toxic).mean() > 0.95
+    # A tenth of the labels is not about any insult in the text.
+    assert held.predicted[toxic].mean() > 0.85 and held.predicted[~toxic].mean() < 0.04
+
+
+def test_op3_on_few_labels(spark):
+    found = queries.op3_toxicity(spark, SF).join(table(spark, SF, "labels").select("doc_id", "toxic"), "doc_id").toPandas()
+    held, toxic = found[found.held_out], found.toxic == 1
+    assert held.predicted[held.toxic == 1].sum() >= 4 and held.predicted[held.toxic == 0].mean() < 0.06
+    assert found.predicted[toxic & ~found.held_out].mean() > 0.9
 
 
 def test_op3_gaps_and_inserted_characters():
@@ -180,6 +241,47 @@ def test_op3_gaps_and_inserted_characters():
     assert scores[0] == pytest.approx(scores[4], abs=1e-5)
 
 
+def test_op3_letters_with_blanks_between_them():
+    strings = toxicity.Strings(["An i d i o t", "a b", "x", "", "i-d i", "o t"])
+    words = strings.codes.tobytes().decode("utf-32-le").split(" ")
+    # Letters of different texts stay apart.
+    assert [w for w in words if w] == ["an", "idiot", "ab", "x", "id", "i", "ot"]
+    texts = [words[1 + a : 1 + b] for a, b in zip(strings.first_word, [*strings.first_word[1:], strings.words])]
+    assert [[w for w in t if w] for t in texts] == [["an", "idiot"], ["ab"], ["x"], [], ["id", "i"], ["ot"]]
+
+
+def plain_subsequences(word):
+    """Feature and weight of each subsequence of three or four characters of a word between blanks, one at a time."""
+    padded, out = f" {word} ", []
+    for pattern in toxicity.PATTERNS:
+        for start in range(len(padded) - pattern[-1]):
+            h = ord(padded[start]) * int(toxicity._FACTORS[0]) % 2**32
+            for k, offset in enumerate(pattern):
+                h ^= (ord(padded[start + offset]) + k + 1) * int(toxicity._FACTORS[k + 1]) % 2**32
+                h = h * 0x2C1B3C6D % 2**32
+                h ^= h >> 15
+            out.append((h >> (32 - toxicity.BITS), toxicity.DECAY ** (pattern[-1] - len(pattern))))
+    return out
+
+
+def test_op3_margins_and_kernel_against_plain_sums():
+    draw = random.Random(11)
+    words = ["a", "ab", "idiot", "id\u00efot", "\U0001f600x", "abcabcabc"] + ["".join(draw.choice("abcdeäö") for _ in range(draw.randint(1, 14))) for _ in range(60)]
+    words = [w for w in words if len(w) > 1]
+    weights = np.random.default_rng(1).standard_normal(1 << toxicity.BITS).astype(np.float32)
+    strings = toxicity.Strings([" ".join(words)])
+    norm = lambda w: math.sqrt(max(sum(v * v for _, v in plain_subsequences(w)), 1e-9))
+    plain = [sum(float(weights[f]) * v for f, v in plain_subsequences(w)) / norm(w) for w in words]
+    assert strings.margins(weights).tolist() == pytest.approx(plain, abs=1e-4)
+    kernel = toxicity._kernel(words, words[:10])
+    for i, a in enumerate(words):
+        for j, b in enumerate(words[:10]):
+            known = collections.Counter()
+            for f, v in plain_subsequences(b):
+                known[f] += v
+            assert kernel[i, j] == pytest.approx(sum(known[f] * v for f, v in plain_subsequences(a)) / norm(a) / norm(b), abs=1e-4)
+
+
 def test_op4_against_all_pairs(spark, texts):
     rows = {r["doc_id"]: r for r in queries.op4_line_dedup(spark, SF).collect()}
     assert rows.keys() == texts.keys()
