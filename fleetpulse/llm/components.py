@@ -1,4 +1,8 @@
-"""Connected components of links, by smallest labels and jumps, in joins: nothing is gathered."""
+"""Connected components of links, by smallest labels and jumps, in joins: nothing is gathered.
+
+Nodes are the non-null keys of common.row_key. Repeated links count once, a link of a node with itself not at all. No links
+give no rows.
+"""
 
 from __future__ import annotations
 

@@ -16,7 +16,8 @@ A unit that has too little weight in its words for any family or licence cannot
 arrays, and only the others are scored one by one. No unit is left out.
 
 Null or empty text: no units, no licence. Null doc_id: passed on. Repeated rows: each is scanned. Very long texts are read
-to the end. Extra columns are ignored. An empty table gives no rows.
+to the end. Ties: of equal scores the earlier family and part, of equal findings the first confirmed one. A word or pair
+counts once in a unit, however often it is repeated there. Extra columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ while another can serve. The flow is solved on the totals, of which there are at
 are chosen by a seeded hash: a pattern's whole passes first, then hash buckets up to the cut, then single documents of
 the one bucket on the cut while they fit. The mix never sorts or gathers a source; a rerun chooses the same.
 
-Null source: a source of its own, last in order. Null or empty text: size 0, taken 0. Repeated rows: taken alike, and
+Null source: a source of its own, last in order. Null or empty text: size 0, taken 0. Very long texts: all their words
+count; one that is larger than the room left is taken if that comes nearer to the target than leaving it. Repeated rows: taken alike, and
 together on the cut. An empty table gives an empty mix. Extra columns are passed on by `mixed`, and unused otherwise.
 """
 

@@ -5,7 +5,8 @@ four bytes of UTF-8), each as a share of its kind in the text, so that long and
 bounded sample of labelled rows, calibrated on the part of the sample that the fit left out, and applied to Arrow
 batches. Every word of every text counts.
 
-Null or empty text: no words, hence base_failed. Null doc_id: passed on. Repeated rows: each gets its own result. No
+Null or empty text: no words, hence base_failed. Very long texts: counted and scored whole. Ties: a share or probability
+that is exactly at its limit is kept. Empty tables give no rows. Null doc_id: passed on. Repeated rows: each gets its own result. No
 labels, or one class only: the classifier keeps everything and only the base rules reject. Extra columns are ignored by
 `score` and passed on by `filter_quality`.
 """

@@ -6,7 +6,8 @@ rate of all, a path's towards its host's, the more the fewer documents there are
 differ beyond chance (method of moments). A document's own share is left out of the rates it is judged by. The odds of
 the document are its classifier's odds times the odds of its path against those of all.
 
-Null or empty text: measures of nothing, which the classifier judges like any others. Null host or path: a site of its
+Null or empty text: measures of nothing, which the classifier judges like any others. Very long texts: measured whole.
+Ties: a probability of exactly min_probability is kept. Null host or path: a site of its
 own. Null doc_id: passed on. Repeated rows: each counts. No labels, or one class only: every document has the
 probability 0.5 before sites. Extra columns are ignored. An empty table gives no rows.
 """

@@ -4,6 +4,9 @@ A batch lies in one buffer of UTF-8 bytes. A word is a run of bytes other than s
 feed and carriage return, which is the pattern ``[^\\x20\\x09-\\x0D]+`` of code points. The hash of a range of bytes is
 a polynomial modulo 2**64 of a table value per byte, read off prefix sums, and then mixed; it depends on the bytes only,
 so that all tasks agree.
+
+A batch takes some 60 bytes of memory per byte of text while it is read, and the table of powers grows to the longest text
+seen, at 16 bytes per byte: with 2 GB a worker takes single texts of about 25 MB.
 """
 
 from __future__ import annotations

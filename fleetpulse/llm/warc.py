@@ -7,7 +7,8 @@ bounded number of records.
 
 Pages whose payload is at least `min_revisit_bytes` long and equal to that of a page with a larger page_id revisit that
 one; pages that share the largest page_id are all responses. Null html: an empty payload. Null url: no target. Null
-page_id: smaller than any other, and null again when read. Rows that repeat in all three columns are one capture that is
+page_id: smaller than any other, and null again when read. Very long payloads: one record, held by a worker together with
+the rest of its file. Rows that repeat in all three columns are one capture that is
 written, and returned, as often as it is given. An empty table gives an empty archive. Extra columns are ignored.
 """
 
