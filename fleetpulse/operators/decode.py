@@ -120,10 +120,10 @@ def alert_record(alerts: DataFrame) -> DataFrame:
     )
 
 
-def alert_body(alerts: DataFrame) -> DataFrame:
-    """One JSON object per alert, as the body of a bus message."""
+def alert_body(alerts: DataFrame, *kept: str) -> DataFrame:
+    """One JSON object per alert, as the body of a bus message, after the columns to be kept."""
     record = alert_record(alerts)
-    return record.select(F.to_json(F.struct(*record.columns)).alias("body"))
+    return record.select(*kept, F.to_json(F.struct(*record.columns)).alias("body"))
 
 
 def alert_array(alerts: DataFrame) -> DataFrame:

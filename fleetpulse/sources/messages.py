@@ -12,6 +12,10 @@ from fleetpulse.schemas import CAPTURED_ENVELOPE, HUB_MESSAGE
 from fleetpulse.sources.files import Store
 
 
+# Messages that one trigger of each stream takes at most, for max_offsets below.
+HOT_PER_TRIGGER, SILENCE_PER_TRIGGER, ALERTS_PER_TRIGGER, POSITIONS_PER_TRIGGER = 120_000, 50_000, 30_000, 64_000
+
+
 def captured_envelopes(spark: SparkSession, path: str, *, file_format: str = "avro") -> DataFrame:
     """All envelopes under a capture folder (hub/partition/date/time), whatever the files are called."""
     reader = spark.read.schema(CAPTURED_ENVELOPE).option("recursiveFileLookup", True)

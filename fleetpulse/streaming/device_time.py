@@ -114,7 +114,6 @@ def hot_windows_in_device_time(
             arrived_before = manifest.mark
             arrived = max((n for n in (newest, arrived_before) if n is not None), default=None)
             if arrived is None:
-                given = timed.withColumn("reason", F.lit("late")).limit(0)
                 held, touched = state.rows(spark, manifest), []
             else:
                 fallen = [part for part, due in manifest.due.items() if due <= arrived]
@@ -125,24 +124,23 @@ def hot_windows_in_device_time(
             # A window that ends by then was closed before this trigger.
             before = F.greatest(F.col("clock") - _interval(after), _time(floor))
             start = fields.bin_of(F.col("occurrenceUtcTime"), window_seconds) * window_seconds
-            placed = _same_device(timed.withColumn("windowStart", F.timestamp_seconds(start)), clocks).withColumn(
-                "late", F.coalesce(end <= before, F.lit(False))
-            )
+            placed, late = timed.withColumn("windowStart", F.timestamp_seconds(start)), F.coalesce(end <= before, F.lit(False))
             if quarantine is not None:
-                given = placed.filter("late").select(*batch.columns, F.lit("late").alias("reason"))
+                given = _same_device(placed, clocks).filter(late).select(*batch.columns, F.lit("late").alias("reason"))
                 quarantine(given.unionByName(untimed.withColumn("reason", F.lit("untimed"))), batch_id)
             if not touched:
                 alerts(_alerts(spark.createDataFrame([], DEVICE_WINDOW), end, threshold), batch_id)
                 state.replace(held, batch_id, [], mark=arrived)
                 return
-            counted = placed.filter(~F.col("late") & (F.col("sensorType") == fields.STATE_SENSOR))
-            partial = counted.groupBy(*cell).agg(
+            # All messages of a window are late or none, so they are reduced before they meet their device's clock.
+            partial = placed.filter(F.col("sensorType") == fields.STATE_SENSOR).groupBy(*cell).agg(
                 F.count("temperature").alias("count"), F.sum("temperature").alias("total"),
                 F.max("enqueuedUtcTime").alias("lastEnqueued"), F.max("occurrenceUtcTime").alias("lastOccurred"),
                 F.max("processedUtcTime").alias("lastProcessed"),
             )
+            in_time = _same_device(partial, clocks).filter(~late).select(*partial.columns)
             old = held.where(F.col("windowStart").isNotNull()).select(*partial.columns)
-            windows = old.unionByName(partial).groupBy(*cell).agg(*[f.alias(n) for n, f in sums.items()])
+            windows = old.unionByName(in_time).groupBy(*cell).agg(*[f.alias(n) for n, f in sums.items()])
             moved = clocks.select(*KEYS, "clock", "alertedUntil").unionByName(
                 timed.groupBy(*KEYS).agg(F.max("occurrenceUtcTime").alias("clock")), allowMissingColumns=True
             )

@@ -160,6 +160,24 @@ def bus_writer(alerts: DataFrame, topic: str) -> DataStreamWriter:
     )
 
 
+def broker_rows(alerts: DataFrame) -> DataFrame:
+    """Alerts as records of a broker: the JSON body, and the device as key, so that a device's alerts stay in order."""
+    return alert_body(alerts, "deviceid").select(F.col("deviceid").alias("key"), F.col("body").alias("value"))
+
+
+def broker_options(servers: str, topic: str, *, max_record_bytes: int | None = None) -> dict[str, str]:
+    """Options of a Kafka-compatible broker to write to; a record counts as written when all replicas have it."""
+    options = {"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": "all"}
+    if max_record_bytes is not None:
+        options["kafka.max.request.size"] = str(max_record_bytes)
+    return options
+
+
+def broker_writer(alerts: DataFrame, options: dict[str, str]) -> DataStreamWriter:
+    """Alerts to a Kafka-compatible topic, at least once; needs the spark-sql-kafka package on the cluster."""
+    return broker_rows(alerts).writeStream.format("kafka").options(**options).outputMode("append")
+
+
 def notifier(post: Callable[[str], None], *, size: int = ALERTS_PER_PAYLOAD) -> BatchWriter:
     """Hands the alerts of each micro-batch to `post` on the executors, as JSON arrays of at most `size`.
 

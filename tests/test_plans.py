@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 STAGED = {
     "raw_envelope_scan", "table_preview", "cold_tables_overwrite", "sql_event_load", "pipeline_metrics",
-    "alert_payload_pack", "alert_bus_sink", "document_insert_sink", "silence_document_sink", "notification_sink", "dstream_positions", "substream_time", "row_writer_sink", "dead_letter_sink", "capture_range_scan", "stored_points_in_polygon", "cold_tables_incremental",
+    "alert_payload_pack", "alert_bus_sink", "document_insert_sink", "silence_document_sink", "notification_sink", "notification_post_sink", "dstream_positions", "substream_time", "row_writer_sink", "dead_letter_sink", "capture_range_scan", "stored_points_in_polygon", "cold_tables_incremental",
 }
 BATCH = [n for n in QUERIES if n not in STAGED and not n.endswith("_stream")]
 
@@ -90,3 +90,18 @@ def test_long_rings_do_not_grow_the_generated_code(spark):
 def test_fences_meet_positions_in_one_equal_join(spark, sf_dir):
     text = plan(QUERIES["points_in_fences"](spark, sf_dir))
     assert text.count("HashJoin") + text.count("SortMergeJoin") == 1 and "[cell" in text
+
+
+def test_delivery_summary_hashes_all_rows_and_reads_them_once(spark, sf_dir):
+    text = plan(QUERIES["delivery_summary"](spark, sf_dir))
+    assert text.count("FileScan") == 1
+    # From the scan up: all rows by hash, then only what is left of them as text.
+    kinds = [line for line in reversed(text.splitlines()) if "Aggregate(" in line]
+    assert ["HashAggregate" in line and "Object" not in line for line in kinds] == [True, True, False, False]
+    assert "partial_max" in kinds[0] and "partial_max" in kinds[2]
+
+
+@pytest.mark.parametrize("name", ["hot_tumbling_180", "out_of_order_filter", "points_in_fences", "latest_position"])
+def test_one_scan(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert sum("FileScan" in line and "events.parquet" in line for line in text.splitlines()) == 1

@@ -15,7 +15,7 @@ from fleetpulse.operators import decode, hot, packing, policy, positions, silenc
 from fleetpulse.plans import cold, warm
 from fleetpulse.schemas import ALERT, CAPTURED_ENVELOPE, HUB_MESSAGE, POSITION, TELEMETRY
 from fleetpulse.session import shared_dir, streaming_session
-from fleetpulse.sources.messages import alert_bus_stream, capture_range, kafka_options, message_stream
+from fleetpulse.sources.messages import HOT_PER_TRIGGER, alert_bus_stream, capture_range, kafka_options, message_stream
 from fleetpulse.streaming import batching, device_time, monitor, queries, sinks, tables
 from fleetpulse.sources.files import Store
 
@@ -620,8 +620,25 @@ def test_late_rows_are_dropped_two_batches_later(spark, tmp_path):
     assert got.count() == 1
 
 
+def test_broker_as_alert_bus(spark, tmp_path):
+    time = START + dt.timedelta(seconds=1)
+    alerts = spark.createDataFrame([("hotTemperature", 0, "d1", "o", 76.0, time, time, time)], ALERT)
+    row = sinks.broker_rows(alerts).collect()[0]
+    assert row.key == "d1" and json.loads(row.value)["deviceid"] == "d1" and json.loads(row.value)["avgtemperature"] == 76.0
+    options = sinks.broker_options("h:9092", "alerts", max_record_bytes=1_000_000)
+    assert options == {
+        "kafka.bootstrap.servers": "h:9092", "topic": "alerts", "kafka.acks": "all", "kafka.max.request.size": "1000000"
+    }
+    inbox = Inbox(spark, tmp_path / "in")
+    inbox.add(random_rows(5, seed=40))
+    writer = sinks.broker_writer(queries.hot_alert_stream(inbox.stream()), options)
+    # The connector is not here: the writer gets as far as looking for it.
+    with pytest.raises(Exception, match="(?i)kafka"):
+        queries.start(writer, str(tmp_path / "checkpoint"), available_now=True)
+
+
 def test_kafka_options():
-    assert kafka_options("h:9092", "t", group="g", max_offsets=120_000) == {
+    assert kafka_options("h:9092", "t", group="g", max_offsets=HOT_PER_TRIGGER) == {
         "kafka.bootstrap.servers": "h:9092",
         "subscribe": "t",
         "startingOffsets": "latest",

@@ -349,6 +349,7 @@ ORACLES: dict[str, str] = {
     "alert_bus_sink": ctes(M, HOT90, SILENT_GAPS_ALL, BUS) + alerts("bus", processed=False),
     "alert_stream": NOTIFICATIONS_STREAM,
     "notification_sink": NOTIFICATIONS_STREAM,
+    "notification_post_sink": NOTIFICATIONS_STREAM,
     "prompt_alert_stream": ctes(M, HOT90, SILENT_GAPS_ALL, BUS)
     + f"""SELECT DISTINCT deviceid, deliveryid, message,
       {text('make_timestamp(epoch_us(lastoccurrenceutctime) // 150000000 * 150000000)')} AS bucketStart FROM bus""",

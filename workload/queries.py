@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import hashlib
 import json
 from collections.abc import Callable
 
@@ -739,6 +740,25 @@ def notification_sink(spark, sf_dir):
     return shown(alerts, *STREAM_ALERT_COLUMNS)
 
 
+def post_to(folder: str, payload: str) -> None:
+    """Stands for the receiver of notifications: keeps each payload under the name of its content."""
+    files, place = fs.FileSystem.from_uri(folder)
+    files.create_dir(place, recursive=True)
+    with files.open_output_stream(f"{place}/{hashlib.sha1(payload.encode()).hexdigest()}.json") as out:
+        out.write(payload.encode())
+
+
+@query
+def notification_post_sink(spark, sf_dir):
+    """Notifications handed to their receiver directly, and what it has got."""
+    out, _ = run_notifications(
+        spark, sf_dir, "posted", lambda out: sinks.notifier(functools.partial(post_to, uri(f"{out}/received")))
+    )
+    received = spark.read.text(f"{out}/received/*.json", wholetext=True).withColumnRenamed("value", "payload")
+    alerts, _ = decode.decode_alert_payloads(received)
+    return shown(alerts, *STREAM_ALERT_COLUMNS)
+
+
 @query
 def substream_time(spark, sf_dir):
     schemas = []
