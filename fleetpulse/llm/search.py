@@ -18,9 +18,9 @@ worker, one job for each block; shards stay where they are read. A worker holds
 TOGETHER queries.
 
 The work of all queries is queries times documents, less what is skipped: where queries grow with the documents it grows
-with their product. Very long texts: indexed whole, and asked whole. Null or empty text: a document that no query finds, a query that finds nothing. Null doc_id: a
-document like any other, before all others among ties; never a query. Repeated rows: each is a document, and one query.
-Extra columns are ignored. An empty table gives no rows.
+with their product. Very long texts: indexed whole, and asked whole. Null or empty text: a document that no query finds, a
+query that finds nothing. Null doc_id: a document like any other, before all others among ties; never a query. Repeated
+rows: each is a document, and one query. Extra columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations

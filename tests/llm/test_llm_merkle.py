@@ -65,7 +65,7 @@ def run(docs):
     return merkle.verify(docs, tampered=tampered, text=merkle.lower_ascii(F.col("text")))
 
 
-@pytest.mark.parametrize("count", [1, 8, 65, 600])
+@pytest.mark.parametrize("count", [1, 65, 600])
 def test_trees_of_every_shape(spark, count):
     docs = spark.range(count).select(
         (F.col("id") * 37 % 1009).alias("doc_id"),
