@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fleetpulse.schemas import CAPTURED_ENVELOPE, HUB_MESSAGE
 from fleetpulse.sources.files import Store
@@ -90,11 +91,14 @@ def message_stream(
     file_format: str = "parquet",
     files_per_trigger: int | None = None,
     bytes_per_trigger: int | None = None,
+    more: str | None = None,
 ) -> DataFrame:
-    """Hub messages as they land in a folder. files_per_trigger or bytes_per_trigger bounds a micro-batch."""
+    """Hub messages as they land in a folder. files_per_trigger or bytes_per_trigger bounds a micro-batch. more: columns
+    that the files have besides, as "name type, ..."."""
     if files_per_trigger is not None and bytes_per_trigger is not None:
         raise ValueError("give one limit")
-    reader = spark.readStream.schema(HUB_MESSAGE).format(file_format)
+    schema = StructType([*HUB_MESSAGE.fields, *(StructType.fromDDL(more).fields if more else [])])
+    reader = spark.readStream.schema(schema).format(file_format)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if bytes_per_trigger is not None:

@@ -18,6 +18,8 @@ from fleetpulse.session import shared_dir, streaming_session
 from fleetpulse.sources.messages import HOT_PER_TRIGGER, alert_bus_stream, capture_range, kafka_options, message_stream
 from fleetpulse.streaming import batching, device_time, monitor, queries, sinks, tables
 from fleetpulse.sources.files import Store
+from workload import staging
+from workload.telemetry import messages
 
 END = START + dt.timedelta(days=1)
 
@@ -650,3 +652,21 @@ def test_shared_dir_is_the_named_one(spark):
 def test_telemetry_has_the_declared_schema(spark):
     decoded = decode.decode_telemetry(spark.createDataFrame([], HUB_MESSAGE))
     assert [(f.name, f.dataType) for f in decoded.schema] == [(f.name, f.dataType) for f in TELEMETRY]
+
+
+def test_a_larger_table_has_no_more_triggers(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(staging, "_done", {})
+    total = messages(spark, sf_dir).count()
+
+    def files(folder):
+        return [sorted(r[0] for r in spark.read.parquet(f"{folder}/{n}").select("place").collect())
+                for n in sorted(Store(spark).names(folder), key=lambda n: int(n.rpartition("=")[2])) if n.startswith("file=")]
+
+    folder, together = staging.staged_stream(spark, sf_dir, rows_per_trigger=-(-total // 40))
+    staged = files(folder)
+    assert together == 3 and len(staged) == staging.TRIGGERS * together + 2
+    assert [place for file in staged[:-2] for place in file] == list(range(total))
+    assert max(map(len, staged[:-2])) - min(map(len, staged[:-2])) <= 1
+    # A stream that counts its triggers keeps them.
+    folder, together = staging.staged_stream(spark, sf_dir, rows_per_trigger=-(-total // 20), triggers=None)
+    assert together == 1 and len(files(folder)) == 22

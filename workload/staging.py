@@ -18,13 +18,16 @@ from fleetpulse.schemas import HUB_MESSAGE
 from fleetpulse.session import shared_dir
 from fleetpulse.sources.files import Store
 from fleetpulse.sources.messages import message_stream
-from workload.telemetry import messages
+from workload.telemetry import messages, telemetry
 
 SENTINEL_DEVICE = "zz"
 _SENTINELS = ("2024-01-02T00:00:00.000000Z", "2024-01-02T12:00:00.000000Z")
-# Rows of a staged file, and so of a micro-batch of the streams that read it.
+# Beyond the places of all messages.
+_SENTINEL_PLACE = 1 << 60
+# Rows of a staged file, the least that a micro-batch of the streams that read it has.
 ROWS_PER_TRIGGER = 25_000
-
+# A larger table is read in as many triggers as this, of several files each, until a trigger has the most rows it may have.
+TRIGGERS, FILES_PER_TRIGGER, MOST_ROWS_PER_TRIGGER = 16, 24, 2_000_000
 _done: dict[tuple, object] = {}
 
 
@@ -51,15 +54,23 @@ def _sentinel(spark: SparkSession, occurred: str) -> DataFrame:
 
 
 def staged_stream(
-    spark: SparkSession, sf_dir: str, *, order: str = "occurrence", rows_per_trigger: int = ROWS_PER_TRIGGER
-) -> str:
-    """Hub messages in order of occurrence or arrival, in files of a fixed number of rows, then two files of a sentinel.
+    spark: SparkSession,
+    sf_dir: str,
+    *,
+    order: str = "occurrence",
+    rows_per_trigger: int = ROWS_PER_TRIGGER,
+    triggers: int | None = TRIGGERS,
+) -> tuple[str, int]:
+    """Hub messages in order of occurrence or arrival, in files of a fixed number of rows, then two files of a sentinel;
+    the folder, and how many files a trigger takes. Files also have the place of a message in that order.
 
     The files are written at once and then dated one second after the other, as a file source reads them by their times.
-    So the number of micro-batches grows with the table, and their size does not.
+    Every trigger visits state and tables as a whole, besides its fixed costs, so a trigger of rows_per_trigger rows would
+    make the work grow with the square of the table. It has them, in one file, while that takes at most `triggers`
+    triggers; of a larger table it has more, up to MOST_ROWS_PER_TRIGGER. triggers None: always rows_per_trigger.
     """
 
-    def make() -> str:
+    def make() -> tuple[str, int]:
         folder = scratch(spark, f"messages-by-{order}")
         source = messages(spark, sf_dir)
         if order == "occurrence":
@@ -67,20 +78,28 @@ def staged_stream(
             at = F.try_to_timestamp(occurred)
         else:
             at = F.col("enqueuedTime")
+        rows = telemetry(spark, sf_dir).count()
+        count, together = -(-rows // rows_per_trigger), 1
+        place = F.col("place")
+        file = fields.whole(place, rows_per_trigger)
+        if triggers is not None and count > triggers:
+            most = max(rows_per_trigger, MOST_ROWS_PER_TRIGGER)
+            together = min(-(-count // triggers), FILES_PER_TRIGGER)
+            # Files of equal size that fill whole triggers, so that the sentinel has a trigger of its own.
+            count = max(triggers, -(-rows // most)) * together
+            file = fields.whole(place * count, rows)
         placed = position_in_order(
             source.withColumn("at", at), name="place", keys=[], order=["at", "sequenceNumber"]
         )
-        rows = placed.select(*HUB_MESSAGE.fieldNames(), fields.whole(F.col("place"), rows_per_trigger).cast("int").alias("file"))
-        count = rows.agg(F.max("file")).first()[0]
-        dealt = rows.repartitionById(1 if count is None else count + 1, F.col("file"))
-        dealt.write.partitionBy("file").parquet(folder)
-        number = -1 if count is None else count
-        for n, occurred in enumerate(_SENTINELS, number + 1):
-            _sentinel(spark, occurred).coalesce(1).write.parquet(f"{folder}/file={n}")
+        dealt = placed.select(*HUB_MESSAGE.fieldNames(), "place", file.cast("int").alias("file"))
+        dealt.repartitionById(max(count, 1), F.col("file")).write.partitionBy("file").parquet(folder)
+        for n, occurred in enumerate(_SENTINELS, count):
+            last = _sentinel(spark, occurred).withColumn("place", F.lit(_SENTINEL_PLACE + n).cast("bigint"))
+            last.coalesce(1).write.parquet(f"{folder}/file={n}")
         _date_files(spark, folder)
-        return folder
+        return folder, together
 
-    return _once(spark, ("stream", sf_dir, order, rows_per_trigger), make)
+    return _once(spark, ("stream", sf_dir, order, rows_per_trigger, triggers), make)
 
 
 def _date_files(spark: SparkSession, folder: str) -> None:
@@ -98,11 +117,12 @@ def stream(
     streaming: SparkSession,
     sf_dir: str,
     *,
-    order: str = "occurrence",
-    rows_per_trigger: int = ROWS_PER_TRIGGER,
+    more: str | None = None,
+    **staged,
 ) -> DataFrame:
-    folder = staged_stream(spark, sf_dir, order=order, rows_per_trigger=rows_per_trigger)
-    return message_stream(streaming, f"{folder}/file=*", files_per_trigger=1)
+    """The staged messages as a stream, with more columns of the files if some are named; staged: as in staged_stream."""
+    folder, files = staged_stream(spark, sf_dir, **staged)
+    return message_stream(streaming, f"{folder}/file=*", files_per_trigger=files, more=more)
 
 
 def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
