@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,10 +40,12 @@ def parse_bodies(messages: DataFrame) -> DataFrame:
     )
 
 
-def decode_telemetry(messages: DataFrame, *, processed_at: Column | None = None) -> DataFrame:
+def decode_telemetry(
+    messages: DataFrame, *, processed_at: Column | None = None, also: Sequence[Column] = ()
+) -> DataFrame:
     """Hub messages as TELEMETRY rows; fields that are missing or do not parse are NULL.
 
-    processed_at defaults to the time of the batch or trigger.
+    processed_at defaults to the time of the batch or trigger. also: more columns, of those of the messages.
     """
     return parse_bodies(messages).select(
         "sequenceNumber",
@@ -57,6 +61,7 @@ def decode_telemetry(messages: DataFrame, *, processed_at: Column | None = None)
         fields.to_number(F.col("acceleration")).alias("acceleration"),
         "position",
         "flightStatus",
+        *also,
     )
 
 

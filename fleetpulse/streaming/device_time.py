@@ -9,13 +9,20 @@ Every trigger runs on the batch engine: rows are reduced, before any shuffle, to
 and window, and meet the open windows of the buckets that the trigger's devices are in. Buckets with nothing new are
 read only when a window in them falls due by arrival; a device that is quiet for longer leaves no state at all. State is
 read as it was before the trigger, so a replay writes the same.
+
+A trigger costs several jobs however few its rows are, so one trigger may take the rows of many small ones: its messages
+then carry the number of their step, and what is late is told from the clocks before the step, not before the trigger.
+Alerts and state are those of a trigger for each step.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import operator
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import fields
@@ -26,6 +33,7 @@ from fleetpulse.streaming.sinks import BatchWriter
 from fleetpulse.streaming.tables import KeyedTable, PartedFiles, bucketed_files
 
 KEYS = ["deviceId", "partitionId"]
+_STEP = "__step"
 
 
 def _latest(rows: DataFrame) -> DataFrame:
@@ -86,6 +94,7 @@ def hot_windows_in_device_time(
     idle: dt.timedelta = LATE_AFTER,
     throttle_seconds: int | None = None,
     quarantine: BatchWriter | None = None,
+    step: str | None = None,
 ) -> BatchWriter:
     """hot_windows per device, delivery and partition on a stream of telemetry, closed by each device's own clock.
 
@@ -94,7 +103,8 @@ def hot_windows_in_device_time(
     the first alert per device, partition and bucket of that length goes there: a device's windows close in order, so it
     goes out in the trigger that closes its window, and the bucket is remembered with the device's clock.
     `quarantine` gets the other messages, with the column reason: late (their window was closed before the trigger) or
-    untimed.
+    untimed. step names a column of ascending numbers, never missing: what is said here of triggers then holds of the rows
+    of each number.
     """
     after, quiet = lateness.total_seconds(), idle.total_seconds()
     end = F.col("windowStart") + _interval(window_seconds)
@@ -108,7 +118,8 @@ def hot_windows_in_device_time(
         spark = batch.sparkSession
         batch.persist()
         try:
-            timed, untimed = split_untimed(batch)
+            columns = [c for c in batch.columns if c != step]
+            timed, untimed = split_untimed(batch.withColumn(_STEP, F.lit(0) if step is None else F.col(step)))
             manifest = state.manifest(spark, batch_id)
             newest = timed.agg(F.unix_micros(F.max("enqueuedUtcTime"))).first()[0]
             arrived_before = manifest.mark
@@ -119,30 +130,33 @@ def hot_windows_in_device_time(
                 fallen = [part for part, due in manifest.due.items() if due <= arrived]
                 touched = sorted({*state.touched(timed), *fallen})
                 held = state.rows(spark, manifest, touched)
-            floor = None if arrived_before is None else arrived_before - round(quiet * 1e6)
             clocks = held.where(F.col("windowStart").isNull()).select(*KEYS, F.col("lastOccurred").alias("clock"), "alertedUntil")
-            # A window that ends by then was closed before this trigger.
-            before = F.greatest(F.col("clock") - _interval(after), _time(floor))
+            seen = timed.groupBy(*KEYS, _STEP).agg(
+                F.max("occurrenceUtcTime").alias("clock"), F.max("enqueuedUtcTime").alias("arrived")
+            )
+            clocks_before = _before_steps(seen, clocks, arrived_before)
+            # A window that ends by then was closed before this step.
+            before = F.greatest(F.col("clockBefore") - _interval(after), F.col("arrivedBefore") - _interval(quiet))
             start = fields.bin_of(F.col("occurrenceUtcTime"), window_seconds) * window_seconds
             placed, late = timed.withColumn("windowStart", F.timestamp_seconds(start)), F.coalesce(end <= before, F.lit(False))
             if quarantine is not None:
-                given = _same_device(placed, clocks).filter(late).select(*batch.columns, F.lit("late").alias("reason"))
-                quarantine(given.unionByName(untimed.withColumn("reason", F.lit("untimed"))), batch_id)
+                given = _same_device(placed, clocks_before, _STEP).filter(late).select(*columns, F.lit("late").alias("reason"))
+                quarantine(given.unionByName(untimed.select(*columns, F.lit("untimed").alias("reason"))), batch_id)
             if not touched:
                 alerts(_alerts(spark.createDataFrame([], DEVICE_WINDOW), end, threshold), batch_id)
                 state.replace(held, batch_id, [], mark=arrived)
                 return
-            # All messages of a window are late or none, so they are reduced before they meet their device's clock.
-            partial = placed.filter(F.col("sensorType") == fields.STATE_SENSOR).groupBy(*cell).agg(
+            # All messages of a window and step are late or none, so they are reduced before they meet their device's clock.
+            partial = placed.filter(F.col("sensorType") == fields.STATE_SENSOR).groupBy(*cell, _STEP).agg(
                 F.count("temperature").alias("count"), F.sum("temperature").alias("total"),
                 F.max("enqueuedUtcTime").alias("lastEnqueued"), F.max("occurrenceUtcTime").alias("lastOccurred"),
                 F.max("processedUtcTime").alias("lastProcessed"),
             )
-            in_time = _same_device(partial, clocks).filter(~late).select(*partial.columns)
-            old = held.where(F.col("windowStart").isNotNull()).select(*partial.columns)
+            in_time = _same_device(partial, clocks_before, _STEP).filter(~late).select(*cell, *sums)
+            old = held.where(F.col("windowStart").isNotNull()).select(*cell, *sums)
             windows = old.unionByName(in_time).groupBy(*cell).agg(*[f.alias(n) for n, f in sums.items()])
             moved = clocks.select(*KEYS, "clock", "alertedUntil").unionByName(
-                timed.groupBy(*KEYS).agg(F.max("occurrenceUtcTime").alias("clock")), allowMissingColumns=True
+                seen.groupBy(*KEYS).agg(F.max("clock").alias("clock")), allowMissingColumns=True
             )
             clocks_now = moved.groupBy(*KEYS).agg(F.max("clock").alias("clock"), F.max("alertedUntil").alias("alertedUntil"))
             now = F.greatest(F.col("clock") - _interval(after), _time(arrived - round(quiet * 1e6)))
@@ -183,11 +197,30 @@ def _time(micros: int | None) -> Column:
     return F.timestamp_micros(F.lit(micros).cast("bigint"))
 
 
-def _same_device(rows: DataFrame, others: DataFrame) -> DataFrame:
-    """A left join on device and partition, where a missing one is a device too."""
-    renamed = others.select(*[F.col(k).alias(f"__{k}") for k in KEYS], *[c for c in others.columns if c not in KEYS])
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in KEYS]
-    return rows.join(renamed, same[0] & same[1], "left").drop(*[f"__{k}" for k in KEYS])
+def _before_steps(seen: DataFrame, clocks: DataFrame, arrived_before: int | None) -> DataFrame:
+    """(device, partition, step, clockBefore, arrivedBefore) of the devices in each step: a device's clock, and the latest
+    arrival of all, before it. seen: their latest times in each step; clocks: before the first."""
+    marks = seen.select(*KEYS, _STEP, "clock").unionByName(
+        clocks.select(*KEYS, F.lit(None).cast(seen.schema[_STEP].dataType).alias(_STEP), "clock")
+    )
+    # A missing step sorts first: the clock that the trigger starts from.
+    earlier = W.partitionBy(*KEYS).orderBy(_STEP).rowsBetween(W.unboundedPreceding, -1)
+    told = marks.withColumn("clockBefore", F.max("clock").over(earlier)).filter(F.col(_STEP).isNotNull()).drop("clock")
+    # One row for each step.
+    steps = seen.groupBy(_STEP).agg(F.max("arrived").alias("arrived"))
+    earlier_steps = W.orderBy(_STEP).rowsBetween(W.unboundedPreceding, -1)
+    arrivals = steps.select(
+        F.col(_STEP).alias("__of"), F.greatest(F.max("arrived").over(earlier_steps), _time(arrived_before)).alias("arrivedBefore")
+    )
+    return told.join(arrivals, F.col(_STEP) == F.col("__of")).drop("__of")
+
+
+def _same_device(rows: DataFrame, others: DataFrame, *also: str) -> DataFrame:
+    """A left join on device and partition, and on other columns, where a missing one is a device too."""
+    keys = [*KEYS, *also]
+    renamed = others.select(*[F.col(k).alias(f"__of_{k}") for k in keys], *[c for c in others.columns if c not in keys])
+    same = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
+    return rows.join(renamed, same, "left").drop(*[f"__of_{k}" for k in keys])
 
 
 def _alerts(windows: DataFrame, end: Column, threshold: float, *more: str) -> DataFrame:

@@ -670,3 +670,34 @@ def test_a_larger_table_has_no_more_triggers(spark, sf_dir, monkeypatch):
     # A stream that counts its triggers keeps them.
     folder, together = staging.staged_stream(spark, sf_dir, rows_per_trigger=-(-total // 20), triggers=None)
     assert together == 1 and len(files(folder)) == 22
+
+
+def test_steps_of_one_trigger_equal_triggers(spark, tmp_path):
+    rows = sorted(random_rows(300, seed=5), key=lambda r: (r["enqueuedUtcTime"], r["sequenceNumber"]))
+    # One device is half an hour behind, another falls silent, and some messages have no time.
+    for n, row in enumerate(rows):
+        if row["deviceId"] == "d1":
+            row["occurrenceUtcTime"] -= dt.timedelta(minutes=30 * (n % 2))
+        if row["deviceId"] == "d2" and n > 100 or n % 50 == 7:
+            row["occurrenceUtcTime"] = None
+    steps = [rows[n : n + 25] for n in range(0, 300, 25)] + [[sentinel(1, START + dt.timedelta(days=1))]]
+    options = {"throttle_seconds": 300, "threshold": 74.0}
+    seen, aside, _ = device_time_run(spark, tmp_path / "single", steps, **options)
+
+    state = device_time.window_state(str(tmp_path / "state"), buckets=4)
+    out, late = str(tmp_path / "out"), str(tmp_path / "late")
+    write = device_time.hot_windows_in_device_time(
+        sinks.table_append(out), state, quarantine=sinks.table_append(late), step="step", **options
+    )
+    for batch_id, first in enumerate(range(0, len(steps), 5)):
+        parts = [telemetry(spark, s).withColumn("step", F.lit(first + n)) for n, s in enumerate(steps[first : first + 5])]
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.unionByName(part)
+        write(whole, batch_id)
+    written = spark.read.parquet(f"{out}/batch_id=*").collect()
+    got = sorted((r.deviceid, r.eventTime, round(r.avgtemperature, 6)) for r in written)
+    assert got == sorted(row for trigger in seen for row in trigger) and len(got) > 10
+    moved = sorted((r.sequenceNumber, r.reason) for r in spark.read.parquet(f"{late}/batch_id=*").collect())
+    assert moved == sorted((r.sequenceNumber, r.reason) for r in aside)
+    assert {reason for _, reason in moved} == {"late", "untimed"}

@@ -33,7 +33,7 @@ BOX = (-123.0, 47.5, -122.0, 48.5)
 POLYGON = "POLYGON((-124.5 47.25,-122.75 49.75,-121.5 48.5,-122.25 46.5,-124.5 47.25))"
 # Of the keyed tables that streams keep.
 BUCKETS = 8
-# Messages per trigger of the streams whose results depend on where triggers begin.
+# Messages per step of the streams whose results depend on where triggers begin.
 DEVICE_TIME_ROWS = 2_500
 FENCES = {
     "north": POLYGON,
@@ -777,16 +777,20 @@ def substream_time(spark, sf_dir):
 
 
 def device_time_alerts(spark, sf_dir, purpose, **options):
-    """Hot windows closed by each device's own clock, over messages in order of arrival."""
+    """Hot windows closed by each device's own clock, over messages in order of arrival, DEVICE_TIME_ROWS a step."""
     schema = hot.hot_windows_180(spark.createDataFrame([], TELEMETRY)).select("eventTime", *ALERT_COLUMNS).schema
 
     def writer(source, out):
         write = device_time.hot_windows_in_device_time(
-            sinks.table_append(out), device_time.window_state(f"{out}-state", buckets=BUCKETS), **options
+            sinks.table_append(out), device_time.window_state(f"{out}-state", buckets=BUCKETS), step="step", **options
         )
-        return queries.to_batches(decode.decode_telemetry(source), sinks.with_retries(write))
+        step = fields.whole(F.col("place"), DEVICE_TIME_ROWS).alias("step")
+        rows = decode.decode_telemetry(source, also=[step])
+        return queries.to_batches(rows, sinks.with_retries(write))
 
-    out = run(spark, sf_dir, purpose, writer, order="arrival", rows_per_trigger=DEVICE_TIME_ROWS)
+    out = run(
+        spark, sf_dir, purpose, writer, order="arrival", rows_per_trigger=DEVICE_TIME_ROWS, more="place long"
+    )
     return shown(without_sentinel(sinks.read_appended(spark, out, schema)), *STREAM_ALERT_COLUMNS)
 
 
@@ -829,7 +833,7 @@ def pipeline_metrics(spark, sf_dir):
     source_session.streams.addListener(reporter)
     try:
         out = staging.scratch(spark, "metered")
-        source = staging.stream(spark, source_session, sf_dir, rows_per_trigger=DEVICE_TIME_ROWS)
+        source = staging.stream(spark, source_session, sf_dir, rows_per_trigger=DEVICE_TIME_ROWS, triggers=None)
         rows = decode.decode_telemetry(source).select("sequenceNumber", "deviceId")
         queries.start(
             appended(rows, out), f"{out}-checkpoint", name="metered", available_now=True
