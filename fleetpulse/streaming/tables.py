@@ -28,15 +28,16 @@ NO_DAY = "none"
 
 @dataclass
 class Manifest:
-    """The versions of each part that has rows, when a part next has to be read (if its writer says so), and a number that
-    the writer keeps with the table."""
+    """The versions of each part that has rows, when a part next has to be read (if its writer says so), a number that the
+    writer keeps with the table, and how many rows each version was given, where rows are added."""
 
     versions: dict[str, list[int]] = field(default_factory=dict)
     due: dict[str, int] = field(default_factory=dict)
     mark: int | None = None
+    given: dict[str, list[int]] = field(default_factory=dict)
 
     def to_json(self) -> str:
-        return json.dumps({"versions": self.versions, "due": self.due, "mark": self.mark})
+        return json.dumps({"versions": self.versions, "due": self.due, "mark": self.mark, "given": self.given})
 
     @classmethod
     def from_json(cls, text: str) -> Manifest:
@@ -95,21 +96,34 @@ class PartedFiles:
         expired: Callable[[str], bool] = lambda part: False,
     ) -> None:
         """Adds rows, a version to each part they touch, and commits. A touched part that already has compact_after
-        versions is rewritten as one, with `compact` applied. Expired parts leave the table and their files go."""
+        versions has its newest ones rewritten as one with the new rows, with `compact` applied: those that are not far
+        larger than what they are joined with, all of them if none is. So a row is rewritten only when its version grows
+        by half or more, however many micro-batches add to its part. Expired parts leave the table and their files go."""
         spark, store = rows.sparkSession, Store(rows.sparkSession)
         before = self.manifest(spark, batch_id)
-        touched = [p for p in self.touched(rows) if not expired(p)]
-        full = [p for p in touched if len(before.versions.get(p, ())) >= compact_after]
-        new = rows.filter(self.part().isin(touched)) if touched else rows.limit(0)
+        counts = rows.groupBy(self.part().alias(_PART)).count().collect()
+        touched = {r[_PART]: r["count"] for r in sorted(counts) if not expired(r[_PART])}
+        given = {p: before.given.get(p, [0] * len(vs)) for p, vs in before.versions.items()}
+        kept = {p: len(given.get(p, ())) for p in touched}
+        for p in [p for p, n in kept.items() if n >= compact_after]:
+            joined = touched[p]
+            while kept[p] and given[p][kept[p] - 1] <= 2 * joined:
+                kept[p] -= 1
+                joined += given[p][kept[p]]
+        full = [p for p, n in kept.items() if n < len(given.get(p, ()))]
+        new = rows.filter(self.part().isin(list(touched))) if touched else rows.limit(0)
         if full:
             names = self.schema.fieldNames()
-            merged = self.rows(spark, before, full).unionByName(new.filter(self.part().isin(full)).select(*names))
+            newest = Manifest({p: before.versions[p][kept[p]:] for p in full})
+            merged = self.rows(spark, newest, full).unionByName(new.filter(self.part().isin(full)).select(*names))
             new = new.filter(~self.part().isin(full)).select(*names).unionByName(compact(merged).select(*names))
-        written = self._write(new, batch_id, touched, store)
+        written = self._write(new, batch_id, list(touched), store)
         versions = {p: v for p, v in before.versions.items() if not expired(p)}
+        given = {p: given[p] for p in versions}
         for p in written:
-            versions[p] = [batch_id] if p in full else [*versions.get(p, ()), batch_id]
-        self._commit(store, batch_id, Manifest(versions, {}, before.mark))
+            versions[p] = [*versions.get(p, ())[: kept[p]], batch_id]
+            given[p] = [*given.get(p, ())[: kept[p]], touched[p] + sum(given.get(p, ())[kept[p]:])]
+        self._commit(store, batch_id, Manifest(versions, {}, before.mark, given))
 
     def _write(self, rows: DataFrame, batch_id: int, touched: Sequence[str], store: Store) -> list[str]:
         """Parts that got files."""

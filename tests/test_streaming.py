@@ -701,3 +701,18 @@ def test_steps_of_one_trigger_equal_triggers(spark, tmp_path):
     moved = sorted((r.sequenceNumber, r.reason) for r in spark.read.parquet(f"{late}/batch_id=*").collect())
     assert moved == sorted((r.sequenceNumber, r.reason) for r in aside)
     assert {reason for _, reason in moved} == {"late", "untimed"}
+
+
+def test_a_small_append_does_not_rewrite_a_large_version(spark, tmp_path):
+    history = tables.DailyHistory(str(tmp_path), compact_after=2)
+
+    def seen(first, count):
+        time = dt.datetime(2024, 1, 1, 12)
+        return spark.createDataFrame([(f"d{n}", time, 1.0, 2.0, n) for n in range(first, first + count)], POSITION)
+
+    history.write(seen(0, 500), 0)
+    for n in range(1, 9):
+        history.write(seen(500 + n, 1), n)
+    versions = history.files.manifest(spark).versions["2024-01-01"]
+    assert versions[0] == 0 and len(versions) <= 5
+    assert history.read(spark).count() == 508
