@@ -654,24 +654,6 @@ def test_telemetry_has_the_declared_schema(spark):
     assert [(f.name, f.dataType) for f in decoded.schema] == [(f.name, f.dataType) for f in TELEMETRY]
 
 
-def test_a_larger_table_has_no_more_triggers(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr(staging, "_done", {})
-    total = messages(spark, sf_dir).count()
-
-    def files(folder):
-        return [sorted(r[0] for r in spark.read.parquet(f"{folder}/{n}").select("place").collect())
-                for n in sorted(Store(spark).names(folder), key=lambda n: int(n.rpartition("=")[2])) if n.startswith("file=")]
-
-    folder, together = staging.staged_stream(spark, sf_dir, rows_per_trigger=-(-total // 40))
-    staged = files(folder)
-    assert together == 3 and len(staged) == staging.TRIGGERS * together + 2
-    assert [place for file in staged[:-2] for place in file] == list(range(total))
-    assert max(map(len, staged[:-2])) - min(map(len, staged[:-2])) <= 1
-    # A stream that counts its triggers keeps them.
-    folder, together = staging.staged_stream(spark, sf_dir, rows_per_trigger=-(-total // 20), triggers=None)
-    assert together == 1 and len(files(folder)) == 22
-
-
 def test_steps_of_one_trigger_equal_triggers(spark, tmp_path):
     rows = sorted(random_rows(300, seed=5), key=lambda r: (r["enqueuedUtcTime"], r["sequenceNumber"]))
     # One device is half an hour behind, another falls silent, and some messages have no time.
@@ -716,3 +698,32 @@ def test_a_small_append_does_not_rewrite_a_large_version(spark, tmp_path):
     versions = history.files.manifest(spark).versions["2024-01-01"]
     assert versions[0] == 0 and len(versions) <= 5
     assert history.read(spark).count() == 508
+
+
+def test_a_larger_table_has_no_more_triggers(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(staging, "_done", {})
+    total = messages(spark, sf_dir).count()
+
+    def files(folder):
+        return [sorted(r[0] for r in spark.read.parquet(f"{folder}/{n}").select("place").collect())
+                for n in sorted(Store(spark).names(folder), key=lambda n: int(n.rpartition("=")[2])) if n.startswith("file=")]
+
+    folder, together = staging.staged_stream(spark, sf_dir, rows_per_trigger=-(-total // 40))
+    staged = files(folder)
+    assert together == 3 and len(staged) == staging.TRIGGERS * together + 2
+    assert [place for file in staged[:-2] for place in file] == list(range(total))
+    assert max(map(len, staged[:-2])) - min(map(len, staged[:-2])) <= 1
+    # A stream that counts its triggers keeps them.
+    folder, together = staging.staged_stream(spark, sf_dir, rows_per_trigger=-(-total // 20), triggers=None)
+    assert together == 1 and len(files(folder)) == 22
+
+
+def test_capture_writers_have_a_fixed_number_of_envelopes(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(staging, "_done", {})
+    monkeypatch.setattr(staging, "CAPTURED_PER_TASK", 200, raising=False)
+    folder = staging.staged_capture(spark, sf_dir)
+    files = spark.read.option("recursiveFileLookup", True).parquet(folder).select(F.col("_metadata.file_name").alias("at"))
+    # part-<task>-...: one name per task and folder.
+    tasks = files.groupBy(F.substring("at", 1, 10).alias("task")).count().collect()
+    total = messages(spark, sf_dir).count()
+    assert sum(r["count"] for r in tasks) == total and len(tasks) >= total // 200 and max(r["count"] for r in tasks) < 400

@@ -28,6 +28,9 @@ _SENTINEL_PLACE = 1 << 60
 ROWS_PER_TRIGGER = 25_000
 # A larger table is read in as many triggers as this, of several files each, until a trigger has the most rows it may have.
 TRIGGERS, FILES_PER_TRIGGER, MOST_ROWS_PER_TRIGGER = 16, 24, 2_000_000
+# Envelopes that a task writes to the capture.
+CAPTURED_PER_TASK = 250_000
+
 _done: dict[tuple, object] = {}
 
 
@@ -138,7 +141,10 @@ def staged_capture(spark: SparkSession, sf_dir: str) -> str:
     def make() -> str:
         folder = scratch(spark, "capture")
         number, partition = F.col("sequenceNumber").cast("string"), F.col("partition").cast("string")
-        messages(spark, sf_dir).select(
+        # A writer of folders sorts the envelopes of its task, bodies and all, and so has a fixed number of them; few events
+        # are left in the tasks that read them.
+        tasks = -(-telemetry(spark, sf_dir).count() // CAPTURED_PER_TASK)
+        messages(spark, sf_dir, tasks=tasks if tasks > 1 else None).select(
             F.date_format("enqueuedTime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("EnqueuedTimeUtc"),
             F.col("properties").alias("Properties"),
             F.create_map(F.lit("partitionId"), partition, F.lit("sequenceNumber"), number).alias("SystemProperties"),

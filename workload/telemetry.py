@@ -71,8 +71,8 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*TELEMETRY.fieldNames())
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same telemetry as hub messages with a JSON body."""
+def messages(spark: SparkSession, sf_dir: str, *, tasks: int | None = None) -> DataFrame:
+    """The same telemetry as hub messages with a JSON body, built in as many tasks as given or as read the events."""
     body = F.to_json(
         F.struct(
             F.date_format("occ", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("occurrenceUtcTime"),
@@ -86,8 +86,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("flight_status").cast("int").alias("flightStatus"),
         )
     )
+    rows = _rows(spark, sf_dir) if tasks is None else _rows(spark, sf_dir).repartition(tasks, "event_id")
     # Through a generator, so that filters on the body do not build it a second time.
-    return _rows(spark, sf_dir).select(
+    return rows.select(
         F.explode(F.array(F.encode(body, "utf-8"))).alias("body"),
         F.col("enq").alias("enqueuedTime"),
         F.col("partition_id").alias("partition"),
