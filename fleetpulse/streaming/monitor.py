@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 import logging
+import time
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
 from fleetpulse.schemas import PIPELINE_METRIC
+from fleetpulse.streaming.sinks import BatchWriter
 
 log = logging.getLogger(__name__)
 
@@ -17,19 +19,22 @@ Metric = dict[str, float]
 
 
 class ProgressReporter(StreamingQueryListener):
-    """Hands one metric record per trigger to `ship`, as a dict. A failing `ship` is logged and never stops a stream."""
+    """Hands one metric record per trigger to `ship`, as a dict. A failing `ship` is logged and never stops a stream.
+    query_name: of the queries to report on, one or several; all if not given."""
 
-    def __init__(self, ship: Callable[[Metric], None], *, query_name: str | None = None):
+    def __init__(self, ship: Callable[[Metric], None], *, query_name: str | Iterable[str] | None = None):
         super().__init__()
         self._ship = ship
-        self._query_name = query_name
+        #: Triggers begun by the writers that `paced` holds back, and those reported.
+        self.begun = self.reported = 0
+        self._query_names = {query_name} if isinstance(query_name, str) else None if query_name is None else set(query_name)
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         progress = event.progress
-        if self._query_name is not None and progress.name != self._query_name:
+        if self._query_names is not None and progress.name not in self._query_names:
             return
         try:
             self._ship(
@@ -42,6 +47,8 @@ class ProgressReporter(StreamingQueryListener):
             )
         except Exception:
             log.exception("could not ship stream metrics")
+        finally:
+            self.reported += 1
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -50,6 +57,21 @@ class ProgressReporter(StreamingQueryListener):
         pass
 
 
+def paced(write: BatchWriter, reporter: ProgressReporter, *, behind: int = 64, wait_seconds: float = 60.0) -> BatchWriter:
+    """A writer that waits while its reporter is many triggers behind: Spark drops the events that a slow listener leaves
+    in its queue, and records with them, when streams side by side have more triggers than it can take. It waits for a
+    limited time, so that an event that never comes stops no stream."""
+
+    def waiting(batch: DataFrame, batch_id: int) -> None:
+        reporter.begun += 1
+        until = time.monotonic() + wait_seconds
+        while reporter.begun - reporter.reported > behind and time.monotonic() < until:
+            time.sleep(0.02)
+        write(batch, batch_id)
+
+    return waiting
+
+
 def settle(spark: SparkSession, *, timeout_ms: int = 10_000) -> None:
     """Waits until listeners have seen all progress so far."""
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(timeout_ms)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 from pathlib import Path
 
 import pytest
@@ -728,3 +729,42 @@ def test_capture_writers_have_a_fixed_number_of_envelopes(spark, sf_dir, monkeyp
     tasks = files.groupBy(F.substring("at", 1, 10).alias("task")).count().collect()
     total = messages(spark, sf_dir).count()
     assert sum(r["count"] for r in tasks) == total and len(tasks) >= total // 200 and max(r["count"] for r in tasks) < 400
+
+
+def test_small_triggers_are_dealt_over_streams(spark, sf_dir, monkeypatch, tmp_path):
+    monkeypatch.setattr(staging, "_done", {})
+    total = messages(spark, sf_dir).count()
+    session, seen = streaming_session(spark), []
+    reporter = monitor.ProgressReporter(lambda metric: None, query_name=["side-0", "side-1"])
+    session.streams.addListener(reporter)
+    try:
+        # Two files of messages and two of a sentinel.
+        dealt = staging.streams(spark, session, sf_dir, rows_per_trigger=-(-total // 2), triggers=None)
+        assert len(dealt) == 4
+        for n, source in enumerate(dealt):
+            numbers = monitor.paced(lambda batch, _: seen.append(batch.select("sequenceNumber").collect()), reporter, behind=4)
+            writer = queries.to_batches(source.select("sequenceNumber"), numbers)
+            queries.start(writer, str(tmp_path / f"side-{n}"), name=f"side-{n}", available_now=True).awaitTermination()
+        monitor.settle(spark)
+    finally:
+        session.streams.removeListener(reporter)
+    assert [len(batch) for batch in seen] == [-(-total // 2), total // 2, 1, 1]
+    assert len({r.sequenceNumber for batch in seen[:2] for r in batch}) == total
+    # Of the two that are named.
+    assert reporter.begun == 4 and reporter.reported >= 2
+
+
+def test_a_writer_waits_for_its_reporter(spark):
+    reporter, done = monitor.ProgressReporter(lambda metric: None), []
+    write = monitor.paced(lambda batch, batch_id: done.append(batch_id), reporter, behind=1, wait_seconds=30)
+    write(None, 0)
+    late = threading.Thread(target=write, args=(None, 1))
+    late.start()
+    late.join(0.5)
+    assert done == [0]
+    reporter.reported += 1
+    late.join(10)
+    assert done == [0, 1]
+    # An event that never comes does not stop a stream.
+    monitor.paced(lambda batch, batch_id: done.append(batch_id), reporter, behind=0, wait_seconds=0.1)(None, 2)
+    assert done == [0, 1, 2]

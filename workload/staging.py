@@ -128,6 +128,15 @@ def stream(
     return message_stream(streaming, f"{folder}/file=*", files_per_trigger=files, more=more)
 
 
+def streams(spark: SparkSession, streaming: SparkSession, sf_dir: str, **staged) -> list[DataFrame]:
+    """The staged messages dealt over up to ten streams, by the last digit of their files' numbers; each reads a file at a
+    time, in order. For triggers that are too small to fill the cluster one after the other."""
+    folder, files = staged_stream(spark, sf_dir, **staged)
+    assert files == 1
+    digits = sorted({name[-1] for name in Store(spark).names(folder) if name.startswith("file=")})
+    return [message_stream(streaming, f"{folder}/file=*{digit}", files_per_trigger=1) for digit in digits]
+
+
 def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     """The frame as a written table, for an operator that reads its input twice."""
     folder = scratch(spark, purpose)
