@@ -768,3 +768,20 @@ def test_a_writer_waits_for_its_reporter(spark):
     # An event that never comes does not stop a stream.
     monitor.paced(lambda batch, batch_id: done.append(batch_id), reporter, behind=0, wait_seconds=0.1)(None, 2)
     assert done == [0, 1, 2]
+
+
+@pytest.mark.parametrize("order", ["occurrence", "arrival"])
+def test_staged_messages_are_built_after_they_are_dealt(spark, sf_dir, monkeypatch, order):
+    monkeypatch.setattr(staging, "_done", {})
+    numbered, place = [], staging.position_in_order
+    monkeypatch.setattr(staging, "position_in_order", lambda df, **named: numbered.append(df.columns) or place(df, **named))
+    folder, _ = staging.staged_stream(spark, sf_dir, order=order)
+    # Numbering reads its rows several times.
+    assert len(numbered) == 1 and "body" not in numbered[0]
+    names = ["body", "enqueuedTime", "partition", "sequenceNumber"]
+    staged = spark.read.parquet(f"{folder}/file=*").filter("sequenceNumber >= 0")
+    sent = messages(spark, sf_dir)
+    assert sorted(staged.select(*names).collect()) == sorted(sent.select(*names).collect())
+    at = F.col("enqueuedTime") if order == "arrival" else F.get_json_object(F.col("body").cast("string"), "$.occurrenceUtcTime")
+    in_place = [r.sequenceNumber for r in staged.orderBy("place").collect()]
+    assert in_place == [r.sequenceNumber for r in sent.orderBy(at, "sequenceNumber").collect()]

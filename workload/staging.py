@@ -18,7 +18,7 @@ from fleetpulse.schemas import HUB_MESSAGE
 from fleetpulse.session import shared_dir
 from fleetpulse.sources.files import Store
 from fleetpulse.sources.messages import message_stream
-from workload.telemetry import messages, telemetry
+from workload.telemetry import as_messages, messages, rows_to_send, telemetry
 
 SENTINEL_DEVICE = "zz"
 _SENTINELS = ("2024-01-02T00:00:00.000000Z", "2024-01-02T12:00:00.000000Z")
@@ -75,12 +75,6 @@ def staged_stream(
 
     def make() -> tuple[str, int]:
         folder = scratch(spark, f"messages-by-{order}")
-        source = messages(spark, sf_dir)
-        if order == "occurrence":
-            occurred = F.get_json_object(F.col("body").cast("string"), "$.occurrenceUtcTime")
-            at = F.try_to_timestamp(occurred)
-        else:
-            at = F.col("enqueuedTime")
         rows = telemetry(spark, sf_dir).count()
         count, together = -(-rows // rows_per_trigger), 1
         place = F.col("place")
@@ -91,11 +85,12 @@ def staged_stream(
             # Files of equal size that fill whole triggers, so that the sentinel has a trigger of its own.
             count = max(triggers, -(-rows // most)) * together
             file = fields.whole(place * count, rows)
-        placed = position_in_order(
-            source.withColumn("at", at), name="place", keys=[], order=["at", "sequenceNumber"]
-        )
-        dealt = placed.select(*HUB_MESSAGE.fieldNames(), "place", file.cast("int").alias("file"))
-        dealt.repartitionById(max(count, 1), F.col("file")).write.partitionBy("file").parquet(folder)
+        # Messages are built once, where they are written: numbering reads its rows several times, and deals them.
+        at = "occ" if order == "occurrence" else "enq"
+        placed = position_in_order(rows_to_send(spark, sf_dir), name="place", keys=[], order=[at, "event_id"])
+        dealt = placed.withColumn("file", file.cast("int")).repartitionById(max(count, 1), F.col("file"))
+        sent = as_messages(dealt, "place", "file")
+        sent.select(*HUB_MESSAGE.fieldNames(), "place", "file").write.partitionBy("file").parquet(folder)
         for n, occurred in enumerate(_SENTINELS, count):
             last = _sentinel(spark, occurred).withColumn("place", F.lit(_SENTINEL_PLACE + n).cast("bigint"))
             last.coalesce(1).write.parquet(f"{folder}/file={n}")

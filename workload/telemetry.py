@@ -25,9 +25,9 @@ _POSITION = """
                    '|', event_id % 400, '.', lpad(event_id % 100, 2, '0')) end"""
 
 
-def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Compressed times and field texts of every event. In a stretch of twenty minutes a fifth of the users send from a
-    spare device, so that their own is silent."""
+def rows_to_send(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compressed times (occ, enq) and field texts of every event. In a stretch of twenty minutes a fifth of the users send
+    from a spare device, so that their own is silent."""
     events = configure(spark).read.parquet(f"{sf_dir}/events.parquet")
     return (
         events.selectExpr(
@@ -54,7 +54,7 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded telemetry rows."""
-    return _rows(spark, sf_dir).select(
+    return rows_to_send(spark, sf_dir).select(
         F.col("event_id").alias("sequenceNumber"),
         F.col("partition_id").alias("partitionId"),
         F.col("device_id").alias("deviceId"),
@@ -73,6 +73,12 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str, *, tasks: int | None = None) -> DataFrame:
     """The same telemetry as hub messages with a JSON body, built in as many tasks as given or as read the events."""
+    rows = rows_to_send(spark, sf_dir)
+    return as_messages(rows if tasks is None else rows.repartition(tasks, "event_id"))
+
+
+def as_messages(rows: DataFrame, *also: str) -> DataFrame:
+    """Rows to send as hub messages, with other columns of theirs."""
     body = F.to_json(
         F.struct(
             F.date_format("occ", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("occurrenceUtcTime"),
@@ -86,7 +92,6 @@ def messages(spark: SparkSession, sf_dir: str, *, tasks: int | None = None) -> D
             F.col("flight_status").cast("int").alias("flightStatus"),
         )
     )
-    rows = _rows(spark, sf_dir) if tasks is None else _rows(spark, sf_dir).repartition(tasks, "event_id")
     # Through a generator, so that filters on the body do not build it a second time.
     return rows.select(
         F.explode(F.array(F.encode(body, "utf-8"))).alias("body"),
@@ -94,4 +99,5 @@ def messages(spark: SparkSession, sf_dir: str, *, tasks: int | None = None) -> D
         F.col("partition_id").alias("partition"),
         F.col("event_id").alias("sequenceNumber"),
         F.create_map(F.lit("kind"), F.col("sensor_type")).alias("properties"),
+        *also,
     )
