@@ -4,11 +4,23 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Entries of sparse rows that are worked on at once: what is computed of each takes memory for so many only.
+ENTRIES = 1 << 19
+
 
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def row_sums(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+    """Sum of value times weight over the entries of each row."""
+    out = np.zeros(n)
+    for a in range(0, len(rows), ENTRIES):
+        part = slice(a, a + ENTRIES)
+        np.add.at(out, rows[part], values[part] * weights[columns[part]])
+    return out
+
+
 def fit_logistic(
     rows: np.ndarray, columns: np.ndarray, values: np.ndarray, y: np.ndarray, size: int, l1=0.0, l2=1e-4, steps=150, rate=0.1
 ) -> tuple[np.ndarray, float]:
@@ -17,9 +29,9 @@ def fit_logistic(
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y <= 0).sum(), 1))
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
     for t in range(1, steps + 1):
-        z = np.bincount(rows, values * weights[columns], n) + bias
+        z = row_sums(rows, columns, values, weights, n) + bias
         g = share * (sigmoid(z) - y)
-        grad = np.bincount(columns, values * g[rows], size) + l2 * weights
+        grad = row_sums(columns, rows, values, g, size) + l2 * weights
         gb = g.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb**2

@@ -18,12 +18,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import hash_sample, ship_package, slices
-from fleetpulse.llm.linear import fit_logistic, fit_platt, sigmoid
+from fleetpulse.llm.linear import fit_logistic, fit_platt, row_sums, sigmoid
 from fleetpulse.llm.text import U64, Batch, occurrence, windows
 
 #: Labelled rows to fit on, at most; a third of them calibrates.
@@ -120,6 +121,21 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _part(found: pa.Table, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and value of each entry of the chosen rows."""
+    sizes, columns, values, start = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.float32)], 0
+    for rows in found.select(["columns", "values"]).to_batches():
+        size = pc.list_value_length(rows["columns"]).to_numpy()
+        use = chosen[start : start + len(size)]
+        entries = np.repeat(use, size)
+        sizes.append(size[use])
+        columns.append(rows["columns"].flatten().to_numpy()[entries])
+        values.append(rows["values"].flatten().to_numpy()[entries])
+        start += len(size)
+    size = np.concatenate(sizes)
+    return np.repeat(np.arange(len(size), dtype=np.int32), size), np.concatenate(columns), np.concatenate(values)
+
+
 def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model | None:
     """Fit on at most so many labelled rows; None without two classes."""
     ship_package(documents.sparkSession)
@@ -133,20 +149,18 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
     y = found["quality"].to_numpy().astype(float)
     if not (0 < y.sum() < len(y)):
         return None
-    columns, values = found["columns"].combine_chunks(), found["values"].combine_chunks()
-    size = np.diff(columns.offsets.to_numpy())
-    row = np.repeat(np.arange(len(y)), size)
-    column, value = columns.flatten().to_numpy(), values.flatten().to_numpy()
     fold = np.argsort(np.argsort(-y, kind="stable"), kind="stable") % 3  # both classes in each part
     held = fold == 2
     if not (0 < y[held].sum() < held.sum() and 0 < y[~held].sum() < (~held).sum()):
         held = np.zeros(len(y), bool)
-    fit = ~held[row]
-    place = np.cumsum(~held) - 1
-    weights, bias = fit_logistic(place[row[fit]], column[fit], value[fit], y[~held], 4 * SIZE, l2=1e-6, steps=100)
-    margin = np.bincount(row, value * weights[column], len(y)) + bias
+    # The sample is the most that the driver ever holds: each part of it is there once.
+    fitted, left_out = _part(found, ~held), _part(found, held)
+    del found
+    pa.default_memory_pool().release_unused()
+    weights, bias = fit_logistic(*fitted, y[~held], 4 * SIZE, l2=1e-6, steps=100)
     check = held if held.any() else ~held
-    slope, intercept = fit_platt(margin[check], y[check])
+    margin = row_sums(*(left_out if held.any() else fitted), weights, check.sum()) + bias
+    slope, intercept = fit_platt(margin, y[check])
     return Model(weights.astype(np.float32), bias, slope, intercept)
 
 

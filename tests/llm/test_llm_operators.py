@@ -621,6 +621,26 @@ def test_op8_skips_what_cannot_reach_the_best():
     assert shard.read + shard.skipped == 40 * n and shard.skipped > 0.3 * 40 * n
 
 
+def test_logistic_fit_holds_its_entries_once():
+    import tracemalloc
+
+    from fleetpulse.llm.linear import fit_logistic
+
+    draw = np.random.default_rng(2)
+    n, entries, size = 50, 4_000_000, 1000
+    rows, columns = np.sort(draw.integers(0, n, entries)).astype(np.int32), draw.integers(0, size, entries).astype(np.int32)
+    values, y = draw.random(entries, np.float32), np.arange(n) % 2.0
+    tracemalloc.start()
+    weights, bias = fit_logistic(rows, columns, values, y, size, steps=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * entries  # eight bytes for each entry would be a copy of them all
+    x = np.zeros((n, size))
+    np.add.at(x, (rows, columns), values)
+    plain = fit_logistic(*(a.ravel() for a in (np.repeat(np.arange(n), size), np.tile(np.arange(size), n))), x.ravel(), y, size, steps=2)
+    assert np.allclose(weights, plain[0]) and bias == pytest.approx(plain[1])
+
+
 def test_op9_counts_and_verdicts(spark, texts):
     rows = {r["doc_id"]: r for r in queries.op9_quality_rules(spark, SF).collect()}
     assert rows.keys() == texts.keys()
