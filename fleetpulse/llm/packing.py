@@ -32,19 +32,27 @@ CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker remembers, at most.
 REMEMBERED_WORDS = 300_000
+#: Words that are encoded at once, at most: what they need on the way stays small.
+ENCODED_TOGETHER = 4096
 #: Pieces in a hash shard of one length, about.
 SHARD_ROWS = 100_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 
 
+def _ranges(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Ranges of values, one after the other."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    return values[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Encoder:
     """Token ids of whole texts by a tokenizer file that treats white space as a separator and drops it.
 
     Such a tokenizer gives a text the ids of its words one after the other, so that each distinct word is encoded once
-    and remembered, by the 64-bit hash of its bytes. A word of plain letters, with or without full stops and commas
-    after it, goes to the tokenizer's model at once; its normalizer and splitter, whose outcome is known for such words,
-    take most of its time. All other words go through the whole tokenizer, and texts with one of its special strings
-    are encoded as they are.
+    and remembered, by the 64-bit hash of its bytes; when there are too many, those that came again stay. A word of plain
+    letters, with or without ASCII punctuation after it, goes to the tokenizer's model at once; its normalizer and
+    splitter, whose outcome is known for such words, take most of its time. All other words go through the whole
+    tokenizer, and texts with one of its special strings are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -63,8 +71,15 @@ class Encoder:
         plain = "".join(map(chr, self.spelling))
         upper = "".join(c.upper() for c in plain if len(c.upper()) == 1 and c.upper().lower() == c and c.upper() != c)
         upper = "".join(c for c in upper if self.tokenizer.normalizer.normalize_str(c) == c.lower())
-        self.plain = re.compile(f"([{plain}{upper}]+)([.,]*)") if plain else re.compile("(?!)")
-        self._forget()
+        # Punctuation that the splitter cuts off a word as one piece, whichever stand together, and spells as it is.
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        marks = [c for c in map(chr, range(33, 127)) if not c.isalnum() and self.tokenizer.normalizer.normalize_str(c) == c]
+        marks = [c for c in marks if plain and [x for x, _ in split(f"{plain[0]}{c}")] == [self.spelling[ord(plain[0])], c]]
+        marks = [c for c in marks if all([x for x, _ in split(pair)] == [pair] for d in marks for pair in (c + d, d + c))]
+        tail = f"[{re.escape(''.join(marks))}]*+" if marks else ""
+        # A word to a line: letters and the marks after them, or anything else.
+        self.plain = re.compile(f"^(?:([{plain}{upper}]++)({tail})|(.*))$" if plain else "^()()(.*)$", re.MULTILINE)
+        self._start()
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -76,55 +91,80 @@ class Encoder:
     def _packed(ids: list[int]) -> bytes:
         return array("I", ids).tobytes()
 
-    def _forget(self) -> None:
+    def _start(self) -> None:
         self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.starts, self.lengths = np.zeros(1, np.int64), np.ones(1, np.int32)
         self.pool = np.array([END_ID], np.uint32)  # place 0: the end id
-        self.parts: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, four bytes each."""
-        out: list = [None] * len(words)
-        odd = []
-        for i, word in enumerate(words):
-            match = self.plain.fullmatch(word)
-            if match is None:
-                odd.append(i)
-                continue
-            letters, tail = match.group(1).lower(), match.group(2)
-            ids = self.parts.get(letters)
-            if ids is None:
-                ids = self.parts[letters] = self._packed(self._model(letters.translate(self.spelling)))
-            if tail:
-                end = self.parts.get(tail)
-                if end is None:
-                    end = self.parts[tail] = self._packed(self._whole(tail))
-                ids = ids + end
-            out[i] = ids
-        if odd:
-            for i, found in zip(odd, self.tokenizer.encode_batch_fast([words[i] for i in odd], add_special_tokens=False)):
-                out[i] = self._packed(found.ids)
+        self.again = np.zeros(1, bool)  # of each place: the word came again
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _forget(self) -> None:
+        """Keep the words that came again since they were learnt or last kept, or none if those are most."""
+        keep = self.again[self.places]
+        if 2 * keep.sum() > REMEMBERED_WORDS:
+            return self._start()
+        hashes, places = self.hashes[keep], self.places[keep]
+        sizes = self.lengths[places]
+        ids = _ranges(self.pool, self.starts[places], sizes)
+        self._start()
+        self._learn(hashes, sizes, ids)
+
+    def _learn(self, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Add words, which are not yet known, in order of their hashes."""
+        places = (len(self.starts) + np.arange(len(hashes))).astype(np.int32)
+        at = np.searchsorted(self.hashes, hashes)
+        self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(sizes, dtype=np.int64) - sizes))
+        self.lengths = np.concatenate((self.lengths, sizes.astype(np.int32)))
+        self.pool = np.concatenate((self.pool, ids))
+        self.again = np.concatenate((self.again, np.zeros(len(hashes), bool)))
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.places = np.insert(self.places, at, places)
+
+    def _encode(self, lines: str) -> list[bytes]:
+        """The ids of each word, four bytes each; a word is a line."""
+        letters, tails, odd = zip(*self.plain.findall(lines))
+        letters = "\n".join(letters).lower().split("\n")
+        unknown = [w for w in dict.fromkeys(letters) if w not in self.parts]
+        for w, spelled in zip(unknown, "\n".join(unknown).translate(self.spelling).split("\n")):
+            self.parts[w] = self._packed(self._model(spelled))
+        for w in set(tails):
+            if w not in self.parts:
+                self.parts[w] = self._packed(self._whole(w))
+        parts = self.parts
+        out = [parts[w] + parts[tail] if tail else parts[w] for w, tail in zip(letters, tails)]
+        others = [i for i, w in enumerate(odd) if w]
+        for i, found in zip(others, self.tokenizer.encode_batch_fast([odd[i] for i in others], add_special_tokens=False)):
+            out[i] = self._packed(found.ids)
         return out
 
-    def _places(self, hashes: np.ndarray, word_of) -> np.ndarray:
-        """Where the ids of each word are, after words not yet known have been encoded; word_of gives one's text."""
-        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) + len(distinct) > REMEMBERED_WORDS:
-            self._forget()
-        at = np.searchsorted(self.hashes, distinct)
-        there = np.zeros(len(distinct), bool)
+    def _known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where hashes are, or would be, among the remembered ones, and whether they are."""
+        at = np.searchsorted(self.hashes, hashes)
+        there = np.zeros(len(hashes), bool)
         inside = at < len(self.hashes)
-        there[inside] = self.hashes[at[inside]] == distinct[inside]
+        there[inside] = self.hashes[at[inside]] == hashes[inside]
+        return at, there
+
+    def _places(self, batch: Batch) -> np.ndarray:
+        """Where the ids of each word of the batch are, after words not yet known have been encoded."""
+        distinct, first, inverse = np.unique(batch.word_hashes(), return_index=True, return_inverse=True)
+        at, there = self._known(distinct)
+        self.again[self.places[at[there]]] = True
+        if len(self.hashes) and len(self.hashes) + (~there).sum() > REMEMBERED_WORDS:
+            self._forget()
+            at, there = self._known(distinct)
         new = np.flatnonzero(~there)
         if len(new):
-            found = self._encode([word_of(i) for i in first[new]])
-            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-            places = (len(self.starts) + np.arange(len(new))).astype(np.int32)
-            self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(sizes) - sizes))
-            self.lengths = np.concatenate((self.lengths, sizes.astype(np.int32)))
-            self.pool = np.concatenate((self.pool, np.frombuffer(b"".join(found), np.uint32)))
-            self.hashes = np.insert(self.hashes, at[new], distinct[new])
-            self.places = np.insert(self.places, at[new], places)
+            data = np.append(batch.data, np.uint8(10))
+            sizes, ids = [], []
+            for some in np.array_split(first[new], -(-len(new) // ENCODED_TOGETHER)):
+                spans = batch.ends[some] - batch.starts[some] + 1
+                lines = _ranges(data, batch.starts[some], spans)  # each word and the byte after it
+                lines[np.cumsum(spans) - 1] = 10
+                found = self._encode(lines[:-1].tobytes().decode("utf-8"))
+                sizes.append(np.fromiter(map(len, found), np.int64, len(found)) // 4)
+                ids.append(np.frombuffer(b"".join(found), np.uint32))
+            self._learn(distinct[new], np.concatenate(sizes), np.concatenate(ids))
             at = np.searchsorted(self.hashes, distinct)
         return self.places[at][inverse]
 
@@ -132,13 +172,12 @@ class Encoder:
         """The ids of all texts, each with the end id after it, and the bounds of each text among them."""
         batch = Batch(texts)
         data = batch.data.tobytes()
-        places = self._places(batch.word_hashes(), lambda i: data[batch.starts[i] : batch.ends[i]].decode("utf-8"))
+        places = self._places(batch)
         places = np.insert(places, batch.word_bounds[1:], 0)
         bounds = batch.word_bounds + np.arange(batch.rows + 1)
         sizes = self.lengths[places].astype(np.int64)
-        ends = np.cumsum(sizes)
-        ids = self.pool[np.repeat(self.starts[places] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate(([0], ends))[bounds]
+        ids = _ranges(self.pool, self.starts[places], sizes)
+        bounds = np.concatenate(([0], np.cumsum(sizes)))[bounds]
         if any(s.encode() in data for s in self.special):
             each = [
                 np.array([*self._whole(t), END_ID], np.uint32) if any(s in t for s in self.special) else ids[bounds[i] : bounds[i + 1]]

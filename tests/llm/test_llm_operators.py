@@ -420,6 +420,35 @@ def test_op5_encoder_equals_the_tokenizer():
         assert ids[bounds[i] : bounds[i + 1]].tolist() == [*encoder._whole(text), packing.END_ID]
 
 
+def test_op5_encoder_learns_rare_words_once(monkeypatch):
+    import pyarrow as pa
+
+    encoder = packing.Encoder(packing.word_tokenizer())
+    asked, whole = [], []
+    model, batch = encoder._model, encoder.tokenizer.encode_batch_fast
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(tokenizer, name)
+
+        def encode_batch_fast(self, words, **options):
+            whole.extend(words)
+            return batch(words, **options)
+
+    tokenizer, encoder.tokenizer = encoder.tokenizer, Watched()
+    encoder._model = lambda spelled: asked.append(spelled) or model(spelled)
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 60)
+    # Words that come again stay when there are too many; marks after a word do not send it through the whole tokenizer.
+    draw = random.Random(5)
+    for _ in range(30):
+        once = ["".join(draw.choices("abcdefgh", k=9)) for _ in range(20)]
+        text = " ".join([*once, "staying", "Here###", "tail$$,.", "o'er", "tail$$,.", once[0] + "%"])
+        ids, bounds = encoder.texts(pa.array([text, None]))
+        assert ids[: bounds[1]].tolist() == [*encoder._whole(text), packing.END_ID] and bounds[2] == bounds[1] + 1
+    assert asked.count("staying") <= 2 and asked.count("here") <= 2
+    assert set(whole) == {"o'er"}
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_op5_assignment(seed):
     draw = random.Random(seed)
