@@ -9,8 +9,8 @@ A shard answers a block of queries as follows. Its documents lie in blocks. Term
 their postings. Terms in many of them have, for each block, the most that they add to any document in it; with what the
 rare terms add there, that bounds the block for a query. Groups of blocks are read in order of falling bounds, and only
 for the queries whose bound for them reaches their k-th best score so far, which rises from group to group; it begins
-with the documents that have the most from rare terms. Every shard returns its k best, and the best k of all shards are
-the result. Scores are rounded to nine decimals, ties go to the smaller id. This is the pruning of block-max WAND by block
+with the documents that have the most from rare terms, or with the k-th best of the shards that the task has answered
+before. Every shard returns those of its k best that reach this score, and the best k of all shards are the result. Scores are rounded to nine decimals, ties go to the smaller id. This is the pruning of block-max WAND by block
 instead of by document: there is no pivot, as the queries of a batch share the order in which they read.
 
 Queries are sent to the executors in blocks of bounded size (BLOCK_TERMS terms, or a single longer query), once for each
@@ -163,18 +163,28 @@ class Shard:
         self.starts = np.arange(0, self.n, BLOCK_DOCS)
         self.most = np.maximum.reduceat(self.dense, self.starts) if self.n else self.dense
 
-    def best(self, terms: np.ndarray, weights: np.ndarray, bounds: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each query (its range of terms) the scores and ids of its k best documents."""
+    def best(
+        self, terms: np.ndarray, weights: np.ndarray, bounds: np.ndarray, k: int, which: np.ndarray | None = None, least: np.ndarray | None = None
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query (its range of terms) the scores and ids of its k best documents.
+
+        which: the terms of the queries as places in `terms`. least: for each query a score that k documents elsewhere
+        reach, or -1; documents below it may be left out.
+        """
         at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
         there = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
         column = np.where(there, self.column[at], -1) if len(self.terms) else np.full(len(terms), -1)
+        if which is not None:
+            at, there, column = at[which], there[which], column[which]
+        least = np.full(len(bounds) - 1, -1.0) if least is None else least
         for first in range(0, len(bounds) - 1, TOGETHER):
             limits = bounds[first : first + TOGETHER + 1]
             part = slice(limits[0], limits[-1])
             query = np.repeat(np.arange(len(limits) - 1), np.diff(limits))
-            yield from self._some(query, len(limits) - 1, at[part], there[part], column[part], weights[part], k)
+            floor = least[first : first + TOGETHER].copy()
+            yield from self._some(query, len(limits) - 1, at[part], there[part], column[part], weights[part], k, floor)
 
-    def _some(self, query, number, at, there, column, weight, k) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def _some(self, query, number, at, there, column, weight, k, least) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         rare = there & (column < 0)
         scores = np.zeros((number, self.n))
         for q in range(number):
@@ -189,11 +199,10 @@ class Shard:
         # What a document of each block can reach at most, and a k-th best score to begin with: that of the k documents with
         # the most from rare terms.
         reach = np.maximum.reduceat(scores, self.starts, axis=1) + common @ self.most.T
-        least = np.full(number, -1.0)
-        if self.n > k:
+        if self.n > k and (least < 0).any():
             top = np.argpartition(-scores, k, axis=1)[:, :k]
             for q in range(number):
-                least[q] = (scores[q, top[q]] + self.dense[top[q]] @ common[q]).min()
+                least[q] = max(least[q], (scores[q, top[q]] + self.dense[top[q]] @ common[q]).min())
         groups = np.arange(0, len(self.starts), BLOCKS_TOGETHER)
         bound = np.maximum.reduceat(reach, groups, axis=1)
         best = np.full((number, k), -1.0)  # of the groups read so far
@@ -210,30 +219,37 @@ class Shard:
             seen = np.concatenate((best[some], scores[some, start:end]), axis=1)
             best[some] = np.partition(seen, seen.shape[1] - k, axis=1)[:, -k:]
             least[some] = np.maximum(least[some], best[some].min(1))
-        np.round(scores, 9, out=scores)
-        for q in range(number):
-            row = scores[q]
-            floor = np.partition(row, self.n - k)[self.n - k] if self.n > k else 0.0
-            left = np.flatnonzero((row >= floor) & (row > 0))
-            order = np.lexsort((self.ids[left], -row[left]))[:k]
-            yield row[left][order], self.ids[left][order]
+        # What is left out is below the k-th best; what was skipped has no score, and at a k-th best of zero nothing was.
+        row, doc = np.nonzero(scores >= least[:, None] - 1e-7)
+        score = np.round(scores[row, doc], 9)
+        limits = np.searchsorted(row, np.arange(number + 1))
+        for low, high in zip(limits[:-1], limits[1:]):
+            found, ids = score[low:high], self.ids[doc[low:high]]
+            order = np.lexsort((ids, -found))[:k]
+            order = order[found[order] > 0]
+            yield found[order], ids[order]
 
 
 def _answering(block: Broadcast, mean_length: float, k: int):
-    """The k best of each shard for each query of a block: query ids, the bounds of their terms, the terms and weights."""
+    """The k best of each shard for each query of a block: query ids, the bounds of their terms, all distinct terms,
+    which of these the queries have, and the weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit = pa.struct([("minus", pa.float64()), ("doc", pa.int64())])
-        ids, bounds, terms, weights = block.value
+        ids, bounds, terms, which, weights = block.value
+        best = np.full((len(ids), k), -1.0)  # scores in the shards of this task so far
         for rows in batches:
             for i in range(rows.num_rows):
                 value = lambda name: rows[name][i].values.to_numpy()
                 shard = Shard({c: value(c) for c in ("ids", "lengths", "terms", "counts", "docs", "freqs")}, mean_length)
                 scores, docs, sizes = [], [], []
-                for s, d in shard.best(terms, weights, bounds, k):
+                seen = np.concatenate((best, np.full((len(ids), k), -1.0)), axis=1)
+                for q, (s, d) in enumerate(shard.best(terms, weights, bounds, k, which, best.min(1))):
                     scores.append(-s)
                     docs.append(d)
                     sizes.append(len(s))
+                    seen[q, k : k + len(s)] = s
+                best = np.partition(seen, k, axis=1)[:, k:]
                 offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
                 found = pa.StructArray.from_arrays(
                     [pa.array(np.concatenate(scores)), pa.array(np.concatenate(docs))], fields=list(hit)
@@ -312,7 +328,8 @@ def _shipped_block(packed: DataFrame) -> Broadcast:
     lists = found["terms"].combine_chunks()
     bounds = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)))
     weights = found["weights"].combine_chunks().flatten().to_numpy()
-    arrays = (found["query_id"].to_numpy(), bounds, lists.flatten().to_numpy(), weights)
+    terms, which = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    arrays = (found["query_id"].to_numpy(), bounds, terms, which.astype(np.int32), weights)
     return packed.sparkSession.sparkContext.broadcast(arrays)
 
 

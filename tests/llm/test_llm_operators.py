@@ -670,6 +670,31 @@ def test_logistic_fit_holds_its_entries_once():
     assert np.allclose(weights, plain[0]) and bias == pytest.approx(plain[1])
 
 
+def test_op8_begins_with_the_best_of_other_shards():
+    random = np.random.default_rng(4)
+    # Terms of few and of many documents; what other shards reach is left out.
+    n, terms = 3000, 400
+    docs, columns = np.nonzero(random.random((n, terms)) < np.where(np.arange(terms) % 8 == 0, 0.3, 0.001 + 0.05 * random.random(terms)))
+    order = np.lexsort((docs, columns))
+    docs, columns, freqs = docs[order], columns[order], random.integers(1, 4, len(docs))
+    shard = search.Shard(
+        {"ids": np.arange(n), "lengths": np.full(n, 30, np.int32), "terms": np.arange(terms), "counts": np.bincount(columns, minlength=terms),
+         "docs": docs, "freqs": freqs}, 30.0)
+    which = np.concatenate([random.choice(terms, 60, replace=False) for _ in range(40)])
+    bounds, weights = np.arange(41) * 60, random.random(40 * 60) + 0.5
+    alone = list(shard.best(which, weights, bounds, 10))
+    impact, plain = freqs * 2.2 / (freqs + 1.2), np.zeros((40, n))
+    for q in range(40):
+        for t, w in zip(which[60 * q : 60 * q + 60], weights[60 * q : 60 * q + 60]):
+            plain[q, docs[columns == t]] += w * impact[columns == t]
+    third = np.array([s[2] for s, _ in alone])
+    given = list(shard.best(np.arange(terms), weights, bounds, 10, which, third))
+    for q in range(40):
+        best = np.lexsort((np.arange(n), -np.round(plain[q], 9)))[:10]
+        assert alone[q][1].tolist() == best.tolist() and alone[q][0] == pytest.approx(plain[q][best])
+        assert given[q][1].tolist() == best[:3].tolist()
+
+
 def test_op9_counts_and_verdicts(spark, texts):
     rows = {r["doc_id"]: r for r in queries.op9_quality_rules(spark, SF).collect()}
     assert rows.keys() == texts.keys()
