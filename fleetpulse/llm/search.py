@@ -6,19 +6,22 @@ Term counts over all shards, the number of documents and their mean length are g
 on the shard.
 
 A shard answers a block of queries as follows. Its documents lie in blocks. Terms in few of its documents are added up over
-their postings. Terms in many of them have, for each block, the most that they add to any document in it; with what the
-rare terms add there, that bounds the block for a query. Groups of blocks are read in order of falling bounds, and only
-for the queries whose bound for them reaches their k-th best score so far, which rises from group to group; it begins
-with the documents that have the most from rare terms, or with the k-th best of the shards that the task has answered
-before. Every shard returns those of its k best that reach this score, and the best k of all shards are the result. Scores are rounded to nine decimals, ties go to the smaller id. This is the pruning of block-max WAND by block
+their postings, which lie in chunks of one size, so that a query's are copied and added whole. Terms in many of them are
+columns of a matrix and have, for each block, the most that they add to any document in it; with what the rare terms add
+there, that bounds the block for a query. Groups of blocks are read in order of falling bounds, and only for the queries
+whose bound for them reaches their k-th best score so far, which rises from group to group; it begins with the documents
+that have the most from rare terms, or with the k-th best of the shards that the task has answered before. The matrix is
+multiplied in single precision, with room for its error; documents that may be among the best are scored again in double
+precision. Every task returns the k best of its shards, and the best k of all tasks are the result; tasks are as many as
+the cores ask for, not as the shards are. Scores are rounded to nine decimals, ties go to the smaller id. This is the pruning of block-max WAND by block
 instead of by document: there is no pivot, as the queries of a batch share the order in which they read.
 
 Queries are sent to the executors in blocks of bounded size (BLOCK_TERMS terms, or a single longer query), once for each
-worker, one job for each block; shards stay where they are read. A worker holds one shard, one block and the scores of
-TOGETHER queries.
+worker, one job for each block; shards stay where they are read, and are read once for each block. A worker holds one
+shard, one block and the scores of TOGETHER queries.
 
 The work of all queries is queries times documents, less what is skipped: where queries grow with the documents it grows
-with their product. Very long texts: indexed whole, and asked whole. Null or empty text: a document that no query finds, a
+with their product, in time, not in memory. Very long texts: indexed whole, and asked whole. Null or empty text: a document that no query finds, a
 query that finds nothing. Null doc_id: a document like any other, before all others among ties; never a query. Repeated
 rows: each is a document, and one query. Extra columns are ignored. An empty table gives no rows.
 """
@@ -45,15 +48,21 @@ SHARD_DOCS = 8192
 SHARD_POSTINGS = 1_500_000
 BLOCK_DOCS = 64
 BLOCKS_TOGETHER = 8
-#: Terms in more than one of so many documents of a shard have block maxima.
+#: Terms in more than one of so many documents of a shard are dense and have block maxima.
 COMMON = 16
+#: Postings to a chunk; terms with less than half of one are looked up by posting.
+CHUNK = 16
 #: Terms of all queries of a block, about; a longer query is a block of its own or shares one.
-BLOCK_TERMS = 1_000_000
+BLOCK_TERMS = 4_000_000
 #: Queries whose scores a task holds at once.
-TOGETHER = 128
+TOGETHER = 256
+#: Terms of these queries, about.
+TERMS_TOGETHER = 65_536
+#: Tasks that answer a block, if there are no more cores: each returns k documents for a query, however many its shards.
+TASKS = 256
 _NO_ID = -(2**63)
 _ROW = U64(0xD6E8FEB86659FD93)
-SHARD = "shard string, ids array<long>, lengths array<int>, terms array<long>, counts array<int>, docs array<int>, freqs array<int>"
+SHARD = "shard string, ids array<long>, lengths array<int>, terms array<long>, counts array<int>, docs binary, freqs binary"
 ANSWER = "query_id long, hits array<struct<minus:double,doc:bigint>>"
 
 
@@ -74,6 +83,16 @@ def _lists(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
 
 
+def _packed(values: np.ndarray) -> pa.Array:
+    """Numbers from zero in the fewest bytes that all of them fit in: Spark passes them on without looking at each."""
+    return pa.array([values.astype(np.min_scalar_type(values.max(initial=0))).tobytes()], pa.binary())
+
+
+def _unpacked(value: pa.Scalar, number: int) -> np.ndarray:
+    held = value.as_buffer()
+    return np.frombuffer(held, f"u{held.size // number}" if number else "u1")
+
+
 def _indexing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get().partitionId()
     number, parts, ids, lengths, postings = 0, [], [], [], 0
@@ -89,8 +108,8 @@ def _indexing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 _lists(np.concatenate(lengths).astype(np.int32), pa.int32()),
                 _lists(distinct, pa.int64()),
                 _lists(counts.astype(np.int32), pa.int32()),
-                _lists(docs[order].astype(np.int32), pa.int32()),
-                _lists(freqs[order].astype(np.int32), pa.int32()),
+                _packed(docs[order]),
+                _packed(freqs[order]),
             ],
             ["shard", "ids", "lengths", "terms", "counts", "docs", "freqs"],
         )
@@ -127,136 +146,191 @@ def _asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([rows["query_id"].slice(a, b - a), lists], ["query_id", "terms"])
 
 
+def _impact(freqs: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    freqs = freqs.astype(float)
+    return freqs * (K1 + 1) / (freqs + norm)
+
+
+def _spread(bounds: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The items of each of the given ranges, one range after the other, and their numbers."""
+    sizes = bounds[at + 1] - bounds[at]
+    ends = np.cumsum(sizes)
+    return np.repeat(bounds[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0), sizes
+
+
 class Shard:
     """A shard's postings, and scores for a block of queries."""
 
     def __init__(self, row: dict[str, np.ndarray], mean_length: float):
-        self.ids, self.n = row["ids"], len(row["ids"])
-        self.terms = row["terms"]
-        bounds = np.concatenate(([0], np.cumsum(row["counts"], dtype=np.int64)))
-        lengths, docs, freqs = row["lengths"], row["docs"], row["freqs"].astype(float)
-        norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
-        impact = freqs * (K1 + 1) / (freqs + norm[docs])
-        common = np.flatnonzero(row["counts"] * COMMON > self.n)
-        dense = np.zeros((self.n, len(common)))
-        for c, t in enumerate(common):
-            dense[docs[bounds[t] : bounds[t + 1]], c] = impact[bounds[t] : bounds[t + 1]]
+        self.terms, self.n, counts = row["terms"], len(row["ids"]), row["counts"]
+        norm = K1 * (1 - B + B * row["lengths"] / max(mean_length, 1e-9))
+        term = np.repeat(np.arange(len(self.terms), dtype=np.int32), counts)
+        common = counts * COMMON > self.n
+        #: Place of a term among the dense ones, or -1.
+        self.column = np.where(common, np.cumsum(common) - 1, -1)
+        dense = common[term]
+        docs, freqs, columns = row["docs"][dense], row["freqs"][dense], self.column[term[dense]]
+        self.dense = np.zeros((self.n, common.sum()), np.float32)
+        self.dense[docs, columns] = _impact(freqs, norm[docs])
         # Documents alike in their common terms share blocks: order by the main direction of those terms.
-        along = np.ones(len(common))
-        along[: len(common) // 2] = -1
-        mean = dense.mean(0) if self.n else along
+        along = np.ones(self.dense.shape[1], np.float32)
+        along[: len(along) // 2] = -1
+        mean = self.dense.mean(0) if self.n else along
         for _ in range(4):
-            projected = dense @ along - mean @ along
-            along = projected @ dense - projected.sum() * mean
+            projected = self.dense @ along - mean @ along
+            along = projected @ self.dense - projected.sum() * mean
             along /= np.linalg.norm(along) + 1e-12
-        order = np.argsort(dense @ along, kind="stable")
+        order = np.argsort(self.dense @ along, kind="stable")
         place = np.empty(self.n, np.int64)
         place[order] = np.arange(self.n)
-        self.ids = self.ids[order]
-        self.dense = dense[order]
-        del dense
-        #: Documents, over all queries, whose common terms were added up, and those that were skipped.
-        self.read = self.skipped = 0
-        self.docs, self.impact, self.bounds = place[docs], impact, bounds
-        self.column = np.full(len(self.terms), -1)
-        self.column[common] = np.arange(len(common))
+        self.ids, self.norm, self.dense = row["ids"][order], norm[order], self.dense[order]
+        #: Frequencies of the dense terms, for scores in double precision.
+        self.freqs = np.zeros(self.dense.shape, np.min_scalar_type(freqs.max(initial=0)))
+        self.freqs[place[docs], columns] = freqs
+        #: More than a score in single precision is off, as a share of it.
+        self.slack = (len(along) + 4) * 2.0**-23
         self.starts = np.arange(0, self.n, BLOCK_DOCS)
         self.most = np.maximum.reduceat(self.dense, self.starts) if self.n else self.dense
+        #: Documents, over all queries, whose common terms were added up, and those that were skipped.
+        self.read = self.skipped = 0
+        # The other postings: in chunks of one size, the last of a term filled up with nothing; or, of the rarest terms, singly.
+        docs, term, counts = place[row["docs"][~dense]], term[~dense], np.where(common, 0, counts)
+        impact = _impact(row["freqs"][~dense], self.norm[docs])
+        few = counts < CHUNK // 2
+        single = few[term]
+        self.single = np.concatenate(([0], np.cumsum(np.where(few, counts, 0), dtype=np.int64)))
+        self.single_docs, self.single_impact = docs[single], impact[single]
+        self.chunk = np.concatenate(([0], np.cumsum(np.where(few, 0, -(-counts // CHUNK)), dtype=np.int64)))
+        place = (self.chunk[:-1] * CHUNK - np.cumsum(counts) + counts)[term] + np.arange(len(term))
+        self.chunk_docs, self.chunk_impact = np.zeros((self.chunk[-1], CHUNK), np.int64), np.zeros((self.chunk[-1], CHUNK))
+        self.chunk_docs.ravel()[place[~single]], self.chunk_impact.ravel()[place[~single]] = docs[~single], impact[~single]
 
     def best(
-        self, terms: np.ndarray, weights: np.ndarray, bounds: np.ndarray, k: int, which: np.ndarray | None = None, least: np.ndarray | None = None
+        self, terms: np.ndarray, weights: np.ndarray, bounds: np.ndarray, k: int, which: np.ndarray | None = None, least: np.ndarray | None = None,
+        by_term: bool = False,
     ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each query (its range of terms) the scores and ids of its k best documents.
 
-        which: the terms of the queries as places in `terms`. least: for each query a score that k documents elsewhere
-        reach, or -1; documents below it may be left out.
+        which: the terms of the queries as places in `terms`. by_term: the weights are those of `terms`. least: for each query a
+        score that k documents elsewhere reach, or -1; documents below it may be left out.
         """
         at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-        there = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        column = np.where(there, self.column[at], -1) if len(self.terms) else np.full(len(terms), -1)
-        if which is not None:
-            at, there, column = at[which], there[which], column[which]
+        at[self.terms[at] != terms if len(self.terms) else slice(None)] = -1
+        which = np.arange(len(terms)) if which is None else which
         least = np.full(len(bounds) - 1, -1.0) if least is None else least
-        for first in range(0, len(bounds) - 1, TOGETHER):
-            limits = bounds[first : first + TOGETHER + 1]
-            part = slice(limits[0], limits[-1])
-            query = np.repeat(np.arange(len(limits) - 1), np.diff(limits))
-            floor = least[first : first + TOGETHER].copy()
-            yield from self._some(query, len(limits) - 1, at[part], there[part], column[part], weights[part], k, floor)
-
-    def _some(self, query, number, at, there, column, weight, k, least) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        rare = there & (column < 0)
+        first = 0
+        while first < len(bounds) - 1:
+            last = min(first + TOGETHER, int(np.searchsorted(bounds, bounds[first] + TERMS_TOGETHER, "right")) - 1, len(bounds) - 1)
+            last = max(last, first + 1)
+            limits = bounds[first : last + 1]
+            part = which[limits[0] : limits[-1]]
+            weight = weights[part] if by_term else weights[limits[0] : limits[-1]]
+            query, there = np.repeat(np.arange(last - first), np.diff(limits)), at[part] >= 0
+            yield from self._some(query[there], last - first, at[part[there]], weight[there], k, least[first:last])
+            first = last
+
+    def _rare(self, query: np.ndarray, number: int, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What the terms that are not dense add to each document for each query."""
         scores = np.zeros((number, self.n))
-        for q in range(number):
-            low, high = np.searchsorted(query, (q, q + 1))
-            use = rare[low:high]
-            start, size = self.bounds[at[low:high][use]], self.bounds[at[low:high][use] + 1] - self.bounds[at[low:high][use]]
-            ends = np.cumsum(size)
-            posting = np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-            scores[q] = np.bincount(self.docs[posting], self.impact[posting] * np.repeat(weight[low:high][use], size), self.n)
+        chunks, sizes = _spread(self.chunk, at)
+        times = np.repeat(weight, sizes)[:, None]
+        limits = np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(query, np.arange(number + 1))]
+        for q, (low, high) in enumerate(zip(limits[:-1], limits[1:])):
+            added = self.chunk_impact.take(chunks[low:high], axis=0)
+            added *= times[low:high]
+            np.add.at(scores[q], self.chunk_docs.take(chunks[low:high], axis=0).ravel(), added.ravel())
+        postings, sizes = _spread(self.single, at)
+        where = np.repeat(query * self.n, sizes) + self.single_docs[postings]
+        np.add.at(scores.ravel(), where, self.single_impact[postings] * np.repeat(weight, sizes))
+        return scores
+
+    def _exact(self, rare: np.ndarray, common: np.ndarray, row: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Scores, in double precision, of pairs of a query and a document."""
+        score = rare[row, doc]
+        for low in range(0, len(row), TOGETHER):
+            part = slice(low, low + TOGETHER)
+            score[part] += np.einsum("ij,ij->i", _impact(self.freqs[doc[part]], self.norm[doc[part], None]), common[row[part]])
+        return score
+
+    def _some(self, query, number, at, weight, k, given) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        rare = self._rare(query, number, at, weight)
+        column = self.column[at]
+        often = column >= 0
         common = np.zeros((number, self.dense.shape[1]))
-        common[query[column >= 0], column[column >= 0]] = weight[column >= 0]
+        common[query[often], column[often]] = weight[often]
+        single = common.astype(np.float32)
         # What a document of each block can reach at most, and a k-th best score to begin with: that of the k documents with
-        # the most from rare terms.
-        reach = np.maximum.reduceat(scores, self.starts, axis=1) + common @ self.most.T
-        if self.n > k and (least < 0).any():
-            top = np.argpartition(-scores, k, axis=1)[:, :k]
-            for q in range(number):
-                least[q] = max(least[q], (scores[q, top[q]] + self.dense[top[q]] @ common[q]).min())
+        # the most from rare terms. Scores in single precision only tell which documents may be among the best.
+        reach = np.maximum.reduceat(rare, self.starts, axis=1) + single @ self.most.T
+        least = given.copy()
+        new = np.flatnonzero(least < 0)
+        if self.n > k and len(new):
+            top = np.argpartition(-rare[new], k, axis=1)[:, :k]
+            least[new] = self._exact(rare, common, np.repeat(new, k), top.ravel()).reshape(-1, k).min(1)
         groups = np.arange(0, len(self.starts), BLOCKS_TOGETHER)
-        bound = np.maximum.reduceat(reach, groups, axis=1)
+        bound = np.maximum.reduceat(reach, groups, axis=1) * (1 + self.slack)
         best = np.full((number, k), -1.0)  # of the groups read so far
+        rows, docs, scores = [], [], []
         for g in np.argsort(-bound.sum(0), kind="stable"):
             start, end = groups[g] * BLOCK_DOCS, min((groups[g] + BLOCKS_TOGETHER) * BLOCK_DOCS, self.n)
-            enough = bound[:, g] >= least - 1e-7
-            some = np.flatnonzero(enough)
+            some = np.flatnonzero(bound[:, g] >= least - 1e-7)
             self.read += len(some) * (end - start)
             self.skipped += (number - len(some)) * (end - start)
-            scores[~enough, start:end] = 0
             if not len(some):
                 continue
-            scores[some, start:end] += common[some] @ self.dense[start:end].T
-            seen = np.concatenate((best[some], scores[some, start:end]), axis=1)
-            best[some] = np.partition(seen, seen.shape[1] - k, axis=1)[:, -k:]
-            least[some] = np.maximum(least[some], best[some].min(1))
-        # What is left out is below the k-th best; what was skipped has no score, and at a k-th best of zero nothing was.
-        row, doc = np.nonzero(scores >= least[:, None] - 1e-7)
-        score = np.round(scores[row, doc], 9)
+            total = single[some] @ self.dense[start:end].T + rare[some, start:end]
+            up = np.flatnonzero(total.max(1) >= least[some])
+            seen = np.concatenate((best[some[up]], total[up]), axis=1)
+            best[some[up]] = seen = np.partition(seen, seen.shape[1] - k, axis=1)[:, -k:]
+            least[some[up]] = np.maximum(least[some[up]], seen.min(1) * (1 - self.slack))
+            enough = least[some] * (1 - self.slack) - 1e-7
+            row, doc = np.nonzero((total >= enough[:, None]) & (total > 0))
+            rows.append(some[row])
+            docs.append(start + doc)
+            scores.append(total[row, doc])
+        if not rows:
+            rows = docs = scores = [np.zeros(0, np.int64)]
+        row, doc, score = np.concatenate(rows), np.concatenate(docs), np.concatenate(scores)
+        # What is left out is below the k-th best; what was skipped, too.
+        keep = score >= least[row] * (1 - self.slack) - 1e-7
+        row, doc = row[keep], doc[keep]
+        score = self._exact(rare, common, row, doc)
+        keep = score >= given[row] - 1e-7
+        row, ids, score = row[keep], self.ids[doc[keep]], np.round(score[keep], 9)
+        order = np.lexsort((ids, -score, row))
+        row, ids, score = row[order], ids[order], score[order]
         limits = np.searchsorted(row, np.arange(number + 1))
         for low, high in zip(limits[:-1], limits[1:]):
-            found, ids = score[low:high], self.ids[doc[low:high]]
-            order = np.lexsort((ids, -found))[:k]
-            order = order[found[order] > 0]
-            yield found[order], ids[order]
+            found = score[low : min(high, low + k)]
+            found = found[found > 0]
+            yield found, ids[low : low + len(found)]
 
 
 def _answering(block: Broadcast, mean_length: float, k: int):
-    """The k best of each shard for each query of a block: query ids, the bounds of their terms, all distinct terms,
-    which of these the queries have, and the weights."""
+    """The k best of a task's shards for each query of a block: query ids, the bounds of their terms, all distinct terms,
+    which of these the queries have, and the weights of the distinct terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit = pa.struct([("minus", pa.float64()), ("doc", pa.int64())])
         ids, bounds, terms, which, weights = block.value
-        best = np.full((len(ids), k), -1.0)  # scores in the shards of this task so far
+        # The best of the shards so far, and those of the shard that is read.
+        scores, docs = np.full((len(ids), 2 * k), -1.0), np.zeros((len(ids), 2 * k), np.int64)
         for rows in batches:
             for i in range(rows.num_rows):
-                value = lambda name: rows[name][i].values.to_numpy()
-                shard = Shard({c: value(c) for c in ("ids", "lengths", "terms", "counts", "docs", "freqs")}, mean_length)
-                scores, docs, sizes = [], [], []
-                seen = np.concatenate((best, np.full((len(ids), k), -1.0)), axis=1)
-                for q, (s, d) in enumerate(shard.best(terms, weights, bounds, k, which, best.min(1))):
-                    scores.append(-s)
-                    docs.append(d)
-                    sizes.append(len(s))
-                    seen[q, k : k + len(s)] = s
-                best = np.partition(seen, k, axis=1)[:, k:]
-                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                found = pa.StructArray.from_arrays(
-                    [pa.array(np.concatenate(scores)), pa.array(np.concatenate(docs))], fields=list(hit)
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.ListArray.from_arrays(pa.array(offsets), found)], ["query_id", "hits"]
-                )
+                row = {c: rows[c][i].values.to_numpy() for c in ("ids", "lengths", "terms", "counts")}
+                row |= {c: _unpacked(rows[c][i], row["counts"].sum()) for c in ("docs", "freqs")}
+                shard = Shard(row, mean_length)
+                least = scores[:, :k].min(1)
+                for q, (s, d) in enumerate(shard.best(terms, weights, bounds, k, which, least, by_term=True)):
+                    scores[q, k : k + len(s)], docs[q, k : k + len(s)] = s, d
+                order = np.lexsort((docs, -scores), axis=1)
+                scores, docs = np.take_along_axis(scores, order, 1), np.take_along_axis(docs, order, 1)
+                scores[:, k:] = -1
+        found = scores[:, :k] >= 0
+        some = np.flatnonzero(found.any(1))
+        offsets = np.concatenate(([0], np.cumsum(found[some].sum(1)))).astype(np.int32)
+        hits = pa.StructArray.from_arrays([pa.array(-scores[:, :k][found]), pa.array(docs[:, :k][found])], fields=list(hit))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.ListArray.from_arrays(pa.array(offsets), hits)], ["query_id", "hits"])
 
     return run
 
@@ -297,20 +371,20 @@ def search(shards: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     if not count:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     answers = f"{shared_dir(spark)}/llm/answers-{uuid.uuid4().hex}"
-    try:
-        # One shard to a batch: a worker holds no other.
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
-        for number in range(count):
-            block = _shipped_block(packed.where(F.col("block") == number))
-            try:
-                if not len(block.value[0]):
-                    continue
-                run = _answering(block, totals["words"] / totals["n"], k)
-                shards.drop("shard").mapInArrow(run, ANSWER).write.mode("append").parquet(answers)
-            finally:
-                block.destroy()
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    cores = spark.sparkContext.defaultParallelism
+    tasks = max(cores, min(4 * cores, TASKS))
+    for number in range(count):
+        block = _shipped_block(packed.where(F.col("block") == number))
+        try:
+            if not len(block.value[0]):
+                continue
+            run = _answering(block, totals["words"] / totals["n"], k)
+            # One shard to a batch: a worker holds no other.
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+            shards.drop("shard").coalesce(tasks).mapInArrow(run, ANSWER).write.mode("append").parquet(answers)
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+            block.destroy()
     best = spark.read.schema(ANSWER).parquet(answers).groupBy("query_id").agg(
         F.slice(F.array_sort(F.flatten(F.collect_list("hits"))), 1, k).alias("hits")
     )
@@ -328,8 +402,8 @@ def _shipped_block(packed: DataFrame) -> Broadcast:
     lists = found["terms"].combine_chunks()
     bounds = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)))
     weights = found["weights"].combine_chunks().flatten().to_numpy()
-    terms, which = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-    arrays = (found["query_id"].to_numpy(), bounds, terms, which.astype(np.int32), weights)
+    terms, first, which = np.unique(lists.flatten().to_numpy(), return_index=True, return_inverse=True)
+    arrays = (found["query_id"].to_numpy(), bounds, terms, which.astype(np.int32), weights[first])
     return packed.sparkSession.sparkContext.broadcast(arrays)
 
 

@@ -695,6 +695,75 @@ def test_op8_begins_with_the_best_of_other_shards():
         assert given[q][1].tolist() == best[:3].tolist()
 
 
+def test_op8_scores_few_documents_in_double_precision(monkeypatch):
+    # Terms of all kinds of frequency, and documents that single precision cannot tell apart.
+    draw = np.random.default_rng(5)
+    n, terms = 3000, 600
+    held = draw.random((n, terms)) < np.where(np.arange(terms) < 40, 0.4, 0.0005 + 0.08 * draw.random(terms) ** 2)
+    held[7:19] = held[7]
+    docs, columns = np.nonzero(held)
+    order = np.lexsort((docs, columns))
+    docs, columns = docs[order], columns[order]
+    freqs = draw.integers(1, 300, terms)[columns]
+    lengths = np.full(n, 30, np.int32)
+    row = {"ids": draw.permutation(n), "lengths": lengths, "terms": np.arange(terms), "counts": np.bincount(columns, minlength=terms),
+           "docs": docs.astype(np.uint16), "freqs": freqs.astype(np.uint16)}
+    shard = search.Shard(row, 30.0)
+    pairs, exact = [], search.Shard._exact
+    monkeypatch.setattr(search.Shard, "_exact", lambda *a: pairs.append(len(a[-1])) or exact(*a))
+    idf = draw.random(terms) + 0.5
+    asked = [np.flatnonzero(held[7])] + [np.sort(draw.choice(terms, 80, replace=False)) for _ in range(299)]
+    bounds = np.arange(301) * 80 + len(asked[0]) - 80
+    bounds[0] = 0
+    monkeypatch.setattr(search, "TERMS_TOGETHER", 5000)
+    got = list(shard.best(np.arange(terms), idf, bounds, 10, np.concatenate(asked), by_term=True))
+    plain, impact = np.zeros((300, n)), freqs * 2.2 / (freqs + 1.2)
+    for q, a in enumerate(asked):
+        mine = np.isin(columns, a)
+        plain[q] = np.bincount(docs[mine], (impact * idf[columns])[mine], n)
+        best = np.lexsort((row["ids"], -np.round(plain[q], 9)))[:10]
+        assert got[q][1].tolist() == row["ids"][best].tolist() and got[q][0] == pytest.approx(plain[q][best], abs=2e-9)
+    assert set(got[0][1]) <= set(row["ids"][7:19])
+    assert sum(pairs) < 0.05 * 300 * n
+
+
+def test_op8_reads_the_shards_once_for_millions_of_terms(spark):
+    terms = spark.range(3_000_000).select((F.col("id") % 2000).alias("query_id"), F.struct(F.col("id").alias("term"), F.lit(1.0).alias("idf")).alias("t"))
+    assert search._blocks(terms)[1] == 1
+    texts = spark.createDataFrame([(1, "a b " + "c " * 300), (None, ""), (2, "C b"), (3, None)], "doc_id long, text string")
+    index = search.index(texts.coalesce(1))
+    (row,) = index.collect()
+    held = dict(zip(row["terms"], row["counts"]))
+    assert len(held) == 3 and row["ids"] == [1, -(2**63), 2, 3] and len(row["docs"]) == 5 and len(row["freqs"]) == 10
+    assert sorted(np.frombuffer(row["freqs"], np.uint16)) == [1, 1, 1, 1, 300] and set(row["docs"]) == {0, 2}
+    found = search.search(index, texts.selectExpr("doc_id query_id", "text"))
+    assert sorted((r["query_id"], r["rank"], r["doc_id"]) for r in found.collect()) == [(1, 1, 1), (1, 2, 2), (2, 1, 2), (2, 2, 1)]
+    nothing = search.index(texts.where("text is null or text = ''"))
+    assert search.search(nothing, texts.selectExpr("doc_id query_id", "text")).count() == 0
+
+
+def test_op8_returns_the_best_of_a_task_once(spark, monkeypatch):
+    words = [f"w{i % 7} w{i % 11} same" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string").repartition(5)
+    shards = search.index(docs)
+    kept, answering = [], search._answering
+
+    def keeping(block, mean_length, k):
+        kept.append(answering(spark.sparkContext.broadcast(block.value), mean_length, k))
+        return answering(block, mean_length, k)
+
+    monkeypatch.setattr(search, "_answering", keeping)
+    asked = docs.where("doc_id < 5").select(F.col("doc_id").alias("query_id"), "text")
+    found = sorted(search.search(shards, asked, 3).collect())
+    names = ["ids", "lengths", "terms", "counts", "docs", "freqs"]
+    held = shards.select(*names).toArrow().to_batches(max_chunksize=1)
+    answers = [r for b in kept[0](iter(held)) for r in b.to_pylist()]
+    assert len(held) > 1
+    assert sorted(r["query_id"] for r in answers) == [0, 1, 2, 3, 4]  # one row each, of whatever number of shards
+    for r in answers:
+        assert [(h["doc"], -h["minus"]) for h in r["hits"]] == [(f["doc_id"], f["score"]) for f in found if f["query_id"] == r["query_id"]]
+
+
 def test_op9_counts_and_verdicts(spark, texts):
     rows = {r["doc_id"]: r for r in queries.op9_quality_rules(spark, SF).collect()}
     assert rows.keys() == texts.keys()
