@@ -45,7 +45,7 @@ from fleetpulse.session import shared_dir
 K = 10
 K1, B = 1.2, 0.75
 SHARD_DOCS = 8192
-SHARD_POSTINGS = 1_500_000
+SHARD_POSTINGS = 3_000_000
 BLOCK_DOCS = 64
 BLOCKS_TOGETHER = 8
 #: Terms in more than one of so many documents of a shard are dense and have block maxima.
@@ -159,9 +159,9 @@ def _spread(bounds: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Shard:
-    """A shard's postings, and scores for a block of queries."""
+    """A shard's postings, and scores for a block of queries. weights: of terms, the same for all queries, if they are."""
 
-    def __init__(self, row: dict[str, np.ndarray], mean_length: float):
+    def __init__(self, row: dict[str, np.ndarray], mean_length: float, weights: tuple[np.ndarray, np.ndarray] | None = None):
         self.terms, self.n, counts = row["terms"], len(row["ids"]), row["counts"]
         norm = K1 * (1 - B + B * row["lengths"] / max(mean_length, 1e-9))
         term = np.repeat(np.arange(len(self.terms), dtype=np.int32), counts)
@@ -196,7 +196,15 @@ class Shard:
         # The other postings: in chunks of one size, the last of a term filled up with nothing; or, of the rarest terms, singly.
         docs, term, counts = place[row["docs"][~dense]], term[~dense], np.where(common, 0, counts)
         impact = _impact(row["freqs"][~dense], self.norm[docs])
+        self.weights = None
+        if weights is not None:
+            self.weights = np.zeros(len(self.terms))
+            at = self._places(weights[0])
+            self.weights[at[at >= 0]] = weights[1][at >= 0]
+            impact *= self.weights[term]
         few = counts < CHUNK // 2
+        #: Of each term, whether its postings are single, in chunks or dense.
+        self.kind = np.where(common, 2, np.where(few, 0, 1)).astype(np.int8)
         single = few[term]
         self.single = np.concatenate(([0], np.cumsum(np.where(few, counts, 0), dtype=np.int64)))
         self.single_docs, self.single_impact = docs[single], impact[single]
@@ -205,17 +213,23 @@ class Shard:
         self.chunk_docs, self.chunk_impact = np.zeros((self.chunk[-1], CHUNK), np.int64), np.zeros((self.chunk[-1], CHUNK))
         self.chunk_docs.ravel()[place[~single]], self.chunk_impact.ravel()[place[~single]] = docs[~single], impact[~single]
 
+    def _places(self, terms: np.ndarray) -> np.ndarray:
+        """Place of each term among those of the shard, or -1."""
+        if not len(self.terms):
+            return np.full(len(terms), -1)
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        return np.where(self.terms[at] == terms, at, -1)
+
     def best(
-        self, terms: np.ndarray, weights: np.ndarray, bounds: np.ndarray, k: int, which: np.ndarray | None = None, least: np.ndarray | None = None,
-        by_term: bool = False,
+        self, terms: np.ndarray, weights: np.ndarray | None, bounds: np.ndarray, k: int, which: np.ndarray | None = None,
+        least: np.ndarray | None = None,
     ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each query (its range of terms) the scores and ids of its k best documents.
 
-        which: the terms of the queries as places in `terms`. by_term: the weights are those of `terms`. least: for each query a
-        score that k documents elsewhere reach, or -1; documents below it may be left out.
+        weights: of the terms of each query, or None for those of the shard. which: the terms of the queries as places in
+        `terms`. least: for each query a score that k documents elsewhere reach, or -1; documents below it may be left out.
         """
-        at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-        at[self.terms[at] != terms if len(self.terms) else slice(None)] = -1
+        at = self._places(terms)
         which = np.arange(len(terms)) if which is None else which
         least = np.full(len(bounds) - 1, -1.0) if least is None else least
         first = 0
@@ -223,25 +237,31 @@ class Shard:
             last = min(first + TOGETHER, int(np.searchsorted(bounds, bounds[first] + TERMS_TOGETHER, "right")) - 1, len(bounds) - 1)
             last = max(last, first + 1)
             limits = bounds[first : last + 1]
-            part = which[limits[0] : limits[-1]]
-            weight = weights[part] if by_term else weights[limits[0] : limits[-1]]
-            query, there = np.repeat(np.arange(last - first), np.diff(limits)), at[part] >= 0
-            yield from self._some(query[there], last - first, at[part[there]], weight[there], k, least[first:last])
+            held = at[which[limits[0] : limits[-1]]]
+            there = held >= 0
+            query, held = np.repeat(np.arange(last - first), np.diff(limits))[there], held[there]
+            weight = None if weights is None else weights[limits[0] : limits[-1]][there]
+            yield from self._some(query, last - first, held, weight, k, least[first:last])
             first = last
 
-    def _rare(self, query: np.ndarray, number: int, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    def _rare(self, number: int, query: np.ndarray, at: np.ndarray, weight: np.ndarray | None) -> np.ndarray:
         """What the terms that are not dense add to each document for each query."""
-        scores = np.zeros((number, self.n))
-        chunks, sizes = _spread(self.chunk, at)
-        times = np.repeat(weight, sizes)[:, None]
-        limits = np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(query, np.arange(number + 1))]
+        scores, kind = np.zeros((number, self.n)), self.kind[at]
+        some = np.flatnonzero(kind == 1)
+        chunks, sizes = _spread(self.chunk, at[some])
+        times = None if weight is None else np.repeat(weight[some], sizes)[:, None]
+        limits = np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(query[some], np.arange(number + 1))]
         for q, (low, high) in enumerate(zip(limits[:-1], limits[1:])):
             added = self.chunk_impact.take(chunks[low:high], axis=0)
-            added *= times[low:high]
+            if times is not None:
+                added *= times[low:high]
             np.add.at(scores[q], self.chunk_docs.take(chunks[low:high], axis=0).ravel(), added.ravel())
-        postings, sizes = _spread(self.single, at)
-        where = np.repeat(query * self.n, sizes) + self.single_docs[postings]
-        np.add.at(scores.ravel(), where, self.single_impact[postings] * np.repeat(weight, sizes))
+        some = np.flatnonzero(kind == 0)
+        postings, sizes = _spread(self.single, at[some])
+        added = self.single_impact[postings]
+        if weight is not None:
+            added *= np.repeat(weight[some], sizes)
+        np.add.at(scores.ravel(), np.repeat(query[some] * self.n, sizes) + self.single_docs[postings], added)
         return scores
 
     def _exact(self, rare: np.ndarray, common: np.ndarray, row: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -253,11 +273,10 @@ class Shard:
         return score
 
     def _some(self, query, number, at, weight, k, given) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        rare = self._rare(query, number, at, weight)
-        column = self.column[at]
-        often = column >= 0
+        rare = self._rare(number, query, at, weight)
+        often = np.flatnonzero(self.kind[at] == 2)
         common = np.zeros((number, self.dense.shape[1]))
-        common[query[often], column[often]] = weight[often]
+        common[query[often], self.column[at[often]]] = self.weights[at[often]] if weight is None else weight[often]
         single = common.astype(np.float32)
         # What a document of each block can reach at most, and a k-th best score to begin with: that of the k documents with
         # the most from rare terms. Scores in single precision only tell which documents may be among the best.
@@ -279,15 +298,17 @@ class Shard:
             if not len(some):
                 continue
             total = single[some] @ self.dense[start:end].T + rare[some, start:end]
-            up = np.flatnonzero(total.max(1) >= least[some])
+            highest = total.max(1)
+            up = np.flatnonzero(highest >= least[some])
             seen = np.concatenate((best[some[up]], total[up]), axis=1)
             best[some[up]] = seen = np.partition(seen, seen.shape[1] - k, axis=1)[:, -k:]
             least[some[up]] = np.maximum(least[some[up]], seen.min(1) * (1 - self.slack))
-            enough = least[some] * (1 - self.slack) - 1e-7
-            row, doc = np.nonzero((total >= enough[:, None]) & (total > 0))
-            rows.append(some[row])
+            enough = np.maximum(least[some] * (1 - self.slack) - 1e-7, np.finfo(float).tiny)
+            has = np.flatnonzero(highest >= enough)
+            row, doc = np.nonzero(total[has] >= enough[has, None])
+            rows.append(some[has[row]])
             docs.append(start + doc)
-            scores.append(total[row, doc])
+            scores.append(total[has[row], doc])
         if not rows:
             rows = docs = scores = [np.zeros(0, np.int64)]
         row, doc, score = np.concatenate(rows), np.concatenate(docs), np.concatenate(scores)
@@ -319,9 +340,9 @@ def _answering(block: Broadcast, mean_length: float, k: int):
             for i in range(rows.num_rows):
                 row = {c: rows[c][i].values.to_numpy() for c in ("ids", "lengths", "terms", "counts")}
                 row |= {c: _unpacked(rows[c][i], row["counts"].sum()) for c in ("docs", "freqs")}
-                shard = Shard(row, mean_length)
+                shard = Shard(row, mean_length, (terms, weights))
                 least = scores[:, :k].min(1)
-                for q, (s, d) in enumerate(shard.best(terms, weights, bounds, k, which, least, by_term=True)):
+                for q, (s, d) in enumerate(shard.best(terms, None, bounds, k, which, least)):
                     scores[q, k : k + len(s)], docs[q, k : k + len(s)] = s, d
                 order = np.lexsort((docs, -scores), axis=1)
                 scores, docs = np.take_along_axis(scores, order, 1), np.take_along_axis(docs, order, 1)

@@ -708,15 +708,15 @@ def test_op8_scores_few_documents_in_double_precision(monkeypatch):
     lengths = np.full(n, 30, np.int32)
     row = {"ids": draw.permutation(n), "lengths": lengths, "terms": np.arange(terms), "counts": np.bincount(columns, minlength=terms),
            "docs": docs.astype(np.uint16), "freqs": freqs.astype(np.uint16)}
-    shard = search.Shard(row, 30.0)
+    idf = draw.random(terms) + 0.5
+    shard = search.Shard(row, 30.0, (np.arange(-5, terms), np.concatenate((np.full(5, 9.0), idf))))
     pairs, exact = [], search.Shard._exact
     monkeypatch.setattr(search.Shard, "_exact", lambda *a: pairs.append(len(a[-1])) or exact(*a))
-    idf = draw.random(terms) + 0.5
     asked = [np.flatnonzero(held[7])] + [np.sort(draw.choice(terms, 80, replace=False)) for _ in range(299)]
     bounds = np.arange(301) * 80 + len(asked[0]) - 80
     bounds[0] = 0
     monkeypatch.setattr(search, "TERMS_TOGETHER", 5000)
-    got = list(shard.best(np.arange(terms), idf, bounds, 10, np.concatenate(asked), by_term=True))
+    got = list(shard.best(np.arange(terms), None, bounds, 10, np.concatenate(asked)))
     plain, impact = np.zeros((300, n)), freqs * 2.2 / (freqs + 1.2)
     for q, a in enumerate(asked):
         mine = np.isin(columns, a)
@@ -725,6 +725,9 @@ def test_op8_scores_few_documents_in_double_precision(monkeypatch):
         assert got[q][1].tolist() == row["ids"][best].tolist() and got[q][0] == pytest.approx(plain[q][best], abs=2e-9)
     assert set(got[0][1]) <= set(row["ids"][7:19])
     assert sum(pairs) < 0.05 * 300 * n
+    each = np.concatenate(asked)
+    again = list(search.Shard(row, 30.0).best(each, idf[each], bounds, 10))
+    assert [a[1].tolist() for a in again] == [g[1].tolist() for g in got]
 
 
 def test_op8_reads_the_shards_once_for_millions_of_terms(spark):
