@@ -12,12 +12,12 @@ there, that bounds the block for a query. Groups of blocks are read in order of
 whose bound for them reaches their k-th best score so far, which rises from group to group; it begins with the documents
 that have the most from rare terms, or with the k-th best of the shards that the task has answered before. The matrix is
 multiplied in single precision, with room for its error; documents that may be among the best are scored again in double
-precision. Every task returns the k best of its shards, and the best k of all tasks are the result; tasks are as many as
+precision, by sums that do not depend on their order, so that copies in other shards get the same score. Every task returns the k best of its shards, and the best k of all tasks are the result; tasks are as many as
 the cores ask for, not as the shards are. Scores are rounded to nine decimals, ties go to the smaller id. This is the pruning of block-max WAND by block
 instead of by document: there is no pivot, as the queries of a batch share the order in which they read.
 
-Queries are sent to the executors in blocks of bounded size (BLOCK_TERMS terms, or a single longer query), once for each
-worker, one job for each block; shards stay where they are read, and are read once for each block. A worker holds one
+Queries are sent to the executors in blocks of bounded size (BLOCK_TERMS terms, or a single longer query, and BLOCK_QUERIES
+queries, as a worker holds the best of each), once for each worker, one job for each block; shards stay where they are read, and are read once for each block. A worker holds one
 shard, one block and the scores of TOGETHER queries.
 
 The work of all queries is queries times documents, less what is skipped: where queries grow with the documents it grows
@@ -54,12 +54,16 @@ COMMON = 16
 CHUNK = 16
 #: Terms of all queries of a block, about; a longer query is a block of its own or shares one.
 BLOCK_TERMS = 4_000_000
+#: Queries of a block, about.
+BLOCK_QUERIES = 32_768
 #: Queries whose scores a task holds at once.
 TOGETHER = 256
 #: Terms of these queries, about.
 TERMS_TOGETHER = 65_536
 #: Tasks that answer a block, if there are no more cores: each returns k documents for a query, however many its shards.
 TASKS = 256
+#: What a term adds to a score is a multiple of 1 / GRID, 1e-12 about: sums up to 8192 are exact, in whatever order.
+GRID = 2.0**40
 _NO_ID = -(2**63)
 _ROW = U64(0xD6E8FEB86659FD93)
 SHARD = "shard string, ids array<long>, lengths array<int>, terms array<long>, counts array<int>, docs binary, freqs binary"
@@ -151,6 +155,10 @@ def _impact(freqs: np.ndarray, norm: np.ndarray) -> np.ndarray:
     return freqs * (K1 + 1) / (freqs + norm)
 
 
+def _whole(added: np.ndarray) -> np.ndarray:
+    return np.rint(added * GRID) / GRID
+
+
 def _spread(bounds: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The items of each of the given ranges, one range after the other, and their numbers."""
     sizes = bounds[at + 1] - bounds[at]
@@ -201,7 +209,7 @@ class Shard:
             self.weights = np.zeros(len(self.terms))
             at = self._places(weights[0])
             self.weights[at[at >= 0]] = weights[1][at >= 0]
-            impact *= self.weights[term]
+            impact = _whole(impact * self.weights[term])
         few = counts < CHUNK // 2
         #: Of each term, whether its postings are single, in chunks or dense.
         self.kind = np.where(common, 2, np.where(few, 0, 1)).astype(np.int8)
@@ -254,13 +262,13 @@ class Shard:
         for q, (low, high) in enumerate(zip(limits[:-1], limits[1:])):
             added = self.chunk_impact.take(chunks[low:high], axis=0)
             if times is not None:
-                added *= times[low:high]
+                added = _whole(added * times[low:high])
             np.add.at(scores[q], self.chunk_docs.take(chunks[low:high], axis=0).ravel(), added.ravel())
         some = np.flatnonzero(kind == 0)
         postings, sizes = _spread(self.single, at[some])
         added = self.single_impact[postings]
         if weight is not None:
-            added *= np.repeat(weight[some], sizes)
+            added = _whole(added * np.repeat(weight[some], sizes))
         np.add.at(scores.ravel(), np.repeat(query[some] * self.n, sizes) + self.single_docs[postings], added)
         return scores
 
@@ -269,7 +277,7 @@ class Shard:
         score = rare[row, doc]
         for low in range(0, len(row), TOGETHER):
             part = slice(low, low + TOGETHER)
-            score[part] += np.einsum("ij,ij->i", _impact(self.freqs[doc[part]], self.norm[doc[part], None]), common[row[part]])
+            score[part] += _whole(_impact(self.freqs[doc[part]], self.norm[doc[part], None]) * common[row[part]]).sum(1)
         return score
 
     def _some(self, query, number, at, weight, k, given) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -364,8 +372,8 @@ def _blocks(weighed: DataFrame) -> tuple[DataFrame, int]:
         ),
         "queries",
     )
-    total = packed.agg(F.sum(F.size("terms"))).first()[0] or 0
-    count = -(-total // BLOCK_TERMS)
+    total, number = packed.agg(F.sum(F.size("terms")), F.count("*")).first()
+    count = max(-(-(total or 0) // BLOCK_TERMS), -(-number // BLOCK_QUERIES))
     block = F.pmod(F.xxhash64("query_id"), F.lit(max(count, 1))).cast("int")
     return packed.withColumn("block", block), count
 

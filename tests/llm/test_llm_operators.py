@@ -730,9 +730,42 @@ def test_op8_scores_few_documents_in_double_precision(monkeypatch):
     assert [a[1].tolist() for a in again] == [g[1].tolist() for g in got]
 
 
+def test_op8_scores_copies_alike_in_all_shards(monkeypatch):
+    draw = np.random.default_rng(6)
+    terms, copies = 900, draw.random((40, 900)) < 0.4
+    freqs, idf = draw.integers(1, 9, (40, 900)), draw.random(900) * 9 + 0.1
+    scores, exact = [], search.Shard._exact
+
+    def keeping(self, rare, common, row, doc):
+        found = exact(self, rare, common, row, doc)
+        scores[-1].update(zip(zip(row.tolist(), self.ids[doc].tolist()), found.tolist()))
+        return found
+
+    monkeypatch.setattr(search.Shard, "_exact", keeping)
+    for n, share in ((300, 0.02), (900, 0.2), (2000, 0.001)):  # terms that are dense in one shard are not in another
+        held = np.concatenate((copies, draw.random((n, terms)) < share * draw.random(terms)))
+        docs, columns = np.nonzero(held)
+        order = np.lexsort((docs, columns))
+        docs, columns = docs[order], columns[order]
+        many = np.concatenate((freqs, np.ones((n, terms), int)))[docs, columns]
+        row = {"ids": np.arange(n + 40), "lengths": np.full(n + 40, 400, np.int32), "terms": np.arange(terms), "docs": docs,
+               "counts": np.bincount(columns, minlength=terms), "freqs": many}
+        scores.append({})
+        asked = [np.flatnonzero(c) for c in copies]
+        bounds = np.cumsum([0, *map(len, asked)])
+        found = list(search.Shard(row, 300.0, (np.arange(terms), idf)).best(np.arange(terms), None, bounds, 40, np.concatenate(asked)))
+        impact = freqs * copies * 2.2 / (freqs + 1.2 * (0.25 + 0.75 * 400 / 300))
+        for q, (best, ids) in enumerate(found):
+            assert best == pytest.approx((impact * idf * copies[q]).sum(1)[ids], abs=3e-9)
+    for other in scores[1:]:
+        alike = [(scores[0][k], other[k]) for k in scores[0].keys() & other.keys() if k[1] < 40]
+        assert len(alike) > 1000 and all(x == y for x, y in alike)
+
+
 def test_op8_reads_the_shards_once_for_millions_of_terms(spark):
     terms = spark.range(3_000_000).select((F.col("id") % 2000).alias("query_id"), F.struct(F.col("id").alias("term"), F.lit(1.0).alias("idf")).alias("t"))
     assert search._blocks(terms)[1] == 1
+    assert search._blocks(terms.limit(100_000).withColumn("query_id", F.col("t.term")))[1] == 4  # queries of one term each
     texts = spark.createDataFrame([(1, "a b " + "c " * 300), (None, ""), (2, "C b"), (3, None)], "doc_id long, text string")
     index = search.index(texts.coalesce(1))
     (row,) = index.collect()
