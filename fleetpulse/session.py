@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Folders are listed in at most so many tasks; Spark's own limit makes a task of every folder of a table of 10,000.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "96",
 }
 
 # State in RocksDB, uploaded as changes rather than whole files, with one store per join instead of four.
@@ -45,6 +47,21 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     return sibling
 
 
+def plain_checkpoints(session: SparkSession) -> SparkSession:
+    """Has the streams of a session write their checkpoints through Hadoop's file systems if shared_dir is on a local one.
+
+    Spark prefers its file contexts, which on a local disk start 30 processes a trigger (chmod, and readlink around each
+    rename). One stream writes to a checkpoint, so that its renames need no more than these file systems give.
+    """
+    place = session.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(session))
+    if place.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).getScheme() == "file":
+        session.conf.set(
+            "spark.sql.streaming.checkpointFileManagerClass",
+            "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager",
+        )
+    return session
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder visible to every executor, for written tables and stream checkpoints.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -11,11 +12,14 @@ class Store:
     """A few operations of the file system that holds a path."""
 
     def __init__(self, spark: SparkSession):
+        self._spark = spark
         self._jvm = spark.sparkContext._jvm
+        # Every name on the way to a class is a call.
+        self._path = self._jvm.org.apache.hadoop.fs.Path
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
 
     def _at(self, path: str):
-        place = self._jvm.org.apache.hadoop.fs.Path(path)
+        place = self._path(path)
         return place.getFileSystem(self._conf), place
 
     def names(self, folder: str) -> list[str]:
@@ -23,6 +27,15 @@ class Store:
         files, place = self._at(folder)
         return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
 
+    def matches(self, pattern: str) -> bool:
+        """Whether a file or a folder matches a pattern."""
+        files, place = self._at(pattern)
+        return len(files.globStatus(place)) > 0
+
+    def paths(self, pattern: str) -> list[str]:
+        """Files in the folders that match a pattern, listed by Spark in one job however many they are."""
+        return [r["path"] for r in self._spark.read.format("binaryFile").load(pattern).select("path").collect()]
+
     def delete(self, path: str) -> None:
         files, place = self._at(path)
         files.delete(place, True)
@@ -31,10 +44,13 @@ class Store:
         files, place = self._at(path)
         files.rename(place, self._at(new)[1])
 
-    def set_time(self, path: str, seconds: int) -> None:
-        """Sets when a file was last changed."""
-        files, place = self._at(path)
-        files.setTimes(place, seconds * 1000, -1)
+    def set_times(self, times: dict[str, int]) -> None:
+        """Sets when files of one store were last changed, several at once."""
+        if not times:
+            return
+        files, _ = self._at(next(iter(times)))
+        with ThreadPoolExecutor(8) as threads:
+            list(threads.map(lambda at: files.setTimes(self._path(at), times[at] * 1000, -1), times))
 
     def read_text(self, path: str) -> str:
         files, place = self._at(path)

@@ -7,8 +7,10 @@ import logging
 import time
 from collections.abc import Callable, Iterable
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming.listener import JStreamingQueryListener, QueryProgressEvent
 
 from fleetpulse.schemas import PIPELINE_METRIC
 from fleetpulse.streaming.sinks import BatchWriter
@@ -18,6 +20,19 @@ log = logging.getLogger(__name__)
 Metric = dict[str, float]
 
 
+class _ByJson(JStreamingQueryListener):
+    """Takes a progress event from the JVM as its JSON, in one call instead of one for each of its fields: all events of an
+    application come through one thread, and a few calls a field are a third of a second an event."""
+
+    def onQueryProgress(self, jevent) -> None:
+        try:
+            event = QueryProgressEvent.fromJson(json.loads(jevent.json()))
+        except (KeyError, TypeError):
+            # JSON leaves out rates that are not finite, of a trigger of no time.
+            event = QueryProgressEvent.fromJObject(jevent)
+        self.pylistener.onQueryProgress(event)
+
+
 class ProgressReporter(StreamingQueryListener):
     """Hands one metric record per trigger to `ship`, as a dict. A failing `ship` is logged and never stops a stream.
     query_name: of the queries to report on, one or several; all if not given."""
@@ -56,6 +71,12 @@ class ProgressReporter(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         pass
 
+    @property
+    def _jlistener(self):
+        if not hasattr(self, "_jlistenerobj"):
+            self._jlistenerobj = SparkContext._jvm.PythonStreamingQueryListenerWrapper(_ByJson(self))
+        return self._jlistenerobj
+
 
 def paced(write: BatchWriter, reporter: ProgressReporter, *, behind: int = 64, wait_seconds: float = 60.0) -> BatchWriter:
     """A writer that waits while its reporter is many triggers behind: Spark drops the events that a slow listener leaves

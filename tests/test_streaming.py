@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import threading
+import uuid
 from pathlib import Path
 
 import pytest
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 from fleetpulse.operators import decode, hot, packing, policy, positions, silence
 from fleetpulse.plans import cold, warm
 from fleetpulse.schemas import ALERT, CAPTURED_ENVELOPE, HUB_MESSAGE, POSITION, TELEMETRY
-from fleetpulse.session import shared_dir, streaming_session
+from fleetpulse.session import plain_checkpoints, shared_dir, streaming_session
 from fleetpulse.sources.messages import HOT_PER_TRIGGER, alert_bus_stream, capture_range, kafka_options, message_stream
 from fleetpulse.streaming import batching, device_time, monitor, queries, sinks, tables
 from fleetpulse.sources.files import Store
@@ -584,6 +585,58 @@ def test_a_failing_metric_shipper_does_not_stop_the_stream(spark, tmp_path):
     assert set(json.loads(monitor.metric_json(good[0]))) == set(frame.columns)
 
 
+def test_a_progress_event_is_read_in_one_call(monkeypatch):
+    class Event:
+        def json(self):
+            return json.dumps({"progress": progress})
+
+    rates = {"numInputRows": 5, "inputRowsPerSecond": 2.5, "processedRowsPerSecond": 3.5}
+    source = {"description": "", "startOffset": None, "endOffset": None, "latestOffset": None, **rates}
+    progress = {
+        "id": str(uuid.uuid4()), "runId": str(uuid.uuid4()), "name": "watched", "timestamp": "", "batchId": 1, "batchDuration": 7,
+        "durationMs": {"triggerExecution": 7, "getBatch": 2}, "stateOperators": [], "sources": [source],
+        "sink": {"description": "", "numOutputRows": -1}, **rates,
+    }
+    shipped, whole = [], []
+    listener = monitor._ByJson(monitor.ProgressReporter(shipped.append, query_name="watched"))
+    event = monitor.QueryProgressEvent.fromJson({"progress": progress})
+    monkeypatch.setattr(monitor.QueryProgressEvent, "fromJObject", lambda jevent: whole.append(jevent) or event)
+    listener.onQueryProgress(Event())
+    assert shipped == [{"triggerExecution": 7.0, "getBatch": 2.0, "inputRowsPerSecond": 2.5, "procRowsPerSecond": 3.5}]
+    assert whole == []
+    # JSON has no rate that is not finite: such an event is read field by field.
+    del source["processedRowsPerSecond"], progress["processedRowsPerSecond"]
+    listener.onQueryProgress(Event())
+    assert len(whole) == 1 and shipped[1] == shipped[0]
+
+
+def test_records_are_those_of_the_stream(spark, tmp_path):
+    inbox = Inbox(spark, tmp_path / "in")
+    session, records = plain_checkpoints(streaming_session(spark)), []
+    kept = session.conf.get("spark.sql.streaming.checkpointFileManagerClass")
+    assert kept.endswith(".FileSystemBasedCheckpointFileManager")
+    reporter = monitor.ProgressReporter(records.append, query_name="plain")
+    session.streams.addListener(reporter)
+    progress = []
+    try:
+        # The second run goes on where the first has written its checkpoint.
+        for part in (random_rows(10, seed=20), random_rows(7, seed=21)):
+            inbox.add(part)
+            rows = message_stream(session, inbox.path).select("sequenceNumber")
+            writer = queries.to_batches(rows, sinks.table_append(str(tmp_path / "out")))
+            stream = queries.start(writer, str(tmp_path / "checkpoint"), name="plain", available_now=True)
+            stream.awaitTermination()
+            progress += stream.recentProgress
+        monitor.settle(spark)
+    finally:
+        session.streams.removeListener(reporter)
+    assert [(r["triggerExecution"], r["getBatch"], r["inputRowsPerSecond"], r["procRowsPerSecond"]) for r in records] == [
+        (p.durationMs["triggerExecution"], p.durationMs.get("getBatch", 0), p.inputRowsPerSecond, p.processedRowsPerSecond)
+        for p in progress
+    ]
+    assert sinks.read_appended(spark, str(tmp_path / "out"), rows.schema).count() == 17
+
+
 def test_warm_ingest_of_a_stream(spark, tmp_path):
     rows = random_rows(90, seed=18)
     for row in rows[::9]:
@@ -731,6 +784,19 @@ def test_capture_writers_have_a_fixed_number_of_envelopes(spark, sf_dir, monkeyp
     assert sum(r["count"] for r in tasks) == total and len(tasks) >= total // 200 and max(r["count"] for r in tasks) < 400
 
 
+def test_small_files_are_written_together_and_dated_in_order(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(staging, "_done", {})
+    total = messages(spark, sf_dir).count()
+    folder, _ = staging.staged_stream(spark, sf_dir, rows_per_trigger=total // 40, triggers=None)
+    at = F.regexp_extract("path", "file=([0-9]+)/", 1).cast("int").alias("n")
+    task = F.regexp_extract("path", "/part-([0-9]+)-", 1).alias("task")
+    files = spark.read.format("binaryFile").load(f"{folder}/file=*").select(at, task, "modificationTime").orderBy("n").collect()
+    assert [f["n"] for f in files] == list(range(len(files))) and len(files) == -(-total // (total // 40)) + 2
+    assert len({f["task"] for f in files[:-2]}) <= 2 * spark.sparkContext.defaultParallelism
+    times = [f["modificationTime"] for f in files]
+    assert {b - a for a, b in zip(times, times[1:])} == {dt.timedelta(seconds=1)}
+
+
 def test_small_triggers_are_dealt_over_streams(spark, sf_dir, monkeypatch, tmp_path):
     monkeypatch.setattr(staging, "_done", {})
     total = messages(spark, sf_dir).count()

@@ -18,7 +18,7 @@ from fleetpulse.operators import decode, deliveries, fences, hot, monitoring, pa
 from fleetpulse.plans import cold
 from fleetpulse.plans import hot as hot_plan
 from fleetpulse.schemas import ALERT, HUB_MESSAGE, PIPELINE_METRIC, POSITION, SQL_EVENT, TELEMETRY
-from fleetpulse.session import configure, streaming_session
+from fleetpulse.session import configure, plain_checkpoints, streaming_session
 from fleetpulse.sources.messages import alert_bus_stream, capture_range, captured_envelopes
 from fleetpulse.streaming import batching, device_time, monitor, queries, sinks, tables
 from workload import staging
@@ -830,7 +830,7 @@ def pipeline_metrics(spark, sf_dir):
 
     A trigger of so few messages is mostly fixed costs, so streams side by side share the triggers."""
     records = []
-    source_session = streaming_session(spark)
+    source_session = plain_checkpoints(streaming_session(spark))
     out = staging.scratch(spark, "metered")
     sources = staging.streams(spark, source_session, sf_dir, rows_per_trigger=DEVICE_TIME_ROWS, triggers=None)
     names = [f"metered-{n}" for n in range(len(sources))]

@@ -6,8 +6,10 @@ Everything is derived from the driver's tables by Spark and written to the share
 from __future__ import annotations
 
 import datetime as dt
+import re
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ _SENTINEL_PLACE = 1 << 60
 ROWS_PER_TRIGGER = 25_000
 # A larger table is read in as many triggers as this, of several files each, until a trigger has the most rows it may have.
 TRIGGERS, FILES_PER_TRIGGER, MOST_ROWS_PER_TRIGGER = 16, 24, 2_000_000
+# Messages of small files that a task writes together, if there are enough for all cores.
+STAGED_PER_TASK = 50_000
 # Envelopes that a task writes to the capture.
 CAPTURED_PER_TASK = 250_000
 
@@ -88,7 +92,11 @@ def staged_stream(
         # Messages are built once, where they are written: numbering reads its rows several times, and deals them.
         at = "occ" if order == "occurrence" else "enq"
         placed = position_in_order(rows_to_send(spark, sf_dir), name="place", keys=[], order=[at, "event_id"])
-        dealt = placed.withColumn("file", file.cast("int")).repartitionById(max(count, 1), F.col("file"))
+        # A task writes whole files, several if they are small.
+        tasks = max(1, min(count, max(-(-rows // STAGED_PER_TASK), 2 * spark.sparkContext.defaultParallelism)))
+        dealt = placed.withColumn("file", file.cast("int")).repartitionById(
+            tasks, fields.whole(F.col("file") * F.lit(tasks).cast("bigint"), max(count, 1)).cast("int")
+        )
         sent = as_messages(dealt, "place", "file")
         sent.select(*HUB_MESSAGE.fieldNames(), "place", "file").write.partitionBy("file").parquet(folder)
         for n, occurred in enumerate(_SENTINELS, count):
@@ -104,10 +112,7 @@ def _date_files(spark: SparkSession, folder: str) -> None:
     """Sets the times of the files so that they follow each other by their folder's number."""
     store = Store(spark)
     start = int(time.time()) - 10_000_000
-    for part in store.names(folder):
-        if part.startswith("file="):
-            for name in store.names(f"{folder}/{part}"):
-                store.set_time(f"{folder}/{part}/{name}", start + int(part.removeprefix("file=")))
+    store.set_times({at: start + int(re.search(r"/file=([0-9]+)/", at)[1]) for at in store.paths(f"{folder}/file=*")})
 
 
 def stream(
@@ -128,8 +133,11 @@ def streams(spark: SparkSession, streaming: SparkSession, sf_dir: str, **staged)
     time, in order. For triggers that are too small to fill the cluster one after the other."""
     folder, files = staged_stream(spark, sf_dir, **staged)
     assert files == 1
-    digits = sorted({name[-1] for name in Store(spark).names(folder) if name.startswith("file=")})
-    return [message_stream(streaming, f"{folder}/file=*{digit}", files_per_trigger=1) for digit in digits]
+    store = Store(spark)
+    found = [at for at in (f"{folder}/file=*{digit}" for digit in range(10)) if store.matches(at)]
+    # Each lists its folders before it is there.
+    with ThreadPoolExecutor(10) as threads:
+        return list(threads.map(lambda at: message_stream(streaming, at, files_per_trigger=1), found))
 
 
 def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
